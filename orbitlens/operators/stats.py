@@ -8,7 +8,8 @@ Plan: one hash exchange on (series, bucket).  ``max_diff`` needs the
 previous row inside the bucket, a window partitioned by (series, bucket);
 the aggregate on the same keys reuses that distribution, so the raw rows
 cross the network once.  A hot series is spread over all its buckets.
-The empty-bucket grid is a small generated table joined on the same keys.
+Empty buckets are added from the aggregated rows (``expand_gaps``): no grid
+join and no second scan.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orbitlens.functions.time import duration_us, epoch_us, floor_us, from_epoch_us
-from orbitlens.operators.resample import DEFAULT_BLOCK_BUCKETS, grid_from_bounds
+from orbitlens.operators.resample import DEFAULT_BLOCK_BUCKETS
 
 STAT_NAMES = ["mean", "count", "median", "std", "skew", "min", "max", "energy", "kurt", "max_diff"]
 
@@ -63,10 +64,7 @@ def bucket_stats(df: DataFrame, keys: list[str], every="60T", *, ts: str = "ts",
                      corrected_skew(n, F.col("_g1")).alias("skew"), "min", "max", "energy",
                      corrected_kurt(n, F.col("_g2")).alias("kurt"), "max_diff")
     if keep_empty:
-        bounds = agg.groupBy(*keys).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
-        grid = grid_from_bounds(bounds, keys, step, block_buckets=block_buckets)
-        agg = grid.join(agg, on=[*keys, "_b"], how="left") \
-                  .withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("bigint"))
+        agg = expand_gaps(agg, keys, step, STAT_NAMES, zero_cols=("count",))
     lab = F.col("_b") + (step if label == "right" else 0)
     return agg.select(*keys, from_epoch_us(lab).alias(out_ts), *STAT_NAMES)
 
@@ -74,11 +72,40 @@ def bucket_stats(df: DataFrame, keys: list[str], every="60T", *, ts: str = "ts",
 def drop_open_bucket(df: DataFrame, keys: list[str], *, ts: str = "bucket_end") -> DataFrame:
     """drop the last (still open) bucket of every series.
 
-    ``max`` per series on the small statistics table, joined back (a
-    broadcast-free equi-join on the series keys).
+    ``max(ts) over (partition by series)`` on the statistics table: it reuses
+    the series partitioning of the gap expansion and of the detectors that
+    follow, so no extra exchange and no second scan.
     """
-    last = df.groupBy(*keys).agg(F.max(ts).alias("_last"))
-    return df.join(last, on=keys, how="inner").filter(F.col(ts) < F.col("_last")).drop("_last")
+    last = F.max(ts).over(Window.partitionBy(*keys))
+    return df.withColumn("_last", last).filter(F.col(ts) < F.col("_last")).drop("_last")
+
+
+def expand_gaps(agg: DataFrame, keys: list[str], step: int, cols, *, b: str = "_b",
+                zero_cols=(), fill_from_next=()) -> DataFrame:
+    """T2 on an aggregated table: add the empty buckets between present ones.
+
+    Each present bucket emits itself plus the empty buckets up to the next
+    present one (``lead`` over the series, ``explode(sequence)``): no grid
+    table, no join, no second scan of the input.  Columns in ``zero_cols``
+    become 0 in empty buckets, columns in ``fill_from_next`` take the next
+    present bucket's value (pandas bfill), all others NULL.
+    """
+    wn = Window.partitionBy(*keys).orderBy(b)
+    x = agg.withColumn("_next", F.lead(b).over(wn))
+    for c in fill_from_next:
+        x = x.withColumn(f"_nv_{c}", F.lead(c).over(wn))
+    last = F.coalesce(F.col("_next") - F.lit(step), F.col(b))
+    x = x.withColumn("_g", F.explode(F.sequence(F.col(b), last, F.lit(step).cast("bigint"))))
+    present = F.col("_g") == F.col(b)
+    out = {}
+    for c in cols:
+        if c in zero_cols:
+            out[c] = F.when(present, F.col(c)).otherwise(F.lit(0)).cast("bigint")
+        elif c in fill_from_next:
+            out[c] = F.when(present, F.col(c)).otherwise(F.col(f"_nv_{c}"))
+        else:
+            out[c] = F.when(present, F.col(c))
+    return x.select(*keys, F.col("_g").alias(b), *[e.alias(c) for c, e in out.items()])
 
 
 def anomaly_count(df: DataFrame, keys: list[str], *, col: str = "anomaly") -> DataFrame:

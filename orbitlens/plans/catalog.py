@@ -74,3 +74,7 @@ def q_ma_anomaly_hourly_mean(spark, sf_dir):
 
 
 __all__ = ["QUERIES", "SQL", "register", "KEYS", "HOUR"]
+
+
+# Further registrations live in sibling modules; importing them fills QUERIES/SQL.
+from orbitlens.plans import q_basic  # noqa: E402,F401

@@ -156,22 +156,23 @@ def first_timestamp(df: DataFrame, *, ts: str = TS) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(ts).alias("first_ts"))
 
 
-def list_tag_values(df: DataFrame, group: str, tag_cols: list[str]) -> DataFrame:
+def list_tag_values(df: DataFrame, group: str, tag_cols: list[str], *, by: list[str] = ()) -> DataFrame:
     """Values of tag ``group`` over the series, plus the single-valued tags.
 
-    Returns one row: ``values`` (sorted array, NULL when no data) and
-    ``fixed_tags`` (map tag -> value for tags with exactly one value).
+    One row (per ``by`` group): ``values`` (sorted array, NULL when there is
+    no data) and ``fixed_tags`` (map tag -> value for tags with exactly one
+    value over the series).  Works on the distinct series, a small table.
     """
-    series = df.select(*tag_cols).distinct()
+    series = df.select(*by, *tag_cols).distinct()
     aggs = [F.array_sort(F.collect_set(group)).alias("values")]
     for t in tag_cols:
         aggs.append(F.count_distinct(t).alias(f"_n_{t}"))
         aggs.append(F.min(t).alias(f"_v_{t}"))
-    r = series.agg(*aggs)
+    r = series.groupBy(*by).agg(*aggs)
     entries = [F.when(F.col(f"_n_{t}") == 1, F.struct(F.lit(t).alias("k"), F.col(f"_v_{t}").alias("v")))
-               for t in tag_cols]
+               for t in sorted(tag_cols)]
     fixed = F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull()))
-    return r.select(F.when(F.size("values") > 0, F.col("values")).alias("values"),
+    return r.select(*by, F.when(F.size("values") > 0, F.col("values")).alias("values"),
                     fixed.alias("fixed_tags"))
 
 
