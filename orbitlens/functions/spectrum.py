@@ -41,12 +41,16 @@ def encode_trace(powers) -> Column:
 
 
 def decode_trace(trace, min_val, max_val) -> Column:
-    """Hex trace -> powers = (min + byte * (max - min) / 255) / 100."""
+    """Hex trace -> powers = (min + byte * (max - min) / 255) / 100.
+
+    The trace is split into its two-digit groups once (the string is
+    referenced a single time, so an upstream expression feeding it is not
+    re-evaluated per bin when Catalyst collapses projections).
+    """
     t, mn, mx = _c(trace), _c(min_val), _c(max_val)
-    n = F.floor(F.length(t) / 2).cast("int")
-    idx = F.sequence(F.lit(0), n - 1)
-    return F.when(n > 0, F.transform(
-        idx, lambda i: (mn + F.conv(F.substring(t, i * 2 + 1, 2), 16, 10).cast("double") * (mx - mn) / 255) / 100))
+    pairs = F.regexp_extract_all(t, F.lit("([0-9A-Fa-f]{2})"), 1)
+    return F.when(F.size(pairs) > 0, F.transform(
+        pairs, lambda h: (mn + F.conv(h, 16, 10).cast("double") * (mx - mn) / 255) / 100))
 
 
 def explode_spectrum(df: DataFrame, *, powers: str = "powers", start: str = "start_frequency",
