@@ -79,3 +79,4 @@ __all__ = ["QUERIES", "SQL", "register", "KEYS", "HOUR"]
 # Further registrations live in sibling modules; importing them fills QUERIES/SQL.
 from orbitlens.plans import q_basic  # noqa: E402,F401
 from orbitlens.plans import q_series  # noqa: E402,F401
+from orbitlens.plans import q_pipelines  # noqa: E402,F401

@@ -114,13 +114,13 @@ def q_chunk_ranges(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ S12 / S13
-def derived_marks(spark, sf_dir):
+def derived_marks(spark, sf_dir, pipeline="aggregation", output="stats"):
     """Mark table derived from the data: max(ts) - 5 days for SAT1/SAT2 series
     (SAT0 series have no mark and fall back to now - 24 h)."""
     t = tele(spark, sf_dir).filter(F.col("satellite") != "SAT0")
     m = t.groupBy(*KEYS).agg(F.max("ts").alias("ts"))
     m = m.withColumn("ts", F.timestamp_add("DAY", F.lit(-5), F.col("ts")))
-    return m.select(F.lit("aggregation").alias("pipeline"), F.lit("stats").alias("output"), *KEYS, "ts")
+    return m.select(F.lit(pipeline).alias("pipeline"), F.lit(output).alias("output"), *KEYS, "ts")
 
 
 MARKS_SQL = ("marks AS (SELECT metric, satellite, max(ts) - INTERVAL 5 DAY AS mark FROM tele "
