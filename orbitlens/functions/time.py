@@ -91,6 +91,7 @@ def normalize_epoch_ms(c) -> Column:
     # scale factor 10^(target - n), target 13 for n%3==1 and 12 for n%3==0
     target = F.when(n % 3 == 1, F.lit(13)).when(n % 3 == 0, F.lit(12))
     shift = target - n
+    # integral division (``div``): 19-digit ns epochs exceed double precision
     scaled = F.when(shift >= 0, x * F.pow(F.lit(10), shift).cast("bigint")) \
-              .otherwise(F.floor(x / F.pow(F.lit(10), -shift)).cast("bigint"))
+              .otherwise(F.call_function("div", x, F.pow(F.lit(10), -shift).cast("bigint")))
     return F.when(target.isNull(), x).otherwise(scaled)

@@ -49,7 +49,8 @@ def bucket_stats(df: DataFrame, keys: list[str], every="60T", *, ts: str = "ts",
     step = duration_us(every)
     x = (df.filter(F.col(value).isNotNull())
          .select(*keys, ts, value, floor_us(epoch_us(ts), step).alias("_b")))
-    w = Window.partitionBy(*keys, "_b").orderBy(ts)
+    # ties in ts (daily dates) are ordered by value so max_diff is deterministic
+    w = Window.partitionBy(*keys, "_b").orderBy(ts, value)
     x = x.withColumn("_d", F.abs(F.col(value) - F.lag(value).over(w)))
     v = F.col(value)
     med = F.median(v) if exact_median else F.percentile_approx(v, 0.5, 10000).cast("double")

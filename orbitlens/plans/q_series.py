@@ -12,7 +12,7 @@ from orbitlens.operators.report import daily_bounds_report
 from orbitlens.operators.resample import (
     fill_gaps, infer_frequency, merge_extracts, resample_first, time_grid,
 )
-from orbitlens.operators.stats import drop_open_bucket
+from orbitlens.operators.stats import STAT_NAMES, drop_open_bucket
 from orbitlens.operators.windows import (
     diff, lag_features, lagged_rolling_mean, rolling_stats, rolling_zscore, smoothed_diff,
 )
@@ -44,6 +44,30 @@ def q_resample_first(spark, sf_dir):
     return round_doubles(resample_first(tele(spark, sf_dir), KEYS, "10T"))
 
 
+@register("resample_first_10s", sql=f"WITH {S.TELE}, {RESAMPLE_SQL.replace(str(10 * MIN), str(10 * 1_000_000))} "
+         f"SELECT metric, satellite, ts, {V} AS value FROM rs")
+def q_resample_first_10s(spark, sf_dir):
+    return round_doubles(resample_first(tele(spark, sf_dir), KEYS, "10s"))
+
+
+LINEITEM_TELE = ("li AS (SELECT 'quantity' AS metric, l_returnflag AS satellite, l_shipdate AS ts, "
+                 "l_quantity AS value FROM lineitem)")
+
+
+@register("lineitem_daily_stats", sql=f"""
+WITH {LINEITEM_TELE}, {S.stats_ctes(DAY, src='li')}
+SELECT metric, satellite, bucket_end, {S.rounded(STAT_NAMES, exclude=("count",))} FROM stats
+""")
+def q_lineitem_daily_stats(spark, sf_dir):
+    """Statistics on the largest table: daily buckets, many equal timestamps."""
+    from orbitlens.operators.stats import bucket_stats
+    from orbitlens.sources.telemetry import to_telemetry
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    t = to_telemetry(li, metric=F.lit("quantity"), ts="l_shipdate", value="l_quantity",
+                     tags={"satellite": "l_returnflag"})
+    return round_doubles(bucket_stats(t, KEYS, "1D"))
+
+
 @register("time_grid_hourly", sql=f"""
 WITH {S.TELE},
 bo AS (SELECT metric, satellite, min(epoch_us(ts) // {HOUR}) * {HOUR} AS lo, max(epoch_us(ts) // {HOUR}) * {HOUR} AS hi
@@ -232,7 +256,9 @@ CLOSED = """closed AS (SELECT * FROM (SELECT *, max(bucket_end) OVER (PARTITION
 BANDS_SQL = f"""{S.TELE}, {S.stats_ctes()}, {CLOSED}, {_flag_ctes},
 bands AS (SELECT metric, satellite, bucket_end, mean AS y,
    4.0 * (rr0_std + 1e-8) + rr0_mean + m0_mean + 0.01 AS ub,
-   -4.0 * (rr0_std + 1e-8) - rr0_mean + m0_mean - 0.01 AS lb, m0_mean AS yhat FROM ma_r0)"""
+   -4.0 * (rr0_std + 1e-8) - rr0_mean + m0_mean - 0.01 AS lb,
+   ((4.0 * (rr0_std + 1e-8) + rr0_mean + m0_mean + 0.01) + (-4.0 * (rr0_std + 1e-8) - rr0_mean + m0_mean - 0.01)) / 2 AS yhat
+   FROM ma_r0)"""
 
 
 def _bands(spark, sf_dir):

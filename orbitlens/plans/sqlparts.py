@@ -16,12 +16,12 @@ TELE = ("tele AS (SELECT event_type AS metric, 'SAT' || CAST(user_id % 3 AS VARC
 KEYS = "metric, satellite"
 
 
-def stats_ctes(step_us: int = HOUR, src: str = "tele", name: str = "stats") -> str:
+def stats_ctes(step_us: int = HOUR, src: str = "tele", name: str = "stats", KEYS: str = KEYS) -> str:
     """CTEs computing bucket statistics (label = right edge, empty buckets kept)."""
     return f"""
 {name}_b AS (SELECT {KEYS}, ts, value, (epoch_us(ts) // {step_us}) * {step_us} AS b
             FROM {src} WHERE value IS NOT NULL),
-{name}_d AS (SELECT *, abs(value - lag(value) OVER (PARTITION BY {KEYS}, b ORDER BY ts)) AS d FROM {name}_b),
+{name}_d AS (SELECT *, abs(value - lag(value) OVER (PARTITION BY {KEYS}, b ORDER BY ts, value)) AS d FROM {name}_b),
 {name}_a AS (SELECT {KEYS}, b, avg(value) AS mean, count(value) AS cnt, median(value) AS median,
             stddev_samp(value) AS std,
             CASE WHEN count(value) >= 3 THEN coalesce(skewness(value), 0) END AS skew,
@@ -31,10 +31,10 @@ def stats_ctes(step_us: int = HOUR, src: str = "tele", name: str = "stats") -> s
             FROM {name}_d GROUP BY {KEYS}, b),
 {name}_bounds AS (SELECT {KEYS}, min(b) AS lo, max(b) AS hi FROM {name}_a GROUP BY {KEYS}),
 {name}_grid AS (SELECT {KEYS}, unnest(range(lo, hi + 1, {step_us})) AS b FROM {name}_bounds),
-{name} AS (SELECT g.metric, g.satellite, make_timestamp(g.b + {step_us}) AS bucket_end,
+{name} AS (SELECT {", ".join("g." + k.strip() for k in KEYS.split(","))}, make_timestamp(g.b + {step_us}) AS bucket_end,
             a.mean, coalesce(a.cnt, 0) AS "count", a.median, a.std, a.skew, a.mn AS "min", a.mx AS "max",
             a.energy, a.kurt, a.max_diff
-           FROM {name}_grid g LEFT JOIN {name}_a a ON g.metric = a.metric AND g.satellite = a.satellite AND g.b = a.b)
+           FROM {name}_grid g LEFT JOIN {name}_a a ON {" AND ".join(f"g.{k.strip()} = a.{k.strip()}" for k in KEYS.split(","))} AND g.b = a.b)
 """
 
 
