@@ -81,7 +81,7 @@ def drop_open_bucket(df: DataFrame, keys: list[str], *, ts: str = "bucket_end")
     return df.withColumn("_last", last).filter(F.col(ts) < F.col("_last")).drop("_last")
 
 
-def expand_gaps(agg: DataFrame, keys: list[str], step: int, cols, *, b: str = "_b",
+def expand_gaps(agg: DataFrame, keys: list[str], step, cols, *, b: str = "_b",
                 zero_cols=(), fill_from_next=()) -> DataFrame:
     """T2 on an aggregated table: add the empty buckets between present ones.
 
@@ -89,14 +89,16 @@ def expand_gaps(agg: DataFrame, keys: list[str], step: int, cols, *, b: str = "_
     present one (``lead`` over the series, ``explode(sequence)``): no grid
     table, no join, no second scan of the input.  Columns in ``zero_cols``
     become 0 in empty buckets, columns in ``fill_from_next`` take the next
-    present bucket's value (pandas bfill), all others NULL.
+    present bucket's value (pandas bfill), all others NULL.  ``step`` is an
+    int (µs) or the name of a per-row BIGINT column (per-series frequency).
     """
+    step_c = F.col(step) if isinstance(step, str) else F.lit(step).cast("bigint")
     wn = Window.partitionBy(*keys).orderBy(b)
     x = agg.withColumn("_next", F.lead(b).over(wn))
     for c in fill_from_next:
         x = x.withColumn(f"_nv_{c}", F.lead(c).over(wn))
-    last = F.coalesce(F.col("_next") - F.lit(step), F.col(b))
-    x = x.withColumn("_g", F.explode(F.sequence(F.col(b), last, F.lit(step).cast("bigint"))))
+    last = F.coalesce(F.col("_next") - step_c, F.col(b))
+    x = x.withColumn("_g", F.explode(F.sequence(F.col(b), last, step_c)))
     present = F.col("_g") == F.col(b)
     out = {}
     for c in cols:

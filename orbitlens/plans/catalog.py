@@ -80,3 +80,5 @@ __all__ = ["QUERIES", "SQL", "register", "KEYS", "HOUR"]
 from orbitlens.plans import q_basic  # noqa: E402,F401
 from orbitlens.plans import q_series  # noqa: E402,F401
 from orbitlens.plans import q_pipelines  # noqa: E402,F401
+from orbitlens.plans import q_models  # noqa: E402,F401
+from orbitlens.plans import q_forecast  # noqa: E402,F401

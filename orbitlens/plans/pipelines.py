@@ -66,6 +66,22 @@ def statistics_then_detect(df: DataFrame, marks: DataFrame, keys: list[str], now
     return _after_marks(ma, marks, keys, pipeline=pipeline, output=output, ts="bucket_end")
 
 
+def isolation_forest_job(df: DataFrame, marks: DataFrame, keys: list[str], now, *,
+                         lookback: str = "6D", window: str = "3D", min_periods: int = 1,
+                         sigma: float = 3.0, pipeline: str = "isolation_forest",
+                         output: str = "iso") -> DataFrame:
+    """Read with lookback -> D3 -> rows after the mark, long rows named
+    ``<metric>_iso_score``."""
+    from orbitlens.operators.forest import isolation_forest_anomaly
+    src = read_since(df, marks, keys, now, pipeline=pipeline, output=output, lookback=lookback)
+    d3 = isolation_forest_anomaly(src, keys, ["value"], window=window, min_periods=min_periods,
+                                  sigma=sigma, base_name="value")
+    d3 = _after_marks(d3, marks, keys, pipeline=pipeline, output=output, ts="ts")
+    return d3.filter(F.col("value_iso_score").isNotNull()).select(
+        F.concat(F.col("metric"), F.lit("_iso_score")).alias("metric"),
+        *[k for k in keys if k != "metric"], "ts", F.col("value_iso_score").alias("value"))
+
+
 def bounds_monitor(df: DataFrame, bounds: DataFrame, keys: list[str], *, every: str = "10s",
                    lb: str = "lb", ub: str = "ub") -> DataFrame:
     """Sampled values (first per ``every``) scored against bound series."""
