@@ -27,3 +27,152 @@ def q_isolation_forest_pipeline(spark, sf_dir):
     r = P.isolation_forest_job(tele(spark, sf_dir), derived_marks(spark, sf_dir, "isolation_forest", "iso"),
                                KEYS, NOW)
     return round_doubles(r)
+
+
+# ---------------------------------------------------------------- forecasting
+from orbitlens.forecast import features as FT  # noqa: E402
+from orbitlens.forecast import models as MD  # noqa: E402
+from orbitlens.forecast import seasonality as SE  # noqa: E402
+from orbitlens.functions.output import q_sql  # noqa: E402
+from orbitlens.plans import sqlparts as S  # noqa: E402
+from orbitlens.plans.q_forecast import REG_SQL, reg_of  # noqa: E402
+
+
+@register("acf_peaks")
+def q_acf_peaks(spark, sf_dir):
+    """M3 + L2: prominent ACF peaks per series (ACF up to 240 lags)."""
+    acf = FT.autocorrelation(reg_of(spark, sf_dir), KEYS, 240)
+    return SE.acf_peak_lags(acf, KEYS, nlags=6)
+
+
+@register("fft_periods")
+def q_fft_periods(spark, sf_dir):
+    """M4 + M5: spectral periods from the periodogram of the first quarter."""
+    spec = FT.periodogram(reg_of(spark, sf_dir), KEYS, 256, first_fraction=0.25)
+    return SE.fft_period_lags(spec, KEYS)
+
+
+@register("select_lags")
+def q_select_lags(spark, sf_dir):
+    """M6 + U2: lag set per series from ACF and FFT candidates and the sizing rule."""
+    reg = reg_of(spark, sf_dir)
+    acf = SE.acf_peak_lags(FT.autocorrelation(reg, KEYS, 240), KEYS).select(*KEYS, "lag")
+    fft = SE.fft_period_lags(FT.periodogram(reg, KEYS, 256, first_fraction=0.25), KEYS).select(*KEYS, "lag")
+    sel = SE.select_lags(acf.unionByName(fft), FT.series_sizing(reg, KEYS), KEYS)
+    return sel.select(*KEYS, "freq_s", "window_size", "min_lag", "max_lag",
+                      F.array_join(F.transform("lags", lambda v: v.cast("string")), ",").alias("lags"))
+
+
+@register("linear_trend", sql=f"""
+WITH {S.TELE}, {REG_SQL}
+SELECT metric, satellite, {q_sql('regr_slope(value, idx::DOUBLE)')} AS slope,
+       {q_sql('regr_intercept(value, idx::DOUBLE)')} AS intercept FROM reg GROUP BY ALL
+""")
+def q_linear_trend(spark, sf_dir):
+    return round_doubles(MD.linear_trend(reg_of(spark, sf_dir), KEYS))
+
+
+def _trend_residuals(spark, sf_dir, h=12, windows=5):
+    reg = reg_of(spark, sf_dir)
+    tr = MD.linear_trend(reg, KEYS)
+    n = reg.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
+    x = reg.join(tr, on=KEYS).join(n, on=KEYS).filter(F.col("idx") >= F.col("_n") - h * windows)
+    return x.select(*KEYS, ((F.col("idx") - (F.col("_n") - h * windows)) % h + 1).alias("step"),
+                    (F.col("value") - (F.col("intercept") + F.col("slope") * F.col("idx"))).alias("residual"))
+
+
+@register("conformal_interval", sql=f"""
+WITH {S.TELE}, {REG_SQL},
+tr AS (SELECT metric, satellite, regr_slope(value, idx::DOUBLE) AS b, regr_intercept(value, idx::DOUBLE) AS a,
+              count(*) AS n FROM reg GROUP BY ALL),
+r AS (SELECT g.metric, g.satellite, (g.idx - (tr.n - 60)) % 12 + 1 AS step, g.value - (tr.a + tr.b * g.idx) AS residual
+      FROM reg g JOIN tr ON g.metric = tr.metric AND g.satellite = tr.satellite WHERE g.idx >= tr.n - 60)
+SELECT metric, satellite, step, {q_sql('quantile_cont(abs(residual), 0.99)')} AS q FROM r GROUP BY ALL
+""")
+def q_conformal_interval(spark, sf_dir):
+    return round_doubles(MD.conformal_quantiles(_trend_residuals(spark, sf_dir), KEYS))
+
+
+def derived_registry(spark, sf_dir):
+    """A model registry derived from the data: three model versions per series
+    dated on its first three days."""
+    ft = tele(spark, sf_dir).groupBy(*KEYS).agg(F.to_date(F.min("ts")).alias("d0"))
+    x = ft.select(*KEYS, F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("v"), "d0")
+    return x.select(F.col("metric").alias("target"), F.lit("").alias("exogenous"), "satellite",
+                    F.date_add("d0", F.col("v")).alias("date"),
+                    F.concat_ws("/", F.lit("models"), "metric", "satellite", F.col("v").cast("string")).alias("path"),
+                    (F.lit(600) * (F.col("v") + 1)).alias("freq_s"), (F.col("v") + 6).alias("min_lag"),
+                    (F.col("v") * 10 + 24).alias("max_lag"))
+
+
+REGISTRY_SQL = f"""{S.TELE},
+d AS (SELECT metric, satellite, CAST(min(ts) AS DATE) AS d0 FROM tele GROUP BY ALL),
+reg0 AS (SELECT metric AS target, '' AS exogenous, satellite, CAST(d0 + v AS DATE) AS date,
+         'models/' || metric || '/' || satellite || '/' || CAST(v AS VARCHAR) AS path,
+         600 * (v + 1) AS freq_s, v + 6 AS min_lag, v * 10 + 24 AS max_lag
+         FROM d CROSS JOIN (SELECT unnest([0, 1, 2]) AS v) r)"""
+
+
+@register("model_registry_lookup", sql=f"""
+WITH {REGISTRY_SQL}
+SELECT target, exogenous, satellite, arg_max(path, date) AS path, max(date) AS date FROM reg0 GROUP BY ALL
+""")
+def q_model_registry_lookup(spark, sf_dir):
+    return MD.lookup_models(derived_registry(spark, sf_dir), ["target", "exogenous", "satellite"])
+
+
+@register("horizon_lengths", sql=f"""
+WITH {REGISTRY_SQL}
+SELECT target, satellite, date, min_lag * freq_s AS prediction_length_s, max_lag * freq_s AS length_needed_s FROM reg0
+""")
+def q_horizon_lengths(spark, sf_dir):
+    h = FT.horizon_lengths(derived_registry(spark, sf_dir))
+    return h.select("target", "satellite", "date", "prediction_length_s", "length_needed_s")
+
+
+LAGS = [12, 24]
+
+
+def _linear_fc(spark, sf_dir, horizon=36):
+    reg = reg_of(spark, sf_dir)
+    feats = FT.build_features(reg, KEYS, LAGS)
+    cols = [f"lag{k}" for k in LAGS]
+    coefs = MD.fit_linear(feats, KEYS, cols)
+    fc = MD.forecast_recursive(reg, KEYS, LAGS, horizon,
+                               lambda f: MD.predict_linear(f, coefs, KEYS, cols))
+    res = MD.predict_linear(feats, coefs, KEYS, cols)
+    n = res.groupBy(*KEYS).agg(F.max("idx").alias("_mx"))
+    res = res.join(n, on=KEYS).filter(F.col("idx") > F.col("_mx") - 60) \
+             .select(*KEYS, ((F.col("_mx") - F.col("idx")) % 12 + 1).alias("_s"),
+                     (F.col("value") - F.col("yhat")).alias("residual"))
+    q = MD.conformal_quantiles(res.withColumnRenamed("_s", "step"), KEYS)
+    fc = fc.withColumn("step", (F.col("step") - 1) % 12 + 1).withColumnRenamed("step", "step")
+    return MD.apply_intervals(fc, q, KEYS)
+
+
+@register("linear_forecast")
+def q_linear_forecast(spark, sf_dir):
+    """Regular series -> lag features -> per-series OLS -> 36-step recursive
+    forecast in blocks of 12 -> 99 % conformal band."""
+    return round_doubles(_linear_fc(spark, sf_dir).select(*KEYS, "ts", "yhat", "lo_99", "hi_99"))
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf_dir):
+    """M8: one GBT over all series (series categorical), next 12 steps."""
+    reg = reg_of(spark, sf_dir)
+    feats = FT.build_features(reg, KEYS, LAGS)
+    cols = [f"lag{k}" for k in LAGS]
+    model = MD.fit_gbt(feats, KEYS, cols, max_iter=20, max_depth=5)
+    fc = MD.forecast_recursive(reg, KEYS, LAGS, 12, lambda f: MD.predict_gbt(model, f, KEYS))
+    return round_doubles(fc.select(*KEYS, "ts", "yhat"))
+
+
+@register("predict_after_checkpoint")
+def q_predict_after_checkpoint(spark, sf_dir):
+    """P8 tail (M18): forecast rows after each series' mark, named columns."""
+    fc = _linear_fc(spark, sf_dir, horizon=24)
+    marks = fc.groupBy(*KEYS).agg(F.min("ts").alias("ts"))
+    out = MD.forecast_after_checkpoint(fc.select(*KEYS, "ts", "yhat", "lo_99", "hi_99"), marks, KEYS,
+                                       names={"yhat": "prediction", "lo_99": "LB", "hi_99": "UB"})
+    return round_doubles(out)
