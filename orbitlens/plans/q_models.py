@@ -115,19 +115,21 @@ reg0 AS (SELECT metric AS target, '' AS exogenous, satellite, CAST(d0 + v AS DAT
 
 @register("model_registry_lookup", sql=f"""
 WITH {REGISTRY_SQL}
-SELECT target, exogenous, satellite, arg_max(path, date) AS path, max(date) AS date FROM reg0 GROUP BY ALL
+SELECT target, exogenous, satellite, arg_max(path, date) AS path, CAST(max(date) AS TIMESTAMP) AS date FROM reg0 GROUP BY ALL
 """)
 def q_model_registry_lookup(spark, sf_dir):
-    return MD.lookup_models(derived_registry(spark, sf_dir), ["target", "exogenous", "satellite"])
+    r = MD.lookup_models(derived_registry(spark, sf_dir), ["target", "exogenous", "satellite"])
+    return r.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
 @register("horizon_lengths", sql=f"""
 WITH {REGISTRY_SQL}
-SELECT target, satellite, date, min_lag * freq_s AS prediction_length_s, max_lag * freq_s AS length_needed_s FROM reg0
+SELECT target, satellite, CAST(date AS TIMESTAMP) AS date, min_lag * freq_s AS prediction_length_s, max_lag * freq_s AS length_needed_s FROM reg0
 """)
 def q_horizon_lengths(spark, sf_dir):
     h = FT.horizon_lengths(derived_registry(spark, sf_dir))
-    return h.select("target", "satellite", "date", "prediction_length_s", "length_needed_s")
+    return h.select("target", "satellite", F.col("date").cast("timestamp_ntz").alias("date"),
+                    "prediction_length_s", "length_needed_s")
 
 
 LAGS = [12, 24]
