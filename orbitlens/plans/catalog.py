@@ -82,3 +82,4 @@ from orbitlens.plans import q_series  # noqa: E402,F401
 from orbitlens.plans import q_pipelines  # noqa: E402,F401
 from orbitlens.plans import q_models  # noqa: E402,F401
 from orbitlens.plans import q_forecast  # noqa: E402,F401
+from orbitlens.plans import q_streaming  # noqa: E402,F401
