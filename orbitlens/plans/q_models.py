@@ -178,3 +178,12 @@ def q_predict_after_checkpoint(spark, sf_dir):
     out = MD.forecast_after_checkpoint(fc.select(*KEYS, "ts", "yhat", "lo_99", "hi_99"), marks, KEYS,
                                        names={"yhat": "prediction", "lo_99": "LB", "hi_99": "UB"})
     return round_doubles(out)
+
+
+@register("one_class_svm")
+def q_one_class_svm(spark, sf_dir):
+    """Read -> one-class detector (RBF via random Fourier features, nu 0.1)
+    on every series -> rows after the mark."""
+    from orbitlens.operators.ocsvm import one_class_svm_anomaly
+    r = one_class_svm_anomaly(tele(spark, sf_dir), KEYS, ["value"], nu=0.1, after="2024-01-15 00:00:00")
+    return round_doubles(r)

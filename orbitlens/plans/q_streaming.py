@@ -75,3 +75,14 @@ def q_stream_bounds_join(spark, sf_dir):
     j = ST.bounds_join_stream(events_stream(spark, sf_dir), bstream, KEYS, watermark="2 hours")
     ST.run_available_now(j, f"{base}/out", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out").withColumn("bounds_score", F.round(F.col("bounds_score") + 1e-9, 4))
+
+
+@register("stream_stateful_detector", sql=f"WITH {S.TELE}, {_ma_ctes} {_ma_sel}")
+def q_stream_stateful_detector(spark, sf_dir):
+    """ST4: stateful streaming D1 (state = one window of points per series)."""
+    from orbitlens.streaming.stateful import stateful_moving_average
+    base = ST.scratch_path(spark, "stream-state")
+    det = stateful_moving_average(events_stream(spark, sf_dir), KEYS, window="1D", min_periods=5,
+                                  watermark="2 hours")
+    ST.run_available_now(det, f"{base}/out", f"{base}/ckpt")
+    return round_doubles(spark.read.parquet(f"{base}/out"))
