@@ -114,3 +114,101 @@ def run_and_commit(rows: DataFrame, new_marks: DataFrame, *, out_path: str, mark
     """
     write_metrics(rows, out_path)
     new_marks.write.mode("overwrite").parquet(marks_path)
+
+
+# ---------------------------------------------------------------- P7 / P8 / P9
+def train_job(df: DataFrame, registry: DataFrame | None, keys: list[str], now, *, model_dir: str,
+              n_common_lags: int = 4, max_acf_lag: int = 240, n_freq: int = 256,
+              history_days: int = 360, model: str = "linear") -> DataFrame:
+    """Train where no model exists, return the new registry rows.
+
+    registry check (left anti) -> first point (S9) -> one pruned read of at
+    most 12 x 30 days (S11 chunks become a single range filter) -> regular
+    series (T4, T1, T3) -> lag discovery (M2-M6) -> lag features (M7) ->
+    model (M9 per-series OLS, or M8 one GBT for all series) -> saved under
+    ``model_dir`` -> registry rows (M16, M15, M20).
+
+    The model is a global structure: it uses the ``n_common_lags`` lags
+    selected most often across series (per-series lag lists, min_lag and
+    max_lag are stored in the registry).
+    """
+    from orbitlens.forecast import features as FT
+    from orbitlens.forecast import models as MD
+    from orbitlens.forecast import seasonality as SE
+    from orbitlens.functions.time import DAY, epoch_us, from_epoch_us
+    from orbitlens.sources.telemetry import _ts_lit
+
+    series = df.select(*keys).distinct()
+    if registry is not None:
+        reg_keys = registry.select(F.col("target").alias("metric"), *[k for k in keys if k != "metric"])
+        series = series.join(reg_keys, on=keys, how="left_anti")
+    start = from_epoch_us(epoch_us(_ts_lit(now)) - F.lit(history_days * DAY))
+    src = df.join(series, on=keys).filter((F.col("ts") >= start) & (F.col("ts") <= _ts_lit(now)))
+    reg = FT.regular_series(src, keys)
+    reg = reg.checkpoint()  # reused by five consumers: cut the lineage once
+    sizing = FT.series_sizing(reg, keys)
+    acf = SE.acf_peak_lags(FT.autocorrelation(reg, keys, max_acf_lag), keys).select(*keys, "lag")
+    fft = SE.fft_period_lags(FT.periodogram(reg, keys, n_freq, first_fraction=0.25), keys).select(*keys, "lag")
+    sel = SE.select_lags(acf.unionByName(fft), sizing, keys)
+    common = (sel.select(F.explode("lags").alias("lag")).groupBy("lag").count()
+              .orderBy(F.col("count").desc(), F.col("lag")).limit(n_common_lags))
+    lags = sorted(int(r["lag"]) for r in common.collect()) or [1]   # n_common_lags scalars
+    feats = FT.build_features(reg, keys, lags)
+    cols = [f"lag{k}" for k in lags]
+    path = f"{model_dir.rstrip('/')}/{model}"
+    if model == "gbt":
+        MD.fit_gbt(feats, keys, cols).write().overwrite().save(path)
+    else:
+        MD.fit_linear(feats, keys, cols).write.mode("overwrite").parquet(path)
+    tag_keys = [k for k in keys if k != "metric"]
+    return sel.select(F.col("metric").alias("target"), F.array().cast("array<string>").alias("exogenous"),
+                      *tag_keys, F.to_date(_ts_lit(now)).alias("date"), F.lit(path).alias("path"),
+                      "freq_s", F.lit(min(lags)).cast("bigint").alias("min_lag"),
+                      F.lit(max(lags)).cast("bigint").alias("max_lag"), F.lit(model).alias("model"),
+                      F.array(*[F.lit(c) for c in cols]).alias("features"),
+                      F.col("lags").alias("series_lags"))
+
+
+def predict_job(df: DataFrame, registry: DataFrame, marks: DataFrame, keys: list[str], now, *,
+                horizon: int | None = None) -> DataFrame:
+    """Latest model per series -> context window (S14) -> regular series ->
+    recursive forecast (M12) with 99 % bands from in-sample residuals (M11)
+    -> rows after the mark (M18) as ``<metric>_prediction``, ``_lb``, ``_ub``."""
+    from orbitlens.forecast import features as FT
+    from orbitlens.forecast import models as MD
+    from orbitlens.sources.state import model_context_window
+
+    tag_keys = [k for k in keys if k != "metric"]
+    latest = registry.groupBy("target", *tag_keys).agg(
+        F.max_by(F.struct("path", "model", "features", "min_lag", "max_lag", "freq_s"), "date").alias("m"))
+    latest = latest.select(F.col("target").alias("metric"), *tag_keys, "m.*")
+    rows = latest.select("path", "model", "features").distinct().collect()   # one row per model
+    if len(rows) != 1:
+        raise ValueError("predict_job expects one model structure per run")
+    path, model, cols = rows[0]["path"], rows[0]["model"], list(rows[0]["features"])
+    lags = [int(c[3:]) for c in cols]
+    reg_info = latest.withColumn("length_needed_s", F.col("max_lag") * F.col("freq_s") * 3)
+    ctx = model_context_window(marks, reg_info, keys, now)
+    src = df.join(ctx, on=keys).filter((F.col("ts") >= F.col("ctx_start")) & (F.col("ts") <= F.col("ctx_end")))
+    reg = FT.regular_series(src.select(*keys, "ts", "value"), keys)
+    spark = df.sparkSession
+    if model == "gbt":
+        from pyspark.ml import PipelineModel
+        pm = PipelineModel.load(path)
+        predict = lambda f: MD.predict_gbt(pm, f, keys)
+    else:
+        coefs = spark.read.parquet(path)
+        predict = lambda f: MD.predict_linear(f, coefs, keys, cols)
+    h = horizon or min(lags)
+    fc = MD.forecast_recursive(reg, keys, lags, h, predict)
+    feats = FT.build_features(reg, keys, lags)
+    res = predict(feats).select(*keys, ((F.col("idx") % min(lags)) + 1).alias("step"),
+                                (F.col("value") - F.col("yhat")).alias("residual"))
+    fc = fc.withColumn("step", (F.col("step") - 1) % min(lags) + 1)
+    fc = MD.apply_intervals(fc, MD.conformal_quantiles(res, keys), keys)
+    fc = MD.forecast_after_checkpoint(fc, marks.select(*keys, "ts"), keys)
+    long = fc.select(*keys, "ts", F.col("yhat").alias("prediction"), F.col("lo_99").alias("lb"),
+                     F.col("hi_99").alias("ub"))
+    long = long.unpivot([*keys, "ts"], ["prediction", "lb", "ub"], "kind", "value")
+    return long.select(F.concat(F.col("metric"), F.lit("_"), F.col("kind")).alias("metric"), *tag_keys,
+                       "ts", "value").filter(F.col("value").isNotNull())

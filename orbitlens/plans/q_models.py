@@ -187,3 +187,31 @@ def q_one_class_svm(spark, sf_dir):
     from orbitlens.operators.ocsvm import one_class_svm_anomaly
     r = one_class_svm_anomaly(tele(spark, sf_dir), KEYS, ["value"], nu=0.1, after="2024-01-15 00:00:00")
     return round_doubles(r)
+
+
+PRED_NOW = "2024-01-31 00:00:00"
+
+
+def _train(spark, sf_dir, model="linear", now=NOW):
+    from orbitlens.streaming.telemetry import scratch_path
+    from orbitlens.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return P.train_job(tele(spark, sf_dir), None, KEYS, now, model_dir=scratch_path(spark, "models"),
+                       model=model)
+
+
+@register("train_pipeline")
+def q_train_pipeline(spark, sf_dir):
+    """Lag discovery, features, per-series linear models, registry rows."""
+    r = _train(spark, sf_dir)
+    return r.select("target", "satellite", "freq_s", "min_lag", "max_lag",
+                    F.array_join("features", ",").alias("features"),
+                    F.array_join(F.transform("series_lags", lambda v: v.cast("string")), ",").alias("series_lags"))
+
+
+@register("predict_pipeline")
+def q_predict_pipeline(spark, sf_dir):
+    """Models from P7 -> context -> recursive forecast -> rows after the mark."""
+    registry = _train(spark, sf_dir, now=PRED_NOW).checkpoint()
+    marks = tele(spark, sf_dir).groupBy(*KEYS).agg(F.max("ts").alias("ts"))
+    return round_doubles(P.predict_job(tele(spark, sf_dir), registry, marks, KEYS, PRED_NOW, horizon=24))

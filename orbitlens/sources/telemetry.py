@@ -213,3 +213,28 @@ def to_format(df: DataFrame, file_format: str = "ONE_ROW_PER_VALUE", *, tag_cols
 def retention(df: DataFrame, now, days: int = 7, *, ts: str = TS) -> DataFrame:
     """P11 (re-aimed run-log purge): keep records younger than ``days``."""
     return df.filter(F.col(ts) >= from_epoch_us(epoch_us(_ts_lit(now)) - F.lit(days * DAY)))
+
+
+def read_exogenous(df: DataFrame, groups: DataFrame, windows: DataFrame, *, keys: list[str],
+                   ts: str = TS) -> DataFrame:
+    """The exogenous metrics of every series group over the group's
+    window.  ``groups``: target, exogenous ARRAY<STRING>; ``windows``: target
+    + tag keys, start, end.  An empty exogenous list gives no rows."""
+    ex = groups.select("target", F.explode("exogenous").alias(METRIC))
+    tag_keys = [k for k in keys if k != METRIC]
+    w = windows.join(ex, on="target")
+    return (df.join(w, on=[METRIC, *tag_keys])
+            .filter((F.col(ts) >= F.col("start")) & (F.col(ts) <= F.col("end")))
+            .select("target", METRIC, *tag_keys, ts, VALUE))
+
+
+def read_bounds(df: DataFrame, metrics, *, lb_suffix: str = "_lb", ub_suffix: str = "_ub",
+                keys: list[str], ts: str = TS) -> DataFrame:
+    """The derived lower / upper bound series of ``metrics`` as two columns."""
+    names = [m + s for m in metrics for s in (lb_suffix, ub_suffix)]
+    tag_keys = [k for k in keys if k != METRIC]
+    x = df.filter(F.col(METRIC).isin(names))
+    base = F.regexp_replace(F.col(METRIC), f"({lb_suffix}|{ub_suffix})$", "")
+    kind = F.when(F.col(METRIC).endswith(lb_suffix), F.lit("lb")).otherwise(F.lit("ub"))
+    return (x.select(base.alias(METRIC), *tag_keys, ts, kind.alias("_k"), VALUE)
+            .groupBy(METRIC, *tag_keys, ts).pivot("_k", ["lb", "ub"]).agg(F.first(VALUE)))
