@@ -26,8 +26,16 @@ MAX_FRAC = 2000
 
 
 def _small_join(big: DataFrame, small: DataFrame, on, max_rows: int = 1_000_000) -> DataFrame:
-    """Join a per-series table: broadcast after a size check, else a shuffle join."""
-    return big.join(F.broadcast(small) if is_small(small, max_rows) else small, on=on)
+    """Join a per-series table (one row per series).
+
+    No hint and no eager size probe: the per-series side is the output of
+    an aggregation, so adaptive execution knows its exact size once that
+    stage has run and turns the join into a broadcast only when it is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that it stays
+    a shuffle join.  (``max_rows`` is kept for callers; the bound is the
+    engine's runtime check.)
+    """
+    return big.join(small, on=on)
 
 
 def regular_series(df: DataFrame, keys: list[str], *, ts: str = "ts", value: str = "value",
@@ -43,8 +51,8 @@ def regular_series(df: DataFrame, keys: list[str], *, ts: str = "ts", value: str
     firsts = x.groupBy(*keys, "freq_s", "_step", "_b").agg(F.min_by(F.col(value), F.col(ts)).alias(value))
     # freq_s/_step are constant per series: carried as keys of the gap expansion
     dense = expand_gaps(firsts, [*keys, "freq_s", "_step"], "_step", [value], fill_from_next=(value,))
-    t0 = dense.groupBy(*keys).agg(F.min("_b").alias("_t0"))
-    dense = _small_join(dense, t0, keys)
+    # series start by a window on the partitioning expand_gaps already has
+    dense = dense.withColumn("_t0", F.min("_b").over(Window.partitionBy(*keys, "freq_s", "_step")))
     idx = F.call_function("div", F.col("_b") - F.col("_t0"), F.col("_step"))
     return dense.select(*keys, from_epoch_us("_b").alias(ts), value, "freq_s", idx.alias("idx"))
 
@@ -116,7 +124,9 @@ def autocorrelation(reg: DataFrame, keys: list[str], max_lag: int, *, value: str
                   F.array(F.col("_home"), F.col("_home") - 1)).otherwise(F.array(F.col("_home")))
     z = z.withColumn("_blk", F.explode(prev)).withColumn("_B", F.lit(B))
     schema = ", ".join(["lag bigint", "_s double"] + [f"`{k}` string" for k in keys])
-    parts = z.select(*keys, idx, "_z", "_blk", "_B").groupBy(*keys, "_blk").applyInPandas(
+    n_parts = int(reg.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = z.select(*keys, idx, "_z", "_blk", "_B").repartition(n_parts, *keys, "_blk") \
+             .groupBy(*keys, "_blk").applyInPandas(
         _acf_block_fn(max_lag, keys), schema)
     sums = parts.groupBy(*keys, "lag").agg(F.sum("_s").alias("_s"))
     c0 = sums.filter(F.col("lag") == 0).select(*keys, F.col("_s").alias("_c0"))

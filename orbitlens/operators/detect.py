@@ -29,7 +29,8 @@ MA_EXT = ["_ma_anomaly_score", "_ma_anomaly", "_ma_upper_bound", "_ma_lower_boun
 def moving_average_anomaly(df: DataFrame, keys: list[str], cols, *, window="30D",
                            min_periods: int = 48, sigma: float = 4.0, delta: float = 0.01,
                            return_aggregated: bool = False, return_bounds: bool = True,
-                           ts: str = "ts", tile_us: int | None = None) -> DataFrame:
+                           ts: str = "ts", tile_us: int | None = None,
+                           method: str = "frame") -> DataFrame:
     """``ma(df, window, min_periods, sigma, delta, ...)`` per series.
 
     Output: keys, ts, then extension-major columns ``<col><ext>`` for every
@@ -40,10 +41,10 @@ def moving_average_anomaly(df: DataFrame, keys: list[str], cols, *, window="30D"
     x = with_epoch(df.select(*keys, ts, *cols), ts)
     for c in cols:
         x = rolling_stats(x, keys, c, window, min_periods=min_periods, shift=1,
-                          stats=("mean",), ts=ts, prefix=f"_m_{c}", tile_us=tile_us)
+                          stats=("mean",), ts=ts, prefix=f"_m_{c}", tile_us=tile_us, method=method)
         x = x.withColumn(f"_r_{c}", F.abs(F.col(c) - F.col(f"_m_{c}_mean")))
         x = rolling_stats(x, keys, f"_r_{c}", window, min_periods=min_periods, shift=1,
-                          stats=("mean", "std"), ts=ts, prefix=f"_rr_{c}", tile_us=tile_us)
+                          stats=("mean", "std"), ts=ts, prefix=f"_rr_{c}", tile_us=tile_us, method=method)
     outs = {}
     sig = F.lit(float(sigma))
     d = F.lit(float(delta))

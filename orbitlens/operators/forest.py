@@ -138,7 +138,11 @@ def rolling_isolation_forest(df: DataFrame, keys: list[str], feature_cols: list[
          .withColumn("_sh", F.xxhash64(*keys))
     schema = ", ".join([f"`{k}` string" for k in keys] + ["_t bigint", f"`{out_col}` double"])
     fn = _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col, keys)
+    # CPU-bound Python: an explicit hash repartition keeps AQE from packing
+    # all (series, block) groups - small in bytes - into one task
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     scored = (x.select(*keys, "_blk", "_t", "_is_home", "_sh", *feature_cols)
+              .repartition(n_parts, *keys, "_blk")
               .groupBy(*keys, "_blk").applyInPandas(fn, schema))
     from orbitlens.functions.time import from_epoch_us
     return scored.select(*keys, from_epoch_us("_t").alias(ts), out_col)

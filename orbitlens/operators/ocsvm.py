@@ -28,22 +28,25 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbitlens.operators.joins import is_small
 
 
-def _rff_terms(feature_cols, n_components, gamma, seed):
+def _rff_array(feature_cols, n_components, gamma, seed):
+    """z(x) as one ARRAY<DOUBLE> expression (constant W and b folded in)."""
     rng = np.random.default_rng(seed)
     d = len(feature_cols)
     W = rng.normal(0.0, math.sqrt(2.0 * gamma), (n_components, d))
     b = rng.uniform(0.0, 2.0 * math.pi, n_components)
     scale = math.sqrt(2.0 / n_components)
-    terms = []
-    for i in range(n_components):
-        arg = F.lit(float(b[i]))
+    w_cols = [F.array(*[F.lit(float(W[i, j])) for i in range(n_components)]) for j in range(d)]
+    b_arr = F.array(*[F.lit(float(v)) for v in b])
+
+    def comp(i):
+        arg = F.element_at(b_arr, i + 1)
         for j, c in enumerate(feature_cols):
-            arg = arg + F.lit(float(W[i, j])) * F.col(c)
-        terms.append(F.lit(scale) * F.cos(arg))
-    return terms
+            arg = arg + F.element_at(w_cols[j], i + 1) * F.col(c)
+        return F.lit(scale) * F.cos(arg)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n_components - 1)), comp)
 
 
 def one_class_svm_anomaly(df: DataFrame, keys: list[str], feature_cols: list[str], *, nu: float = 0.1,
@@ -59,13 +62,15 @@ def one_class_svm_anomaly(df: DataFrame, keys: list[str], feature_cols: list[str
     from orbitlens.operators.resample import fill_gaps
     gamma = gamma if gamma is not None else 1.0 / len(feature_cols)
     x = fill_gaps(df.select(*keys, ts, *feature_cols), keys, list(feature_cols), ts=ts)
-    z = _rff_terms(feature_cols, n_components, gamma, seed)
-    x = x.select("*", *[t.alias(f"_z{i}") for i, t in enumerate(z)])
-    means = x.groupBy(*keys).agg(*[F.avg(f"_z{i}").alias(f"_m{i}") for i in range(n_components)])
-    means = F.broadcast(means) if is_small(means, 1_000_000) else means
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    x = x.withColumn("_z", _rff_array(feature_cols, n_components, gamma, seed))
+    means = (x.groupBy(*keys).agg(Summarizer.mean(array_to_vector("_z")).alias("_mv"))
+             .select(*keys, vector_to_array("_mv").alias("_m")))
+    # one row per series: adaptive execution broadcasts it when its measured
+    # size is below the broadcast threshold, else keeps a shuffle join
     x = x.join(means, on=keys)
-    score = sum((F.col(f"_m{i}") * F.col(f"_z{i}") for i in range(1, n_components)),
-                F.col("_m0") * F.col("_z0"))
+    score = F.aggregate(F.zip_with("_m", "_z", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     x = x.select(*keys, ts, *feature_cols, score.alias("_s"))
     q = F.percentile("_s", nu) if exact_quantile else F.percentile_approx("_s", nu, 10000)
     rho = x.groupBy(*keys).agg(q.alias("_rho"))

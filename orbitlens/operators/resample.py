@@ -91,13 +91,16 @@ def fill_gaps(df: DataFrame, keys: list[str], cols: list[str], *, ts: str = "ts"
     neighbouring blocks by a window over that small table and joined back.
     Without it, a plain per-series window is used.
     """
+    # "next non-null" is a growing frame over descending time: Spark evaluates
+    # growing frames incrementally, a (current, unbounded following) frame
+    # would be re-aggregated for every row (quadratic per partition).
     if not block_us:
         w_prev = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-        w_next = Window.partitionBy(*keys).orderBy(ts).rowsBetween(0, Window.unboundedFollowing)
+        w_next = Window.partitionBy(*keys).orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0)
         out = df
         for c in cols:
             prev = F.last(c, ignorenulls=True).over(w_prev)
-            nxt = F.first(c, ignorenulls=True).over(w_next)
+            nxt = F.last(c, ignorenulls=True).over(w_next)
             out = out.withColumn(c, F.coalesce(nxt, prev) if order == "bfill_ffill" else F.coalesce(prev, nxt))
         return out
 
@@ -110,18 +113,18 @@ def fill_gaps(df: DataFrame, keys: list[str], cols: list[str], *, ts: str = "ts"
                       F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_last_{c}")]
     summ = x.groupBy(*keys, "_blk").agg(*summ_aggs)
     wb_prev = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    wb_next = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(1, Window.unboundedFollowing)
+    wb_next = Window.partitionBy(*keys).orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     edge_cols = []
     for c in cols:
         edge_cols += [F.last(f"_last_{c}", ignorenulls=True).over(wb_prev).alias(f"_carry_prev_{c}"),
-                      F.first(f"_first_{c}", ignorenulls=True).over(wb_next).alias(f"_carry_next_{c}")]
+                      F.last(f"_first_{c}", ignorenulls=True).over(wb_next).alias(f"_carry_next_{c}")]
     edges = summ.select(*keys, "_blk", *edge_cols)
     x = x.join(edges, on=[*keys, "_blk"], how="left")
     w_prev = Window.partitionBy(*keys, "_blk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    w_next = Window.partitionBy(*keys, "_blk").orderBy(ts).rowsBetween(0, Window.unboundedFollowing)
+    w_next = Window.partitionBy(*keys, "_blk").orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
         prev = F.coalesce(F.last(c, ignorenulls=True).over(w_prev), F.col(f"_carry_prev_{c}"))
-        nxt = F.coalesce(F.first(c, ignorenulls=True).over(w_next), F.col(f"_carry_next_{c}"))
+        nxt = F.coalesce(F.last(c, ignorenulls=True).over(w_next), F.col(f"_carry_next_{c}"))
         x = x.withColumn(c, F.coalesce(nxt, prev) if order == "bfill_ffill" else F.coalesce(prev, nxt))
     return x.drop("_blk", *[f"_carry_prev_{c}" for c in cols], *[f"_carry_next_{c}" for c in cols])
 

@@ -61,7 +61,7 @@ SELECT p.metric, p.satellite, p.lag, {q_sql('p.s / c.s')} AS acf FROM p JOIN p c
   ON c.metric = p.metric AND c.satellite = p.satellite AND c.lag = 0
 """)
 def q_autocorrelation(spark, sf_dir):
-    return round_doubles(M.autocorrelation(reg_of(spark, sf_dir), KEYS, 48, block=64))
+    return round_doubles(M.autocorrelation(reg_of(spark, sf_dir), KEYS, 48, block=512))
 
 
 @register("periodogram", sql=f"""

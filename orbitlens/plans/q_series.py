@@ -182,6 +182,13 @@ def q_rolling_zscore_tiled(spark, sf_dir):
     return round_doubles(z.select(*KEYS, "ts", "zscore"))
 
 
+@register("rolling_zscore_sums", sql=_zscore_sql())
+def q_rolling_zscore_sums(spark, sf_dir):
+    z = rolling_zscore(tele(spark, sf_dir), KEYS, "value", "3D", sigma=3, min_periods=5, out="zscore",
+                       tile_us=4 * DAY, method="sums")
+    return round_doubles(z.select(*KEYS, "ts", "zscore"))
+
+
 # ------------------------------------------------------------------ D1 on raw points, tiled
 _raw_ctes, _raw_sel = S.ma_sql("tele", "ts", ["value"], DAY, 5, 4.0, 0.01)
 
@@ -193,6 +200,13 @@ def q_ma_raw_tiled(spark, sf_dir):
     return round_doubles(r)
 
 
+@register("ma_anomaly_raw_sums", sql=f"WITH {S.TELE}, {_raw_ctes} {_raw_sel}")
+def q_ma_raw_sums(spark, sf_dir):
+    r = moving_average_anomaly(tele(spark, sf_dir), KEYS, ["value"], window="1D", min_periods=5,
+                               sigma=4.0, delta=0.01, tile_us=2 * DAY, method="sums")
+    return round_doubles(r)
+
+
 # ------------------------------------------------------------------ W4, W5, W7
 @register("lag_features", sql=f"""
 WITH {S.TELE}, {S.stats_ctes()}

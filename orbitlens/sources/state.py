@@ -23,13 +23,12 @@ def read_since(df: DataFrame, marks: DataFrame, keys: list[str], now, *, pipelin
     ``align`` floors the default start to a bucket (the reference's default
     start is not aligned, so its first bucket is partial).
     """
-    from orbitlens.operators.joins import is_small
     from orbitlens.sources.telemetry import _ts_lit
 
+    # The mark table has one row per series; the planner broadcasts it when its
+    # (file or runtime) size is below the broadcast threshold, else shuffles.
     m = (marks.filter((F.col("pipeline") == pipeline) & (F.col("output") == output))
          .select(*keys, F.col("ts").alias("_mark")))
-    if is_small(m, max_broadcast_rows):
-        m = F.broadcast(m)
     now_us = epoch_us(_ts_lit(now))
     default = now_us - F.lit(duration_us(default_lookback))
     if align:

@@ -135,3 +135,24 @@ def test_flat_bucket_skew_kurt_zero(spark):
     rows = [("m", "S", T0 + dt.timedelta(minutes=i), 4.0) for i in range(6)]
     got = bucket_stats(frame(spark, rows), KEYS, "60T").toPandas()
     assert got["skew"].iloc[0] == 0.0 and got["kurt"].iloc[0] == 0.0 and got["std"].iloc[0] == 0.0
+
+
+@pytest.mark.parametrize("tile", [None, 3 * 3600 * 1_000_000])
+def test_rolling_sums_method_matches_pandas_with_flat_runs_and_nulls(spark, tile):
+    rng = np.random.default_rng(21)
+    times = sorted(set(int(x) for x in rng.integers(0, 2 * 24 * 3600, 400)))
+    vals = np.round(rng.normal(1000, 5, len(times)), 2)
+    vals[100:160] = 1000.0          # a flat run longer than the window
+    vals[200] = np.nan               # nulls inside
+    vals[201] = np.nan
+    times = [t for t in times if not (80_000 < t < 95_000)]  # and a gap
+    vals = vals[:len(times)]
+    rows = [("m", "S", T0 + dt.timedelta(seconds=t), None if np.isnan(v) else float(v)) for t, v in zip(times, vals)]
+    got = rolling_stats(frame(spark, rows), KEYS, "value", "1H", min_periods=3, shift=1, tile_us=tile,
+                        method="sums").toPandas().set_index("ts").sort_index()
+    s = pd.Series(vals, index=pd.DatetimeIndex([r[2] for r in rows]))
+    r = s.rolling("1h", min_periods=3)
+    assert np.allclose(got["value_mean"].astype(float), r.mean().shift(1), equal_nan=True, atol=1e-9)
+    assert np.allclose(got["value_std"].astype(float), r.std().shift(1), equal_nan=True, atol=1e-7)
+    flat = got["value_std"].iloc[130:160].astype(float)
+    assert (flat == 0.0).all()
