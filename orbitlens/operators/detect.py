@@ -38,6 +38,10 @@ def moving_average_anomaly(df: DataFrame, keys: list[str], cols, *, window="30D"
     """
     if isinstance(cols, str):
         cols = [cols]
+    if len(cols) > 1:
+        return _ma_many(df, keys, cols, window=window, min_periods=min_periods, sigma=sigma, delta=delta,
+                        return_aggregated=return_aggregated, return_bounds=return_bounds, ts=ts,
+                        tile_us=tile_us, method=method)
     x = with_epoch(df.select(*keys, ts, *cols), ts)
     for c in cols:
         x = rolling_stats(x, keys, c, window, min_periods=min_periods, shift=1,
@@ -68,6 +72,25 @@ def moving_average_anomaly(df: DataFrame, keys: list[str], cols, *, window="30D"
     return x.select(*keys, ts, *sel)
 
 
+def _ma_many(df, keys, cols, *, ts, return_aggregated, return_bounds, **kw):
+    """D1 on several columns: the columns become a key (``unpivot``), one pair
+    of rolling stages runs for all of them, and a pivot with the explicit
+    column list restores the wide layout.  One window pipeline instead of
+    one per column."""
+    long = df.select(*keys, ts, *[F.col(c).cast("double").alias(c) for c in cols]) \
+             .unpivot([*keys, ts], cols, "_col", "_x")
+    one = moving_average_anomaly(long, [*keys, "_col"], ["_x"], ts=ts, return_aggregated=True,
+                                 return_bounds=True, **kw)
+    exts = ["_ma_anomaly_score", "_ma_anomaly"]
+    if return_bounds:
+        exts += ["_ma_upper_bound", "_ma_lower_bound"]
+    if return_aggregated:
+        exts += ["_ma_aggregated"]
+    aggs = [F.first(f"_x{e}").alias(e[1:]) for e in exts]
+    wide = one.groupBy(*keys, ts).pivot("_col", list(cols)).agg(*aggs)
+    return wide.select(*keys, ts, *[F.col(f"{c}_{e[1:]}").alias(f"{c}{e}") for e in exts for c in cols])
+
+
 def flag_out_of_bounds(x, lb, ub):
     """F8: the value when it lies outside [lb, ub], else NULL."""
     x, lb, ub = (F.col(c) if isinstance(c, str) else c for c in (x, lb, ub))
