@@ -136,6 +136,13 @@ def forecast_recursive(reg: DataFrame, keys: list[str], lags: list[int], horizon
     return out.select(*keys, "ts", "idx", "step", "yhat")
 
 
+def limit_horizon(fc: DataFrame, keys: list[str], n: int, *, ts: str = "ts") -> DataFrame:
+    """L3: the first ``n`` forecast rows of every series (``row_number`` with a
+    WindowGroupLimit under it)."""
+    w = Window.partitionBy(*keys).orderBy(ts)
+    return fc.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
 # ---------------------------------------------------------------- GBT (M8)
 def fit_gbt(feat: DataFrame, keys: list[str], features: list[str], *, label: str = "value",
             max_iter: int = 200, max_depth: int = 7, seed: int = 0, step_size: float = 0.1):

@@ -215,3 +215,29 @@ def q_predict_pipeline(spark, sf_dir):
     registry = _train(spark, sf_dir, now=PRED_NOW).checkpoint()
     marks = tele(spark, sf_dir).groupBy(*KEYS).agg(F.max("ts").alias("ts"))
     return round_doubles(P.predict_job(tele(spark, sf_dir), registry, marks, KEYS, PRED_NOW, horizon=24))
+
+
+@register("trend_forecast_merge", sql=f"""
+WITH {S.TELE}, {REG_SQL},
+tr AS (SELECT metric, satellite, regr_slope(value, idx::DOUBLE) AS b, regr_intercept(value, idx::DOUBLE) AS a,
+              max(ts) AS last, min(freq_s) AS freq_s, max(idx) AS li FROM reg GROUP BY ALL),
+fu AS (SELECT metric, satellite, last + to_seconds(i * freq_s) AS ts, a + b * (li + i) AS yhat
+       FROM tr CROSS JOIN range(1, 13) r(i) WHERE i <= 6),
+m AS (SELECT coalesce(h.metric, f.metric) AS metric, coalesce(h.satellite, f.satellite) AS satellite,
+             coalesce(h.ts, f.ts) AS ts, h.value AS y, f.yhat
+      FROM reg h FULL OUTER JOIN fu f ON h.metric = f.metric AND h.satellite = f.satellite AND h.ts = f.ts)
+SELECT metric, satellite, ts, {q_sql('coalesce(yhat, y)')} AS y, yhat IS NOT NULL AS is_forecast FROM m
+""")
+def q_trend_forecast_merge(spark, sf_dir):
+    """M13 + L3 + J2 + J3 + U1: 12 future steps, the first 6 kept, predicted by
+    the linear trend, merged into the history, the target filled from them."""
+    from orbitlens.operators.joins import fill_target_with_forecast, merge_outer
+    reg = reg_of(spark, sf_dir)
+    tr = MD.linear_trend(reg, KEYS)
+    fut = FT.future_frame(reg, KEYS, 12).join(
+        reg.groupBy(*KEYS).agg(F.max("idx").alias("_li")), on=KEYS).filter(F.col("idx") > F.col("_li"))
+    fut = MD.limit_horizon(fut, KEYS, 6)
+    fc = fut.join(tr, on=KEYS).select(*KEYS, "ts", (F.col("intercept") + F.col("slope") * F.col("idx")).alias("yhat"))
+    m = merge_outer(reg.select(*KEYS, "ts", F.col("value").alias("y")), fc, KEYS)
+    m = fill_target_with_forecast(m, y="y", yhat="yhat")
+    return round_doubles(m.select(*KEYS, "ts", "y", F.col("yhat").isNotNull().alias("is_forecast")))

@@ -92,3 +92,81 @@ WITH {S.TELE} SELECT metric, satellite, ts, {V} AS value FROM tele WHERE ts >= T
 """)
 def q_retention(spark, sf_dir):
     return round_doubles(P.retention(tele(spark, sf_dir), NOW, 7))
+
+
+# ---------------------------------------------------------------- sinks end to end (K1, K10, K11), S15, S16
+from orbitlens.sinks.telemetry import delete_metric, write_metrics  # noqa: E402
+from orbitlens.sources.telemetry import read_bounds, read_exogenous  # noqa: E402
+from orbitlens.streaming.telemetry import scratch_path  # noqa: E402
+
+def _written_aggregation(spark, sf_dir):
+    path = scratch_path(spark, "metrics-table")
+    rows = P.aggregation(tele(spark, sf_dir), derived_marks(spark, sf_dir), KEYS, NOW)
+    write_metrics(rows, path, max_records_per_file=1000)
+    return spark.read.parquet(path).drop("date")
+
+
+from orbitlens.plans.catalog import SQL as _SQL  # noqa: E402
+
+_agg_sql = _SQL["aggregation_pipeline"]
+
+
+@register("write_metrics_roundtrip", sql=_agg_sql)
+def q_write_metrics_roundtrip(spark, sf_dir):
+    """K1 + K11: P1 rows appended to a table partitioned by metric and day
+    (1000 records per file), read back."""
+    return round_doubles(_written_aggregation(spark, sf_dir).select("metric", "satellite", "ts", "value"))
+
+
+@register("delete_metric", sql=f"SELECT * FROM ({_agg_sql}) WHERE metric <> 'click_agg_mean_60T'")
+def q_delete_metric(spark, sf_dir):
+    """The written table without one derived series."""
+    t = _written_aggregation(spark, sf_dir).select("metric", "satellite", "ts", "value")
+    return round_doubles(delete_metric(t, "click_agg_mean_60T"))
+
+
+_b_ctes, _b_sel = S.ma_sql("closed0", "bucket_end", ["mean"], 3 * DAY, 1, 4.0, 0.01)
+
+
+@register("read_bounds", sql=f"""
+WITH {S.TELE}, {S.stats_ctes()},
+closed0 AS (SELECT * FROM (SELECT *, max(bucket_end) OVER (PARTITION BY metric, satellite) AS last_b FROM stats)
+            WHERE bucket_end < last_b),
+{_b_ctes},
+b AS ({_b_sel})
+SELECT metric, satellite, bucket_end AS ts, mean_ma_lower_bound AS lb, mean_ma_upper_bound AS ub FROM b
+WHERE mean_ma_lower_bound IS NOT NULL
+""")
+def q_read_bounds(spark, sf_dir):
+    """Bound series written as ordinary metrics (``<metric>_lb``/``_ub``)
+    and read back as two columns."""
+    from orbitlens.plans.catalog import ma_on_hourly_mean
+    ma = ma_on_hourly_mean(spark, sf_dir)
+    wide = ma.select("metric", "satellite", F.col("bucket_end").alias("ts"),
+                     F.col("mean_ma_lower_bound").alias("lb"), F.col("mean_ma_upper_bound").alias("ub"))
+    # written as ordinary series named <metric>_lb / <metric>_ub
+    rows = (wide.select("metric", "satellite", "ts", "lb", "ub")
+            .unpivot(["metric", "satellite", "ts"], ["lb", "ub"], "_k", "value")
+            .filter(F.col("value").isNotNull())
+            .select(F.concat("metric", F.lit("_"), "_k").alias("metric"), "satellite", "ts", "value"))
+    path = scratch_path(spark, "bounds-table")
+    write_metrics(rows, path)
+    back = spark.read.parquet(path).drop("date")
+    bases = [f"{m}" for m in ["click", "error", "purchase", "signup", "view"]]
+    return round_doubles(read_bounds(back, bases, keys=KEYS).filter(F.col("lb").isNotNull()))
+
+
+@register("read_exogenous", sql=f"""
+WITH {S.TELE}
+SELECT 'click' AS target, metric, satellite, ts, {V} AS value FROM tele
+WHERE metric IN ('view', 'purchase') AND ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-12 00:00:00'
+""")
+def q_read_exogenous(spark, sf_dir):
+    """Exogenous series of a series group over the target's window."""
+    t = tele(spark, sf_dir)
+    groups = spark.createDataFrame([("click", ["view", "purchase"])], "target string, exogenous array<string>")
+    windows = t.select("satellite").distinct().select(
+        F.lit("click").alias("target"), "satellite",
+        F.lit("2024-01-10 00:00:00").cast("timestamp_ntz").alias("start"),
+        F.lit("2024-01-12 00:00:00").cast("timestamp_ntz").alias("end"))
+    return round_doubles(read_exogenous(t, groups, windows, keys=KEYS))
