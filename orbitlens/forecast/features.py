@@ -39,12 +39,13 @@ def _small_join(big: DataFrame, small: DataFrame, on, max_rows: int = 1_000_000)
 
 
 def regular_series(df: DataFrame, keys: list[str], *, ts: str = "ts", value: str = "value",
-                   freq=None) -> DataFrame:
+                   freq=None, block_us: int | None = 7 * 86_400_000_000) -> DataFrame:
     """T4 + T1 + T3 at each series' own frequency.
 
-    Output: keys, ts, value, freq_s, idx (0-based grid position).
+    Output: keys, ts, value, freq_s, idx (0-based grid position).  The
+    frequency inference on raw points is tiled by ``block_us``.
     """
-    fr = infer_frequency(df, keys, ts=ts, requested=freq)
+    fr = infer_frequency(df, keys, ts=ts, requested=freq, block_us=block_us)
     x = _small_join(df.filter(F.col(value).isNotNull()), fr, keys)
     step = F.col("freq_s") * SEC
     x = x.withColumn("_step", step).withColumn("_b", F.floor(epoch_us(ts) / step).cast("bigint") * step)

@@ -130,16 +130,20 @@ def fill_gaps(df: DataFrame, keys: list[str], cols: list[str], *, ts: str = "ts"
 
 
 def infer_frequency(df: DataFrame, keys: list[str], *, ts: str = "ts",
-                    requested=None) -> DataFrame:
+                    requested=None, block_us: int | None = None, exact: bool = True) -> DataFrame:
     """T4: median gap between consecutive points in whole seconds, at least 1.
 
     If a ``requested`` frequency (seconds) is finer than the median gap, the
-    median gap wins; otherwise the request is kept.
+    median gap wins; otherwise the request is kept.  ``block_us`` tiles the
+    previous-row step (no whole-series task); ``exact=False`` uses a bounded
+    quantile sketch with partial aggregation instead of the exact median.
     """
-    w = Window.partitionBy(*keys).orderBy(ts)
-    t = epoch_us(ts)
-    gaps = df.select(*keys, (t - F.lag(t).over(w)).alias("_gap")).filter(F.col("_gap").isNotNull())
-    med = gaps.groupBy(*keys).agg(F.median("_gap").alias("_med"))
+    from orbitlens.operators.windows import previous_row
+    x = df.select(*keys, ts).withColumn("_tt", epoch_us(ts))
+    x = previous_row(x, keys, ["_tt"], ts=ts, block_us=block_us)
+    gaps = x.select(*keys, (F.col("_tt") - F.col("prev__tt")).alias("_gap")).filter(F.col("_gap").isNotNull())
+    m = F.median("_gap") if exact else F.percentile_approx("_gap", 0.5, 10000).cast("double")
+    med = gaps.groupBy(*keys).agg(m.alias("_med"))
     freq = F.greatest(F.lit(1), F.floor(F.col("_med") / SEC)).cast("bigint")
     if requested is not None:
         req = F.lit(int(duration_us(requested) // SEC))

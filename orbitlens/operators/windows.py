@@ -193,10 +193,34 @@ def lagged_rolling_mean(df: DataFrame, keys: list[str], col: str, lag: int, wind
     return df.withColumn(out, F.avg(col).over(w))
 
 
-def diff(df: DataFrame, keys: list[str], col: str, *, ts: str = "ts", out: str | None = None) -> DataFrame:
-    """Step to the previous row."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    return df.withColumn(out or f"{col}_diff", F.col(col) - F.lag(col).over(w))
+def previous_row(df: DataFrame, keys: list[str], cols: list[str], *, ts: str = "ts",
+                 block_us: int | None = None, prefix: str = "prev_") -> DataFrame:
+    """Value(s) of the previous row of the series (``lag(…, 1)``), optionally tiled.
+
+    With ``block_us`` the lag runs inside (series, time block) partitions and
+    the first row of a block takes the last row of the previous non-empty
+    block from a one-row-per-block table - no task ever holds a whole series.
+    """
+    if not block_us:
+        w = Window.partitionBy(*keys).orderBy(ts)
+        return df.withColumns({f"{prefix}{c}": F.lag(c).over(w) for c in cols})
+    x = df.withColumn("_pblk", F.floor(epoch_us(ts) / F.lit(block_us)).cast("bigint"))
+    w = Window.partitionBy(*keys, "_pblk").orderBy(ts)
+    x = x.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in cols}) \
+         .withColumn("_pfirst", F.row_number().over(w) == 1)
+    last = x.groupBy(*keys, "_pblk").agg(F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.col(ts)).alias("_plast"))
+    carry = last.select(*keys, "_pblk", F.lag("_plast").over(Window.partitionBy(*keys).orderBy("_pblk")).alias("_pcarry"))
+    x = x.join(carry, on=[*keys, "_pblk"], how="left")
+    x = x.withColumns({f"{prefix}{c}": F.when(F.col("_pfirst"), F.col(f"_pcarry.{c}")).otherwise(F.col(f"_lag_{c}"))
+                       for c in cols})
+    return x.drop("_pblk", "_pfirst", "_pcarry", *[f"_lag_{c}" for c in cols])
+
+
+def diff(df: DataFrame, keys: list[str], col: str, *, ts: str = "ts", out: str | None = None,
+         block_us: int | None = None) -> DataFrame:
+    """Step to the previous row (tiled with ``block_us``)."""
+    x = previous_row(df, keys, [col], ts=ts, block_us=block_us, prefix="_prev_")
+    return x.withColumn(out or f"{col}_diff", F.col(col) - F.col(f"_prev_{col}")).drop(f"_prev_{col}")
 
 
 def smoothed_diff(df: DataFrame, keys: list[str], col: str, *, frac: float = 0.02,

@@ -232,6 +232,27 @@ def q_lagged_rolling_mean(spark, sf_dir):
     return round_doubles(lagged_rolling_mean(st, KEYS, "mean", 24, 6, ts="bucket_end", out="rm"))
 
 
+_DIFF_SQL = f"""
+WITH {S.TELE}
+SELECT metric, satellite, ts, {q_sql(f'value - lag(value) OVER ({PK} ORDER BY ts)')} AS value_diff FROM tele
+"""
+
+
+@register("diff_tiled", sql=_DIFF_SQL)
+def q_diff_tiled(spark, sf_dir):
+    return round_doubles(diff(tele(spark, sf_dir), KEYS, "value", block_us=DAY).select(*KEYS, "ts", "value_diff"))
+
+
+@register("infer_frequency_tiled", sql=f"""
+WITH {S.TELE},
+g AS (SELECT metric, satellite, epoch_us(ts) - lag(epoch_us(ts)) OVER ({PK} ORDER BY ts) AS gap FROM tele)
+SELECT metric, satellite, greatest(1, floor(median(gap) / 1000000))::BIGINT AS freq_s FROM g
+WHERE gap IS NOT NULL GROUP BY ALL
+""")
+def q_infer_frequency_tiled(spark, sf_dir):
+    return infer_frequency(tele(spark, sf_dir), KEYS, block_us=2 * DAY)
+
+
 @register("diff", sql=f"""
 WITH {S.TELE}
 SELECT metric, satellite, ts, {q_sql(f'value - lag(value) OVER ({PK} ORDER BY ts)')} AS value_diff FROM tele
