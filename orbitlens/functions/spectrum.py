@@ -28,29 +28,39 @@ def encode_trace(powers) -> Column:
 
     byte = round_half_even((p*100 - min) * 255 / (max - min)); a flat trace
     (max = min) encodes to all zero bytes (the reference divides by zero).
+    The row's min / max are bound once (a one-element array of a struct fed
+    to an outer lambda) instead of being re-evaluated for every bin.
     """
     p = _c(powers)
     mn, mx = trace_min_max(p)
-    rng = mx - mn
+    bounds = F.array(F.struct(mn.alias("mn"), (mx - mn).alias("rng")))
 
-    def byte(x):
-        v = F.when(rng == 0, F.lit(0)).otherwise(F.bround((x * 100 - mn) * 255 / rng, 0).cast("int"))
-        return F.lpad(F.upper(F.hex(v)), 2, "0")
+    def encode(b):
+        def byte(x):
+            v = F.when(b["rng"] == 0, F.lit(0)).otherwise(
+                F.bround((x * 100 - b["mn"]) * 255 / b["rng"], 0).cast("int"))
+            return F.lpad(F.upper(F.hex(v)), 2, "0")
+        return F.array_join(F.transform(p, byte), "")
 
-    return F.array_join(F.transform(p, byte), "")
+    return F.element_at(F.transform(bounds, encode), 1)
 
 
 def decode_trace(trace, min_val, max_val) -> Column:
     """Hex trace -> powers = (min + byte * (max - min) / 255) / 100.
 
-    The trace is split into its two-digit groups once (the string is
-    referenced a single time, so an upstream expression feeding it is not
-    re-evaluated per bin when Catalyst collapses projections).
+    The trace's two-digit groups and the row's min / max are bound once per
+    row (one-element struct array fed to an outer lambda), so an upstream
+    expression producing them is not re-evaluated per bin.
     """
     t, mn, mx = _c(trace), _c(min_val), _c(max_val)
-    pairs = F.regexp_extract_all(t, F.lit("([0-9A-Fa-f]{2})"), 1)
-    return F.when(F.size(pairs) > 0, F.transform(
-        pairs, lambda h: (mn + F.conv(h, 16, 10).cast("double") * (mx - mn) / 255) / 100))
+    bound = F.array(F.struct(F.regexp_extract_all(t, F.lit("([0-9A-Fa-f]{2})"), 1).alias("pairs"),
+                             mn.alias("mn"), (mx - mn).alias("rng")))
+
+    def decode(b):
+        vals = F.transform(b["pairs"], lambda h: (b["mn"] + F.conv(h, 16, 10).cast("double") * b["rng"] / 255) / 100)
+        return F.when(F.size(b["pairs"]) > 0, vals)
+
+    return F.element_at(F.transform(bound, decode), 1)
 
 
 def explode_spectrum(df: DataFrame, *, powers: str = "powers", start: str = "start_frequency",
