@@ -199,6 +199,14 @@ def build_features(reg: DataFrame, keys: list[str], lags, *, window_lags=(), win
     return x.na.drop("any", subset=feats) if drop_missing and feats else x
 
 
+def attach_static_features(feat: DataFrame, static: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-series constant columns (one row per series) joined to every
+    row; they are model inputs but never part of the exogenous series read
+    for the forecast horizon.  The planner broadcasts the per-series table
+    when its size is below the threshold."""
+    return feat.join(static, on=keys, how="left")
+
+
 def horizon_lengths(registry: DataFrame) -> DataFrame:
     """Prediction length = min_lag * freq, history needed = max_lag * freq (seconds)."""
     return registry.withColumn("prediction_length_s", F.col("min_lag") * F.col("freq_s")) \

@@ -160,6 +160,22 @@ def fit_gbt(feat: DataFrame, keys: list[str], features: list[str], *, label: str
     return Pipeline(stages=[idx, va, gbt]).fit(x.na.drop("any", subset=[*features, label]))
 
 
+def fit_estimator(feat: DataFrame, keys: list[str], features: list[str], estimator, *,
+                  label: str = "value"):
+    """Any ``pyspark.ml`` regressor in the model slot (the reference lets
+    the caller pass its own model object).  The estimator must read the
+    ``_features`` vector and ``label`` and write ``yhat``; series key as a
+    categorical feature as in ``fit_gbt``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    x = feat.withColumn("_series", F.concat_ws("|", *keys))
+    idx = StringIndexer(inputCol="_series", outputCol="_series_idx", handleInvalid="keep")
+    va = VectorAssembler(inputCols=["_series_idx", *features], outputCol="_features", handleInvalid="skip")
+    est = estimator.copy().setFeaturesCol("_features").setLabelCol(label).setPredictionCol("yhat")
+    return Pipeline(stages=[idx, va, est]).fit(x.na.drop("any", subset=[*features, label]))
+
+
 def predict_gbt(model, feat: DataFrame, keys: list[str]) -> DataFrame:
     x = feat.withColumn("_series", F.concat_ws("|", *keys))
     return model.transform(x).drop("_series", "_series_idx", "_features")

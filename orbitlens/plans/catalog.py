@@ -76,10 +76,7 @@ def q_ma_anomaly_hourly_mean(spark, sf_dir):
 __all__ = ["QUERIES", "SQL", "register", "KEYS", "HOUR"]
 
 
-# Further registrations live in sibling modules; importing them fills QUERIES/SQL.
-from orbitlens.plans import q_basic  # noqa: E402,F401
-from orbitlens.plans import q_series  # noqa: E402,F401
-from orbitlens.plans import q_pipelines  # noqa: E402,F401
-from orbitlens.plans import q_models  # noqa: E402,F401
-from orbitlens.plans import q_forecast  # noqa: E402,F401
-from orbitlens.plans import q_streaming  # noqa: E402,F401
+def load_all():
+    """Import every module that registers queries (idempotent); returns the registries."""
+    from orbitlens.plans import q_basic, q_forecast, q_models, q_pipelines, q_series, q_streaming  # noqa: F401
+    return QUERIES, SQL

@@ -241,3 +241,20 @@ def q_trend_forecast_merge(spark, sf_dir):
     m = merge_outer(reg.select(*KEYS, "ts", F.col("value").alias("y")), fc, KEYS)
     m = fill_target_with_forecast(m, y="y", yhat="yhat")
     return round_doubles(m.select(*KEYS, "ts", "y", F.col("yhat").isNotNull().alias("is_forecast")))
+
+
+@register("static_features", sql=f"""
+WITH {S.TELE}, {REG_SQL},
+st AS (SELECT metric, satellite, CAST(substr(satellite, 4) AS BIGINT) AS sat_no, count(*) AS n_points
+       FROM tele GROUP BY ALL)
+SELECT r.metric, r.satellite, r.ts, {q_sql('r.value')} AS value, st.sat_no, st.n_points
+FROM reg r LEFT JOIN st ON r.metric = st.metric AND r.satellite = st.satellite
+""")
+def q_static_features(spark, sf_dir):
+    """Static per-series columns (derived: satellite number, raw point
+    count) attached to the regular series."""
+    t = tele(spark, sf_dir)
+    st = t.groupBy(*KEYS).agg(F.substring("satellite", 4, 10).cast("bigint").alias("sat_no"),
+                              F.count(F.lit(1)).alias("n_points"))
+    r = FT.attach_static_features(reg_of(spark, sf_dir).select(*KEYS, "ts", "value"), st, KEYS)
+    return round_doubles(r)
