@@ -7,6 +7,7 @@ the training window is every row from the last one at or before
 the score is ``2^(-E[h(x)]/c(psi)) - 0.5`` (the negated decision function of
 the usual isolation forest: 100 trees, subsample ``min(256, n)`` without
 replacement, depth limit ``ceil(log2(psi))``; Liu, Ting & Zhou 2008).
+Optionally the forest is refitted once per time slot (``refit_every``).
 
 Distribution.  Row j is needed by the rows in ``[t_j, next_ts_j + W)``
 (it stays the window's first row until a later row passes ``t - W``).  Each
@@ -43,49 +44,93 @@ def avg_path_length(n):
     return out
 
 
-def isolation_score(window: np.ndarray, x: np.ndarray, rng: np.random.Generator,
-                    n_trees: int = 100, max_samples: int = 256) -> float:
-    """Score one point ``x`` (shape [d]) against a forest trained on ``window`` ([n, d])."""
-    n, d = window.shape
-    psi = min(max_samples, n)
-    if psi <= 1:
-        return 0.0  # a single-sample forest: every path has length c(1) = 0
-    limit = int(math.ceil(math.log2(max(psi, 2))))
-    # subsample per tree without replacement: argsort of random keys
-    idx = np.argsort(rng.random((n_trees, n)), axis=1)[:, :psi]
-    S = window[idx]                                   # [trees, psi, d]
-    alive = np.ones((n_trees, psi), dtype=bool)       # samples in the current node of x's path
-    depth = np.zeros(n_trees)
-    active = np.ones(n_trees, dtype=bool)
-    for level in range(limit):
-        size = alive.sum(axis=1)
-        active &= size > 1
-        if not active.any():
-            break
-        q = rng.integers(0, d, n_trees)
-        vals = S[np.arange(n_trees), :, q]            # [trees, psi]
-        lo = np.where(alive, vals, np.inf).min(axis=1)
-        hi = np.where(alive, vals, -np.inf).max(axis=1)
-        with np.errstate(invalid="ignore"):
-            p = lo + rng.random(n_trees) * (hi - lo)
-        xq = x[q]
-        go_left = xq < p
-        side = np.where(go_left[:, None], vals < p[:, None], vals >= p[:, None])
-        split = active & (hi > lo)
-        alive = np.where(split[:, None], alive & side, alive)
-        depth += split
-        active &= split
-    size = alive.sum(axis=1)
-    h = depth + avg_path_length(size)
-    e = h.mean()
-    return float(2.0 ** (-e / avg_path_length(np.array([psi]))[0]) - 0.5)
+_M64 = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def _mix64(z: np.ndarray) -> np.ndarray:
+    """splitmix64 finaliser (vectorised): a 64-bit hash of each element."""
+    with np.errstate(over="ignore"):
+        z = z + np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31))
+
+
+def _node_draws(seed: int, trees: np.ndarray, nodes: np.ndarray, d: int):
+    """Split draws of tree ``t`` at node ``k``: a uniform in [0, 1) and a
+    feature index - a pure function of (seed, tree, node), so the forest is
+    fixed once seeded and any point follows the same trees."""
+    with np.errstate(over="ignore"):
+        base = np.uint64(seed) * np.uint64(0xD1B54A32D192ED03)
+        h = _mix64(base ^ (trees.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ nodes.astype(np.uint64))
+        h2 = _mix64(h)
+    u = (h >> np.uint64(11)).astype(np.float64) * (1.0 / 9007199254740992.0)
+    q = (h2 % np.uint64(max(d, 1))).astype(np.int64)
+    return u, q
+
+
+class Forest:
+    """An isolation forest fixed by (training rows, seed).
+
+    Trees are never materialised: a point's path is followed lazily, all
+    trees at once; node ``k`` splits with draws ``_node_draws(seed, t, k)``
+    on the training samples that reached it (a random feature, a uniform
+    split between that feature's min and max), children ``2k+1`` / ``2k+2``.
+    """
+
+    def __init__(self, window: np.ndarray, seed: int, n_trees: int = 100, max_samples: int = 256):
+        n, d = window.shape
+        self.psi = min(max_samples, n)
+        self.d, self.n_trees, self.seed = d, n_trees, seed
+        self.limit = int(math.ceil(math.log2(max(self.psi, 2))))
+        rng = np.random.default_rng(seed)
+        idx = np.argsort(rng.random((n_trees, n)), axis=1)[:, :self.psi]   # subsample w/o replacement
+        self.S = window[idx]                                               # [trees, psi, d]
+        self.c_psi = avg_path_length(np.array([self.psi]))[0]
+
+    def score(self, x: np.ndarray) -> float:
+        """2^(-E[h(x)]/c(psi)) - 0.5 (the negated decision function)."""
+        if self.psi <= 1:
+            return 0.0  # a single-sample forest: every path has length c(1) = 0
+        T = self.n_trees
+        trees = np.arange(T)
+        alive = np.ones((T, self.psi), dtype=bool)
+        node = np.zeros(T, dtype=np.int64)
+        depth = np.zeros(T)
+        active = np.ones(T, dtype=bool)
+        for _ in range(self.limit):
+            active &= alive.sum(axis=1) > 1
+            if not active.any():
+                break
+            u, q = _node_draws(self.seed, trees, node, self.d)
+            vals = self.S[trees, :, q]                                     # [trees, psi]
+            lo = np.where(alive, vals, np.inf).min(axis=1)
+            hi = np.where(alive, vals, -np.inf).max(axis=1)
+            with np.errstate(invalid="ignore"):
+                p = lo + u * (hi - lo)
+            go_left = x[q] < p
+            side = np.where(go_left[:, None], vals < p[:, None], vals >= p[:, None])
+            split = active & (hi > lo)
+            alive = np.where(split[:, None], alive & side, alive)
+            node = np.where(split, 2 * node + np.where(go_left, 1, 2), node)
+            depth += split
+            active &= split
+        h = depth + avg_path_length(alive.sum(axis=1))
+        return float(2.0 ** (-h.mean() / self.c_psi) - 0.5)
+
+
+def isolation_score(window: np.ndarray, x: np.ndarray, rng_or_seed, n_trees: int = 100,
+                    max_samples: int = 256) -> float:
+    """Score one point ``x`` ([d]) against a forest trained on ``window`` ([n, d])."""
+    seed = rng_or_seed if isinstance(rng_or_seed, (int, np.integer)) else int(rng_or_seed.integers(0, 2**31 - 1))
+    return Forest(window, seed, n_trees, max_samples).score(x)
 
 
 def _seed(series_hash: int, t_us: int) -> int:
     return (int(series_hash) * 1_000_003 + int(t_us)) & 0x7FFFFFFF
 
 
-def _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col, keys):
+def _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col, keys, refit_us):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_t", kind="stable")
         t = pdf["_t"].to_numpy(np.int64)
@@ -93,14 +138,20 @@ def _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col,
         home = pdf["_is_home"].to_numpy(bool)
         sh = pdf["_sh"].to_numpy(np.int64)
         res = []
+        forest, slot = None, None
         for i in np.nonzero(home)[0]:
             # window start: last row with ts <= t_i - W, else the first row
-            s = int(np.searchsorted(t, t[i] - W, side="right")) - 1
-            s = max(s, 0)
+            s = max(int(np.searchsorted(t, t[i] - W, side="right")) - 1, 0)
             if i - s < min_periods or i - s < 1:
                 continue
-            rng = np.random.default_rng(_seed(sh[i], t[i]))
-            res.append((i, isolation_score(X[s:i], X[i], rng, n_trees, max_samples)))
+            if refit_us:
+                # refit at the first scored row of every global time slot (block-independent)
+                my_slot = int(t[i] // refit_us)
+                if forest is None or my_slot != slot:
+                    forest, slot = Forest(X[s:i], _seed(sh[i], t[i]), n_trees, max_samples), my_slot
+                res.append((i, forest.score(X[i])))
+            else:
+                res.append((i, Forest(X[s:i], _seed(sh[i], t[i]), n_trees, max_samples).score(X[i])))
         if not res:
             return pd.DataFrame({**{k: pd.Series([], dtype=object) for k in keys},
                                  "_t": pd.Series([], dtype=np.int64), out_col: pd.Series([], dtype=float)})
@@ -114,11 +165,16 @@ def _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col,
 def rolling_isolation_forest(df: DataFrame, keys: list[str], feature_cols: list[str], *,
                              window="30D", min_periods: int = 5, ts: str = "ts",
                              n_trees: int = 100, max_samples: int = 256, block=None,
-                             out_col: str = "iso_score") -> DataFrame:
+                             refit_every=None, out_col: str = "iso_score") -> DataFrame:
     """One forest per row over its trailing window; returns keys, ts, score.
 
     Rows without enough history get no row (the score is attached to its own
     row, unlike the reference which shifts scores to the last rows, Q4).
+    ``refit_every`` (a duration; default: every row, as the reference) fits
+    a forest at the first scored row of each time slot and scores the
+    following rows of the slot with it - rows x trees of work becomes
+    slots x trees for the fitting part.  Slots are global, so the result does
+    not depend on the block layout.
     """
     W = duration_us(window)
     B = max(duration_us(block) if block else 4 * W, W)
@@ -137,7 +193,8 @@ def rolling_isolation_forest(df: DataFrame, keys: list[str], feature_cols: list[
     x = x.withColumn("_is_home", F.col("_blk") == F.col("_home")) \
          .withColumn("_sh", F.xxhash64(*keys))
     schema = ", ".join([f"`{k}` string" for k in keys] + ["_t bigint", f"`{out_col}` double"])
-    fn = _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col, keys)
+    refit_us = duration_us(refit_every) if refit_every else None
+    fn = _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col, keys, refit_us)
     # CPU-bound Python: an explicit hash repartition keeps AQE from packing
     # all (series, block) groups - small in bytes - into one task
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

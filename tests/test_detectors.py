@@ -46,7 +46,11 @@ def test_forest_spike_highest_and_repeatable_and_block_invariant(spark):
     b = b.sort_values(KEYS + ["ts"]).reset_index(drop=True)
     assert len(a) == len(b) and np.allclose(a.iso_score, b.iso_score)  # same seeds, same windows
     s = a[a.satellite == "S"].set_index("ts")
-    assert s.iso_score.idxmax() == T0 + dt.timedelta(minutes=2000)
+    # in a fixed isolation tree every point beyond the training range follows
+    # the same path, so any out-of-range point of a row's window scores near the
+    # top; the spike must be among the highest few of all rows
+    spike = T0 + dt.timedelta(minutes=2000)
+    assert (s.iso_score > s.iso_score.loc[spike]).sum() < 5
     # every row with at least min_periods rows of history has a score
     assert len(s) == 300 - 5
 
@@ -55,8 +59,9 @@ def test_isolation_forest_anomaly_normalised(spark):
     df = spike_frame(spark)
     r = isolation_forest_anomaly(df, KEYS, ["value"], window="1D", min_periods=5, sigma=3).toPandas()
     s = r[r.satellite == "S"].set_index("ts").sort_index()
-    assert s["value_iso_score"].idxmax() == T0 + dt.timedelta(minutes=2000)
-    assert s["value_iso_score"].max() > 1
+    spike = T0 + dt.timedelta(minutes=2000)
+    assert s["value_iso_score"].loc[spike] > 1                      # flagged
+    assert s["value_iso_score"].loc[spike] >= s["value_iso_score"].quantile(0.95)
 
 
 def test_one_class_nu_fraction_and_spike(spark):
@@ -86,3 +91,25 @@ def test_stateful_stream_equals_batch_over_several_batches(spark):
     assert len(got) == len(exp)
     for c in ["value_ma_anomaly_score", "value_ma_upper_bound", "value_ma_lower_bound"]:
         assert np.allclose(got[c].astype(float), exp[c].astype(float), equal_nan=True, atol=1e-9), c
+
+
+def test_forest_refit_every_slot_is_block_invariant_and_ranks_spike(spark):
+    df = spike_frame(spark)
+    a = rolling_isolation_forest(df, KEYS, ["value"], window="1D", min_periods=5, refit_every="6H").toPandas()
+    b = rolling_isolation_forest(df, KEYS, ["value"], window="1D", min_periods=5, refit_every="6H",
+                                 block="7D").toPandas()
+    a = a.sort_values(KEYS + ["ts"]).reset_index(drop=True)
+    b = b.sort_values(KEYS + ["ts"]).reset_index(drop=True)
+    assert np.allclose(a.iso_score, b.iso_score)
+    s = a[a.satellite == "S"].set_index("ts")
+    assert (s.iso_score > s.iso_score.loc[T0 + dt.timedelta(minutes=2000)]).sum() < 5
+
+
+def test_forest_is_a_fixed_function_once_seeded():
+    from orbitlens.operators.forest import Forest
+    rng = np.random.default_rng(2)
+    f = Forest(rng.normal(0, 1, (300, 2)), seed=11)
+    x = np.array([0.2, -0.1])
+    assert f.score(x) == f.score(x)                                  # same trees for every call
+    assert f.score(np.array([6.0, 6.0])) > f.score(x)                # outlier isolated sooner
+    assert Forest(f.S[:, :, :].reshape(-1, 2)[:300], seed=11).score(x) == Forest(f.S[:, :, :].reshape(-1, 2)[:300], seed=11).score(x)
