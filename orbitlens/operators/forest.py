@@ -83,9 +83,13 @@ class Forest:
         self.psi = min(max_samples, n)
         self.d, self.n_trees, self.seed = d, n_trees, seed
         self.limit = int(math.ceil(math.log2(max(self.psi, 2))))
-        rng = np.random.default_rng(seed)
-        idx = np.argsort(rng.random((n_trees, n)), axis=1)[:, :self.psi]   # subsample w/o replacement
-        self.S = window[idx]                                               # [trees, psi, d]
+        if n <= max_samples:
+            # the subsample is the whole window (order does not change a tree)
+            self.S = np.broadcast_to(window, (n_trees, n, d))
+        else:
+            rng = np.random.default_rng(seed)
+            idx = np.argsort(rng.random((n_trees, n)), axis=1)[:, :self.psi]   # subsample w/o replacement
+            self.S = window[idx]                                               # [trees, psi, d]
         self.c_psi = avg_path_length(np.array([self.psi]))[0]
 
     def score(self, x: np.ndarray) -> float:
@@ -177,7 +181,10 @@ def rolling_isolation_forest(df: DataFrame, keys: list[str], feature_cols: list[
     not depend on the block layout.
     """
     W = duration_us(window)
-    B = max(duration_us(block) if block else 4 * W, W)
+    # default block = W: only home rows are scored, so the halo copies cost
+    # shuffle bytes, not forest work, while more (series, block) groups run
+    # in parallel
+    B = max(duration_us(block) if block else W, W)
     x = df.select(*keys, ts, *feature_cols).na.drop("any")
     x = x.withColumn("_t", epoch_us(ts)).withColumn("_home", F.floor(F.col("_t") / B).cast("bigint"))
     # next row's time inside the block, and across block edges from a block summary
