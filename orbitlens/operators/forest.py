@@ -216,12 +216,23 @@ def isolation_forest_anomaly(df: DataFrame, keys: list[str], feature_cols: list[
                              window="30D", sigma: float = 3.0, min_periods: int = 5,
                              window_norm=None, min_periods_norm=None, ts: str = "ts",
                              base_name: str | None = None, tile_us: int | None = None,
-                             **forest_kw) -> DataFrame:
+                             materialize_input: bool = False, **forest_kw) -> DataFrame:
     """D3: D2, then the rolling z-score of the scores (W3, same window by
     default), added to the input as ``<base>_iso_score``; > 1 is an anomaly.
     Keyword arguments throughout (the reference passes min_periods in the
-    sigma position, Q3)."""
+    sigma position, Q3).
+
+    The input feeds three branches (forest rows, the forest's block summary,
+    the final join).  For a derived input (e.g. hourly statistics) pass
+    ``materialize_input=True``: it is written once with a reliable
+    ``checkpoint()`` in the shared checkpoint folder, so the upstream plan is
+    not recomputed per branch.  A raw parquet input is cheaper to re-scan.
+    """
     from orbitlens.operators.windows import rolling_zscore
+    if materialize_input:
+        from orbitlens.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
     window_norm = window_norm or window
     min_periods_norm = min_periods if min_periods_norm is None else min_periods_norm
     name = f"{base_name or feature_cols[0]}_iso_score"

@@ -17,7 +17,8 @@ from orbitlens.plans.q_basic import NOW, derived_marks
 def q_isolation_forest_hourly(spark, sf_dir):
     """P5 second branch: closed hourly statistics -> D3 on the mean (3 D window, min 1)."""
     st = drop_open_bucket(hourly_stats(spark, sf_dir), KEYS).select(*KEYS, "bucket_end", "mean")
-    r = isolation_forest_anomaly(st, KEYS, ["mean"], window="3D", min_periods=1, ts="bucket_end")
+    r = isolation_forest_anomaly(st, KEYS, ["mean"], window="3D", min_periods=1, ts="bucket_end",
+                                 materialize_input=True)
     return round_doubles(r)
 
 
