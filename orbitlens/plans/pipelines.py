@@ -82,6 +82,27 @@ def isolation_forest_job(df: DataFrame, marks: DataFrame, keys: list[str], now,
         *[k for k in keys if k != "metric"], "ts", F.col("value_iso_score").alias("value"))
 
 
+def statistics_then_detect_all(df: DataFrame, marks: DataFrame, keys: list[str], now, *,
+                               every: str = "60T", lookback: str = "6D", window: str = "3D",
+                               min_periods: int = 1, pipeline: str = "aggregation",
+                               output: str = "stats") -> tuple[DataFrame, DataFrame]:
+    """P5, both branches: the closed statistics are computed once and written
+    with a reliable ``checkpoint()`` (shared folder), then D1 on every
+    statistic and D3 (one forest over all statistics) read them.  Returns
+    (moving-average rows, isolation-forest rows), both after the mark."""
+    from orbitlens.operators.forest import isolation_forest_anomaly
+    from orbitlens.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    src = read_since(df, marks, keys, now, pipeline=pipeline, output=output, lookback=lookback, align=every)
+    st = drop_open_bucket(bucket_stats(src, keys, every), keys) \
+        .withColumn("count", F.col("count").cast("double")).checkpoint()
+    ma = moving_average_anomaly(st, keys, STAT_NAMES, window=window, min_periods=min_periods, ts="bucket_end")
+    iso = isolation_forest_anomaly(st, keys, STAT_NAMES, window=window, min_periods=min_periods,
+                                   ts="bucket_end", base_name="stats")
+    return (_after_marks(ma, marks, keys, pipeline=pipeline, output=output, ts="bucket_end"),
+            _after_marks(iso, marks, keys, pipeline=pipeline, output=output, ts="bucket_end"))
+
+
 def bounds_monitor(df: DataFrame, bounds: DataFrame, keys: list[str], *, every: str = "10s",
                    lb: str = "lb", ub: str = "ub") -> DataFrame:
     """Sampled values (first per ``every``) scored against bound series."""

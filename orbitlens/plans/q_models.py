@@ -15,10 +15,14 @@ from orbitlens.plans.q_basic import NOW, derived_marks
 
 @register("isolation_forest_hourly")
 def q_isolation_forest_hourly(spark, sf_dir):
-    """P5 second branch: closed hourly statistics -> D3 on the mean (3 D window, min 1)."""
-    st = drop_open_bucket(hourly_stats(spark, sf_dir), KEYS).select(*KEYS, "bucket_end", "mean")
-    r = isolation_forest_anomaly(st, KEYS, ["mean"], window="3D", min_periods=1, ts="bucket_end",
-                                 materialize_input=True)
+    """P5 second branch: closed hourly statistics -> D3 with one forest over all
+    ten statistics as features (rows with a NULL statistic dropped), 3 D
+    window, min 1; the score is named after the first column."""
+    from orbitlens.operators.stats import STAT_NAMES
+    st = drop_open_bucket(hourly_stats(spark, sf_dir), KEYS) \
+        .withColumn("count", F.col("count").cast("double"))
+    r = isolation_forest_anomaly(st, KEYS, STAT_NAMES, window="3D", min_periods=1, ts="bucket_end",
+                                 base_name="stats", materialize_input=True)
     return round_doubles(r)
 
 
