@@ -369,3 +369,17 @@ def q_series_fanout(spark, sf_dir):
 
 
 __all__ = ["q"]
+
+
+@register("to_format_json", sql=f"""
+WITH {S.TELE}
+SELECT CAST(to_json(struct_pack(metric := metric, satellite := satellite,
+                                ts := strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), value := value)) AS VARCHAR) AS json
+FROM tele WHERE metric = 'click'
+""")
+def q_to_format_json(spark, sf_dir):
+    """The JSON form of a read (one JSON object per point)."""
+    from orbitlens.sources.telemetry import to_format
+    t = tele(spark, sf_dir).filter(F.col("metric") == "click")
+    t = t.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return to_format(t, "JSON")
