@@ -121,9 +121,11 @@ def lookback_detector(detect_fn, *, keys: list[str], history_path: str, out_path
         b = batch.select(*keys, ts, "value").withColumn("_new", F.lit(True))
         # one scalar (the batch's earliest time) - the history read is pruned by it
         lo_us = b.agg(F.min(epoch_us(ts))).first()[0]
+        lo = from_epoch_us(F.lit(lo_us - lookback_us))
         try:
             hist = spark.read.parquet(history_path).filter(F.col("batch_id") != batch_id)
-            hist = (hist.filter(F.col(ts) >= from_epoch_us(F.lit(lo_us - lookback_us)))
+            # the day partition prunes whole folders, the ts filter the rest
+            hist = (hist.filter((F.col("date") >= F.to_date(lo)) & (F.col(ts) >= lo))
                     .join(b.select(*keys).distinct(), on=keys)
                     .select(*keys, ts, "value").withColumn("_new", F.lit(False)))
             allrows = hist.unionByName(b)
@@ -133,8 +135,9 @@ def lookback_detector(detect_fn, *, keys: list[str], history_path: str, out_path
         det = detect_fn(allrows.drop("_new"))
         res = det.join(newkeys, on=[*keys, ts], how="inner").drop("_new")
         res.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-        batch.select(*keys, ts, "value").write.mode("overwrite").parquet(
-            f"{history_path.rstrip('/')}/batch_id={batch_id}")
+        (batch.select(*keys, ts, "value").withColumn("date", F.to_date(ts))
+         .write.mode("overwrite").partitionBy("date")
+         .parquet(f"{history_path.rstrip('/')}/batch_id={batch_id}"))
     return run
 
 
