@@ -35,7 +35,8 @@ def _small_join(big: DataFrame, small: DataFrame, on, max_rows: int = 1_000_000)
     a shuffle join.  (``max_rows`` is kept for callers; the bound is the
     engine's runtime check.)
     """
-    return big.join(small, on=on)
+    from orbitlens.operators.windows import join_null_safe
+    return join_null_safe(big, small, list(on) if not isinstance(on, str) else [on], how="inner")
 
 
 def regular_series(df: DataFrame, keys: list[str], *, ts: str = "ts", value: str = "value",

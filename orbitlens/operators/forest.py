@@ -193,7 +193,8 @@ def rolling_isolation_forest(df: DataFrame, keys: list[str], feature_cols: list[
     firsts = x.groupBy(*keys, "_home").agg(F.min("_t").alias("_first"))
     nb = firsts.select(*keys, "_home", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_home"))
                        .alias("_next_blk_first"))
-    x = x.join(nb, on=[*keys, "_home"], how="left")
+    from orbitlens.operators.windows import join_null_safe
+    x = join_null_safe(x, nb, [*keys, "_home"])
     nxt = F.coalesce(F.col("_next"), F.col("_next_blk_first"), F.col("_t"))
     reach_end = F.floor((nxt + F.lit(W) - 1) / B).cast("bigint")
     x = x.withColumn("_blk", F.explode(F.sequence(F.col("_home"), F.greatest(reach_end, F.col("_home")))))

@@ -119,7 +119,8 @@ def fill_gaps(df: DataFrame, keys: list[str], cols: list[str], *, ts: str = "ts"
         edge_cols += [F.last(f"_last_{c}", ignorenulls=True).over(wb_prev).alias(f"_carry_prev_{c}"),
                       F.last(f"_first_{c}", ignorenulls=True).over(wb_next).alias(f"_carry_next_{c}")]
     edges = summ.select(*keys, "_blk", *edge_cols)
-    x = x.join(edges, on=[*keys, "_blk"], how="left")
+    from orbitlens.operators.windows import join_null_safe
+    x = join_null_safe(x, edges, [*keys, "_blk"])
     w_prev = Window.partitionBy(*keys, "_blk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
     w_next = Window.partitionBy(*keys, "_blk").orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:

@@ -27,6 +27,24 @@ from orbitlens.functions.time import duration_us, epoch_us
 T = "_t"
 
 
+def join_null_safe(x: DataFrame, small: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``on`` with null-safe equality (``<=>``).
+
+    Used to join per-block summaries back to the rows they came from: a NULL
+    tag value is a valid series key, and - unlike ``=`` - ``<=>`` makes the
+    optimizer infer no ``isnotnull`` filters for the summary branch, so its
+    exchange of the raw rows stays identical to the main branch's and is
+    reused (one scan and one shuffle instead of two).
+    """
+    r = small.select(*[F.col(c).alias(f"_j_{c}") for c in on],
+                     *[c for c in small.columns if c not in on])
+    cond = None
+    for c in on:
+        e = F.col(c).eqNullSafe(F.col(f"_j_{c}"))
+        cond = e if cond is None else cond & e
+    return x.join(r, cond, how).drop(*[f"_j_{c}" for c in on])
+
+
 def with_epoch(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df if T in df.columns else df.withColumn(T, epoch_us(ts))
 
@@ -154,14 +172,18 @@ def _rolling_tiled(x, keys, col, W, B, min_periods, shift, stats, names, method=
     if not shift:
         return x.withColumns({n: F.col(r) for n, r in zip(names, raw)}).drop(*raw, "_blk")
     wl = Window.partitionBy(*keys, "_blk").orderBy(T)
+    # last row statistics of every non-empty block -> carried to the next one.
+    # The struct takes every column so that this branch prunes nothing: its
+    # exchange of the replicated rows is then identical to the main branch's
+    # and Spark reuses it (one scan, one shuffle of the raw rows).
+    last = (x.groupBy(*keys, "_blk")
+            .agg(F.max_by(F.struct(*[F.col(c) for c in x.columns]), F.col(T)).alias("_last")))
+    last = last.select(*keys, "_blk", F.struct(*[F.col(f"_last.{r}").alias(r) for r in raw]).alias("_last"))
     x = x.withColumns({f"_lag_{n}": F.lag(r).over(wl) for n, r in zip(names, raw)}) \
          .withColumn("_first_in_blk", F.lag(T).over(wl).isNull())
-    # last row statistics of every non-empty block -> carried to the next one
-    last = (x.groupBy(*keys, "_blk")
-            .agg(F.max_by(F.struct(*[F.col(r).alias(r) for r in raw]), F.col(T)).alias("_last")))
     wb = Window.partitionBy(*keys).orderBy("_blk")
     carry = last.select(*keys, "_blk", F.lag("_last").over(wb).alias("_carry"))
-    x = x.join(carry, on=[*keys, "_blk"], how="left")
+    x = join_null_safe(x, carry, [*keys, "_blk"])
     x = x.withColumns({n: F.when(F.col("_first_in_blk"), F.col(f"_carry.{r}")).otherwise(F.col(f"_lag_{n}"))
                        for n, r in zip(names, raw)})
     return x.drop(*raw, *[f"_lag_{n}" for n in names], "_first_in_blk", "_carry", "_blk")
@@ -208,9 +230,10 @@ def previous_row(df: DataFrame, keys: list[str], cols: list[str], *, ts: str = "
     w = Window.partitionBy(*keys, "_pblk").orderBy(ts)
     x = x.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in cols}) \
          .withColumn("_pfirst", F.row_number().over(w) == 1)
-    last = x.groupBy(*keys, "_pblk").agg(F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.col(ts)).alias("_plast"))
+    last = x.groupBy(*keys, "_pblk").agg(F.max_by(F.struct(*[F.col(c) for c in x.columns]), F.col(ts)).alias("_plast"))
+    last = last.select(*keys, "_pblk", F.struct(*[F.col(f"_plast.{c}").alias(c) for c in cols]).alias("_plast"))
     carry = last.select(*keys, "_pblk", F.lag("_plast").over(Window.partitionBy(*keys).orderBy("_pblk")).alias("_pcarry"))
-    x = x.join(carry, on=[*keys, "_pblk"], how="left")
+    x = join_null_safe(x, carry, [*keys, "_pblk"])
     x = x.withColumns({f"{prefix}{c}": F.when(F.col("_pfirst"), F.col(f"_pcarry.{c}")).otherwise(F.col(f"_lag_{c}"))
                        for c in cols})
     return x.drop("_pblk", "_pfirst", "_pcarry", *[f"_lag_{c}" for c in cols])
