@@ -156,3 +156,29 @@ def test_rolling_sums_method_matches_pandas_with_flat_runs_and_nulls(spark, tile
     assert np.allclose(got["value_std"].astype(float), r.std().shift(1), equal_nan=True, atol=1e-7)
     flat = got["value_std"].iloc[130:160].astype(float)
     assert (flat == 0.0).all()
+
+
+def test_tiled_operators_keep_series_with_null_tags(spark):
+    from orbitlens.operators.windows import diff
+    rng = np.random.default_rng(4)
+    rows = []
+    for sat in ["SAT1", None]:
+        for i in range(200):
+            rows.append(("m", sat, T0 + dt.timedelta(minutes=17 * i), float(np.round(rng.normal(5, 1), 2))))
+    df = frame(spark, rows)
+    a = rolling_stats(df, KEYS, "value", "6H", min_periods=2, shift=1).toPandas()
+    b = rolling_stats(df, KEYS, "value", "6H", min_periods=2, shift=1, tile_us=8 * 3600 * 1_000_000).toPandas()
+    c = rolling_stats(df, KEYS, "value", "6H", min_periods=2, shift=1, tile_us=8 * 3600 * 1_000_000,
+                      method="sums").toPandas()
+    key = lambda d: d.assign(satellite=d.satellite.fillna("~")).sort_values(["satellite", "ts"]).reset_index(drop=True)
+    a, b, c = key(a), key(b), key(c)
+    assert len(a) == len(b) == len(c) == 400
+    for col in ["value_mean", "value_std"]:
+        assert np.allclose(a[col].astype(float), b[col].astype(float), equal_nan=True)
+        assert np.allclose(a[col].astype(float), c[col].astype(float), equal_nan=True, atol=1e-9)
+    d1 = key(diff(df, KEYS, "value").toPandas())
+    d2 = key(diff(df, KEYS, "value", block_us=3600 * 1_000_000).toPandas())
+    assert np.allclose(d1.value_diff.astype(float), d2.value_diff.astype(float), equal_nan=True)
+    f1 = key(fill_gaps(df, KEYS, ["value"]).toPandas())
+    f2 = key(fill_gaps(df, KEYS, ["value"], block_us=3600 * 1_000_000).toPandas())
+    assert np.allclose(f1.value.astype(float), f2.value.astype(float))
