@@ -60,7 +60,8 @@ def time_grid(df: DataFrame, keys: list[str], every, *, ts: str = "ts",
 
 def resample_first(df: DataFrame, keys: list[str], every="10s", *, ts: str = "ts",
                    value: str = "value", fill: bool = True,
-                   block_buckets: int = DEFAULT_BLOCK_BUCKETS) -> DataFrame:
+                   block_buckets: int = DEFAULT_BLOCK_BUCKETS,
+                   max_buckets_per_series: int | None = None) -> DataFrame:
     """T1 (+T2, T3): ``resample(every).first()`` then ``bfill().ffill()``.
 
     First non-null value per bucket, buckets aligned to the epoch and stamped
@@ -74,7 +75,8 @@ def resample_first(df: DataFrame, keys: list[str], every="10s", *, ts: str = "ts
     # Every present bucket has a value, so on the dense grid bfill-then-ffill
     # is "an empty bucket takes the next present bucket's value" (no trailing
     # empties exist): one lead() instead of two whole-series fills.
-    dense = expand_gaps(firsts, keys, step, [value], fill_from_next=(value,) if fill else ())
+    dense = expand_gaps(firsts, keys, step, [value], fill_from_next=(value,) if fill else (),
+                        max_buckets_per_series=max_buckets_per_series)
     return dense.select(*keys, from_epoch_us("_b").alias(ts), value)
 
 

@@ -44,7 +44,8 @@ def corrected_kurt(n: Column, g2: Column) -> Column:
 def bucket_stats(df: DataFrame, keys: list[str], every="60T", *, ts: str = "ts",
                  value: str = "value", label: str = "right", keep_empty: bool = True,
                  exact_median: bool = True, out_ts: str = "bucket_end",
-                 block_buckets: int = DEFAULT_BLOCK_BUCKETS) -> DataFrame:
+                 block_buckets: int = DEFAULT_BLOCK_BUCKETS,
+                 max_buckets_per_series: int | None = None) -> DataFrame:
     """A1-A9 per (series, bucket)."""
     step = duration_us(every)
     x = (df.filter(F.col(value).isNotNull())
@@ -65,7 +66,8 @@ def bucket_stats(df: DataFrame, keys: list[str], every="60T", *, ts: str = "ts",
                      corrected_skew(n, F.col("_g1")).alias("skew"), "min", "max", "energy",
                      corrected_kurt(n, F.col("_g2")).alias("kurt"), "max_diff")
     if keep_empty:
-        agg = expand_gaps(agg, keys, step, STAT_NAMES, zero_cols=("count",))
+        agg = expand_gaps(agg, keys, step, STAT_NAMES, zero_cols=("count",),
+                          max_buckets_per_series=max_buckets_per_series)
     lab = F.col("_b") + (step if label == "right" else 0)
     return agg.select(*keys, from_epoch_us(lab).alias(out_ts), *STAT_NAMES)
 
@@ -82,7 +84,7 @@ def drop_open_bucket(df: DataFrame, keys: list[str], *, ts: str = "bucket_end")
 
 
 def expand_gaps(agg: DataFrame, keys: list[str], step, cols, *, b: str = "_b",
-                zero_cols=(), fill_from_next=()) -> DataFrame:
+                zero_cols=(), fill_from_next=(), max_buckets_per_series: int | None = None) -> DataFrame:
     """T2 on an aggregated table: add the empty buckets between present ones.
 
     Each present bucket emits itself plus the empty buckets up to the next
@@ -91,10 +93,21 @@ def expand_gaps(agg: DataFrame, keys: list[str], step, cols, *, b: str = "_b",
     become 0 in empty buckets, columns in ``fill_from_next`` take the next
     present bucket's value (pandas bfill), all others NULL.  ``step`` is an
     int (µs) or the name of a per-row BIGINT column (per-series frequency).
+
+    ``max_buckets_per_series`` guards against a dense grid exploding for a
+    sparse series (first and last point years apart at a 10 s step): the
+    series span is computed in the same window and the job fails with a
+    clear message instead of generating the rows.
     """
     step_c = F.col(step) if isinstance(step, str) else F.lit(step).cast("bigint")
     wn = Window.partitionBy(*keys).orderBy(b)
     x = agg.withColumn("_next", F.lead(b).over(wn))
+    if max_buckets_per_series is not None:
+        whole = wn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        span = (F.max(b).over(whole) - F.min(b).over(whole)) / step_c + 1
+        x = x.withColumn("_next", F.when(span > F.lit(max_buckets_per_series), F.raise_error(
+            F.lit(f"time grid exceeds {max_buckets_per_series} buckets for a series; "
+                  "use a coarser step or split the time range"))).otherwise(F.col("_next")))
     for c in fill_from_next:
         x = x.withColumn(f"_nv_{c}", F.lead(c).over(wn))
     last = F.coalesce(F.col("_next") - step_c, F.col(b))

@@ -182,3 +182,11 @@ def test_tiled_operators_keep_series_with_null_tags(spark):
     f1 = key(fill_gaps(df, KEYS, ["value"]).toPandas())
     f2 = key(fill_gaps(df, KEYS, ["value"], block_us=3600 * 1_000_000).toPandas())
     assert np.allclose(f1.value.astype(float), f2.value.astype(float))
+
+
+def test_grid_guard_raises_instead_of_exploding(spark):
+    rows = [("m", "S", T0, 1.0), ("m", "S", T0 + dt.timedelta(days=30), 2.0)]
+    df = frame(spark, rows)
+    assert resample_first(df, KEYS, "10s", max_buckets_per_series=1_000_000).count() == 30 * 8640 + 1
+    with pytest.raises(Exception, match="time grid exceeds"):
+        resample_first(df, KEYS, "10s", max_buckets_per_series=1000).count()
