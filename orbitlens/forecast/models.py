@@ -97,7 +97,10 @@ def forecast_recursive(reg: DataFrame, keys: list[str], lags: list[int], horizon
     Steps are produced in blocks of ``min(lags)``: within a block every lag
     reaches back to known or already forecast values, so each block is one
     plan over all series.  Only the last ``max(lags) + window`` positions of
-    each series are carried between blocks.  ``predict_fn(features_df)``
+    each series are carried between blocks; that tail and every block's
+    predictions are cut from their lineage with a reliable ``checkpoint()``
+    (shared checkpoint folder), so a lost executor recomputes one block, not
+    the whole chain.  ``predict_fn(features_df)``
     returns the frame with a ``yhat`` column.
 
     Returns keys, ts, idx, step (1-based), yhat.
@@ -110,6 +113,10 @@ def forecast_recursive(reg: DataFrame, keys: list[str], lags: list[int], horizon
     last = reg.groupBy(*keys).agg(F.max("idx").alias("_last_idx"))
     hist = _small_join(reg, last, keys).filter(F.col("idx") > F.col("_last_idx") - need) \
                                         .select(*keys, "ts", "value", "freq_s", "idx", "_last_idx")
+    if checkpoint:
+        # the carried tail is small (need rows per series): cut its lineage so
+        # no block re-derives the regular series from the source
+        hist = hist.checkpoint()
     out = None
     done = 0
     while done < horizon:
@@ -132,6 +139,8 @@ def forecast_recursive(reg: DataFrame, keys: list[str], lags: list[int], horizon
         hist = hist.unionByName(pred.select(*keys, "ts", F.col("yhat").alias("value"), "freq_s", "idx", "_last_idx"))
         lim = hist.groupBy(*keys).agg(F.max("idx").alias("_mx"))
         hist = hist.join(lim, on=keys).filter(F.col("idx") > F.col("_mx") - need).drop("_mx")
+        if checkpoint and done + b < horizon:
+            hist = hist.checkpoint()
         done += b
     return out.select(*keys, "ts", "idx", "step", "yhat")
 
