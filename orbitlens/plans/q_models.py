@@ -140,8 +140,16 @@ def q_horizon_lengths(spark, sf_dir):
 LAGS = [12, 24]
 
 
+def _reg_materialized(spark, sf_dir):
+    """The regular series feeds features, fit, forecast tail and residuals:
+    written once with a reliable checkpoint instead of recomputed per use."""
+    from orbitlens.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return reg_of(spark, sf_dir).checkpoint()
+
+
 def _linear_fc(spark, sf_dir, horizon=36):
-    reg = reg_of(spark, sf_dir)
+    reg = _reg_materialized(spark, sf_dir)
     feats = FT.build_features(reg, KEYS, LAGS)
     cols = [f"lag{k}" for k in LAGS]
     coefs = MD.fit_linear(feats, KEYS, cols)
@@ -167,7 +175,7 @@ def q_linear_forecast(spark, sf_dir):
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
     """M8: one GBT over all series (series categorical), next 12 steps."""
-    reg = reg_of(spark, sf_dir)
+    reg = _reg_materialized(spark, sf_dir)
     feats = FT.build_features(reg, KEYS, LAGS)
     cols = [f"lag{k}" for k in LAGS]
     model = MD.fit_gbt(feats, KEYS, cols, max_iter=20, max_depth=5)
