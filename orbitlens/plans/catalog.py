@@ -28,7 +28,15 @@ SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        import functools
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            from orbitlens.session import ship_package
+            ship_package(spark)      # Python workers import the package from the shipped zip
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn

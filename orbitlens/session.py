@@ -43,9 +43,46 @@ def get_session(master: str | None = None, *, shuffle_partitions: int | None = N
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+_ZIP: str | None = None
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``orbitlens`` importable in the Python workers of this application.
+
+    Pandas functions (forest, peak finding, block solvers) are pickled with
+    references to this package; executors do not share the driver's
+    ``sys.path``, so the package is zipped once per process and added with
+    ``SparkContext.addPyFile`` once per application (Spark distributes it to
+    every executor, including ones started later).  A cluster that installs
+    the package in its images needs none of this; it is harmless there.
+    """
+    global _ZIP
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    if _ZIP is None:
+        import zipfile
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg)
+        fd, path = tempfile.mkstemp(prefix="orbitlens-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.relpath(full, root))
+        _ZIP = path
+    sc.addPyFile(_ZIP)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
