@@ -52,18 +52,60 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UCT", "Etc/UCT", "Zulu"}
+
+
+def ntz_lit(text: str) -> Column:
+    """A TIMESTAMP_NTZ literal from text (no time zone is involved, unlike a
+    Python datetime literal, which goes through the process and session zones)."""
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def epoch_lit() -> Column:
-    return F.lit(EPOCH_NTZ).cast("timestamp_ntz")
+    return ntz_lit("1970-01-01 00:00:00")
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    return s is None or s.conf.get("spark.sql.session.timeZone", "UTC") in _UTC_NAMES
 
 
 def epoch_us(c) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> epoch microseconds (BIGINT)."""
-    return F.timestamp_diff("MICROSECOND", epoch_lit(), _c(c))
+    """TIMESTAMP_NTZ (UTC wall clock) -> epoch microseconds (BIGINT).
+
+    In a UTC session a single ``timestampdiff`` (Spark routes NTZ through the
+    session zone, which is then the identity).  In any other session zone the
+    value is assembled from calendar fields - days since 1970-01-01 plus the
+    time of day - which NTZ extracts without a zone, so DST never shifts it.
+    """
+    col = _c(c)
+    if _session_is_utc():
+        return F.timestamp_diff("MICROSECOND", epoch_lit(), col)
+    days = F.datediff(F.to_date(col), F.lit("1970-01-01").cast("date")).cast("bigint")
+    hm = (F.hour(col) * 60 + F.minute(col)).cast("bigint")
+    sec_us = (F.date_part(F.lit("SECOND"), col) * 1_000_000).cast("bigint")
+    return days * 86_400_000_000 + hm * 60_000_000 + sec_us
 
 
 def from_epoch_us(c) -> Column:
-    """Epoch microseconds -> TIMESTAMP_NTZ."""
-    return F.timestamp_add("MICROSECOND", _c(c), epoch_lit())
+    """Epoch microseconds -> TIMESTAMP_NTZ.
+
+    UTC session: ``timestampadd`` on the NTZ epoch.  Other session zones:
+    assembled from calendar fields (day number -> date, remainder -> time of
+    day) with ``make_timestamp_ntz`` - no zone, so no DST gap or overlap can
+    move the value.
+    """
+    us = _c(c)
+    if _session_is_utc():
+        return F.timestamp_add("MICROSECOND", us, epoch_lit())
+    day = F.floor(us / F.lit(DAY)).cast("bigint")
+    r = us - day * F.lit(DAY)
+    d = F.date_add(F.lit("1970-01-01").cast("date"), day.cast("int"))
+    hh = F.floor(r / F.lit(HOUR)).cast("int")
+    mm = F.floor((r % F.lit(HOUR)) / F.lit(MIN)).cast("int")
+    ss = ((r % F.lit(MIN)) / F.lit(SEC)).cast("decimal(8,6)")
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), hh, mm, ss)
 
 
 def to_epoch_ms(c) -> Column:

@@ -79,9 +79,11 @@ def _ts_lit(x):
     if isinstance(x, (int, float)) and not isinstance(x, bool):
         return from_epoch_us(F.lit(int(x) * 1000).cast("bigint"))
     if isinstance(x, _dt.datetime):
-        return F.lit(x.replace(tzinfo=None)).cast("timestamp_ntz")
+        if x.tzinfo is not None:
+            x = x.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(x.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     if isinstance(x, _dt.date):
-        return F.lit(x).cast("timestamp_ntz")
+        return F.lit(x.isoformat()).cast("timestamp_ntz")
     if isinstance(x, str):
         return F.lit(x).cast("timestamp_ntz")
     return x  # a Column

@@ -190,3 +190,19 @@ def test_grid_guard_raises_instead_of_exploding(spark):
     assert resample_first(df, KEYS, "10s", max_buckets_per_series=1_000_000).count() == 30 * 8640 + 1
     with pytest.raises(Exception, match="time grid exceeds"):
         resample_first(df, KEYS, "10s", max_buckets_per_series=1000).count()
+
+
+def test_epoch_conversion_is_zone_free(spark):
+    from orbitlens.functions.time import epoch_us, from_epoch_us
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ["America/New_York", "Europe/London", "UTC"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame([("2024-03-10 02:30:00",), ("2024-11-03 01:30:00",), ("1995-07-01 12:00:00",),
+                                        ("1969-12-31 23:59:59.5",)], "s string") \
+                .select(F.col("s").cast("timestamp_ntz").alias("ts"))
+            r = df.select("ts", epoch_us("ts").alias("us")).withColumn("back", from_epoch_us("us")).collect()
+            assert [x.us for x in r] == [1710037800000000, 1730597400000000, 804600000000000, -500000], tz
+            assert all(x.back == x.ts for x in r), tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
