@@ -39,3 +39,9 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     from orbitlens.llm.secrets import secret_scan
     return secret_scan(table(spark, sf_dir, "documents")).drop("n_spans")
+
+
+@register("op7_quality_rules")
+def op7(spark, sf_dir):
+    from orbitlens.llm.quality_rules import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

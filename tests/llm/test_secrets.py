@@ -60,7 +60,7 @@ def test_edges_and_redaction(spark):
                                "doc_id long, text string, spans int")
     rows = secret_scan(df).collect()
     assert len(rows) == 5
-    assert {(r.doc_id, r.spans) for r in rows} == {(1, ""), (None, "assign:0:18"), (4, "assign:100000:100013")}
+    assert {(r.doc_id, r.spans) for r in rows} == {(1, ""), (None, "assign:0:19"), (4, "assign:100000:100013")}
     assert secret_scan(df.limit(0)).count() == 0
     out = {r.doc_id: r for r in redact(df).collect()}
     assert out[None].text == "<secret>" and out[4].text == long.replace("token=abcdef1", "<secret>") and out[None].spans == 3
