@@ -75,8 +75,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
         yield pa.Table.from_batches(held)
 
 
-def words(raw: np.ndarray, off: np.ndarray, hashed: bool = True):
-    """(start, end, text index, hash) of every word, in order."""
+def words(raw: np.ndarray, off: np.ndarray, hashed: bool = True, space: np.ndarray = SPACE):
+    """(start, end, text index, hash) of every word, in order; ``space`` marks the bytes between words."""
     n = len(raw)
     out: list[tuple] = []
     lo = 0
@@ -84,12 +84,12 @@ def words(raw: np.ndarray, off: np.ndarray, hashed: bool = True):
     cut[off] = True
     while lo < n:
         hi = min(lo + SEGMENT, n)
-        while hi < n and not cut[hi] and not SPACE[raw[hi]]:     # never inside a word
+        while hi < n and not cut[hi] and not space[raw[hi]]:     # never inside a word
             stop = min(hi + SEGMENT, n)
-            gap = np.flatnonzero(SPACE[raw[hi:stop]] | cut[hi:stop])
+            gap = np.flatnonzero(space[raw[hi:stop]] | cut[hi:stop])
             hi = hi + int(gap[0]) if len(gap) else stop
         seg = raw[lo:hi]
-        inside = ~SPACE[seg]
+        inside = ~space[seg]
         first = inside.copy()
         first[1:] &= ~inside[:-1] | cut[lo + 1:hi]
         last = inside.copy()

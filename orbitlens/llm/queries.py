@@ -45,3 +45,19 @@ def op6(spark, sf_dir):
 def op7(spark, sf_dir):
     from orbitlens.llm.quality_rules import quality_rules
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op2_quality_crf")
+def op2(spark, sf_dir):
+    from orbitlens.llm.quality_crf import quality_crf
+    return quality_crf(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op1_toxicity")
+def op1(spark, sf_dir):
+    """The label table has two 0/1 columns: the chain predicts poor quality first, then toxicity."""
+    from pyspark.sql import functions as F
+
+    from orbitlens.llm.toxicity import toxicity_chain
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
+    return toxicity_chain(table(spark, sf_dir, "documents"), labels, ["poor", "toxic"])
