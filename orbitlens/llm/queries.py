@@ -61,3 +61,9 @@ def op1(spark, sf_dir):
     from orbitlens.llm.toxicity import toxicity_chain
     labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
     return toxicity_chain(table(spark, sf_dir, "documents"), labels, ["poor", "toxic"])
+
+
+@register("op3_decontaminate")
+def op3(spark, sf_dir):
+    from orbitlens.llm.decontaminate import find_leaks
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
