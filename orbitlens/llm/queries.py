@@ -67,3 +67,9 @@ def op1(spark, sf_dir):
 def op3(spark, sf_dir):
     from orbitlens.llm.decontaminate import find_leaks
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op9_jaccard_join")
+def op9(spark, sf_dir):
+    from orbitlens.llm.jaccard_join import jaccard_join
+    return jaccard_join(table(spark, sf_dir, "documents"))

@@ -42,3 +42,42 @@ def secret_spans(text):
     out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(t) if len(m[0]) >= 20]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(t) if len(m[0]) >= 24]
     return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(out)]
+
+
+def shingles(text, size=5):
+    w = words(re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i:i + size]) for i in range(len(w) - size + 1)) or frozenset([tuple(w)])
+
+
+def jaccard_components(rows, size=5, percent=75):
+    """{row: (set size, smallest reachable id)} by comparing all pairs that share a shingle."""
+    sets = [shingles(t, size) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    holders, ids = {}, {}
+    for i, (doc, _) in enumerate(rows):
+        root[find(i)] = find(ids.setdefault(doc, i))
+    met = set()
+    for i, s in enumerate(sets):
+        near = {}
+        for x in s:
+            for j in holders.get(x, ()):
+                near[j] = near.get(j, 0) + 1
+            holders.setdefault(x, []).append(i)
+        for j, k in near.items():
+            if 100 * k >= percent * (len(s) + len(sets[j]) - k):
+                met.add((i, j))
+    for i, j in met:
+        root[find(i)] = find(j)
+    low = {}
+    for i, (doc, _) in enumerate(rows):
+        low[find(i)] = min(low.get(find(i), doc), doc)
+    return sorted((doc, len(sets[i]), low[find(i)]) for i, (doc, _) in enumerate(rows))
