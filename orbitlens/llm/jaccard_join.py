@@ -64,8 +64,10 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, size: int):
             extra = np.where(has, extra * A.ROLL[1] + wh[at], extra)
         h = np.concatenate([h, A.mix(extra + count[short].astype(np.uint64))])
         d = np.concatenate([d, short])
-    o = np.lexsort((h, d))
-    h, d = h[o], d[o]
+        o = np.argsort(d, kind="stable")
+        h, d = h[o], d[o]
+    for a, m in zip(*A.spans(d)):
+        h[a:a + m].sort()
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     return h[keep], d[keep]
@@ -92,14 +94,15 @@ def _survey(size: int):
             total += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
             rows = table.num_rows
             yield pa.RecordBatch.from_arrays(
-                [table["doc_id"].combine_chunks(), pa.array(n), pa.array(key), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
-                names=["doc_id", "n", "cls", "slot", "body"])
+                [table["doc_id"].combine_chunks(), pa.array(n), pa.array(key), table["mark"].combine_chunks(),
+                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
+                names=["doc_id", "n", "cls", "mark", "slot", "body"])
         if total.any():
             body = [A.pack(x) for x in np.split(total, SKETCH_GROUPS)]
             k = len(body)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, pa.int64())] * 3 + [pa.array(range(k), pa.int32()), pa.array(body, pa.binary())],
-                names=["doc_id", "n", "cls", "slot", "body"])
+                [pa.nulls(k, pa.int64())] * 4 + [pa.array(range(k), pa.int32()), pa.array(body, pa.binary())],
+                names=["doc_id", "n", "cls", "mark", "slot", "body"])
     return run
 
 
@@ -118,8 +121,8 @@ def prefixes(h, d, n, sketch, percent):
     mean = sketch.sum() / len(sketch)
     seen = sketch[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     others = np.maximum(seen - mean - 4 * np.sqrt(mean) - 1, 0)        # texts beside this one that may hold the token
-    band = np.where(others > 16, np.log2(np.maximum(others, 1)).astype(np.int8), 0)
-    o = np.lexsort((h, band, d))
+    band = np.where(others > 16, np.log2(np.maximum(others, 1)).astype(np.int64), 0)
+    o = np.argsort(d * 128 + band, kind="stable")                      # already by text and hash
     h, d, others = h[o], d[o], others[o]
     size = n[d]
     begin = np.concatenate(([0], np.cumsum(n)))[:-1]
@@ -184,38 +187,38 @@ def _shared_tokens(table: pa.Table) -> pa.Table:
 
 
 # -------------------------------------------------------------- verification
-def _squeeze(size: int):
-    """Texts of representatives, compressed; rows of another set under the same id fall out."""
-    def run(batches):
-        import zstandard
-        small = zstandard.ZstdCompressor(level=3)
-        for table in A.chunks(batches, "text"):
-            raw, off = A.utf8(table["text"])
-            _, key = set_keys(*shingle_sets(raw, off, size), table.num_rows)
-            want = table["cls"].to_numpy()
-            at = np.flatnonzero(key == want)
-            z = [small.compress(raw[off[i]:off[i + 1]].tobytes()) for i in at]
-            yield pa.RecordBatch.from_arrays([pa.array(want[at]), pa.array(z, pa.binary())], names=["cls", "z"])
-    return run
+def _squeeze(batches):
+    """Texts of representatives, compressed."""
+    import zstandard
+    small = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        raw, off = A.utf8(batch.column(1))
+        z = [small.compress(raw[off[i]:off[i + 1]].tobytes()) for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.binary())], names=["cls", "z"])
 
 
 def _verified(size: int, percent: int):
     def run(batches):
         import zstandard
         big = zstandard.ZstdDecompressor()
+
+        def sets(values):
+            """Set of every distinct text of a column, and which one each row has."""
+            known: dict[bytes, int] = {}
+            which = [known.setdefault(z, len(known)) for z in values]
+            texts = [big.decompress(z) for z in known]
+            off = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+            h, d = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), off, size)
+            at = np.searchsorted(d, np.arange(len(texts) + 1))
+            return which, [h[at[i]:at[i + 1]] for i in range(len(texts))]
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sets = []
-                for name in ("za", "zb"):
-                    texts = [big.decompress(z) for z in part.column(part.schema.get_field_index(name)).to_pylist()]
-                    off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-                    h, d = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), off, size)
-                    sets.append((h, np.searchsorted(d, np.arange(len(texts) + 1))))
-                (ha, ia), (hb, ib) = sets
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                (wa, sa), (wb, sb) = (sets(part.column(i).to_pylist()) for i in (2, 3))
                 ok = []
-                for i in range(part.num_rows):
-                    x, y = ha[ia[i]:ia[i + 1]], hb[ib[i]:ib[i + 1]]
+                for i, j in zip(wa, wb):
+                    x, y = sa[i], sb[j]
                     if len(x) > len(y):
                         x, y = y, x
                     common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
@@ -232,24 +235,34 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return pairs.join(a, "a").join(b, "b").select("a", "b", "za", "zb").mapInArrow(_verified(size, percent), "a long, b long")
 
 
-def _fits(x: str, y: str, percent: int):
-    return (100 * F.least(F.col(x), F.col(y)) >= percent * F.greatest(F.col(x), F.col(y)))
+def _candidate(percent: int) -> tuple:
+    """(condition on a shared token, level) of rows x and y: lengths allow the similarity, and the token lies in
+    both prefixes that the pair's own least overlap and level ask for."""
+    n_x, n_y = F.col("n_x"), F.col("n_y")
+    overlap = F.ceil(percent * (n_x + n_y) / (100 + percent) - F.lit(1e-9))
+    level = F.least("level_x", "level_y")
+    fits = 100 * F.least(n_x, n_y) >= percent * F.greatest(n_x, n_y)
+    return (fits & (F.col("place_x") < n_x - overlap + level) & (F.col("place_y") < n_y - overlap + level)), level
 
 
-def _open_tokens(rows: DataFrame) -> DataFrame:
-    """Tokens that touch more than one component."""
-    return rows.groupBy("tok").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("tok")
+COLUMNS = ("cls", "n", "place", "level", "comp")
 
 
 def _star(rows: DataFrame, salt: int, percent: int) -> DataFrame:
-    """For every class its best match among the pivots of its tokens, one pair per class at most."""
-    pivot = (rows.groupBy("tok").agg(F.min(F.struct(F.xxhash64("cls", F.lit(salt)).alias("o"), "cls", "n", "comp")).alias("p"),
+    """For every class its best match among the pivots of its tokens, one pair per class at most.
+
+    First round: a token's pivot is the class that holds it earliest, that is with fewest rarer tokens, the
+    likeliest origin of its group.  Later rounds: another class per token."""
+    order = F.col("place").cast("long") if salt == 0 else F.xxhash64("cls", "tok", F.lit(salt))
+    pivot = (rows.groupBy("tok").agg(F.min(F.struct(order.alias("o"), F.xxhash64("cls").alias("h"), *COLUMNS)).alias("p"),
                                      F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-             .where("c1 <> c2").select("tok", F.col("p.cls").alias("p_cls"), F.col("p.n").alias("p_n"), F.col("p.comp").alias("p_comp")))
-    met = (rows.join(pivot, "tok").where((F.col("comp") != F.col("p_comp")) & _fits("n", "p_n", percent))
-           .groupBy("cls", "p_cls").agg(F.count("*").alias("k")))
-    best = met.groupBy("cls").agg(F.max(F.struct("k", "p_cls")).alias("m"))
-    return best.select(F.least("cls", "m.p_cls").alias("a"), F.greatest("cls", "m.p_cls").alias("b")).distinct()
+             .where("c1 <> c2").select("tok", *[F.col(f"p.{c}").alias(f"{c}_y") for c in COLUMNS]))
+    x = rows.select("tok", *[F.col(c).alias(f"{c}_x") for c in COLUMNS])
+    inside, _ = _candidate(percent)
+    met = (x.join(pivot, "tok").where((F.col("comp_x") != F.col("comp_y")) & inside)
+           .groupBy("cls_x", "cls_y").agg(F.count("*").alias("k")))
+    best = met.groupBy("cls_x").agg(F.max(F.struct("k", "cls_y")).alias("m"))
+    return best.select(F.least("cls_x", "m.cls_y").alias("a"), F.greatest("cls_x", "m.cls_y").alias("b")).distinct()
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
@@ -262,17 +275,11 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
               .groupBy("tok").agg(F.max(F.struct("k", "comp")).alias("g"), F.count("*").alias("m"))
               .where("m > 1").select("tok", F.col("g.comp").alias("ground")))
     live = rows.join(ground, "tok")
-    x = live.where("comp <> ground").select("tok", *[F.col(c).alias(f"{c}_x") for c in ("cls", "n", "place", "level", "comp")])
-    y = live.select("tok", "ground", *[F.col(c).alias(f"{c}_y") for c in ("cls", "n", "place", "level", "comp")])
-    level = F.least("level_x", "level_y")
-
-    def inside(side):
-        n = F.col(f"n_{side}")
-        return F.col(f"place_{side}") < n - F.ceil(F.lit(percent) * n / 100) + level
-
-    met = (x.join(y, "tok").where((F.col("comp_x") != F.col("comp_y"))
-                                  & ((F.col("comp_y") == F.col("ground")) | (F.col("cls_x") < F.col("cls_y")))
-                                  & _fits("n_x", "n_y", percent) & inside("x") & inside("y")))
+    x = live.where("comp <> ground").select("tok", *[F.col(c).alias(f"{c}_x") for c in COLUMNS])
+    y = live.select("tok", "ground", *[F.col(c).alias(f"{c}_y") for c in COLUMNS])
+    inside, level = _candidate(percent)
+    met = x.join(y, (x.tok == y.tok) & (F.col("comp_x") != F.col("comp_y")) & inside
+                 & ((F.col("comp_y") == F.col("ground")) | (F.col("cls_x") < F.col("cls_y"))))
     return (met.groupBy(F.least("cls_x", "cls_y").alias("a"), F.greatest("cls_x", "cls_y").alias("b"))
             .agg(F.count("*").alias("k"), F.min(level).alias("need")).where("k >= need").select("a", "b"))
 
@@ -283,10 +290,11 @@ def jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    survey = stored(d.mapInArrow(_survey(size), "doc_id long, n long, cls long, slot int, body binary"), "survey")
+    marked = d.withColumn("mark", F.xxhash64("text"))                  # tells apart texts of one id
+    survey = stored(marked.mapInArrow(_survey(size), "doc_id long, n long, cls long, mark long, slot int, body binary"), "survey")
     sums = (survey.where("slot is not null").select("slot", "body").groupBy("slot")
             .applyInArrow(_sum_slots, "slot int, body binary").collect())              # a sketch of fixed size
-    members = survey.where("slot is null").select("doc_id", "n", "cls")
+    members = survey.where("slot is null").select("doc_id", "n", "cls", "mark")
     if not sums:
         return members.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     sketch = np.concatenate([A.unpack(r.body, np.int64)[0] for r in sorted(sums, key=lambda r: r.slot)])
@@ -294,9 +302,11 @@ def jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     named = d.where("doc_id is not null")
     rows = stored(named.mapInArrow(_post(size, percent, sketch, buckets), "bucket int, body binary, cls binary, tok binary")
                   .groupBy("bucket").applyInArrow(_shared_tokens, "tok long, cls long, n int, place int, level int"), "prefixes")
-    reps = members.where("doc_id is not null and n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    reps = (members.where("doc_id is not null and n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("r"))
+            .select("cls", "r.doc_id", "r.mark"))
     wanted = rows.select("cls").distinct().join(reps, "cls")
-    texts = stored(d.join(wanted, "doc_id").select("cls", "text").mapInArrow(_squeeze(size), "cls long, z binary"), "texts")
+    texts = stored(marked.join(wanted, ["doc_id", "mark"]).select("cls", "text").mapInArrow(_squeeze, "cls long, z binary")
+                   .dropDuplicates(["cls"]), "texts")
 
     links = None
     comp = rows.withColumn("comp", F.col("cls"))
