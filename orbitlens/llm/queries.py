@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,3 +74,15 @@ def op3(spark, sf_dir):
 def op9(spark, sf_dir):
     from orbitlens.llm.jaccard_join import jaccard_join
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+#: the tokenizer file; a parameter, never part of the repository
+SPM_MODEL = os.environ.get("ORBITLENS_SPM_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@register("op4_sentencepiece")
+def op4(spark, sf_dir):
+    from orbitlens.llm.spm import encode
+    with open(SPM_MODEL, "rb") as f:
+        model = f.read()
+    return encode(table(spark, sf_dir, "documents"), model, with_ids=False).drop("ids")
