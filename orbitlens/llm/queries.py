@@ -86,3 +86,17 @@ def op4(spark, sf_dir):
     with open(SPM_MODEL, "rb") as f:
         model = f.read()
     return encode(table(spark, sf_dir, "documents"), model, with_ids=False).drop("ids")
+
+
+@register("op10_warc", sql="""
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, {b32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first,
+             regexp_extract_all(sha1(coalesce(html, '')), '.{10}') AS h FROM pages)
+""".replace("{b32}", "list_aggregate(list_transform(h, lambda x: list_aggregate(list_transform(range(8), "
+            "lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || x)::BIGINT >> (35 - 5 * i)) & 31)::INT, 1)), "
+            "'string_agg', '')), 'string_agg', '')"))
+def op10(spark, sf_dir):
+    from orbitlens.llm.warc import archive_round_trip
+    return archive_round_trip(spark, table(spark, sf_dir, "pages")).drop("url")
