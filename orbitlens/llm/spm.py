@@ -173,8 +173,32 @@ class Encoder:
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.tokenizer, self.m = build(model)
-        self.by_word = self.tokenizer.pre_tokenizer is not None and self.m["prefix"] and not (self.m["charsmap"] or self.m["collapse"])
-        self.cache: dict[int, bytes] = {}
+        self.opens = np.array([p.startswith(MARK) for p, _, _ in self.m["pieces"]])
+        self.by_word = (self.tokenizer.pre_tokenizer is not None and self.m["prefix"] and any(p == MARK for p, *_ in self.m["pieces"])
+                        and not (self.m["charsmap"] or self.m["collapse"]))
+        from tokenizers import Tokenizer
+        self.bare = Tokenizer(self.tokenizer.model)               # words come normalised and marked
+        self._forget()
+
+    def _forget(self):
+        """Known words: sorted hashes, and where in ``flat`` their ids lie."""
+        self.key, self.begin, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
+
+    def _learn(self, key: np.ndarray, words: list[str]):
+        flat = []
+        for at in range(0, len(words), 20_000):
+            block = [words[i:i + 500] for i in range(at, min(at + 20_000, len(words)), 500)]
+            flat += [np.array(e.ids, np.int32)
+                     for e in self.bare.encode_batch_fast(block, is_pretokenized=True, add_special_tokens=False)]
+        flat = np.concatenate(flat)
+        first = np.flatnonzero(self.opens[flat])                  # a word's first piece, and no other, has the marker
+        size = np.diff(np.append(first, len(flat)))
+        begin = len(self.flat) + first
+        self.flat = np.concatenate([self.flat, flat])
+        key, begin, size = (np.concatenate(x) for x in ((self.key, key), (self.begin, begin), (self.size, size)))
+        o = np.argsort(key)
+        self.key, self.begin, self.size = key[o], begin[o], size[o]
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
@@ -194,17 +218,17 @@ class Encoder:
             k = plain[doc]
             start, end, doc, h = start[k], end[k], doc[k], h[k]
             key, first, which = np.unique(h, return_index=True, return_inverse=True)
-            key = key.tolist()
-            if len(self.cache) > CACHED_WORDS:
-                self.cache.clear()
-            new = [i for i, x in enumerate(key) if x not in self.cache]
-            words = [raw[start[first[i]]:end[first[i]]].tobytes().decode() for i in new]
-            for i, e in zip(new, self.tokenizer.encode_batch_fast(words, add_special_tokens=False) if words else []):
-                self.cache[key[i]] = np.array(e.ids, np.int32).tobytes()
-            found = [self.cache[x] for x in key]
-            size = np.array([len(x) // 4 for x in found])
-            flat = np.frombuffer(b"".join(found), np.int32)
-            begin = np.cumsum(size) - size
+            if len(self.key) > CACHED_WORDS:
+                self._forget()
+            at = np.searchsorted(self.key, key)
+            known = np.append(self.key, np.uint64(0))[at] == key if len(self.key) else np.zeros(len(key), bool)
+            known &= at < len(self.key)
+            if not known.all():
+                new = first[~known]
+                view = raw.tobytes()
+                self._learn(key[~known], [MARK + view[a:z].decode() for a, z in zip(start[new].tolist(), end[new].tolist())])
+                at = np.searchsorted(self.key, key)
+            begin, size, flat = self.begin[at], self.size[at], self.flat
             count = size[which]
             place = np.cumsum(count) - count
             ids = flat[np.repeat(begin[which] - place, count) + np.arange(int(count.sum()))]
@@ -232,7 +256,7 @@ def encode(docs: DataFrame, model: bytes, *, id_col: str = "doc_id", text_col: s
         if parity:
             import sentencepiece
             other = sentencepiece.SentencePieceProcessor(model_proto=model)
-        for table in A.chunks(batches, "text"):
+        for table in A.chunks(batches, "text", 4 << 20):
             texts = [t or "" for t in table["text"].to_pylist()]
             ids, off = encoder(*A.utf8(table["text"]), texts)
             each = [ids[off[i]:off[i + 1]] for i in range(len(texts))]
