@@ -100,3 +100,9 @@ FROM (SELECT *, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first,
 def op10(spark, sf_dir):
     from orbitlens.llm.warc import archive_round_trip
     return archive_round_trip(spark, table(spark, sf_dir, "pages")).drop("url")
+
+
+@register("op8_html_wrapper")
+def op8(spark, sf_dir):
+    from orbitlens.llm.html_wrapper import html_text
+    return html_text(table(spark, sf_dir, "pages"))
