@@ -40,6 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orbitlens.llm.shared import stored
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*)>?""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 SPACES = re.compile(r"\s+")
@@ -346,28 +348,46 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def compact(slot: Slot):
+    """What counting needs of a page: (label, text digests, children)."""
+    return (slot.label, [digest(t) for t in slot.texts], [compact(c) for c in slot.children])
+
+
+def restored(tree) -> Slot:
+    s = Slot(tree[0])
+    s.texts, s.children = tree[1], [restored(c) for c in tree[2]]
+    return s
+
+
+def bare(tree):
+    return (tree[0], tuple(bare(c) for c in tree[2]))
+
+
 def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> DataFrame:
-    """(host, tree, template): the wrapper of every host; ``pages`` has host, page_id and html."""
+    """(host, tree, template): the wrapper of every host; ``pages`` has host, page_id and html.
+
+    Only trees with text digests move between tasks, never the pages."""
     def shapes(batches):
         for b in batches:
-            trees = [pickle.dumps(skeleton(slots(parse(h or ""))), 5) for h in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(trees, pa.binary())], names=["host", "rank", "tree"])
-
-    # the first page by hash is the first tree; equal hashes are settled by the tree itself
-    rank = F.xxhash64("page_id", "html")
-    chosen = pages.groupBy("host").agg(F.min(rank).alias("first"))
-    first = (pages.withColumn("rank", rank).join(chosen.withColumnRenamed("host", "c_host"),
-                                                 (F.col("host") == F.col("c_host")) & (F.col("rank") == F.col("first")))
-             .select("host", "rank", "html").mapInArrow(shapes, "host string, rank long, tree binary")
-             .groupBy("host").agg(F.min("tree").alias("tree")))
+            shape, tree = [], []
+            for page in b.column(2).to_pylist():
+                c = compact(slots(parse(page or "")))
+                shape.append(pickle.dumps(c, 5))
+                tree.append(pickle.dumps(bare(c), 5))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shape, pa.binary()), pa.array(tree, pa.binary())],
+                                             names=["host", "rank", "shape", "tree"])
+
+    shaped = stored(pages.select("host", F.xxhash64("page_id", "html").alias("rank"), "html")
+                    .mapInArrow(shapes, "host string, rank long, shape binary, tree binary"), "shapes")
+    first = shaped.groupBy("host").agg(F.min(F.struct("rank", "tree")).alias("c")).select("host", "c.tree")
 
     def count(batches):
         for b in batches:
             host, slot, text = [], [], []
-            for h, page, tree in zip(*(c.to_pylist() for c in b.columns)):
-                own = slots(parse(page or ""))
+            for h, shape, tree in zip(*(c.to_pylist() for c in b.columns)):
+                own = restored(pickle.loads(shape))
                 match(own, known(tree))
-                for number, d in {(n, digest(t)) for n, t in placed(own)}:
+                for number, d in set(placed(own)):
                     host.append(h)
                     slot.append(number)
                     text.append(d)
@@ -377,12 +397,12 @@ def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> D
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(slot, pa.int32()), pa.array(text, pa.int64())],
                                              names=["host", "slot", "text"])
 
-    seen = (pages.join(first, "host").select("host", "html", "tree").mapInArrow(count, "host string, slot int, text long")
-            .groupBy("host", "slot", "text").agg(F.count("*").alias("n")))
+    seen = (shaped.join(first.withColumnRenamed("tree", "first_tree"), "host").select("host", "shape", "first_tree")
+            .mapInArrow(count, "host string, slot int, text long").groupBy("host", "slot", "text").agg(F.count("*").alias("n")))
     total = seen.where("slot = -1").select("host", F.col("n").alias("pages"))
     constant = (seen.where("slot >= 0").join(total, "host").where((F.col("n") >= least_pages) & (F.col("n") >= share * F.col("pages")))
                 .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "text"))).alias("template")))
-    # at most 1 / share texts of a slot instance can be constant, so the list is bounded by the first tree's size
+    # at most 1 / share texts can be constant in a place, so the list is bounded by the size of a page
     return first.join(constant, "host", "left")
 
 
@@ -398,14 +418,25 @@ def html_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
                       F.col(html_col).cast("string").alias("html")).withColumn("host", host_of("url")))
     w = wrappers(p.select("host", "page_id", "html"), share=share, least_pages=least_pages)
 
+    def squeeze(batches):
+        import zstandard
+        small = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            z = [small.compress((page or "").encode("utf-8", "surrogatepass")) for page in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary()), b.column(3)],
+                                             names=["page_id", "url", "z", "host"])
+
     def run(batches):
+        import zstandard
+        big = zstandard.ZstdDecompressor()
         for b in batches:
             texts = []
-            for page, tree, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
+            for z, tree, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
                 names = frozenset((x["slot"], x["text"]) for x in template or ())
-                texts.append(extract(page or "", known(tree) if tree else None, names))
+                texts.append(extract(big.decompress(z).decode("utf-8", "surrogatepass"), known(tree) if tree else None, names))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return (p.join(w, "host", "left").select("page_id", "url", "html", "tree", "template")
+    squeezed = p.mapInArrow(squeeze, "page_id long, url string, z binary, host string")     # pages move compressed
+    return (squeezed.join(w, "host", "left").select("page_id", "url", "z", "tree", "template")
             .mapInArrow(run, "page_id long, url string, text string, n_chars long"))
