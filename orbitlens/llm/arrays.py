@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SEGMENT = 1 << 20          # bytes that one array pass works on
-CHUNK_BYTES = 16 << 20     # text bytes that one chunk of rows holds (a longer row is a chunk of its own)
+CHUNK_BYTES = 4 << 20      # text bytes that one chunk of rows holds (a longer row is a chunk of its own)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

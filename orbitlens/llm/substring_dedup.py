@@ -85,7 +85,7 @@ def _tag(raw, off) -> np.ndarray:
 
 def _hash_windows(window: int, buckets: int):
     def run(batches):
-        for table in A.chunks(batches, "text"):
+        for table in A.chunks(batches, "text", 8 << 20):
             table = table.filter(table["doc_id"].is_valid()).sort_by("doc_id")
             ids = table["doc_id"].to_numpy()
             raw, off = A.utf8(table["text"])
