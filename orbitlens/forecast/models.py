@@ -153,41 +153,49 @@ def limit_horizon(fc: DataFrame, keys: list[str], n: int, *, ts: str = "ts") ->
 
 
 # ---------------------------------------------------------------- GBT (M8)
+SERIES_CODE = ("_series_0", "_series_1", "_series_2")
+
+
+def with_series_code(feat: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds the series key as hashed numbers; a null key part is a value of its own."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in keys]
+    return feat.withColumns({c: F.pmod(F.xxhash64(F.lit(i), *parts), F.lit(100_003)).cast("double")
+                             for i, c in enumerate(SERIES_CODE)})
+
+
 def fit_gbt(feat: DataFrame, keys: list[str], features: list[str], *, label: str = "value",
             max_iter: int = 200, max_depth: int = 7, seed: int = 0, step_size: float = 0.1):
-    """Gradient boosted trees over all series at once; the series key is a
-    categorical feature (StringIndexer).  Returns the fitted PipelineModel."""
+    """Gradient boosted trees over all series at once.  The series key enters as
+    hashed coordinates, so there is no limit on the number of series and no list
+    of them on the driver.  Returns the fitted PipelineModel."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    x = feat.withColumn("_series", F.concat_ws("|", *keys))
-    idx = StringIndexer(inputCol="_series", outputCol="_series_idx", handleInvalid="keep")
-    va = VectorAssembler(inputCols=["_series_idx", *features], outputCol="_features", handleInvalid="skip")
+    x = with_series_code(feat, keys)
+    va = VectorAssembler(inputCols=[*SERIES_CODE, *features], outputCol="_features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="yhat", maxIter=max_iter,
-                       maxDepth=max_depth, seed=seed, stepSize=step_size, maxBins=64)
-    return Pipeline(stages=[idx, va, gbt]).fit(x.na.drop("any", subset=[*features, label]))
+                       maxDepth=max_depth, seed=seed, stepSize=step_size, maxBins=256)
+    return Pipeline(stages=[va, gbt]).fit(x.na.drop("any", subset=[*features, label]))
 
 
 def fit_estimator(feat: DataFrame, keys: list[str], features: list[str], estimator, *,
                   label: str = "value"):
     """Any ``pyspark.ml`` regressor in the model slot (the reference lets
     the caller pass its own model object).  The estimator must read the
-    ``_features`` vector and ``label`` and write ``yhat``; series key as a
-    categorical feature as in ``fit_gbt``."""
+    ``_features`` vector and ``label`` and write ``yhat``; the series key enters
+    as in ``fit_gbt``."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
 
-    x = feat.withColumn("_series", F.concat_ws("|", *keys))
-    idx = StringIndexer(inputCol="_series", outputCol="_series_idx", handleInvalid="keep")
-    va = VectorAssembler(inputCols=["_series_idx", *features], outputCol="_features", handleInvalid="skip")
+    x = with_series_code(feat, keys)
+    va = VectorAssembler(inputCols=[*SERIES_CODE, *features], outputCol="_features", handleInvalid="keep")
     est = estimator.copy().setFeaturesCol("_features").setLabelCol(label).setPredictionCol("yhat")
-    return Pipeline(stages=[idx, va, est]).fit(x.na.drop("any", subset=[*features, label]))
+    return Pipeline(stages=[va, est]).fit(x.na.drop("any", subset=[*features, label]))
 
 
 def predict_gbt(model, feat: DataFrame, keys: list[str]) -> DataFrame:
-    x = feat.withColumn("_series", F.concat_ws("|", *keys))
-    return model.transform(x).drop("_series", "_series_idx", "_features")
+    return model.transform(with_series_code(feat, keys)).drop(*SERIES_CODE, "_features")
 
 
 # ---------------------------------------------------------------- registry

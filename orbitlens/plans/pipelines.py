@@ -10,6 +10,9 @@ and the mark update in the order that makes a re-run safe: output first
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,16 +128,22 @@ def aggregation_marks(df: DataFrame, marks: DataFrame, keys: list[str], now, *,
 
 
 def run_and_commit(rows: DataFrame, new_marks: DataFrame, *, out_path: str, marks_path: str) -> None:
-    """Append ``rows`` to the output table, then store the new marks.
+    """Append ``rows`` to the output table, then add the new marks to the mark table.
+
+    Marks are only ever added: a series that is silent in this run, and every
+    other pipeline's marks, stay.  ``current_marks`` reads the newest per key.
 
     Output first, marks second: if the job dies in between, the next run
     re-reads from the old mark and rewrites the same (series, ts) rows, which
-    readers deduplicate (``streaming.dedup_latest``); marks are never ahead of
-    the data.  The marks snapshot goes to its own directory, never over the
-    table being read.
+    readers deduplicate (``streaming.dedup_latest``).
     """
     write_metrics(rows, out_path)
-    new_marks.write.mode("overwrite").parquet(marks_path)
+    new_marks.write.mode("append").parquet(marks_path)
+
+
+def current_marks(spark, marks_path: str, keys: list[str]) -> DataFrame:
+    """The newest mark of every (pipeline, output, series)."""
+    return (spark.read.parquet(marks_path).groupBy("pipeline", "output", *keys).agg(F.max("ts").alias("ts")))
 
 
 # ---------------------------------------------------------------- P7 / P8 / P9
@@ -176,11 +185,11 @@ def train_job(df: DataFrame, registry: DataFrame | None, keys: list[str], now, *
     lags = sorted(int(r["lag"]) for r in common.collect()) or [1]   # n_common_lags scalars
     feats = FT.build_features(reg, keys, lags)
     cols = [f"lag{k}" for k in lags]
-    path = f"{model_dir.rstrip('/')}/{model}"
+    path = f"{model_dir.rstrip('/')}/{model}-{uuid.uuid4().hex}"     # a run never touches earlier models
     if model == "gbt":
-        MD.fit_gbt(feats, keys, cols).write().overwrite().save(path)
+        MD.fit_gbt(feats, keys, cols).write().save(path)
     else:
-        MD.fit_linear(feats, keys, cols).write.mode("overwrite").parquet(path)
+        MD.fit_linear(feats, keys, cols).write.parquet(path)
     tag_keys = [k for k in keys if k != "metric"]
     return sel.select(F.col("metric").alias("target"), F.array().cast("array<string>").alias("exogenous"),
                       *tag_keys, F.to_date(_ts_lit(now)).alias("date"), F.lit(path).alias("path"),
@@ -195,18 +204,25 @@ def predict_job(df: DataFrame, registry: DataFrame, marks: DataFrame, keys: list
     """Latest model per series -> context window (S14) -> regular series ->
     recursive forecast (M12) with 99 % bands from in-sample residuals (M11)
     -> rows after the mark (M18) as ``<metric>_prediction``, ``_lb``, ``_ub``."""
+    tag_keys = [k for k in keys if k != "metric"]
+    latest = registry.groupBy("target", *tag_keys).agg(
+        F.max_by(F.struct("path", "model", "features", "min_lag", "max_lag", "freq_s"), "date").alias("m"))
+    latest = latest.select(F.col("target").alias("metric"), *tag_keys, "m.*")
+    runs = latest.select("path", "model", "features").distinct().collect()   # one row per training run
+    parts = [_predict_run(df, latest.filter(F.col("path") == r["path"]), marks, keys, now, r["path"], r["model"],
+                          list(r["features"]), horizon) for r in sorted(runs, key=lambda r: r["path"])]
+    if not parts:
+        raise ValueError("the registry holds no model")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _predict_run(df, latest, marks, keys, now, path, model, cols, horizon):
+    """Forecast of the series whose latest model is that of one training run."""
     from orbitlens.forecast import features as FT
     from orbitlens.forecast import models as MD
     from orbitlens.sources.state import model_context_window
 
     tag_keys = [k for k in keys if k != "metric"]
-    latest = registry.groupBy("target", *tag_keys).agg(
-        F.max_by(F.struct("path", "model", "features", "min_lag", "max_lag", "freq_s"), "date").alias("m"))
-    latest = latest.select(F.col("target").alias("metric"), *tag_keys, "m.*")
-    rows = latest.select("path", "model", "features").distinct().collect()   # one row per model
-    if len(rows) != 1:
-        raise ValueError("predict_job expects one model structure per run")
-    path, model, cols = rows[0]["path"], rows[0]["model"], list(rows[0]["features"])
     lags = [int(c[3:]) for c in cols]
     reg_info = latest.withColumn("length_needed_s", F.col("max_lag") * F.col("freq_s") * 3)
     ctx = model_context_window(marks, reg_info, keys, now)

@@ -50,7 +50,7 @@ def q_stream_lookback_detector(spark, sf_dir):
     base = ST.scratch_path(spark, "stream-lookback")
     fn = ST.lookback_detector(
         lambda d: moving_average_anomaly(d, KEYS, ["value"], window="1D", min_periods=5),
-        keys=KEYS, history_path=f"{base}/history", out_path=f"{base}/out", lookback_us=86_400_000_000)
+        keys=KEYS, history_path=f"{base}/history", out_path=f"{base}/out", lookback_us=2 * 86_400_000_000)   # the detector reaches back two windows
     q = (events_stream(spark, sf_dir).writeStream.foreachBatch(fn)
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()

@@ -87,13 +87,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
     Read from ``spark.checkpoint.dir`` (the setting the cluster provides).
-    Only when it is unset - local tests - a fresh scratch folder is created
-    and registered, so lineage cuts still go through ``checkpoint()``.
+    Where it is unset, a local master gets a fresh scratch folder; on a cluster
+    that folder would be one machine's own, so it is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="orbitlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -129,7 +130,9 @@ def lookback_detector(detect_fn, *, keys: list[str], history_path: str, out_path
                     .join(b.select(*keys).distinct(), on=keys)
                     .select(*keys, ts, "value").withColumn("_new", F.lit(False)))
             allrows = hist.unionByName(b)
-        except Exception:  # noqa: BLE001  (first batch: no history table yet)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise                      # only a first batch has no history table
             allrows = b
         newkeys = b.select(*keys, ts, "_new")
         det = detect_fn(allrows.drop("_new"))

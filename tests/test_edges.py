@@ -35,18 +35,28 @@ def edge_rows():
     return rows
 
 
-def pandas_stats(pdf):
-    s = pdf.set_index("ts")["value"]
-    r = s.resample("60min", label="right")
-    out = pd.DataFrame({
-        "mean": r.mean(), "count": r.count(), "median": r.median(), "std": r.std(),
-        "skew": r.apply(lambda x: x.skew()),
-        "min": r.min(), "max": r.max(),
-        "energy": r.apply(lambda x: np.sum(x ** 2) / len(x) if len(x) else np.nan),
-        "kurt": r.apply(lambda x: x.kurt()),
-        "max_diff": r.apply(lambda x: abs(x.diff()).max()),
-    })
-    return out
+def hourly_rows(pdf):
+    """The statistics from their definitions, hour by hour."""
+    hours = np.array([int((t - T0).total_seconds() // 3600) for t in pdf["ts"]])
+    values = pdf["value"].to_numpy()
+    rows = {}
+    for hour in range(hours.min(), hours.max() + 1):
+        v = values[hours == hour]
+        n, row = len(v), dict.fromkeys(("mean", "median", "std", "skew", "min", "max", "energy", "kurt", "max_diff"), np.nan)
+        row["count"] = n
+        if n:
+            d = v - v.sum() / n
+            m2, m3, m4 = ((d ** k).sum() / n for k in (2, 3, 4))
+            row |= {"mean": v.sum() / n, "median": np.sort(v)[[(n - 1) // 2, n // 2]].mean(), "min": v.min(), "max": v.max(),
+                    "energy": (v * v).sum() / n}
+            if n > 1:
+                row |= {"std": np.sqrt(m2 * n / (n - 1)), "max_diff": max(abs(b - a) for a, b in zip(v, v[1:]))}
+            if n > 2:
+                row["skew"] = np.sqrt(n * (n - 1)) / (n - 2) * m3 / m2 ** 1.5 if m2 > 1e-14 else 0.0
+            if n > 3:
+                row["kurt"] = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * m4 / m2 ** 2 - 3 * (n - 1)) if m2 > 1e-14 else 0.0
+        rows[T0 + dt.timedelta(hours=hour + 1)] = row
+    return pd.DataFrame.from_dict(rows, orient="index")
 
 
 def test_bucket_stats_matches_pandas(spark):
@@ -54,7 +64,7 @@ def test_bucket_stats_matches_pandas(spark):
     got = bucket_stats(frame(spark, rows), KEYS, "60T").toPandas()
     for sat in ["SAT1", "SAT2"]:
         pdf = pd.DataFrame([r for r in rows if r[1] == sat], columns=["metric", "satellite", "ts", "value"])
-        exp = pandas_stats(pdf)
+        exp = hourly_rows(pdf)
         g = got[got.satellite == sat].set_index("bucket_end").sort_index()
         assert list(g.index) == list(exp.index)
         for c in exp.columns:
@@ -62,16 +72,25 @@ def test_bucket_stats_matches_pandas(spark):
             assert np.allclose(a, b, equal_nan=True, atol=1e-9), (sat, c, a, b)
 
 
-def pandas_ma(s, window, min_periods, sigma, delta):
-    rolling = s.rolling(window=window, min_periods=min_periods)
-    mean = rolling.mean().shift(1)
-    res = abs(s - mean)
-    r2 = res.rolling(window=window, min_periods=min_periods)
-    std_res, mean_res = r2.std().shift(1), r2.mean().shift(1)
-    score = ((res - mean_res - delta) / (std_res + 1e-8)) / sigma
-    upper = sigma * (std_res + 1e-8) + mean_res + mean + delta
-    lower = -sigma * (std_res + 1e-8) - mean_res + mean - delta
-    return score, upper, lower
+def frames_before(times, values, window, least):
+    """(mean, deviation) over the rows in (t - window, t] of the PREVIOUS row's t; nan under ``least`` values."""
+    mean, spread = np.full(len(values), np.nan), np.full(len(values), np.nan)
+    for i in range(1, len(values)):
+        inside = [values[j] for j in range(i) if times[i - 1] - window < times[j] <= times[i - 1] and not np.isnan(values[j])]
+        if len(inside) >= least:
+            mean[i] = np.mean(inside)
+            spread[i] = np.std(inside, ddof=1) if len(inside) > 1 else np.nan
+    return mean, spread
+
+
+def bands(s, window, least, sigma, delta):
+    """Score and bands of the moving-average detector, row by row."""
+    times, values = list(s.index), s.to_numpy()
+    centre, _ = frames_before(times, values, pd.Timedelta(window), least)
+    off = np.abs(values - centre)
+    usual, spread = frames_before(times, off, pd.Timedelta(window), least)
+    reach = usual + delta + sigma * (spread + 1e-8)
+    return (off - usual - delta) / (spread + 1e-8) / sigma, centre + reach, centre - reach
 
 
 @pytest.mark.parametrize("tile", [None, 8 * 3600 * 1_000_000])
@@ -87,7 +106,7 @@ def test_moving_average_matches_pandas_with_gaps(spark, tile):
     got = moving_average_anomaly(df, KEYS, ["value"], window="6H", min_periods=3, sigma=3, delta=0.01,
                                  tile_us=tile).toPandas().set_index("ts").sort_index()
     s = pd.Series(vals, index=pd.DatetimeIndex([r[2] for r in rows]))
-    score, up, lo = pandas_ma(s, "6h", 3, 3, 0.01)
+    score, up, lo = bands(s, "6h", 3, 3, 0.01)
     assert np.allclose(got["value_ma_anomaly_score"].astype(float), score, equal_nan=True, atol=1e-7)
     assert np.allclose(got["value_ma_upper_bound"].astype(float), up, equal_nan=True, atol=1e-7)
     assert np.allclose(got["value_ma_lower_bound"].astype(float), lo, equal_nan=True, atol=1e-7)

@@ -27,11 +27,22 @@ def sine_frame(spark, period=24, n=960, noise=0.05, seed=3):
     return spark.createDataFrame(pdf, "metric string, satellite string, ts timestamp_ntz, value double")
 
 
-def test_numpy_peak_helpers():
-    x = np.array([0, 1, 0, 2, 2, 0, 3, 1, 0.5, 0.6, 0], dtype=float)
-    assert SE.local_maxima(x).tolist() == [1, 3, 6, 9]
-    assert np.allclose(SE.prominences(x, np.array([1, 3, 6])), [1, 2, 3])
-    assert SE.find_peaks(x, distance=4).tolist() == [1, 6]
+def test_peak_expressions(spark):
+    x = [0, 1, 0, 2, 2, 0, 3, 1, 0.5, 0.6, 0]
+    d = spark.createDataFrame([([float(v) for v in x],), ([],), ([1.0, 2.0],), ([1.0, 1.0, 1.0],)], "x array<double>")
+    d = d.withColumn("p", SE.peaks_of(F.col("x")))
+    rows = d.select("p", F.transform("p", lambda i: SE.prominence_at(F.col("x"), i)).alias("h"),
+                    SE.spaced(F.col("x"), F.col("p"), F.lit(4)).alias("s")).collect()
+    assert rows[0].p == [1, 3, 6, 9] and rows[0].s == [1, 6]
+    assert np.allclose(rows[0].h, [1, 2, 3, 0.1])
+    assert all(r.p == [] for r in rows[1:])
+
+
+def test_gbt_takes_many_series(spark):
+    rows = [(f"m{i % 90}", "S", float(i % 7), float(i % 7) * 2 + i % 90) for i in range(1800)]
+    df = spark.createDataFrame(rows, "metric string, satellite string, lag1 double, value double")
+    model = MD.fit_gbt(df, KEYS, ["lag1"], max_iter=2, max_depth=3)
+    assert MD.predict_gbt(model, df, KEYS).where("yhat is not null").count() == 1800
 
 
 def test_sine_period_found_by_acf_and_spectrum(spark):

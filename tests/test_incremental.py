@@ -50,3 +50,18 @@ def test_two_runs_chain_through_marks(spark):
     g = sorted((r.metric, r.satellite, r.ts, round(r.value, 9)) for r in got.collect())
     e = sorted((r.metric, r.satellite, r.bucket_end, round(r.mean, 9)) for r in exp.collect())
     assert len(g) > 0 and g == e
+
+
+def test_marks_of_silent_series_and_other_pipelines_stay(spark, tmp_path):
+    import datetime as dt
+
+    import orbitlens.plans.pipelines as P
+    schema = "pipeline string, output string, metric string, satellite string, ts timestamp_ntz"
+    rows = spark.createDataFrame([("m", "S", dt.datetime(2024, 1, 1), 1.0)], "metric string, satellite string, ts timestamp_ntz, value double")
+    path, keys = str(tmp_path / "marks"), ["metric", "satellite"]
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    P.run_and_commit(rows, spark.createDataFrame([("a", "o", "m", "S", t[0]), ("a", "o", "n", "S", t[0]), ("b", "o", "m", None, t[2])], schema),
+                     out_path=str(tmp_path / "out"), marks_path=path)
+    P.run_and_commit(rows, spark.createDataFrame([("a", "o", "m", "S", t[1])], schema), out_path=str(tmp_path / "out"), marks_path=path)
+    got = {(r.pipeline, r.metric, r.satellite): r.ts for r in P.current_marks(spark, path, keys).collect()}
+    assert got == {("a", "m", "S"): t[1], ("a", "n", "S"): t[0], ("b", "m", None): t[2]}
