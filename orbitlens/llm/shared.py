@@ -1,27 +1,22 @@
 """Intermediate tables in the folder that driver and executors share.
 
-The folder is the cluster's ``spark.checkpoint.dir``; only where that is unset
-(local tests) a fresh one is made and set.  A stored table cuts lineage and
+The folder is the cluster's ``spark.checkpoint.dir``; only where that is unset on a
+local master (tests) a fresh one is made and set.  A stored table cuts lineage and
 survives lost executors.  Tables lie under ``orbitlens-<application id>`` and
 can be removed when the application has ended.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orbitlens.session import checkpoint_dir
+
 
 def shared_dir(spark: SparkSession) -> str:
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="orbitlens-shared-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    return checkpoint_dir(spark)
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -81,3 +81,16 @@ def jaccard_components(rows, size=5, percent=75):
     for i, (doc, _) in enumerate(rows):
         low[find(i)] = min(low.get(find(i), doc), doc)
     return sorted((doc, len(sets[i]), low[find(i)]) for i, (doc, _) in enumerate(rows))
+
+
+def quality_base(text):
+    """(words, characters in words, symbols, repeated lines, words in repeated three-word windows, failed)."""
+    t = text or ""
+    w = words(t)
+    lines = [x for x in t.split("\n") if words(x)]
+    seen = {}
+    for i in range(len(w) - 2):
+        seen.setdefault(tuple(w[i:i + 3]), []).append(i)
+    covered = {j for at in seen.values() if len(at) > 1 for i in at for j in (i, i + 1, i + 2)}
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered),
+            len(w) < 50 or 100 * len(covered) > 50 * len(w))
