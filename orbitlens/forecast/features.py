@@ -132,7 +132,7 @@ def autocorrelation(reg: DataFrame, keys: list[str], max_lag: int, *, value: str
         _acf_block_fn(max_lag, keys), schema)
     sums = parts.groupBy(*keys, "lag").agg(F.sum("_s").alias("_s"))
     c0 = sums.filter(F.col("lag") == 0).select(*keys, F.col("_s").alias("_c0"))
-    return sums.join(c0, on=keys).select(*keys, "lag", (F.col("_s") / F.col("_c0")).alias("acf"))
+    return _small_join(sums, c0, keys).select(*keys, "lag", (F.col("_s") / F.col("_c0")).alias("acf"))
 
 
 def periodogram(reg: DataFrame, keys: list[str], n_freq: int, *, value: str = "value",
@@ -205,7 +205,8 @@ def attach_static_features(feat: DataFrame, static: DataFrame, keys: list[str])
     row; they are model inputs but never part of the exogenous series read
     for the forecast horizon.  The planner broadcasts the per-series table
     when its size is below the threshold."""
-    return feat.join(static, on=keys, how="left")
+    from orbitlens.operators.windows import join_null_safe
+    return join_null_safe(feat, static, keys)
 
 
 def horizon_lengths(registry: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def forecast_recursive(reg: DataFrame, keys: list[str], lags: list[int], horizon
         out = pred if out is None else out.unionByName(pred)
         hist = hist.unionByName(pred.select(*keys, "ts", F.col("yhat").alias("value"), "freq_s", "idx", "_last_idx"))
         lim = hist.groupBy(*keys).agg(F.max("idx").alias("_mx"))
-        hist = hist.join(lim, on=keys).filter(F.col("idx") > F.col("_mx") - need).drop("_mx")
+        hist = _small_join(hist, lim, keys).filter(F.col("idx") > F.col("_mx") - need).drop("_mx")
         if checkpoint and done + b < horizon:
             hist = hist.checkpoint()
         done += b
@@ -206,14 +206,16 @@ def lookup_models(registry: DataFrame, keys: list[str]) -> DataFrame:
 
 def models_to_train(series: DataFrame, registry: DataFrame, keys: list[str]) -> DataFrame:
     """Train only where no model exists: left anti join on the registry."""
-    return series.join(registry.select(*keys).distinct(), on=keys, how="left_anti")
+    from orbitlens.operators.windows import join_null_safe
+    return join_null_safe(series, registry.select(*keys).distinct(), keys, "left_anti")
 
 
 def forecast_after_checkpoint(fc: DataFrame, marks: DataFrame, keys: list[str], *, ts: str = "ts",
                               names: dict | None = None) -> DataFrame:
     """Keep forecast rows strictly after the series' mark; rename columns."""
     m = marks.select(*keys, F.col("ts").alias("_mark"))
-    x = fc.join(m, on=keys, how="left").filter(F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
+    from orbitlens.operators.windows import join_null_safe
+    x = join_null_safe(fc, m, keys).filter(F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
     return x.withColumnsRenamed(names) if names else x
 
 

@@ -61,6 +61,11 @@ def ntz_lit(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def ntz_of_us(us: int) -> Column:
+    """A TIMESTAMP_NTZ literal of epoch microseconds (a plain constant: scans are pruned by it)."""
+    return ntz_lit((EPOCH_NTZ + _dt.timedelta(microseconds=int(us))).strftime("%Y-%m-%d %H:%M:%S.%f"))
+
+
 def epoch_lit() -> Column:
     return ntz_lit("1970-01-01 00:00:00")
 
@@ -109,10 +114,9 @@ def from_epoch_us(c) -> Column:
 
 
 def to_epoch_ms(c) -> Column:
-    """timestamp / date / 'YYYY-MM-DD HH:MM:SS' string -> epoch ms."""
-    col = _c(c)
-    return F.floor(epoch_us(F.coalesce(F.try_to_timestamp(col.cast("string")).cast("timestamp_ntz"),
-                                       col.cast("timestamp_ntz"))) / MS).cast("bigint")
+    """timestamp / date / 'YYYY-MM-DD HH:MM:SS' string -> epoch ms; NULL
+    for a string that is no time."""
+    return F.floor(epoch_us(_c(c).try_cast("timestamp_ntz")) / MS).cast("bigint")
 
 
 def floor_us(c, step_us: int, offset_us: int = 0) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbitlens.operators.windows import T, rolling_stats, with_epoch
+from orbitlens.operators.windows import T, join_null_safe, rolling_stats, with_epoch
 
 MA_EXT = ["_ma_anomaly_score", "_ma_anomaly", "_ma_upper_bound", "_ma_lower_bound", "_ma_aggregated"]
 
@@ -105,7 +105,7 @@ def bounds_anomaly(values: DataFrame, bounds: DataFrame, keys: list[str], *, ts:
     J1 inner equi-join on the series keys and the timestamp, both sides
     shuffled once on the same keys.  The value column is dropped.
     """
-    j = values.select(*keys, ts, value).join(bounds.select(*keys, ts, lb, ub), on=[*keys, ts], how="inner")
+    j = join_null_safe(values.select(*keys, ts, value), bounds.select(*keys, ts, lb, ub), [*keys, ts], "inner")
     return j.select(*keys, ts, F.greatest(F.col(lb) - F.col(value), F.col(value) - F.col(ub)).alias(out))
 
 

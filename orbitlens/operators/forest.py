@@ -143,16 +143,23 @@ def _score_block_fn(feature_cols, W, min_periods, n_trees, max_samples, out_col,
         sh = pdf["_sh"].to_numpy(np.int64)
         res = []
         forest, slot = None, None
+
+        def start(j):
+            # first row of the window of row j: the last one with ts <= t_j - W, else the first
+            return max(int(np.searchsorted(t, t[j] - W, side="right")) - 1, 0)
+
         for i in np.nonzero(home)[0]:
-            # window start: last row with ts <= t_i - W, else the first row
-            s = max(int(np.searchsorted(t, t[i] - W, side="right")) - 1, 0)
+            s = start(i)
             if i - s < min_periods or i - s < 1:
                 continue
             if refit_us:
-                # refit at the first scored row of every global time slot (block-independent)
+                # fitted at the slot's first scored row, which may be a halo row of this block
                 my_slot = int(t[i] // refit_us)
                 if forest is None or my_slot != slot:
-                    forest, slot = Forest(X[s:i], _seed(sh[i], t[i]), n_trees, max_samples), my_slot
+                    j = int(np.searchsorted(t, my_slot * refit_us, side="left"))
+                    while j < i and (j - start(j) < min_periods or j - start(j) < 1):
+                        j += 1
+                    forest, slot = Forest(X[start(j):j], _seed(sh[j], t[j]), n_trees, max_samples), my_slot
                 res.append((i, forest.score(X[i])))
             else:
                 res.append((i, Forest(X[s:i], _seed(sh[i], t[i]), n_trees, max_samples).score(X[i])))
@@ -196,7 +203,9 @@ def rolling_isolation_forest(df: DataFrame, keys: list[str], feature_cols: list[
     from orbitlens.operators.windows import join_null_safe
     x = join_null_safe(x, nb, [*keys, "_home"])
     nxt = F.coalesce(F.col("_next"), F.col("_next_blk_first"), F.col("_t"))
-    reach_end = F.floor((nxt + F.lit(W) - 1) / B).cast("bigint")
+    # with refitting, a slot that began before the block brings its own window along
+    reach = W + (duration_us(refit_every) if refit_every else 0)
+    reach_end = F.floor((nxt + F.lit(reach) - 1) / B).cast("bigint")
     x = x.withColumn("_blk", F.explode(F.sequence(F.col("_home"), F.greatest(reach_end, F.col("_home")))))
     x = x.withColumn("_is_home", F.col("_blk") == F.col("_home")) \
          .withColumn("_sh", F.xxhash64(*keys))
@@ -229,7 +238,7 @@ def isolation_forest_anomaly(df: DataFrame, keys: list[str], feature_cols: list[
     ``checkpoint()`` in the shared checkpoint folder, so the upstream plan is
     not recomputed per branch.  A raw parquet input is cheaper to re-scan.
     """
-    from orbitlens.operators.windows import rolling_zscore
+    from orbitlens.operators.windows import join_null_safe, rolling_zscore
     if materialize_input:
         from orbitlens.session import checkpoint_dir
         checkpoint_dir(df.sparkSession)
@@ -241,4 +250,4 @@ def isolation_forest_anomaly(df: DataFrame, keys: list[str], feature_cols: list[
                                   ts=ts, out_col="_raw", **forest_kw)
     z = rolling_zscore(sc, keys, "_raw", window_norm, sigma=sigma, min_periods=min_periods_norm,
                        ts=ts, out=name, tile_us=tile_us)
-    return df.join(z.select(*keys, ts, name), on=[*keys, ts], how="left")
+    return join_null_safe(df, z.select(*keys, ts, name), [*keys, ts])

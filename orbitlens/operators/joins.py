@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbitlens.functions.time import epoch_us
+from orbitlens.operators.windows import join_null_safe
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
@@ -42,15 +43,15 @@ def nearest_row(df: DataFrame, refs: DataFrame, keys: list[str], *, ts: str = "t
     struct (distance, ts) - a grouped aggregation with partial aggregation,
     no sort of the series.
     """
-    x = df.select(*keys, ts).join(refs.select(*keys, ref), on=keys, how="inner")
+    x = join_null_safe(df.select(*keys, ts), refs.select(*keys, ref), keys, "inner")
     d = F.abs(epoch_us(ts) - epoch_us(ref))
     best = (x.groupBy(*keys)
             .agg(F.min(F.struct(d.alias("d"), F.col(ts).alias("t"))).alias("_m"),
                  F.count(F.lit(1)).alias("_n")))
     best = best.select(*keys, F.col("_m.t").alias("nearest_ts"), "_n")
-    after = (x.join(best, on=keys).filter(F.col(ts) > F.col("nearest_ts"))
+    after = (join_null_safe(x, best, keys, "inner").filter(F.col(ts) > F.col("nearest_ts"))
              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_after")))
-    return (best.join(after, on=keys, how="left")
+    return (join_null_safe(best, after, keys)
             .select(*keys, "nearest_ts", F.coalesce("_after", F.lit(0)).cast("bigint").alias("rows_after")))
 
 

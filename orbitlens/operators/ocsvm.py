@@ -64,6 +64,7 @@ def one_class_svm_anomaly(df: DataFrame, keys: list[str], feature_cols: list[str
     in one buffer; ``exact_quantile=True`` restores it for small data.
     """
     from orbitlens.operators.resample import fill_gaps
+    from orbitlens.operators.windows import join_null_safe
     gamma = gamma if gamma is not None else 1.0 / len(feature_cols)
     x = fill_gaps(df.select(*keys, ts, *feature_cols), keys, list(feature_cols), ts=ts, block_us=fill_block_us)
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -73,12 +74,12 @@ def one_class_svm_anomaly(df: DataFrame, keys: list[str], feature_cols: list[str
              .select(*keys, vector_to_array("_mv").alias("_m")))
     # one row per series: adaptive execution broadcasts it when its measured
     # size is below the broadcast threshold, else keeps a shuffle join
-    x = x.join(means, on=keys)
+    x = join_null_safe(x, means, keys, "inner")
     score = F.aggregate(F.zip_with("_m", "_z", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     x = x.select(*keys, ts, *feature_cols, score.alias("_s"))
     q = F.percentile("_s", nu) if exact_quantile else F.percentile_approx("_s", nu, 10000).cast("double")
     rho = x.groupBy(*keys).agg(q.alias("_rho"))
-    out = x.join(rho, on=keys).withColumn(out_col, F.col("_s") - F.col("_rho")).drop("_s", "_rho")
+    out = join_null_safe(x, rho, keys, "inner").withColumn(out_col, F.col("_s") - F.col("_rho")).drop("_s", "_rho")
     if after is not None:
         from orbitlens.sources.telemetry import _ts_lit
         out = out.filter(F.col(ts) > _ts_lit(after))

@@ -65,16 +65,18 @@ def resample_first(df: DataFrame, keys: list[str], every="10s", *, ts: str = "ts
     """T1 (+T2, T3): ``resample(every).first()`` then ``bfill().ffill()``.
 
     First non-null value per bucket, buckets aligned to the epoch and stamped
-    with their start, every bucket between the series' first and last present.
+    with their start, every bucket between the series' first and last row
+    (rows without a value count).
     """
     from orbitlens.operators.stats import expand_gaps
     step = duration_us(every)
-    firsts = (df.filter(F.col(value).isNotNull())
-              .withColumn("_b", _bucket_col(ts, step))
-              .groupBy(*keys, "_b").agg(F.min_by(F.col(value), F.col(ts)).alias(value)))
-    # Every present bucket has a value, so on the dense grid bfill-then-ffill
-    # is "an empty bucket takes the next present bucket's value" (no trailing
-    # empties exist): one lead() instead of two whole-series fills.
+    firsts = (df.withColumn("_b", _bucket_col(ts, step))
+              .groupBy(*keys, "_b")
+              .agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(ts))).alias(value)))
+    if fill:
+        firsts = fill_gaps(firsts, keys, [value], ts="_b")
+    # Every present bucket now has a value (or its series has none), so on the
+    # dense grid an empty bucket takes the next present bucket's: one lead().
     dense = expand_gaps(firsts, keys, step, [value], fill_from_next=(value,) if fill else (),
                         max_buckets_per_series=max_buckets_per_series)
     return dense.select(*keys, from_epoch_us("_b").alias(ts), value)

@@ -46,10 +46,13 @@ def bucket_stats(df: DataFrame, keys: list[str], every="60T", *, ts: str = "ts",
                  exact_median: bool = True, out_ts: str = "bucket_end",
                  block_buckets: int = DEFAULT_BLOCK_BUCKETS,
                  max_buckets_per_series: int | None = None) -> DataFrame:
-    """A1-A9 per (series, bucket)."""
+    """A1-A9 per (series, bucket).
+
+    NULL values belong to their bucket as in pandas: ``energy`` divides by all
+    rows of the bucket, ``max_diff`` takes no step from or to a NULL, the other
+    statistics skip them; a bucket of NULLs has count 0 and energy 0."""
     step = duration_us(every)
-    x = (df.filter(F.col(value).isNotNull())
-         .select(*keys, ts, value, floor_us(epoch_us(ts), step).alias("_b")))
+    x = df.select(*keys, ts, value, floor_us(epoch_us(ts), step).alias("_b"))
     # ties in ts (daily dates) are ordered by value so max_diff is deterministic
     w = Window.partitionBy(*keys, "_b").orderBy(ts, value)
     x = x.withColumn("_d", F.abs(F.col(value) - F.lag(value).over(w)))
@@ -59,7 +62,7 @@ def bucket_stats(df: DataFrame, keys: list[str], every="60T", *, ts: str = "ts",
            .agg(F.avg(v).alias("mean"), F.count(v).alias("count"), med.alias("median"),
                 F.stddev_samp(v).alias("std"), F.skewness(v).alias("_g1"),
                 F.min(v).alias("min"), F.max(v).alias("max"),
-                (F.sum(v * v) / F.count(F.lit(1))).alias("energy"),
+                (F.coalesce(F.sum(v * v), F.lit(0.0)) / F.count(F.lit(1))).alias("energy"),
                 F.kurtosis(v).alias("_g2"), F.max("_d").alias("max_diff")))
     n = F.col("count").cast("double")
     agg = agg.select(*keys, "_b", "mean", "count", "median", "std",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from orbitlens.operators.detect import bounds_anomaly, moving_average_anomaly
 from orbitlens.operators.resample import resample_first
 from orbitlens.operators.stats import STAT_NAMES, bucket_stats, drop_open_bucket
+from orbitlens.operators.windows import join_null_safe
 from orbitlens.sinks.telemetry import high_water_marks, write_metrics
 from orbitlens.sources.state import read_since
 from orbitlens.sources.telemetry import sample_first
@@ -30,7 +31,7 @@ def _after_marks(df: DataFrame, marks: DataFrame, keys: list[str], *, pipeline:
     rows for series without one)."""
     m = (marks.filter((F.col("pipeline") == pipeline) & (F.col("output") == output))
          .select(*keys, F.col("ts").alias("_mark")))
-    return df.join(m, on=keys, how="left").filter(F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
+    return join_null_safe(df, m, keys).filter(F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
 
 
 def aggregation(df: DataFrame, marks: DataFrame, keys: list[str], now, *, every: str = "60T",
@@ -171,9 +172,9 @@ def train_job(df: DataFrame, registry: DataFrame | None, keys: list[str], now, *
     series = df.select(*keys).distinct()
     if registry is not None:
         reg_keys = registry.select(F.col("target").alias("metric"), *[k for k in keys if k != "metric"])
-        series = series.join(reg_keys, on=keys, how="left_anti")
+        series = series.exceptAll(reg_keys.distinct())          # a NULL tag is a value here
     start = from_epoch_us(epoch_us(_ts_lit(now)) - F.lit(history_days * DAY))
-    src = df.join(series, on=keys).filter((F.col("ts") >= start) & (F.col("ts") <= _ts_lit(now)))
+    src = join_null_safe(df, series, keys, "inner").filter((F.col("ts") >= start) & (F.col("ts") <= _ts_lit(now)))
     reg = FT.regular_series(src, keys)
     reg = reg.checkpoint()  # reused by five consumers: cut the lineage once
     sizing = FT.series_sizing(reg, keys)
@@ -226,7 +227,7 @@ def _predict_run(df, latest, marks, keys, now, path, model, cols, horizon):
     lags = [int(c[3:]) for c in cols]
     reg_info = latest.withColumn("length_needed_s", F.col("max_lag") * F.col("freq_s") * 3)
     ctx = model_context_window(marks, reg_info, keys, now)
-    src = df.join(ctx, on=keys).filter((F.col("ts") >= F.col("ctx_start")) & (F.col("ts") <= F.col("ctx_end")))
+    src = join_null_safe(df, ctx, keys, "inner").filter((F.col("ts") >= F.col("ctx_start")) & (F.col("ts") <= F.col("ctx_end")))
     reg = FT.regular_series(src.select(*keys, "ts", "value"), keys)
     spark = df.sparkSession
     if model == "gbt":

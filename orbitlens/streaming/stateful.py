@@ -6,9 +6,11 @@ need (their frames end at the previous point, so they reach back at most W
 before the newest point).  Each micro-batch extends the state with the new
 points of the series (in time order), scores them with the same frame rules
 as the batch operator, emits them, and trims the state to W.  State is
-bounded by the points of one window per series; series that stop sending
-are dropped by an event-time timeout.  Points older than the last point
-already scored for their series are late and dropped.
+bounded by the points of one window and one watermark delay per series;
+series that stop sending are dropped by an event-time timeout.  A point that
+arrives late but within the watermark is scored at its place in time, on the
+points known by then; scores already emitted stay.  Only points behind the
+watermark are dropped, by Spark.
 """
 
 from __future__ import annotations
@@ -19,9 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from orbitlens.functions.time import duration_us, epoch_us, from_epoch_us
+from orbitlens.functions.time import DAY, HOUR, MIN, SEC, duration_us, epoch_us, from_epoch_us
 from orbitlens.streaming.telemetry import EVENT_TIME
 
+#: units of a watermark text
+DELAY_US = {"second": SEC, "minute": MIN, "hour": HOUR, "day": DAY}
+
 
 def _frame_stats(t, x, lo, hi, min_periods):
     """mean / sample std of finite x over rows with lo < t <= hi."""
@@ -42,6 +47,8 @@ def stateful_moving_average(stream: DataFrame, keys: list[str], *, window="30D",
                             value: str = "value", watermark: str = "1 hour") -> DataFrame:
     """Streaming D1 on raw points; output columns as ``moving_average_anomaly``."""
     W = duration_us(window)
+    number, unit = watermark.split()
+    delay = int(DELAY_US[unit.rstrip("s")] * float(number))
     x = (stream.select(*keys, ts, value)
          .withColumn("_t", epoch_us(ts))
          .withColumn(EVENT_TIME, F.timestamp_micros(F.col("_t")))
@@ -62,18 +69,16 @@ def stateful_moving_average(stream: DataFrame, keys: list[str], *, window="30D",
             st_t, st_v, st_r = list(st_t), list(st_v), list(st_r)
         else:
             st_t, st_v, st_r = [], [], []
-        last = st_t[-1] if st_t else None
         new = new.sort_values("_t", kind="stable")
-        if last is not None:
-            new = new[new["_t"] > last]
         nt = new["_t"].to_numpy(np.int64)
         nv = new[value].to_numpy(np.float64)
         t = np.concatenate([np.asarray(st_t, dtype=np.int64), nt])
         v = np.concatenate([np.asarray(st_v, dtype=np.float64), nv])
         r = np.concatenate([np.asarray(st_r, dtype=np.float64), np.full(len(nt), np.nan)])
-        k0 = len(st_t)
+        order = np.argsort(t, kind="stable")               # a new point comes after known ones of its time
+        t, v, r = t[order], v[order], r[order]
         rows = []
-        for i in range(k0, len(t)):
+        for i in np.nonzero(order >= len(st_t))[0]:
             if i == 0:
                 m = mr = sr = np.nan
             else:
@@ -89,9 +94,9 @@ def stateful_moving_average(stream: DataFrame, keys: list[str], *, window="30D",
             anomaly = v[i] if (np.isfinite(score) and score > 1) else np.nan
             rows.append((*key, int(t[i]), score, anomaly, up, lo))
         if len(t):
-            keep = t > t[-1] - W
+            keep = t > t[-1] - W - delay
             state.update((t[keep].tolist(), v[keep].tolist(), r[keep].tolist()))
-            state.setTimeoutTimestamp(int(t[-1] // 1000) + W // 1000)
+            state.setTimeoutTimestamp(int(t[-1] // 1000) + (W + delay) // 1000)
         if rows:
             yield pd.DataFrame(rows, columns=[*keys, "_t", f"{p}_ma_anomaly_score", f"{p}_ma_anomaly",
                                               f"{p}_ma_upper_bound", f"{p}_ma_lower_bound"])

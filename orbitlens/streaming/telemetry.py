@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from orbitlens.functions.time import epoch_us, from_epoch_us
 from orbitlens.operators.stats import corrected_kurt, corrected_skew
+from orbitlens.operators.windows import join_null_safe
 
 EVENT_TIME = "event_time"
 
@@ -62,12 +63,12 @@ def telemetry_stream(spark: SparkSession, path: str, *, schema, glob: str | None
 def tumbling_stats_stream(stream: DataFrame, keys: list[str], every: str = "1 hour", *,
                           watermark: str = "2 hours", ts: str = "ts", value: str = "value") -> DataFrame:
     """ST2: closed-bucket statistics of a stream (same columns as ``bucket_stats``)."""
-    x = with_event_time(stream.filter(F.col(value).isNotNull()), ts).withWatermark(EVENT_TIME, watermark)
+    x = with_event_time(stream, ts).withWatermark(EVENT_TIME, watermark)
     v = F.col(value)
     g = x.groupBy(*keys, F.window(EVENT_TIME, every).alias("_w")).agg(
         F.avg(v).alias("mean"), F.count(v).alias("count"), F.median(v).alias("median"),
         F.stddev_samp(v).alias("std"), F.skewness(v).alias("_g1"), F.min(v).alias("min"),
-        F.max(v).alias("max"), (F.sum(v * v) / F.count(F.lit(1))).alias("energy"),
+        F.max(v).alias("max"), (F.coalesce(F.sum(v * v), F.lit(0.0)) / F.count(F.lit(1))).alias("energy"),
         F.kurtosis(v).alias("_g2"),
         F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), v.alias("v")))).alias("_pts"))
     pts = F.col("_pts")
@@ -126,8 +127,8 @@ def lookback_detector(detect_fn, *, keys: list[str], history_path: str, out_path
         try:
             hist = spark.read.parquet(history_path).filter(F.col("batch_id") != batch_id)
             # the day partition prunes whole folders, the ts filter the rest
-            hist = (hist.filter((F.col("date") >= F.to_date(lo)) & (F.col(ts) >= lo))
-                    .join(b.select(*keys).distinct(), on=keys)
+            hist = hist.filter((F.col("date") >= F.to_date(lo)) & (F.col(ts) >= lo))
+            hist = (join_null_safe(hist, b.select(*keys).distinct(), keys, "inner")
                     .select(*keys, ts, "value").withColumn("_new", F.lit(False)))
             allrows = hist.unionByName(b)
         except AnalysisException as e:
@@ -136,7 +137,7 @@ def lookback_detector(detect_fn, *, keys: list[str], history_path: str, out_path
             allrows = b
         newkeys = b.select(*keys, ts, "_new")
         det = detect_fn(allrows.drop("_new"))
-        res = det.join(newkeys, on=[*keys, ts], how="inner").drop("_new")
+        res = join_null_safe(det, newkeys, [*keys, ts], "inner").drop("_new")
         res.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
         (batch.select(*keys, ts, "value").withColumn("date", F.to_date(ts))
          .write.mode("overwrite").partitionBy("date")
@@ -151,7 +152,7 @@ def bounds_join_stream(values: DataFrame, bounds: DataFrame, keys: list[str], *,
     v = with_event_time(values.select(*keys, ts, value), ts).withWatermark(EVENT_TIME, watermark)
     b = bounds.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col(ts).alias("_b_ts"), lb, ub)
     b = b.withColumn("_b_et", F.timestamp_micros(epoch_us("_b_ts"))).withWatermark("_b_et", watermark)
-    cond = [F.col(k) == F.col(f"_b_{k}") for k in keys] + [F.col(EVENT_TIME) == F.col("_b_et")]
+    cond = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys] + [F.col(EVENT_TIME) == F.col("_b_et")]
     j = v.join(b, on=cond, how="inner")
     return j.select(*keys, ts, F.greatest(F.col(lb) - F.col(value), F.col(value) - F.col(ub)).alias("bounds_score"))
 
