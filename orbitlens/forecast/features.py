@@ -195,7 +195,8 @@ def build_features(reg: DataFrame, keys: list[str], lags, *, window_lags=(), win
     if season:
         x = fourier_features(x, season, idx=idx)
     if exogenous is not None:
-        x = x.join(exogenous, on=[*keys, "ts"], how="left")
+        from orbitlens.operators.windows import join_null_safe
+        x = join_null_safe(x, exogenous, [*keys, "ts"])
     feats = [f"lag{int(k)}" for k in lags]
     return x.na.drop("any", subset=feats) if drop_missing and feats else x
 

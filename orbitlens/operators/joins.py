@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbitlens.functions.time import epoch_us
+from orbitlens.operators.resample import fill_gaps
 from orbitlens.operators.windows import join_null_safe
 
 
@@ -25,8 +29,21 @@ def align_series(left: DataFrame, right: DataFrame, keys: list[str], *, ts: str
 
 
 def merge_outer(left: DataFrame, right: DataFrame, keys: list[str], *, ts: str = "ts") -> DataFrame:
-    """Full outer join on (series, ts)."""
-    return left.join(right, on=[*keys, ts], how="full_outer")
+    """Full outer join on (series, ts), null-safe; columns: keys, ts, left's others, right's others."""
+    on = [*keys, ts]
+    a = left.withColumnsRenamed({c: f"_l_{c}" for c in on})
+    b = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    cond = reduce(and_, [F.col(f"_l_{c}").eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    both = [F.coalesce(f"_l_{c}", f"_r_{c}").alias(c) for c in on]
+    return a.join(b, cond, "full_outer").select(*both, *[c for d in (left, right) for c in d.columns if c not in on])
+
+
+def merge_exogenous(history: DataFrame, future: DataFrame, keys: list[str], cols: list[str], *, ts: str = "ts",
+                    block_us: int | None = None) -> DataFrame:
+    """History joined with (future) exogenous values on (series, ts), rows of
+    both kept; then ``cols`` are filled forward and, where a series starts
+    without a value, backward.  ``block_us`` tiles the fill (hot series)."""
+    return fill_gaps(merge_outer(history, future, keys, ts=ts), keys, cols, ts=ts, order="ffill_bfill", block_us=block_us)
 
 
 def fill_target_with_forecast(df: DataFrame, *, y: str = "y", yhat: str = "yhat") -> DataFrame:

@@ -39,7 +39,10 @@ def aggregation(df: DataFrame, marks: DataFrame, keys: list[str], now, *, every:
     """Read since the mark -> bucket statistics -> drop the open bucket ->
     one long row per (series, bucket, statistic), NULL statistics dropped."""
     src = read_since(df, marks, keys, now, pipeline=pipeline, output=output, align=every)
-    st = drop_open_bucket(bucket_stats(src, keys, every), keys)
+    return _statistic_rows(drop_open_bucket(bucket_stats(src, keys, every), keys), keys, every)
+
+
+def _statistic_rows(st: DataFrame, keys: list[str], every: str) -> DataFrame:
     long = st.withColumn("count", F.col("count").cast("double")) \
              .unpivot([*keys, "bucket_end"], STAT_NAMES, "stat", "value") \
              .filter(F.col("value").isNotNull())
@@ -120,6 +123,19 @@ def retention(df: DataFrame, now, days: int = 7, *, ts: str = "ts") -> DataFrame
     return _r(df, now, days, ts=ts)
 
 
+def aggregation_run(df: DataFrame, marks: DataFrame, keys: list[str], now, *, every: str = "60T",
+                    pipeline: str = "aggregation", output: str = "stats") -> tuple[DataFrame, DataFrame]:
+    """P1 + K9: (rows, new marks) of one run.  The closed statistics are
+    written once with ``checkpoint()`` and both come from them, so a bucket that
+    closes while the run goes on is neither written nor marked."""
+    from orbitlens.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    src = read_since(df, marks, keys, now, pipeline=pipeline, output=output, align=every)
+    st = drop_open_bucket(bucket_stats(src, keys, every), keys).checkpoint()
+    return (_statistic_rows(st, keys, every),
+            high_water_marks(st.withColumnRenamed("bucket_end", "ts"), keys, pipeline=pipeline, output=output))
+
+
 def aggregation_marks(df: DataFrame, marks: DataFrame, keys: list[str], now, *, every: str = "60T",
                       pipeline: str = "aggregation", output: str = "stats") -> DataFrame:
     """K9 for P1: per source series, the end of the last closed bucket written."""
@@ -128,17 +144,20 @@ def aggregation_marks(df: DataFrame, marks: DataFrame, keys: list[str], now, *,
     return high_water_marks(st.withColumnRenamed("bucket_end", "ts"), keys, pipeline=pipeline, output=output)
 
 
-def run_and_commit(rows: DataFrame, new_marks: DataFrame, *, out_path: str, marks_path: str) -> None:
+def run_and_commit(rows: DataFrame, new_marks: DataFrame, *, out_path: str, marks_path: str,
+                   batch_id: str | None = None) -> None:
     """Append ``rows`` to the output table, then add the new marks to the mark table.
 
     Marks are only ever added: a series that is silent in this run, and every
     other pipeline's marks, stay.  ``current_marks`` reads the newest per key.
 
-    Output first, marks second: if the job dies in between, the next run
-    re-reads from the old mark and rewrites the same (series, ts) rows, which
-    readers deduplicate (``streaming.dedup_latest``).
+    Output first, marks second.  If the job dies in between, a new try with the
+    same ``batch_id`` replaces the rows of the first; a run with another id
+    re-reads from the old mark and writes the same (series, ts) rows again, of
+    which ``streaming.telemetry.dedup_latest`` reads one.  Take rows and marks
+    from one evaluation (``aggregation_run``).
     """
-    write_metrics(rows, out_path)
+    write_metrics(rows, out_path, batch_id=batch_id)
     new_marks.write.mode("append").parquet(marks_path)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orbitlens.functions.output import q, q_sql, round_doubles
 from orbitlens.functions.time import DAY, HOUR, normalize_epoch_ms, to_epoch_ms
 from orbitlens.operators.filters import (
-    after_checkpoint, drop_incomplete, filter_intervals, scale_metric,
+    after_checkpoint, drop_incomplete, filter_intervals, rename_columns, scale_metric,
 )
 from orbitlens.operators.joins import align_series, merge_outer, nearest_row, series_fanout
 from orbitlens.operators.reshape import pivot_by_series, split_by_tags, unpivot_metrics
@@ -383,3 +383,28 @@ def q_to_format_json(spark, sf_dir):
     t = tele(spark, sf_dir).filter(F.col("metric") == "click")
     t = t.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return to_format(t, "JSON")
+
+
+# ------------------------------------------------------------------ K5, K6, K4
+@register("write_rows_with_tags", sql=f"""
+WITH {S.TELE}
+SELECT 'raw_value' AS metric, 'GS1' AS station, satellite, ts, {V} AS value FROM tele
+UNION ALL
+SELECT 'raw_half' AS metric, 'GS1' AS station, satellite, ts, {q_sql('value / 2')} AS value FROM tele
+""")
+def q_write_rows_with_tags(spark, sf_dir):
+    """K5/K6: a constant tag is added, the value columns are all the rest."""
+    wide = tele(spark, sf_dir).select("satellite", "ts", "value", (F.col("value") / 2).alias("half"))
+    return round_doubles(to_metric_rows(wide, tag_cols=["satellite"], tags={"station": "GS1"}, extension="raw_", prefix=True))
+
+
+# ------------------------------------------------------------------ F7
+@register("rename_columns", sql=f"""
+WITH {S.TELE}
+SELECT metric, satellite AS unit, ts, {V} AS y FROM tele
+""")
+def q_rename_columns(spark, sf_dir):
+    """renamed by mapping, lag columns dropped by name."""
+    from orbitlens.operators.windows import lag_features
+    return round_doubles(rename_columns(lag_features(tele(spark, sf_dir), KEYS, "value", [1, 2]),
+                                        {"value": "y", "satellite": "unit"}, drop_like="lag"))

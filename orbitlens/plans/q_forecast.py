@@ -11,6 +11,30 @@ from orbitlens.plans.catalog import KEYS, register, tele
 from orbitlens.plans.q_series import fill_sql
 
 PK = "PARTITION BY metric, satellite"
+
+
+@register("merge_exogenous", sql=f"""
+WITH {S.TELE},
+h AS (SELECT metric, satellite, date_trunc('hour', ts) AS ts, avg(value) AS y FROM tele GROUP BY ALL),
+e AS (SELECT satellite, date_trunc('hour', ts) + INTERVAL 1 DAY AS ts, count(*)::DOUBLE AS load FROM tele GROUP BY ALL),
+s AS (SELECT DISTINCT metric, satellite FROM tele),
+x AS (SELECT s.metric, s.satellite, e.ts, e.load FROM s JOIN e ON s.satellite = e.satellite),
+j AS (SELECT coalesce(h.metric, x.metric) AS metric, coalesce(h.satellite, x.satellite) AS satellite,
+             coalesce(h.ts, x.ts) AS ts, h.y, x.load
+      FROM h FULL JOIN x ON h.metric = x.metric AND h.satellite = x.satellite AND h.ts = x.ts)
+SELECT metric, satellite, ts, {q_sql(fill_sql('y', 'ts', 'f'))} AS y, {q_sql(fill_sql('load', 'ts', 'f'))} AS load FROM j
+""")
+def q_merge_exogenous(spark, sf_dir):
+    """Hourly means with the satellite's load of a day earlier, which reaches a day past the history."""
+    from orbitlens.operators.joins import merge_exogenous
+    t = tele(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    y = t.groupBy(*KEYS, "ts").agg(F.avg("value").alias("y"))
+    load = (t.groupBy("satellite", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+            .agg(F.count("*").cast("double").alias("load")))
+    series = t.select(*KEYS).distinct()
+    return round_doubles(merge_exogenous(y, series.join(load, "satellite").select(*KEYS, "ts", "load"), KEYS, ["y", "load"]))
+
+
 REG_SQL = f"""
 g0 AS (SELECT metric, satellite, epoch_us(ts) - lag(epoch_us(ts)) OVER ({PK} ORDER BY ts) AS gap FROM tele),
 fr AS (SELECT metric, satellite, greatest(1, floor(median(gap) / 1000000))::BIGINT AS freq_s FROM g0

@@ -58,8 +58,14 @@ def to_metric_rows(df: DataFrame, *, ts: str = "ts", tag_cols: list[str] | None
 
 
 def write_metrics(long: DataFrame, path: str, *, ts: str = "ts", mode: str = "append",
-                  max_records_per_file: int = VALUES_PER_SLICE) -> None:
-    """Append long rows to a parquet table partitioned by metric and day."""
+                  max_records_per_file: int = VALUES_PER_SLICE, batch_id: str | None = None) -> None:
+    """Append long rows to a parquet table partitioned by metric and day.
+
+    With ``batch_id`` the rows go to that batch's own ``batch_id=`` folder and
+    replace what an earlier try of the batch left there (ST7); one table takes
+    either all its writes with a batch id or none."""
+    if batch_id is not None:
+        path, mode = f"{path.rstrip('/')}/batch_id={batch_id}", "overwrite"
     (long.withColumn("date", F.to_date(ts))
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("metric", "date").parquet(path))

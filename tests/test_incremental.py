@@ -65,3 +65,22 @@ def test_marks_of_silent_series_and_other_pipelines_stay(spark, tmp_path):
     P.run_and_commit(rows, spark.createDataFrame([("a", "o", "m", "S", t[1])], schema), out_path=str(tmp_path / "out"), marks_path=path)
     got = {(r.pipeline, r.metric, r.satellite): r.ts for r in P.current_marks(spark, path, keys).collect()}
     assert got == {("a", "m", "S"): t[1], ("a", "n", "S"): t[0], ("b", "m", None): t[2]}
+
+
+def test_rows_and_marks_of_one_run_survive_a_crash_between_them(spark, tmp_path):
+    from orbitlens.streaming.telemetry import dedup_latest
+    t = events_telemetry(spark, SF_SMALL)
+    none = spark.createDataFrame([], "pipeline string, output string, metric string, satellite string, ts timestamp_ntz")
+    now, out, path = "2024-01-10 12:00:00", str(tmp_path / "out"), str(tmp_path / "marks")
+    rows, marks = P.aggregation_run(t, none, KEYS, now)
+    write = lambda batch: P.write_metrics(rows, out, batch_id=batch)
+    write("1")                                                 # died here, before the marks
+    P.run_and_commit(rows, marks, out_path=out, marks_path=path, batch_id="1")
+    stored = spark.read.parquet(out)
+    assert stored.count() == rows.count() > 0
+    top = {(r.metric, r.satellite): r.ts for r in P.current_marks(spark, path, KEYS).collect()}
+    last = stored.where(F.col("metric").endswith("_agg_count_60T")).groupBy("metric", "satellite").agg(F.max("ts").alias("ts"))
+    assert top == {(r.metric.removesuffix("_agg_count_60T"), r.satellite): r.ts for r in last.collect()}
+    write("2")                                                 # another run wrote the same rows
+    assert spark.read.parquet(out).count() == 2 * rows.count()
+    assert dedup_latest(spark.read.parquet(out), ["metric", "satellite"]).count() == rows.count()

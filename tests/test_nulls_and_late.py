@@ -115,3 +115,13 @@ def test_points_late_within_the_watermark_are_scored(spark):
     out = spark.read.parquet(f"{d}/out").toPandas()
     assert len(out) == 121 and (out["ts"] == pd.Timestamp(rows[60][1])).sum() == 2
     assert out.sort_values("ts")["value_ma_upper_bound"].notna().sum() > 110
+
+
+def test_outer_merge_and_exogenous_fill_keep_null_tags(spark):
+    from orbitlens.operators.joins import merge_exogenous
+    history = frame(spark, [(s, at(60 * i), float(i)) for s in ("S", None) for i in range(3)]).withColumnRenamed("value", "y")
+    future = frame(spark, [(s, at(60 * i), float(10 * i)) for s in ("S", None) for i in (1, 4)]).withColumnRenamed("value", "x")
+    got = merge_exogenous(history, future, KEYS, ["x"]).where("satellite is null").orderBy("ts").collect()
+    assert [(r["y"], r["x"]) for r in got] == [(0.0, 10.0), (1.0, 10.0), (2.0, 10.0), (None, 40.0)]
+    tiled = merge_exogenous(history, future, KEYS, ["x"], block_us=7_200_000_000).where("satellite = 'S'").orderBy("ts").collect()
+    assert [r["x"] for r in tiled] == [10.0, 10.0, 10.0, 40.0]
