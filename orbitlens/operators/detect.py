@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orbitlens.functions.time import duration_us
 from orbitlens.operators.windows import T, join_null_safe, rolling_stats, with_epoch
 
 MA_EXT = ["_ma_anomaly_score", "_ma_anomaly", "_ma_upper_bound", "_ma_lower_bound", "_ma_aggregated"]
@@ -91,6 +92,16 @@ def _ma_many(df, keys, cols, *, ts, return_aggregated, return_bounds, **kw):
     return wide.select(*keys, ts, *[F.col(f"{c}_{e[1:]}").alias(f"{c}{e}") for e in exts for c in cols])
 
 
+def history_needed_us(window) -> int:
+    """How far before a point the moving-average detector looks.
+
+    A point's frame ends at the point before it and holds residuals, whose own
+    frames end at the point before each: two windows and two steps between
+    neighbouring points.  A third window covers the steps as long as the two
+    together are no longer than that."""
+    return 3 * duration_us(window)
+
+
 def flag_out_of_bounds(x, lb, ub):
     """F8: the value when it lies outside [lb, ub], else NULL."""
     x, lb, ub = (F.col(c) if isinstance(c, str) else c for c in (x, lb, ub))

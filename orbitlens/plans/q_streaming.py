@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orbitlens.functions.output import round_doubles
+from orbitlens.functions.time import HOUR, epoch_us
 from orbitlens.operators.stats import STAT_NAMES
 from orbitlens.plans import sqlparts as S
 from orbitlens.plans.catalog import KEYS, register
@@ -20,11 +21,40 @@ def events_stream(spark, sf_dir):
                         tags={"satellite": F.concat(F.lit("SAT"), (F.col("user_id") % 3).cast("string"))})
 
 
-@register("stream_tumbling_stats", sql=f"""
+def run_ticks(spark, sf_dir, base, tick, late_us: int = 0, ticks: int = 3):
+    """All events arrive in ``ticks`` parts, oldest first and each row up to
+    ``late_us`` late; after every arrival ``tick(stream of the folder)`` runs once."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    t = epoch_us("ts")
+    lo, hi = events.agg(F.min(t), F.max(t)).first()
+    if lo is None:
+        lo = hi = 0
+    arrives = t + F.pmod(F.xxhash64("event_id"), F.lit(late_us + 1))
+    part = F.least(F.floor((arrives - lo) * ticks / (hi - lo + 1)), F.lit(ticks - 1))
+    for i in range(ticks):
+        events.where(part == i).write.mode("append").parquet(f"{base}/in")
+        raw = ST.telemetry_stream(spark, f"{base}/in", schema=events.schema)
+        tick(to_telemetry(raw, metric="event_type", ts="ts", value="value",
+                          tags={"satellite": F.concat(F.lit("SAT"), (F.col("user_id") % 3).cast("string"))}))
+
+
+STATS_SQL = f"""
 WITH {S.TELE}, {S.stats_ctes()}
 SELECT metric, satellite, bucket_end, "count", {S.rounded([c for c in STAT_NAMES if c != "count"])} FROM stats
 WHERE "count" > 0 AND bucket_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR
-""")
+"""
+
+
+@register("stream_tumbling_stats_ticks", sql=STATS_SQL)
+def q_stream_tumbling_stats_ticks(spark, sf_dir):
+    """ST2 + ST6: three ticks, rows up to an hour late, a watermark of two hours."""
+    base = ST.scratch_path(spark, "stream-stats-ticks")
+    run_ticks(spark, sf_dir, base, late_us=HOUR, tick=lambda t: ST.run_available_now(
+        ST.tumbling_stats_stream(t, KEYS, "1 hour", watermark="2 hours"), f"{base}/out", f"{base}/ckpt"))
+    return round_doubles(spark.read.parquet(f"{base}/out"))
+
+
+@register("stream_tumbling_stats", sql=STATS_SQL)
 def q_stream_tumbling_stats(spark, sf_dir):
     """ST1 + ST2: hourly statistics of the events stream, closed buckets only."""
     base = ST.scratch_path(spark, "stream-stats")
@@ -46,11 +76,11 @@ _ma_ctes, _ma_sel = S.ma_sql("tele", "ts", ["value"], 86_400_000_000, 5, 4.0, 0.
 @register("stream_lookback_detector", sql=f"WITH {S.TELE}, {_ma_ctes} {_ma_sel}")
 def q_stream_lookback_detector(spark, sf_dir):
     """ST3: moving-average detector run by foreachBatch with a history tail."""
-    from orbitlens.operators.detect import moving_average_anomaly
+    from orbitlens.operators.detect import history_needed_us, moving_average_anomaly
     base = ST.scratch_path(spark, "stream-lookback")
     fn = ST.lookback_detector(
         lambda d: moving_average_anomaly(d, KEYS, ["value"], window="1D", min_periods=5),
-        keys=KEYS, history_path=f"{base}/history", out_path=f"{base}/out", lookback_us=2 * 86_400_000_000)   # the detector reaches back two windows
+        keys=KEYS, history_path=f"{base}/history", out_path=f"{base}/out", lookback_us=history_needed_us("1D"))
     q = (events_stream(spark, sf_dir).writeStream.foreachBatch(fn)
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -86,3 +116,30 @@ def q_stream_stateful_detector(spark, sf_dir):
                                   watermark="2 hours")
     ST.run_available_now(det, f"{base}/out", f"{base}/ckpt")
     return round_doubles(spark.read.parquet(f"{base}/out"))
+
+
+@register("stream_stateful_detector_ticks", sql=f"WITH {S.TELE}, {_ma_ctes} {_ma_sel}")
+def q_stream_stateful_detector_ticks(spark, sf_dir):
+    """ST4 over three ticks: the state of a tick continues in the next."""
+    from orbitlens.streaming.stateful import stateful_moving_average
+    base = ST.scratch_path(spark, "stream-state-ticks")
+    run_ticks(spark, sf_dir, base, tick=lambda t: ST.run_available_now(
+        stateful_moving_average(t, KEYS, window="1D", min_periods=5, watermark="2 hours"), f"{base}/out", f"{base}/ckpt"))
+    return round_doubles(spark.read.parquet(f"{base}/out"))
+
+
+@register("stream_lookback_detector_ticks", sql=f"WITH {S.TELE}, {_ma_ctes} {_ma_sel}")
+def q_stream_lookback_detector_ticks(spark, sf_dir):
+    """ST3 + ST7 over three ticks, each with its own ``batch_id=`` folder."""
+    from orbitlens.operators.detect import history_needed_us, moving_average_anomaly
+    base = ST.scratch_path(spark, "stream-lookback-ticks")
+    fn = ST.lookback_detector(
+        lambda d: moving_average_anomaly(d, KEYS, ["value"], window="1D", min_periods=5),
+        keys=KEYS, history_path=f"{base}/history", out_path=f"{base}/out", lookback_us=history_needed_us("1D"))
+
+    def tick(t):
+        (t.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start().awaitTermination())
+
+    run_ticks(spark, sf_dir, base, tick)
+    return round_doubles(spark.read.parquet(f"{base}/out").drop("batch_id"))
