@@ -98,8 +98,9 @@ def _acf_block_fn(max_lag: int, keys: list[str]):
         pos = pdf["idx"].to_numpy(np.int64) - blk_start
         z[pos] = pdf["_z"].to_numpy(np.float64)
         home = z[:B]
-        sums = np.array([home @ z[k:k + B] for k in range(max_lag + 1)])
-        out = pd.DataFrame({"lag": np.arange(max_lag + 1, dtype=np.int64), "_s": sums})
+        top = min(max_lag, int(pos.max() - pos.min()))       # a lag without any pair has no value
+        sums = np.array([home @ z[k:k + B] for k in range(top + 1)])
+        out = pd.DataFrame({"lag": np.arange(top + 1, dtype=np.int64), "_s": sums})
         for k in keys:
             out[k] = pdf[k].iloc[0]
         return out
@@ -108,7 +109,7 @@ def _acf_block_fn(max_lag: int, keys: list[str]):
 
 def autocorrelation(reg: DataFrame, keys: list[str], max_lag: int, *, value: str = "value",
                     idx: str = "idx", block: int = 8192) -> DataFrame:
-    """M2: ACF for lags 0..max_lag of each regular series.
+    """M2: ACF for lags 0..max_lag of each regular series, as far as the series goes.
 
     acf_k = sum_i z_i z_(i+k) / sum_i z_i^2, z = value - mean (statsmodels'
     non-adjusted estimator).  Tiled: the grid is cut into blocks of ``block``

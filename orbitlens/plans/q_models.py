@@ -40,10 +40,47 @@ from orbitlens.forecast import models as MD  # noqa: E402
 from orbitlens.forecast import seasonality as SE  # noqa: E402
 from orbitlens.functions.output import q_sql  # noqa: E402
 from orbitlens.plans import sqlparts as S  # noqa: E402
-from orbitlens.plans.q_forecast import REG_SQL, reg_of  # noqa: E402
-
-
-@register("acf_peaks")
+from orbitlens.plans.q_forecast import PK, REG_SQL, reg_of  # noqa: E402
+
+
+def prominence_sql(name: str, peaks: str, curve: str) -> str:
+    """CTEs: ``{name}`` = the rows of ``peaks`` with the column ``{name}_p``, their prominence on ``curve``."""
+    on = f"FROM {peaks} p JOIN {curve} x ON x.metric = p.metric AND x.satellite = p.satellite"
+    return f"""
+{name}_h AS (SELECT p.metric, p.satellite, p.lag, max(x.lag) FILTER (WHERE x.lag < p.lag AND x.v > p.v) AS lo,
+                    min(x.lag) FILTER (WHERE x.lag > p.lag AND x.v > p.v) AS hi {on} GROUP BY ALL),
+{name}_b AS (SELECT h.metric, h.satellite, h.lag, min(x.v) FILTER (WHERE x.lag <= h.lag AND x.lag > coalesce(h.lo, -1)) AS l,
+                    min(x.v) FILTER (WHERE x.lag >= h.lag AND (h.hi IS NULL OR x.lag < h.hi)) AS r
+             FROM {name}_h h JOIN {curve} x ON x.metric = h.metric AND x.satellite = h.satellite GROUP BY ALL),
+{name} AS (SELECT p.*, p.v - greatest(b.l, b.r) AS {name}_p FROM {peaks} p
+           JOIN {name}_b b ON b.metric = p.metric AND b.satellite = p.satellite AND b.lag = p.lag)"""
+
+
+# with 241 values the spacing is two, which neighbouring peaks always keep
+ACF_PEAKS_SQL = f"""
+z AS (SELECT metric, satellite, idx, value - avg(value) OVER ({PK}) AS z FROM reg),
+k AS (SELECT range AS lag FROM range(0, 241)),
+ps AS (SELECT a.metric, a.satellite, k.lag, sum(a.z * b.z) AS s
+       FROM z a CROSS JOIN k JOIN z b ON b.metric = a.metric AND b.satellite = a.satellite AND b.idx = a.idx + k.lag GROUP BY ALL),
+acf AS (SELECT p.metric, p.satellite, p.lag, p.s / c.s AS v, floor(count(*) OVER (PARTITION BY p.metric, p.satellite) * 0.05) AS start
+        FROM ps p JOIN ps c ON c.metric = p.metric AND c.satellite = p.satellite AND c.lag = 0),
+tail AS (SELECT * FROM acf WHERE lag >= start),
+r0 AS (SELECT *, coalesce((v <> lag(v) OVER ({PK} ORDER BY lag))::INT, 1) AS fresh FROM tail),
+r1 AS (SELECT *, sum(fresh) OVER ({PK} ORDER BY lag) AS run FROM r0),
+r2 AS (SELECT metric, satellite, run, min(lag) AS a, max(lag) AS z, min(v) AS v FROM r1 GROUP BY ALL),
+r3 AS (SELECT *, lag(v) OVER ({PK} ORDER BY run) AS before, lead(v) OVER ({PK} ORDER BY run) AS after FROM r2),
+tops AS (SELECT metric, satellite, ((a + z) // 2)::BIGINT AS lag, v FROM r3 WHERE before < v AND after < v),
+{prominence_sql("own", "tops", "tail")},
+good AS (SELECT * FROM own WHERE own_p >= 0.01),
+{prominence_sql("whole", "good", "acf")},
+placed AS (SELECT *, row_number() OVER ({PK} ORDER BY lag) AS place, count(*) OVER ({PK}) AS m FROM whole),
+few AS (SELECT metric, satellite, lag, place AS rank FROM placed WHERE m <= 6),
+many AS (SELECT metric, satellite, lag, row_number() OVER ({PK} ORDER BY whole_p DESC, lag DESC) AS rank
+         FROM placed WHERE m > 6 AND place > 4),
+acf_lags AS (SELECT * FROM few UNION ALL SELECT * FROM many WHERE rank <= 6)"""
+
+
+@register("acf_peaks", sql=f"WITH {S.TELE}, {REG_SQL}, {ACF_PEAKS_SQL} SELECT metric, satellite, lag, rank FROM acf_lags")
 def q_acf_peaks(spark, sf_dir):
     """M3 + L2: prominent ACF peaks per series (ACF up to 240 lags)."""
     acf = FT.autocorrelation(reg_of(spark, sf_dir), KEYS, 240)
