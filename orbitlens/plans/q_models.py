@@ -202,7 +202,48 @@ def _linear_fc(spark, sf_dir, horizon=36):
     return MD.apply_intervals(fc, q, KEYS)
 
 
-@register("linear_forecast")
+#: least squares on two lags from centred moments, then three blocks of twelve steps
+LINEAR_FC_SQL = f"""
+ft AS (SELECT *, lag(value, 12) OVER ({PK} ORDER BY idx) AS x1, lag(value, 24) OVER ({PK} ORDER BY idx) AS x2 FROM reg),
+fu AS (SELECT * FROM ft WHERE x1 IS NOT NULL AND x2 IS NOT NULL),
+mo AS (SELECT metric, satellite, var_pop(x1) AS c11, var_pop(x2) AS c22, covar_pop(x1, x2) AS c12,
+              covar_pop(x1, value) AS c1y, covar_pop(x2, value) AS c2y, avg(value) AS my, avg(x1) AS m1, avg(x2) AS m2
+       FROM fu GROUP BY ALL),
+b12 AS (SELECT *, (c22 * c1y - c12 * c2y) / (c11 * c22 - c12 * c12) AS b1,
+                  (c11 * c2y - c12 * c1y) / (c11 * c22 - c12 * c12) AS b2 FROM mo),
+en AS (SELECT metric, satellite, max(idx) AS li, max(ts) AS lt, max(freq_s) AS fs FROM reg GROUP BY ALL),
+co AS (SELECT b.metric, b.satellite, my - b1 * m1 - b2 * m2 AS b0, b1, b2, li, lt, fs
+       FROM b12 b JOIN en ON en.metric = b.metric AND en.satellite = b.satellite),
+known AS (SELECT r.metric, r.satellite, r.idx - co.li AS step, r.value AS yhat
+          FROM reg r JOIN co ON co.metric = r.metric AND co.satellite = r.satellite WHERE r.idx > co.li - 24),
+{{blocks}},
+fc AS (SELECT * FROM k3 WHERE step > 0),
+re AS (SELECT f.metric, f.satellite, (co.li - f.idx) % 12 + 1 AS cls,
+              quantile_cont(abs(f.value - (co.b0 + co.b1 * f.x1 + co.b2 * f.x2)), 0.99) AS q
+       FROM fu f JOIN co ON co.metric = f.metric AND co.satellite = f.satellite WHERE f.idx > co.li - 60 GROUP BY ALL),
+lin AS (SELECT fc.metric, fc.satellite, fc.step, make_timestamp(epoch_us(co.lt) + fc.step * co.fs * 1000000) AS ts, fc.yhat,
+               fc.yhat - re.q AS lo_99, fc.yhat + re.q AS hi_99
+        FROM fc JOIN co ON co.metric = fc.metric AND co.satellite = fc.satellite
+        LEFT JOIN re ON re.metric = fc.metric AND re.satellite = fc.satellite AND re.cls = (fc.step - 1) % 12 + 1)"""
+
+
+def _block_sql(i: int) -> str:
+    """Steps of block ``i`` (1, 2, 3) from what the block before it knows."""
+    old = "known" if i == 1 else f"k{i - 1}"
+    return f"""
+k{i} AS (SELECT * FROM {old} UNION ALL
+       SELECT a.metric, a.satellite, a.step + 12, co.b0 + co.b1 * a.yhat + co.b2 * z.yhat
+       FROM {old} a JOIN {old} z ON z.metric = a.metric AND z.satellite = a.satellite AND z.step = a.step - 12
+       JOIN co ON co.metric = a.metric AND co.satellite = a.satellite WHERE a.step > {12 * (i - 2)})"""
+
+
+LINEAR_FC_SQL = LINEAR_FC_SQL.replace("{blocks}", ",".join(_block_sql(i) for i in (1, 2, 3)))
+
+
+@register("linear_forecast", sql=f"""
+WITH {S.TELE}, {REG_SQL}, {LINEAR_FC_SQL}
+SELECT metric, satellite, ts, {q_sql('yhat')} AS yhat, {q_sql('lo_99')} AS lo_99, {q_sql('hi_99')} AS hi_99 FROM lin
+""")
 def q_linear_forecast(spark, sf_dir):
     """Regular series -> lag features -> per-series OLS -> 36-step recursive
     forecast in blocks of 12 -> 99 % conformal band."""
@@ -220,7 +261,11 @@ def q_gbt_forecast(spark, sf_dir):
     return round_doubles(fc.select(*KEYS, "ts", "yhat"))
 
 
-@register("predict_after_checkpoint")
+@register("predict_after_checkpoint", sql=f"""
+WITH {S.TELE}, {REG_SQL}, {LINEAR_FC_SQL}
+SELECT metric, satellite, ts, {q_sql('yhat')} AS prediction, {q_sql('lo_99')} AS "LB", {q_sql('hi_99')} AS "UB"
+FROM lin WHERE step BETWEEN 2 AND 24
+""")
 def q_predict_after_checkpoint(spark, sf_dir):
     """P8 tail (M18): forecast rows after each series' mark, named columns."""
     fc = _linear_fc(spark, sf_dir, horizon=24)
