@@ -12,9 +12,12 @@ Method
 4. A second alignment applies the wrapper: template texts go, and so does what
    element names, roles and class names declare as menu, header, footer,
    sidebar, notice, advert, form or comments, and blocks that are mostly links
-   outside an article.  Where a page marks its article (``article`` or
-   ``main``), just that is read, and its own texts are never template: copies
-   of an article on one host must not wipe it out.
+   outside an article.  Slots decide inside and outside of ``article`` and
+   ``main`` alike.  Pages of a host with equal texts in equal trees count once:
+   copies of a page must not wipe it out.
+5. Where a host has fewer than ``least_pages`` different pages, nothing tells
+   content from template; only there ``article`` and ``main`` are a hint: they
+   are read alone if they hold at least half of the page's text.
 
 The wrapper of a host is one small row; pages meet it in a join on the host
 that adaptive execution splits or broadcasts by measured size.  Counting takes
@@ -202,13 +205,14 @@ def digest(text: str) -> int:
 
 class Slot:
     """A tree node for matching: equal neighbouring children are folded into one."""
-    __slots__ = ("label", "children", "texts", "number")
+    __slots__ = ("label", "children", "texts", "homes", "number")
 
     def __init__(self, label):
-        self.label, self.children, self.texts, self.number = label, [], [], -1
+        self.label, self.children, self.texts, self.homes, self.number = label, [], [], [], -1
 
     def absorb(self, other: Slot):
         self.texts += other.texts
+        self.homes += other.homes           # the node of every text
         self.children += other.children
         if other.children:
             self.children = fold(self.children)
@@ -229,6 +233,7 @@ def slots(node: Node) -> Slot:
     for t, child in runs(node):
         if child is None:
             s.texts.append(t)
+            s.homes.append(id(node))
         elif not child.dropped:
             children.append(slots(child))
     s.children = fold(children)
@@ -298,14 +303,24 @@ def placed(slot: Slot):
         yield from placed(c)
 
 
-def extract(page: str, wrapper=None, template: frozenset = frozenset()) -> str:
-    """Main text of a page: blocks joined by one newline."""
+def constants(slot: Slot, template: frozenset):
+    """(node, text) of every text that is template in its slot."""
+    if slot.number >= 0:
+        for t, home in zip(slot.texts, slot.homes):
+            if (slot.number, digest(t)) in template:
+                yield home, t
+    for c in slot.children:
+        yield from constants(c, template)
+
+
+def extract(page: str, wrapper=None, template: frozenset = frozenset(), decided: bool = False) -> str:
+    """Main text of a page: blocks joined by one newline; ``decided`` where the host's slots were counted on enough pages."""
     root = parse(page)
-    constant: set[str] = set()
+    constant: set[tuple[int, str]] = set()
     if wrapper is not None and template:
         tree = slots(root)
         match(tree, wrapper)
-        constant = {t for number, t in placed(tree) if (number, digest(t)) in template}
+        constant = set(constants(tree, template))
 
     def regions(node: Node, out: list[Node]):
         for x in node.items:
@@ -316,30 +331,34 @@ def extract(page: str, wrapper=None, template: frozenset = frozenset()) -> str:
                     regions(x, out)
         return out
 
-    blocks: list[str] = []
-
-    def read(node: Node, marked: bool, heading_only: bool = False):
+    def read(node: Node, blocks: list[str], marked: bool = False, heading_only: bool = False):
         if node.dropped:
-            return
+            return blocks
+        marked = marked or node.tag in ("article", "main")
         header = node.tag == "header"
         if header and not marked:
-            return
+            return blocks
         own = list(runs(node))
         chars = sum(len(t) for t, _ in own if t)
         linked = not marked and chars and node.links > 0.6 * chars
         for t, child in own:
             if child is not None:
-                read(child, marked, heading_only or header)
-            elif not (linked or not marked and t in constant or (heading_only or header) and node.tag not in HEADINGS):
+                read(child, blocks, marked, heading_only or header)
+            elif not (linked or (id(node), t) in constant or (heading_only or header) and node.tag not in HEADINGS):
                 blocks.append(t)
-
-    # an article inside main is the narrower mark; several articles are read in page order
-    marked = regions(root, [])
-    inner = [y for x in marked for y in (regions(x, []) if x.tag == "main" and regions(x, []) else [x])]
-    for x in inner:
-        read(x, True)
-    if not blocks:
-        read(root, False)
+        return blocks
+
+    def narrowed(blocks: list[str], inner: list[str]):
+        """The hint: ``inner`` if it holds at least half of the text of ``blocks``."""
+        return inner if inner and 2 * sum(map(len, inner)) >= sum(map(len, blocks)) else blocks
+
+    blocks = read(root, [])
+    if not decided:
+        inner = []
+        for x in regions(root, []):          # an article inside main is the narrower mark; several are read in page order
+            own = read(x, [], True)
+            inner += narrowed(own, [t for y in regions(x, []) for t in read(y, [], True)]) if x.tag == "main" else own
+        blocks = narrowed(blocks, inner)
     return "\n".join(blocks)
 
 
@@ -364,21 +383,22 @@ def bare(tree):
 
 
 def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> DataFrame:
-    """(host, tree, template): the wrapper of every host; ``pages`` has host, page_id and html.
+    """(host, tree, template, decided): the wrapper of every host; ``pages`` has host, page_id and html.
 
     Only trees with text digests move between tasks, never the pages."""
     def shapes(batches):
         for b in batches:
-            shape, tree = [], []
+            shape, tree, copy = [], [], []
             for page in b.column(2).to_pylist():
                 c = compact(slots(parse(page or "")))
                 shape.append(pickle.dumps(c, 5))
                 tree.append(pickle.dumps(bare(c), 5))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shape, pa.binary()), pa.array(tree, pa.binary())],
-                                             names=["host", "rank", "shape", "tree"])
+                copy.append(digest(repr(c)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shape, pa.binary()), pa.array(tree, pa.binary()),
+                                              pa.array(copy, pa.int64())], names=["host", "rank", "shape", "tree", "copy"])
 
     shaped = stored(pages.select("host", F.xxhash64("page_id", "html").alias("rank"), "html")
-                    .mapInArrow(shapes, "host string, rank long, shape binary, tree binary"), "shapes")
+                    .mapInArrow(shapes, "host string, rank long, shape binary, tree binary, copy long"), "shapes")
     first = shaped.groupBy("host").agg(F.min(F.struct("rank", "tree")).alias("c")).select("host", "c.tree")
 
     def count(batches):
@@ -397,13 +417,13 @@ def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> D
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(slot, pa.int32()), pa.array(text, pa.int64())],
                                              names=["host", "slot", "text"])
 
-    seen = (shaped.join(first.withColumnRenamed("tree", "first_tree"), "host").select("host", "shape", "first_tree")
+    seen = (shaped.select("host", "copy", "shape").dropDuplicates(["host", "copy"]).join(first.withColumnRenamed("tree", "first_tree"), "host").select("host", "shape", "first_tree")
             .mapInArrow(count, "host string, slot int, text long").groupBy("host", "slot", "text").agg(F.count("*").alias("n")))
     total = seen.where("slot = -1").select("host", F.col("n").alias("pages"))
     constant = (seen.where("slot >= 0").join(total, "host").where((F.col("n") >= least_pages) & (F.col("n") >= share * F.col("pages")))
                 .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "text"))).alias("template")))
     # at most 1 / share texts can be constant in a place, so the list is bounded by the size of a page
-    return first.join(constant, "host", "left")
+    return first.join(total, "host").join(constant, "host", "left").withColumn("decided", F.col("pages") >= least_pages).drop("pages")
 
 
 @lru_cache(maxsize=200)
@@ -431,12 +451,12 @@ def html_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
         big = zstandard.ZstdDecompressor()
         for b in batches:
             texts = []
-            for z, tree, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
+            for z, tree, template, decided in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5))):
                 names = frozenset((x["slot"], x["text"]) for x in template or ())
-                texts.append(extract(big.decompress(z).decode("utf-8", "surrogatepass"), known(tree) if tree else None, names))
+                texts.append(extract(big.decompress(z).decode("utf-8", "surrogatepass"), known(tree) if tree else None, names, bool(decided)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     squeezed = p.mapInArrow(squeeze, "page_id long, url string, z binary, host string")     # pages move compressed
-    return (squeezed.join(w, "host", "left").select("page_id", "url", "z", "tree", "template")
+    return (squeezed.join(w, "host", "left").select("page_id", "url", "z", "tree", "template", "decided")
             .mapInArrow(run, "page_id long, url string, text string, n_chars long"))

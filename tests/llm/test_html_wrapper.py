@@ -73,3 +73,22 @@ def test_very_long_and_deep_pages():
     assert extract(long).count("\n") == 49_999
     deep = "<div>" * 20_000 + "text" + "</div>" * 20_000
     assert extract(deep) == "text"
+
+
+def test_slots_decide_inside_and_outside_of_marks(spark):
+    rows = []
+    for i in range(6):
+        rows.append((i, "http://cards.example.com/", f"<div class=text><p>Story {i} first.</p><p>Story {i} second.</p></div><article><p>Card {i}</p></article>"
+                                                     f"<div class=low><p>All rights reserved</p></div>"))
+        rows.append((10 + i, "http://inner.example.com/", f"<main><div><p>Body {i}.</p></div><article><p>Read our best stories</p></article></main>"))
+        rows.append((20 + i, "http://same.example.com/", f"<article><p>News {i}</p><section><p>Tell your friends</p></section></article>"))
+        rows.append((30 + i, "http://copies.example.com/", "<p>x</p><article><p>one article</p></article>"))
+    rows.append((40, "http://one.example.com/", "<div><p>A long text that stands outside of the mark</p></div><article><p>Card</p></article>"))
+    rows.append((41, "http://two.example.com/", "<div><p>Sign in</p></div><main><p>Menu</p><article><p>The long text of the only page</p></article></main>"))
+    got = {r.page_id: r.text for r in html_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == f"Story {i} first.\nStory {i} second.\nCard {i}"
+        assert got[10 + i] == f"Body {i}."
+        assert got[20 + i] == f"News {i}"
+        assert got[30 + i] == "one article"
+    assert got[40] == "A long text that stands outside of the mark\nCard" and got[41] == "The long text of the only page"
