@@ -4,11 +4,17 @@ Method
 ------
 1. Every page becomes a tree of block elements (inline ones are part of their
    block's text); runs of equal siblings fold into one list slot.
-2. Each host's wrapper starts from the tree of one of its pages (least hash).
-   Every other page is aligned with it by simple tree matching, and its texts
-   are counted by the slot they fall into.
-3. A text that fills the same slot on at least ``share`` of the host's aligned
-   pages (``least_pages`` or more) is constant: template.  All else in a slot varies: content.
+2. A host's wrapper is the union of the different trees of its pages: each is
+   aligned by simple tree matching, and what the wrapper lacks is put in at its
+   place, so that every layout has its slots.  Elements whose path of labels
+   fewer than ``least_pages`` of the host's pages have can hold no template and
+   stay out.  Trees merge in two steps, in ``SHARES`` shares of a host and then
+   the shares.  Every page is aligned with the wrapper, and its texts are
+   counted by the slot they fall into.
+3. A text is constant, template, if it fills a slot on ``least_pages`` or more
+   pages and on at least ``share`` of those that have the slot: of the host's
+   pages, or of its pages of one layout (equal labels on the top levels).
+   All else in a slot varies: content.
 4. A second alignment applies the wrapper: template texts go, and so does what
    element names, roles and class names declare as menu, header, footer,
    sidebar, notice, advert, form or comments, and blocks that are mostly links
@@ -34,6 +40,7 @@ are ignored.
 from __future__ import annotations
 
 import html as entities
+import json
 import pickle
 import re
 from functools import lru_cache
@@ -63,6 +70,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 MARKS = re.compile(r"""(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|banners?|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay
 |newsletter|subscri\w+|signup|paywall|nav\w*|menus?|breadcrumbs?|sidebars?|side-?bar|masthead|site-?header|page-?header|footers?|pagination|pager
 |share|sharing|social|related|recommend\w*|trending|widget|comments?|comment-?list|respond|replies|disqus|toolbar|skip-?link|toc)(?:$|[\s_-])""".replace("\n", ""), re.I)
+SHARES = 16                    # in which the trees of a host merge
 DEEPEST = 150                  # levels of nesting that are kept apart
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -254,6 +262,61 @@ def numbered(tree, start: int = 0):
     return (label, number, out), start
 
 
+def union(a, b):
+    """The skeleton of ``a`` with all that ``b`` has besides; their roots are equal."""
+    x, y = a[1], b[1]
+    if not y or x == y:
+        return a
+    if not x:
+        return b
+    weight = [[_common(c, d) if c[0] == d[0] else 0 for d in y] for c in x]
+    best = _best(weight, len(x), len(y))
+    i, j, out = len(x), len(y), []
+    while i and j:
+        if weight[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + weight[i - 1][j - 1]:
+            out.append(union(x[i - 1], y[j - 1]))
+            i, j = i - 1, j - 1
+        elif best[i][j] == best[i][j - 1]:          # between two matches those of ``a`` come first
+            j -= 1
+            out.append(y[j])
+        else:
+            i -= 1
+            out.append(x[i])
+    out += [*reversed(x[:i]), *reversed(y[:j])]
+    return (a[0], tuple(reversed(out)))
+
+
+def _best(weight, n: int, m: int):
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n):
+        row, above = best[i + 1], best[i]
+        for j in range(m):
+            row[j + 1] = max(above[j + 1], row[j], above[j] + weight[i][j])
+    return best
+
+
+def _common(a, b) -> int:
+    """Size of the match of two skeletons with equal labels."""
+    if a == b:
+        return weighed(a)
+    if not a[1] or not b[1]:
+        return 1
+    return 1 + _best([[_common(c, d) if c[0] == d[0] else 0 for d in b[1]] for c in a[1]], len(a[1]), len(b[1]))[-1][-1]
+
+
+def weighed(tree) -> int:
+    return 1 + sum(weighed(c) for c in tree[1])
+
+
+def layout(tree) -> int:
+    """Key of a page's layout: the labels of its tree down to the first level with several."""
+    names = [tree[0]]
+    while len(tree[1]) == 1:
+        tree = tree[1][0]
+        names.append(tree[0])
+    return digest(repr((names, [c[0] for c in tree[1]])))
+
+
 def match(page: Slot, wrapper) -> int:
     """Simple tree matching: size of the largest order-keeping match of two trees with equal roots; numbers the page's slots."""
     if page.label != wrapper[0]:
@@ -263,11 +326,7 @@ def match(page: Slot, wrapper) -> int:
     if not a or not b:
         return 1
     weight = [[_size(x, y) if x.label == y[0] else 0 for y in b] for x in a]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a)):
-        row, above = best[i + 1], best[i]
-        for j in range(len(b)):
-            row[j + 1] = max(above[j + 1], row[j], above[j] + weight[i][j])
+    best = _best(weight, len(a), len(b))
     i, j = len(a), len(b)
     while i and j:
         if weight[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + weight[i - 1][j - 1]:
@@ -313,14 +372,15 @@ def constants(slot: Slot, template: frozenset):
         yield from constants(c, template)
 
 
-def extract(page: str, wrapper=None, template: frozenset = frozenset(), decided: bool = False) -> str:
-    """Main text of a page: blocks joined by one newline; ``decided`` where the host's slots were counted on enough pages."""
+def extract(page: str, wrapper=None, template=None, decided: bool = False) -> str:
+    """Main text of a page: blocks joined by one newline; ``template`` has the constant (slot, digest) pairs of every layout and,
+    as None, of all; ``decided`` where the host's slots were counted on enough pages."""
     root = parse(page)
     constant: set[tuple[int, str]] = set()
     if wrapper is not None and template:
         tree = slots(root)
         match(tree, wrapper)
-        constant = set(constants(tree, template))
+        constant = set(constants(tree, template.get(None, frozenset()) | template.get(layout(skeleton(tree)), frozenset())))
 
     def regions(node: Node, out: list[Node]):
         for x in node.items:
@@ -388,47 +448,133 @@ def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> D
     Only trees with text digests move between tasks, never the pages."""
     def shapes(batches):
         for b in batches:
-            shape, tree, copy = [], [], []
-            for page in b.column(2).to_pylist():
+            shape, tree, form, copy = [], [], [], []
+            for page in b.column(1).to_pylist():
                 c = compact(slots(parse(page or "")))
                 shape.append(pickle.dumps(c, 5))
-                tree.append(pickle.dumps(bare(c), 5))
+                tree.append(json.dumps(bare(c)))
+                form.append(layout(bare(c)))
                 copy.append(digest(repr(c)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shape, pa.binary()), pa.array(tree, pa.binary()),
-                                              pa.array(copy, pa.int64())], names=["host", "rank", "shape", "tree", "copy"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shape, pa.binary()), pa.array(tree, pa.string()),
+                                              pa.array(form, pa.int64()), pa.array(copy, pa.int64())],
+                                             names=["host", "shape", "tree", "form", "copy"])
+
+    shaped = stored(pages.select("host", "html").mapInArrow(shapes, "host string, shape binary, tree string, form long, copy long"), "shapes")
 
-    shaped = stored(pages.select("host", F.xxhash64("page_id", "html").alias("rank"), "html")
-                    .mapInArrow(shapes, "host string, rank long, shape binary, tree binary, copy long"), "shapes")
-    first = shaped.groupBy("host").agg(F.min(F.struct("rank", "tree")).alias("c")).select("host", "c.tree")
+    trees = shaped.groupBy("host", "tree").agg(F.count("*").alias("n"))
+
+    def walks(batches):
+        for b in batches:
+            host, path, n = [], [], []
+            for h, t, k in zip(*(c.to_pylist() for c in b.columns)):
+                for x in set(paths(json.loads(t))):
+                    host.append(h)
+                    path.append(str(x))
+                    n.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(n, pa.int64())],
+                                             names=["host", "path", "n"])
+
+    often = (trees.mapInArrow(walks, "host string, path string, n long").groupBy("host", "path").agg(F.sum("n").alias("n"))
+             .where(F.col("n") >= least_pages))
+
+    def merge(pruned):
+        def run(batches):
+            key, whole, keep = None, None, set()
+            for b in batches:
+                out = []
+                for host, part, kind, value in zip(*(c.to_pylist() for c in b.columns)):
+                    if key != (host, part):
+                        if key is not None:
+                            out.append((key[0], json.dumps(whole)))
+                        key, whole, keep = (host, part), None, set()
+                    if kind == 0:                            # paths come before trees
+                        keep.add(int(value))
+                        continue
+                    tree = pruned_to(json.loads(value), keep) if pruned else tuples(json.loads(value))
+                    whole = tree if whole is None else union(whole, tree)
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.string()) for i in range(2)], names=["host", "tree"])
+            if key is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in (key[0], json.dumps(whole))], names=["host", "tree"])
+        return run
+
+    def merged(rows, pruned):
+        return (rows.repartition("host", "part").sortWithinPartitions("host", "part", "kind", "value").select("host", "part", "kind", "value")
+                .mapInArrow(merge(pruned), "host string, tree string"))
+
+    parts = trees.select("host", F.pmod(F.xxhash64("tree"), F.lit(SHARES)).cast("int").alias("part"), F.lit(1).alias("kind"), F.col("tree").alias("value"))
+    kept = (often.join(parts.select("host", "part").distinct(), "host").select("host", "part", F.lit(0).alias("kind"), F.col("path").alias("value")))
+    shares = merged(parts.unionAll(kept), True)
+    first = merged(shares.distinct().select("host", F.lit(0).alias("part"), F.lit(1).alias("kind"), F.col("tree").alias("value")), False)
+    first = stored(first, "wrappers")
 
     def count(batches):
         for b in batches:
-            host, slot, text = [], [], []
-            for h, shape, tree in zip(*(c.to_pylist() for c in b.columns)):
+            host, form, slot, text = [], [], [], []
+            for h, f, shape, tree in zip(*(c.to_pylist() for c in b.columns)):
                 own = restored(pickle.loads(shape))
                 match(own, known(tree))
-                for number, d in set(placed(own)):
+                here = {(number, d) for number, d in placed(own)} | {(number, None) for number in matched(own)}
+                for number, d in here | {(-1, None)}:                 # -1: the page itself; no text: it has the slot
                     host.append(h)
+                    form.append(f)
                     slot.append(number)
                     text.append(d)
-                host.append(h)                                        # one row for the page itself
-                slot.append(-1)
-                text.append(0)
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(slot, pa.int32()), pa.array(text, pa.int64())],
-                                             names=["host", "slot", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(form, pa.int64()), pa.array(slot, pa.int32()),
+                                              pa.array(text, pa.int64())], names=["host", "form", "slot", "text"])
+
+    seen = (shaped.select("host", "form", "copy", "shape").dropDuplicates(["host", "form", "copy"])
+            .join(first.withColumnRenamed("tree", "first_tree"), "host").select("host", "form", "shape", "first_tree")
+            .mapInArrow(count, "host string, form long, slot int, text long").groupBy("host", "form", "slot", "text").agg(F.count("*").alias("n")))
+    seen = stored(seen, "slots")
+    both = seen.unionAll(seen.groupBy("host", "slot", "text").agg(F.sum("n").alias("n")).select("host", F.lit(None).cast("long"), "slot", "text", "n"))
+    total = both.where("text is null").select("host", "form", "slot", F.col("n").alias("pages"))
+    texts, t = both.where("text is not null and n >= " + str(int(least_pages))).alias("s"), total.alias("t")
+    constant = (texts.join(t, (F.col("s.host") == F.col("t.host")) & (F.col("s.slot") == F.col("t.slot")) & F.col("s.form").eqNullSafe(F.col("t.form")))
+                .where(F.col("n") >= share * F.col("pages"))
+                .groupBy("s.host").agg(F.sort_array(F.collect_list(F.struct("s.form", "s.slot", "s.text"))).alias("template")))
+    # at most 1 / share texts can be constant in a place of a layout, so the list is bounded by the sizes of a host's layouts
+    decided = total.where("slot = -1 and form is null").select("host", (F.col("pages") >= least_pages).alias("decided"))
+    return first.join(decided, "host").join(constant, "host", "left")
+
+
+def tuples(tree):
+    return (tree[0], tuple(tuples(c) for c in tree[1]))
+
+
+def paths(tree, above: str = ""):
+    """A digest of the labels down to every element."""
+    here = f"{above} {tree[0]}"
+    yield digest(here)
+    for c in tree[1]:
+        yield from paths(c, here)
+
+
+def pruned_to(tree, keep: set, above: str = ""):
+    """The skeleton with the elements whose path is in ``keep``, and its root."""
+    here = f"{above} {tree[0]}"
+    return (tree[0], tuple(pruned_to(c, keep, here) for c in tree[1] if digest(f"{here} {c[0]}") in keep))
+
+
+def matched(slot: Slot):
+    """Numbers of the page's matched slots."""
+    if slot.number >= 0:
+        yield slot.number
+    for c in slot.children:
+        yield from matched(c)
+
 
-    seen = (shaped.select("host", "copy", "shape").dropDuplicates(["host", "copy"]).join(first.withColumnRenamed("tree", "first_tree"), "host").select("host", "shape", "first_tree")
-            .mapInArrow(count, "host string, slot int, text long").groupBy("host", "slot", "text").agg(F.count("*").alias("n")))
-    total = seen.where("slot = -1").select("host", F.col("n").alias("pages"))
-    constant = (seen.where("slot >= 0").join(total, "host").where((F.col("n") >= least_pages) & (F.col("n") >= share * F.col("pages")))
-                .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "text"))).alias("template")))
-    # at most 1 / share texts can be constant in a place, so the list is bounded by the size of a page
-    return first.join(total, "host").join(constant, "host", "left").withColumn("decided", F.col("pages") >= least_pages).drop("pages")
+@lru_cache(maxsize=2)
+def by_layout(template: tuple) -> dict:
+    """Layout (None: all) -> its constant (slot, digest) pairs."""
+    out: dict = {}
+    for form, slot, text in template:
+        out.setdefault(form, set()).add((slot, text))
+    return {form: frozenset(pairs) for form, pairs in out.items()}
 
 
 @lru_cache(maxsize=200)
-def known(tree: bytes):
-    return numbered(pickle.loads(tree))[0]
+def known(tree: str):
+    return numbered(tuples(json.loads(tree)))[0]
 
 
 def html_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = 0.5,
@@ -452,7 +598,7 @@ def html_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
         for b in batches:
             texts = []
             for z, tree, template, decided in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5))):
-                names = frozenset((x["slot"], x["text"]) for x in template or ())
+                names = by_layout(tuple((x["form"], x["slot"], x["text"]) for x in template or ()))
                 texts.append(extract(big.decompress(z).decode("utf-8", "surrogatepass"), known(tree) if tree else None, names, bool(decided)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

@@ -1,6 +1,6 @@
 import html
 
-from orbitlens.llm.html_wrapper import extract, html_text, match, numbered, parse, skeleton, slots
+from orbitlens.llm.html_wrapper import extract, html_text, match, numbered, parse, skeleton, slots, union
 
 
 def test_blocks_references_and_tag_soup():
@@ -92,3 +92,45 @@ def test_slots_decide_inside_and_outside_of_marks(spark):
         assert got[20 + i] == f"News {i}"
         assert got[30 + i] == "one article"
     assert got[40] == "A long text that stands outside of the mark\nCard" and got[41] == "The long text of the only page"
+
+
+def test_every_layout_of_a_host_has_its_template(spark):
+    rows = []
+    for i in range(5):
+        rows.append((i, "http://h.example.com/", f"<div><p>Top of news</p></div><h2>News {i}</h2><p>Body {i}.</p><div><p>End of news</p></div>"))
+        rows.append((10 + i, "http://h.example.com/", f"<div><p>Top of recipes</p></div><table><tr><td>Dish {i}</table><div><p>End of recipes</p></div>"))
+        rows.append((20 + i, "http://h.example.com/", f"<div><p>Top of forum</p></div><section><p>Post {i}</p></section><div><p>End of forum</p></div>"))
+    # a block that a fifth of the pages have is constant where it stands
+    for i in range(20):
+        extra = "<div class=offer><p>Buy two, pay one</p></div>" if i % 5 == 0 else ""
+        rows.append((100 + i, "http://o.example.com/", f"<body><div class=text><h2>Head {i}</h2>{extra}<p>Words {i}.</p></div></body>"))
+    got = {r.page_id: r.text for r in html_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(5):
+        assert got[i] == f"News {i}\nBody {i}." and got[10 + i] == f"Dish {i}" and got[20 + i] == f"Post {i}"
+    for i in range(20):
+        assert got[100 + i] == f"Head {i}\nWords {i}."
+
+
+def test_labels_of_single_pages_stay_out_of_the_wrapper(spark):
+    from orbitlens.llm.html_wrapper import host_of, wrappers
+    rows = [(i, "http://h.example.com/", f"<body><div class=post-{i}><p>Text {i}</p></div><div class=low><p>All rights reserved</p></div></body>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in html_text(df).collect()} == {f"Text {i}" for i in range(40)}
+    w = wrappers(df.select(host_of("url").alias("host"), "page_id", "html")).collect()
+    assert len(w) == 1 and "post" not in w[0].tree and "low" in w[0].tree
+
+
+def test_union_holds_every_tree():
+    import itertools
+
+    def tree(page):
+        return skeleton(slots(parse(page)))
+
+    pages = ["<div><p>1</div><ul><li>2</ul>", "<ul><li>1</ul><div><h2>2</h2></div>", "<table><tr><td>1</table><div><p>1<h2>2</h2></div>", "<section>1</section>", ""]
+    for order in itertools.permutations(pages):
+        whole = tree(order[0])
+        for x in order[1:]:
+            whole = union(whole, tree(x))
+        for x in order:
+            own = slots(parse(x))
+            assert match(own, numbered(whole)[0]) == numbered(skeleton(own))[1]
