@@ -16,9 +16,12 @@ Method
    pages, or of its pages of one layout (equal labels on the top levels).
    All else in a slot varies: content.
 4. A second alignment applies the wrapper: template texts go, and so does what
-   element names, roles and class names declare as menu, header, footer,
-   sidebar, notice, advert, form or comments, and blocks that are mostly links
-   outside an article.  Slots decide inside and outside of ``article`` and
+   element names, roles and whole class names or ids that can mean nothing else
+   (``NAMES``) declare as menu, header, footer, sidebar, notice, advert, form or
+   comments, and outside an article blocks of two or more links and no other
+   words.  Other class names drop nothing: there the slots decide.  Of an
+   article's header the text that stands right in it, beside the heading, goes
+   only where nothing was counted.  Slots decide inside and outside of ``article`` and
    ``main`` alike.  Pages of a host with equal texts in equal trees count once:
    copies of a page must not wipe it out.
 5. Where a host has fewer than ``least_pages`` different pages, nothing tells
@@ -64,36 +67,38 @@ tfoot th thead tr ul""".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "tbody": {"thead", "tbody", "tr", "td", "th"}, "option": {"option"}}
 WALL = frozenset("ul ol dl table article section div body html".split())
-DROPPED = frozenset("nav aside footer form button select option label input head script style svg math audio video object canvas menu dialog search".split())
+DROPPED = frozenset("nav aside footer form button select option input head script style audio video canvas dialog search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: words of class and id values that declare what is not the article
-MARKS = re.compile(r"""(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|banners?|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay
-|newsletter|subscri\w+|signup|paywall|nav\w*|menus?|breadcrumbs?|sidebars?|side-?bar|masthead|site-?header|page-?header|footers?|pagination|pager
-|share|sharing|social|related|recommend\w*|trending|widget|comments?|comment-?list|respond|replies|disqus|toolbar|skip-?link|toc)(?:$|[\s_-])""".replace("\n", ""), re.I)
+#: whole class names and ids that declare what is not the article
+NAMES = frozenset("""ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle ad-banner ad-container ad-slot ad-unit ad-wrapper
+banner-ad sponsored sponsored-content sponsored-links cookie-notice cookie-banner cookie-bar cookie-consent cookie-popup cookie-message consent-banner
+gdpr-banner popup modal newsletter-signup newsletter-form subscribe-form signup-form paywall nav navbar navigation main-nav site-nav main-navigation
+site-navigation nav-menu main-menu breadcrumb breadcrumbs sidebar side-bar site-sidebar masthead site-header page-header footer site-footer page-footer
+pagination pager share-buttons sharing-buttons social-share social-links social-buttons related-posts related-articles related-links comments
+comment-list commentlist comments-area comment-form respond disqus disqus_thread toolbar skip-link skip-to-content""".split())
 SHARES = 16                    # in which the trees of a host merge
 DEEPEST = 150                  # levels of nesting that are kept apart
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
     """A block element: what it is called, whether it is declared boilerplate, inline text runs between its children."""
-    __slots__ = ("tag", "label", "dropped", "items", "links")
+    __slots__ = ("tag", "label", "dropped", "items", "links", "plain")
 
     def __init__(self, tag, label, dropped):
         self.tag, self.label, self.dropped = tag, label, dropped
         self.items: list = []           # Node or str
-        self.links = 0                  # characters inside links
+        self.links, self.plain = 0, False       # links, words outside of them
 
 
 @lru_cache(maxsize=20_000)
 def _declared(tag: str, attributes: str) -> tuple[str, bool]:
     """(label for matching, declared boilerplate) of an opening tag."""
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    names = f"{found.get('class', '')} {found.get('id', '')}".strip()
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
     dropped = (tag in DROPPED or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true"
                or "display:none" in found.get("style", "").replace(" ", "").lower()
                or re.search(r"(?:^|\s)hidden(?:\s|=|$)", ATTRIBUTE.sub(" ", attributes)) is not None
-               or tag not in ("html", "body", "article", "main") and MARKS.search(names) is not None)
+               or tag not in ("html", "body", "article", "main") and not NAMES.isdisjoint(names))
     return f"{tag}.{SPACES.sub('.', found.get('class', '').strip().lower())}", dropped
 
 
@@ -108,8 +113,8 @@ def parse(page: str) -> Node:
         if piece and not hidden:
             piece = entities.unescape(piece) if "&" in piece else piece
             node.items.append(piece)
-            if link:
-                node.links += len(piece)
+            if not link and not node.plain:
+                node.plain = any(map(str.isalnum, piece))
 
     while at < n:
         m = TOKEN.search(page, at)
@@ -181,6 +186,7 @@ def parse(page: str) -> Node:
             dropped = _declared(tag, attributes)[1]
             hidden += dropped
             link += tag == "a" and not dropped
+            node.links += tag == "a" and not (dropped or hidden)
             if not attributes.endswith("/"):
                 stack.append(("~" + tag if dropped else tag, node))
             elif dropped:
@@ -391,7 +397,7 @@ def extract(page: str, wrapper=None, template=None, decided: bool = False) -> st
                     regions(x, out)
         return out
 
-    def read(node: Node, blocks: list[str], marked: bool = False, heading_only: bool = False):
+    def read(node: Node, blocks: list[str], marked: bool = False):
         if node.dropped:
             return blocks
         marked = marked or node.tag in ("article", "main")
@@ -399,12 +405,11 @@ def extract(page: str, wrapper=None, template=None, decided: bool = False) -> st
         if header and not marked:
             return blocks
         own = list(runs(node))
-        chars = sum(len(t) for t, _ in own if t)
-        linked = not marked and chars and node.links > 0.6 * chars
+        linked = not (marked or node.plain) and node.links > 1
         for t, child in own:
             if child is not None:
-                read(child, blocks, marked, heading_only or header)
-            elif not (linked or (id(node), t) in constant or (heading_only or header) and node.tag not in HEADINGS):
+                read(child, blocks, marked)
+            elif not (linked or header and not decided or (id(node), t) in constant):
                 blocks.append(t)
         return blocks
 

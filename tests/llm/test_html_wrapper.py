@@ -134,3 +134,23 @@ def test_union_holds_every_tree():
         for x in order:
             own = slots(parse(x))
             assert match(own, numbered(whole)[0]) == numbered(skeleton(own))[1]
+
+
+def test_words_of_class_names_and_content_elements_drop_nothing():
+    names = ["social-impact", "share-price", "related-work", "navy", "promontory", "alert-level", "notice", "toc", "my-comments-on-x"]
+    page = "".join(f"<div class='{x}'><p>about {x}</p></div>" for x in names) + "<div id=toc-2><p>part 2</p></div>"
+    want = "\n".join([f"about {x}" for x in names] + ["part 2"])
+    assert extract(f"<article>{page}</article>") == want and extract(page) == want
+    assert extract('<article><div class="text sidebar">no</div><div id="Comments">no</div><p>yes</p></article>') == "yes"
+    assert (extract("<article><p>so <math><mi>x</mi>=<mn>2</mn></math> and <label>name</label> <svg><text>drawn</text></svg> <object>kept</object></p>"
+                    "<menu><li>cut</menu></article>") == "so x=2 and name drawn kept\ncut")
+    assert extract("<article><header><h1>Head</h1><p>Standfirst.</p><ul><li>Point</ul>by us</header><p>Text</p></article>") == "Head\nStandfirst.\nPoint\nText"
+    assert extract("<div><p>See <a href=1>the long list of all our papers</a></p><p><a href=2>One paper</a></p><p><a href=3>a</a> | <a href=4>b</a></p></div>") == \
+        "See the long list of all our papers\nOne paper"
+
+
+def test_class_words_go_with_the_template(spark):
+    rows = [(i, "http://h.example.com/", f"<article><header><h1>Head {i}</h1>by author {i}</header><div class=share-box><p>Share this</p></div>"
+                                         f"<div class=share-price><p>Price {i}</p></div></article>") for i in range(5)]
+    got = html_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {f"Head {i}\nby author {i}\nPrice {i}" for i in range(5)}
