@@ -8,6 +8,9 @@ rule fires, its own reversed automaton finds the leftmost start and its own
 forward automaton the greedy end, so spans are leftmost and non-overlapping per
 kind; too short ones are dropped afterwards, as they still use up their bytes.
 
+What follows a match and is part of the secret (a private key's lines) is a
+rule's ``rest``: only the forward automaton knows it.
+
 Rule syntax: literals, ``[...]`` classes, groups with ``|``, ``?``, ``*``,
 ``+``, ``{n,}``, ``\\xHH`` and ``\\`` escapes, on bytes.  A rule must not let
 a match begin inside the part of another match of it that is not yet complete
@@ -41,6 +44,7 @@ class Rule:
     least: int = 0
     least_tail: int = 0
     fold: bool = False       # letters of the head in either case
+    rest: str = ""           # what may follow head + tail: never sought, taken as far as it goes
 
 
 #: fixed rules of the contract, in its order of kinds
@@ -50,13 +54,17 @@ BASE = (
     Rule("access", r"AKIA", r"[A-Z0-9]+", least=20),
     Rule("hex", r"", r"[0-9a-f]{9,}", least=24),       # runs are maximal: few states now, the length afterwards
 )
-#: what the method adds
+#: header lines of a key block; line breaks may be escaped, as in JSON
+PEM_HEADERS = r"([\x0A\x0D\x5Cnr]+[A-Za-z0-9-]+:\x20[A-Za-z0-9\x20,.:;/+=()@_<>-]*)*"
+#: what the method adds; a private key runs through its END line, one without to its last base64 line
 EXTRA = (
     Rule("github", r"gh[opsur]_", r"[A-Za-z0-9]+", least_tail=36),
     Rule("slack", r"xox[abprs]-", r"[A-Za-z0-9-]+", least_tail=10),
     Rule("google", r"AIza", r"[A-Za-z0-9_-]+", least_tail=35),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.", r"[A-Za-z0-9_-]+", least_tail=10),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r""),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"",
+         rest=PEM_HEADERS + r"([A-Za-z0-9+/=\x09\x0A\x0D\x20\"'>,\x5C]*-----END [A-Z ]*PRIVATE KEY-----"
+              r"|(([\x09\x0A\x0D\x20\"'>,\x5C]+[A-Za-z0-9+/=]{16,})+([\x0A\x0D]+[A-Za-z0-9+/=]+)?)?)"),
 )
 
 
@@ -266,7 +274,7 @@ class Scanner:
             head, tail = parse(r.head, r.fold), parse(r.tail)
             both = ("seq", [head, tail])
             trees.append(both)
-            single.append({"walk": automaton([both], False), "back": automaton([flipped(both)], False),
+            single.append({"walk": automaton([("seq", [both, parse(r.rest)])], False), "back": automaton([flipped(both)], False),
                            "find": automaton([both], True), "head": automaton([head], False)})
         return cls(rules, automaton(trees, True), single)
 

@@ -65,3 +65,25 @@ def test_edges_and_redaction(spark):
     out = {r.doc_id: r for r in redact(df).collect()}
     assert out[None].text == "<secret>" and out[4].text == long.replace("token=abcdef1", "<secret>") and out[None].spans == 3
     assert redact(df).where("text is null").count() == 1
+
+
+def test_private_keys_go_whole(spark):
+    lines = ["MIIEowIBAAKCAQEA" + "aB3+/" * 9 + f"xY{i}" for i in range(20)] + ["Zm9vYg=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(lines)
+    headers = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n"
+    cases = {f"a\n{begin}\n{body}\n{end}\nb": "a\n<secret>\nb",
+             f"a {begin}{headers}\n{body}\n{end} b": "a <secret> b",
+             (f"a {begin}\n{body}\n{end}").replace("\n", "\r\n") + "\r\nb": "a <secret>\r\nb",
+             "{'k': '" + f"{begin}\n{body}\n{end}\n".replace("\n", "\\n") + "', 'x': 1}": "{'k': '<secret>\\n', 'x': 1}",
+             f"  {begin}\n    " + "\n    ".join(lines) + f"\n    {end}\nb": "  <secret>\nb",
+             f"{begin}\n{body}\n{end}\n{begin}\n{body}\n{end}\n": "<secret>\n<secret>\n",
+             f"cut {begin}\n{body}\n\nNext, some text.": "cut <secret>\n\nNext, some text.",
+             f"cut {begin}\n{body}": "cut <secret>",
+             f"the line {begin} begins a key.": "the line <secret> begins a key.",
+             f"the line {begin}\nbegins a key.": "the line <secret>\nbegins a key."}
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in redact(df).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+    first = next(r for r in secret_scan(df).collect() if r.doc_id == 0)
+    assert f"pem:2:{len(next(iter(cases))) - 2}" in first.spans.split(",")
