@@ -12,9 +12,11 @@ The items are a stated query set: they pass in blocks of ``block_chars``
 characters, each block against all texts, so what goes out to the tasks is
 bounded however large the benchmark is.
 
-Defined results: null and empty texts match nothing; an item shorter than
-``min_chars`` identifies nothing and matches nothing (null ones too); equal
-items with different ids each match; repeated text rows each give their rows;
+Defined results: null and empty texts match nothing, null and blank items too;
+an item shorter than ``min_chars`` matches only as it stands, from word to word
+(a letter of a script without spaces is a word); an item without an id drops
+documents like any other, but ``find_leaks``, whose rows name the item, gives
+none for it; equal items with different ids each match; repeated text rows each give their rows;
 an empty table on either side gives no rows; other columns are ignored.
 """
 
@@ -60,15 +62,24 @@ def nearest(pattern_bits: dict, m: int, window: str, stop: int) -> tuple[int, in
     return best, at
 
 
+def parted(text: str, at: int) -> bool:
+    """No word of ``text`` runs over place ``at``."""
+    if at <= 0 or at >= len(text):
+        return True
+    a, b = text[at - 1], text[at]
+    return not (a.isalnum() and b.isalnum()) or max(a, b) >= "\u2e80"
+
+
 class Items:
-    """One block of items, ready to scan texts."""
+    """One block of items, ready to scan texts; those under ``min_chars`` match as they stand."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, min_chars: int = 0):
         import ahocorasick
 
         self.text = [t for _, t in items]
         self.ids = [i for i, _ in items]
-        self.budget = [int(rate * len(t)) for t in self.text]
+        self.short = [len(t) < min_chars for t in self.text]
+        self.budget = [0 if s else int(rate * len(t)) for t, s in zip(self.text, self.short)]
         self.bits = []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, (text, k) in enumerate(zip(self.text, self.budget)):
@@ -91,9 +102,16 @@ class Items:
         if not self.any or not text:
             return
         diagonals: dict[int, set[int]] = {}
+        whole: dict[int, int] = {}                  # short item -> its first place
         for end, (size, where) in self.find.iter(text):
             for n, a in where:
+                if self.short[n]:
+                    if n not in whole and parted(text, end + 1 - size) and parted(text, end + 1):
+                        whole[n] = end + 1 - size
+                    continue
                 diagonals.setdefault(n, set()).add(end + 1 - size - a)
+        for n, start in whole.items():
+            yield n, 0, start, start + len(self.text[n])
         for n, found in diagonals.items():
             item, k = self.text[n], self.budget[n]
             m = len(item)
@@ -114,14 +132,14 @@ class Items:
                 yield n, best[0], max(0, best[1] - m), best[1]
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int, min_chars: int) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of bounded size, streamed."""
     rows = (benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-            .where("i is not null and t is not null").distinct().orderBy("i", "t"))
+            .where("t is not null").distinct().orderBy("i", "t"))
     block, size = [], 0
     for r in rows.toLocalIterator():
         t = normal(r.t)
-        if len(t) < min_chars:
+        if not t:
             continue
         if block and size + len(t) > block_chars:
             yield block
@@ -140,7 +158,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
 
     def scan(items):
         def run(batches):
-            block = Items(items, rate)
+            block = Items(items, rate, min_chars)
             for table in A.chunks(batches, "text"):
                 rows = []
                 for doc, text in zip(table["doc_id"].to_pylist(), table["text"].to_pylist()):
@@ -150,7 +168,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
                                                  names=["doc_id", "item_id", "distance", "budget", "start", "end"])
         return d.mapInArrow(run, SCHEMA)
 
-    found = [scan(b) for b in blocks(benchmark, item_id_col, item_text_col, block_chars, min_chars)]
+    named = benchmark.where(F.col(item_id_col).isNotNull())
+    found = [scan(b) for b in blocks(named, item_id_col, item_text_col, block_chars)]
     if not found:
         return docs.sparkSession.createDataFrame([], SCHEMA)
     return reduce(DataFrame.unionAll, found)
@@ -161,12 +180,12 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text",
     """The rows of ``docs`` that hold no item, all columns unchanged."""
     def keep(items):
         def run(batches):
-            block = Items(items, rate)
+            block = Items(items, rate, min_chars)
             for table in A.chunks(batches, text_col):
                 clean = [next(block.matches(normal(t)), None) is None for t in table[text_col].to_pylist()]
                 yield from table.filter(pa.array(clean, pa.bool_())).combine_chunks().to_batches()
         return run
 
-    for b in blocks(benchmark, "item_id", "text", block_chars, min_chars):
+    for b in blocks(benchmark, "item_id", "text", block_chars):
         docs = docs.mapInArrow(keep(b), docs.schema)
     return docs

@@ -73,3 +73,14 @@ def test_edges(spark):
     assert rows == [(-1, 1, 0), (-1, 2, 0), (3, 1, 0), (3, 1, 2), (3, 2, 0), (3, 2, 2)]
     assert find_leaks(docs, bench.limit(0)).count() == 0 and find_leaks(docs.limit(0), bench).count() == 0
     assert drop_leaks(docs, bench).count() == 2 and drop_leaks(docs, bench.limit(0)).count() == 5
+
+
+def test_items_without_an_id_and_short_items(spark):
+    item = "an item that has no id and is long enough to be sought with edits"
+    bench = spark.createDataFrame([(None, item), (1, "Short  question?"), (2, "  "), (3, "\u4f60\u597d\u5417"), (4, "cat")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"so {item} it goes"), (2, "a short question? yes"), (3, "SHORT QUESTION?"), (4, "a short questionable"), (5, "unshort question?"),
+                                  (6, "x\u4f60\u597d\u5417\u6211"), (7, "concatenate cats"), (8, "no-cat."), (9, f"so {item.replace('long', 'lng')}"), (10, "")],
+                                 "doc_id long, text string")
+    assert sorted(r.doc_id for r in drop_leaks(docs, bench).collect()) == [4, 5, 7, 10]
+    rows = sorted((r.doc_id, r.item_id, r.distance, r.budget, r.start, r.end) for r in find_leaks(docs, bench).collect())
+    assert rows == [(2, 1, 0, 0, 2, 17), (3, 1, 0, 0, 0, 15), (6, 3, 0, 0, 1, 4), (8, 4, 0, 0, 3, 6)]
