@@ -1,8 +1,9 @@
 """Corpus pipeline: documents to token ids in five stages.
 
 1. quality classifier (line CRF): rejected documents go;
-2. n-gram Jaccard join: of every group of linked documents the one with the
-   smallest id stays (rows without an id are in no group and stay);
+2. n-gram Jaccard join: of every group of linked texts one row stays, of the
+   smallest id (rows without an id are in no group and stay; rows that share an
+   id but not a linked text are each a document of their own);
 3. benchmark decontamination: documents that hold a benchmark item go;
 4. secret scan: spans are replaced by ``<secret>``, every document stays;
 5. SentencePiece: token ids, their count and digest, checked by decoding.
@@ -34,10 +35,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    first = (jaccard_join(docs).where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct())
-    kept = docs.join(first, F.col("doc_id") == F.col("keep_id"), "left_semi")
-    # an id that several rows carry keeps one of them: the least
-    rows = kept.groupBy(F.col("doc_id").alias("keep_id")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    # a row's own key: rows that share an id link only if their texts do
+    own = docs.where("doc_id is not null").withColumn("_key", F.xxhash64("doc_id", "text"))
+    group = jaccard_join(own, id_col="_key").select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
+    first = (own.select("_key", "doc_id").distinct().join(group, "_key").groupBy("_group")
+             .agg(F.min(F.struct("doc_id", "_key")).alias("f")).select(F.col("f._key").alias("_keep")))
+    kept = own.join(first, F.col("_key") == F.col("_keep"), "left_semi")
+    # equal texts with one id keep one row: the least
+    rows = kept.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return rows.unionByName(docs.where("doc_id is null"))
 
 

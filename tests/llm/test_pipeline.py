@@ -49,6 +49,14 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, sf01):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf01).count() == len(rows) * bool(n)
 
 
+def test_unlinked_texts_with_one_id_stay(spark, sf01):
+    a, b, c = ("words of the first text go here " * 1 + " ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a, 1), (5, b, 2), (5, b, 2), (2, a + " more", 3), (9, c, 4), (7, c, 5), (None, c, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = corpus_pipeline.dedup_stage(spark, df, sf01).collect()
+    assert sorted(r.n for r in got) == [2, 3, 5, 6]
+
+
 def test_stage_list():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "n-gram Jaccard join", "benchmark decontamination", "secret scan",
                                                       "sentencepiece"]
