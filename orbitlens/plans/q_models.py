@@ -252,11 +252,11 @@ def q_linear_forecast(spark, sf_dir):
 
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
-    """M8: one GBT over all series (series categorical), next 12 steps."""
+    """M8: one GBT over all series (series categorical) with the operator's own settings, next 12 steps."""
     reg = _reg_materialized(spark, sf_dir)
     feats = FT.build_features(reg, KEYS, LAGS)
     cols = [f"lag{k}" for k in LAGS]
-    model = MD.fit_gbt(feats, KEYS, cols, max_iter=20, max_depth=5)
+    model = MD.fit_gbt(feats, KEYS, cols)
     fc = MD.forecast_recursive(reg, KEYS, LAGS, 12, lambda f: MD.predict_gbt(model, f, KEYS))
     return round_doubles(fc.select(*KEYS, "ts", "yhat"))
 

@@ -86,3 +86,24 @@ def test_linear_lag_model_forecast_and_interval_coverage(spark):
     s1 = fc[fc.satellite == "S1"].sort_values("step")
     truth = np.sin(2 * math.pi * (960 - 1 + s1.step.to_numpy()) / 24)
     assert np.sqrt(np.mean((s1.yhat.to_numpy() - truth) ** 2)) < 0.3
+
+
+def test_gbt_query_fits_the_whole_model(spark, monkeypatch):
+    import inspect
+
+    import pytest
+
+    from orbitlens.plans import q_models
+
+    whole, asked = inspect.signature(MD.fit_gbt), {}
+
+    def seen(*args, **more):
+        given = whole.bind(*args, **more)
+        given.apply_defaults()
+        asked.update(given.arguments)
+        raise InterruptedError
+
+    monkeypatch.setattr(q_models.MD, "fit_gbt", seen)
+    with pytest.raises(InterruptedError):
+        q_models.q_gbt_forecast(spark, "/root/testdata/sf0.001")
+    assert (asked["max_iter"], asked["max_depth"]) == (200, 7)
