@@ -106,3 +106,28 @@ def op10(spark, sf_dir):
 def op8(spark, sf_dir):
     from orbitlens.llm.html_wrapper import html_text
     return html_text(table(spark, sf_dir, "pages"))
+
+
+#: smallest id of every group of texts whose word-shingle sets link, by comparing all pairs that share a shingle
+JACCARD_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(len(w) - {size} + 1), lambda i: array_to_string(w[i + 1:i + {size}], ' ')) END)) AS s FROM w),
+c AS (SELECT min(doc_id) AS cls, s, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+t AS (SELECT cls, n, unnest(s) AS t FROM c),
+link AS (SELECT x.cls AS a, y.cls AS b FROM t x JOIN t y ON x.t = y.t AND x.cls < y.cls
+         GROUP BY x.cls, y.cls, x.n, y.n HAVING 100 * count(*) >= {percent} * (x.n + y.n - count(*))),
+sides AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT cls AS a, cls AS b FROM c UNION SELECT r.a, k.b FROM reach r JOIN sides k ON r.b = k.a),
+comp AS (SELECT a AS cls, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id{more}
+FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN comp ON comp.cls = c.cls
+"""
+
+
+@register("op13_bbit_minhash", sql=JACCARD_SQL.format(size=3, percent=85, more=",\n       s.doc_id = coalesce(comp.component_id, s.doc_id) AS kept"))
+def op13(spark, sf_dir):
+    from orbitlens.llm.bbit_minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
