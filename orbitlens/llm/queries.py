@@ -131,3 +131,33 @@ FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN comp ON comp.cls = c.cls
 def op13(spark, sf_dir):
     from orbitlens.llm.bbit_minhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op12_prefix_trie", sql="""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS rk FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, count(*) AS n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+             lambda s, x: list_reduce(list_prepend(xor(s, x), range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1))))) % 6 AS h
+      FROM t GROUP BY conv_id),
+c AS (SELECT k.*, k.conv_id - k.conv_id % 100 AS base, least(k.h, coalesce(b.n, 0)) AS nb
+      FROM k LEFT JOIN k b ON b.conv_id = k.conv_id - k.conv_id % 100),
+r AS (SELECT c.conv_id, t.rk AS pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.rk < c.h
+      UNION ALL SELECT c.conv_id, t.rk - c.h + c.nb, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.rk >= c.h),
+p AS (SELECT conv_id, pos + 1 AS d, length(text) AS chars,
+             string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS path FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+l AS (SELECT conv_id, max(d) AS len FROM p GROUP BY conv_id),
+n AS (SELECT path, d, min(p.conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars, count(*) FILTER (WHERE len > d) = 0 AS leaf,
+             sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE len = d), '')) AS ends_sha256
+      FROM p JOIN l USING (conv_id) GROUP BY path, d),
+s AS (SELECT left(path, 32 * i) AS path, sum((n_convs - 1) * chars) AS saved, count(*) FILTER (WHERE leaf) AS leaves
+      FROM (SELECT *, unnest(range(d + 1)) AS i FROM n) GROUP BY 1),
+kids AS (SELECT left(path, 32 * (d - 1)) AS path, count(*) AS n FROM n WHERE d > 0 GROUP BY 1)
+SELECT n.conv_id, n.d::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+       s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN s USING (path) LEFT JOIN kids USING (path) LEFT JOIN n up ON n.d > 0 AND up.path = left(n.path, 32 * (n.d - 1))
+""")
+def op12(spark, sf_dir):
+    from orbitlens.llm.prefix_trie import conversation_trie
+    return conversation_trie(table(spark, sf_dir, "conversations"))
