@@ -161,3 +161,30 @@ FROM n JOIN s USING (path) LEFT JOIN kids USING (path) LEFT JOIN n up ON n.d > 0
 def op12(spark, sf_dir):
     from orbitlens.llm.prefix_trie import conversation_trie
     return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@register("op11_phrase_mining", sql="""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(len(w) - m + 1), lambda i: array_to_string(w[i + 1:i + m], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS s(m)),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY lang, m, phrase),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 10),
+parts AS MATERIALIZED (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lft, array_to_string(w[k + 1:], ' ') AS rgt
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+cut AS (SELECT x.lang, x.phrase, x.a, k, l.a AS l, r.a AS r, ((1000000::HUGEINT * x.a * x.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+        FROM parts x JOIN f l ON l.lang = x.lang AND l.phrase = x.lft JOIN f r ON r.lang = x.lang AND r.phrase = x.rgt),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, NULL AS lft, a AS rgt FROM c WHERE m = 3
+           UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a, NULL FROM c WHERE m = 3),
+ext AS (SELECT lang, phrase, max(lft) AS best_left, max(rgt) AS best_right FROM longer GROUP BY lang, phrase)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score, best_left, best_right
+FROM best b JOIN n USING (lang) LEFT JOIN ext e ON e.lang = b.lang AND e.phrase = b.phrase
+WHERE 100 * greatest(coalesce(best_left, 0), coalesce(best_right, 0)) < 50 * a
+QUALIFY rank <= 2000
+""")
+def op11(spark, sf_dir):
+    from orbitlens.llm.phrase_mining import phrase_mining
+    return phrase_mining(table(spark, sf_dir, "documents"))
