@@ -44,6 +44,7 @@ BANDS, ROWS, BITS = 32, 4, 2
 HASHES = BANDS * ROWS
 LONGS = HASHES * BITS // 64
 SLACK = 0.25
+CELL = 500_000             # shingles on either side of a cell
 
 _rng = np.random.default_rng(0xB17)
 _XOR = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -134,22 +135,92 @@ def _star(rows: DataFrame, order: Column) -> DataFrame:
     return rows.join(pivot, "key").where("comp <> ground").select(*_pair("cls", "pivot")).distinct()
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Every pair of classes of different components that share a band.
+def _open(rows: DataFrame) -> DataFrame:
+    """Rows of bands that touch several components."""
+    live = rows.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
+    return rows.join(live, "key", "left_semi")
 
-    The component with most classes of a band is its ground: the ground's own
-    pairs are never made, every other row meets the rows of other components."""
+
+def _explode(size: int):
+    def run(batches):
+        import zstandard
+        big = zstandard.ZstdDecompressor()
+        for batch in batches:
+            texts = [big.decompress(z) for z in batch.column(2).to_pylist()]
+            off = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+            h, d = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), off, size)
+            for at in range(0, len(h), 100_000):
+                k = pa.array(d[at:at + 100_000])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(k), batch.column(1).take(k), pa.array(h[at:at + 100_000].view(np.int64))],
+                                                 names=["cls", "comp", "h"])
+    return run
+
+
+def _common(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(cls, common): shingles of every open class that also occur in an open class of another component."""
+    own = rows.select("cls", "comp").distinct().join(texts, "cls").mapInArrow(_explode(size), "cls long, comp long, h long")
+    across = own.groupBy("h").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("h")
+    return own.join(across, "h").groupBy("cls").agg(F.count("*").alias("common"))
+
+
+def _look_up(size: int, percent: int):
+    """Links (a, b) between the components of a cell's questions and members."""
+    def sets(z: pa.ChunkedArray):
+        import zstandard
+        big = zstandard.ZstdDecompressor()
+        texts = [big.decompress(x) for x in z.to_pylist()]
+        off = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        h, d = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), off, size)
+        return h, d, np.bincount(d, minlength=len(texts))
+
+    def run(members: pa.Table, asks: pa.Table) -> pa.Table:
+        a, b = [], []
+        if members.num_rows and asks.num_rows:
+            h, d, n = sets(members["z"])
+            o = np.argsort(h, kind="stable")
+            h, d = h[o], d[o]
+            comp = members["comp"].to_numpy()
+            qh, qd, qn = sets(asks["z_"])
+            begin = np.concatenate(([0], np.cumsum(qn)))
+            lo, hi = np.searchsorted(h, qh, "left"), np.searchsorted(h, qh, "right")
+            for i, its in enumerate(asks["comp_"].to_pylist()):
+                x, y = lo[begin[i]:begin[i + 1]], hi[begin[i]:begin[i + 1]]
+                k = y - x
+                both = np.bincount(d[np.repeat(x - np.cumsum(k) + k, k) + np.arange(int(k.sum()))], minlength=len(n))
+                hit = np.unique(comp[(100 * both >= percent * (n + qn[i] - both)) & (comp != its)])
+                a += [its] * len(hit)
+                b += hit.tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
+def _across(rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of components that a link joins, among the open rows (key, cls, n, comp)."""
     ground = (rows.groupBy("key", "comp").agg(F.count("*").alias("k"))
               .groupBy("key").agg(F.max(F.struct("k", "comp")).alias("g"), F.count("*").alias("m"))
               .where("m > 1").select("key", F.col("g.comp").alias("ground")))
-    live = rows.join(ground, "key")
-    x = live.where("comp <> ground").select("key", F.col("cls").alias("x"), F.col("comp").alias("cx"))
-    y = live.select("key", F.col("cls").alias("y"), F.col("comp").alias("cy"), "ground")
-    return x.join(y, "key").where("cx <> cy and (cy = ground or x < y)").select(*_pair("x", "y")).distinct()
+    live = stored(rows.join(ground, "key").select("ground", "cls", "comp", "n").distinct(), "cells")
+    off = F.col("comp") != F.col("ground")
+    many = lambda c: F.greatest(F.ceil(F.coalesce(F.sum(c), F.lit(0)) / CELL), F.lit(1)).cast("int")
+    shape = live.groupBy("ground").agg(many(F.col("n")).alias("deep"), many(F.when(off, F.col("n"))).alias("wide"))
+    rows = live.join(shape, "ground").join(texts, "cls")
+    slot = lambda c: F.pmod(F.xxhash64("cls"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    cell = ["ground", "p", "q"]
+    members = rows.withColumn("p", slot("deep")).withColumn("q", every("wide")).select("ground", "p", "q", "comp", "z")
+    asks = rows.where(off).withColumn("q", slot("wide")).withColumn("p", every("deep"))
+    asks = asks.select(*[F.col(c).alias(f"{c}_") for c in (*cell, "comp", "z")])
+    return members.groupBy(*cell).cogroup(asks.groupBy(*[f"{c}_" for c in cell])).applyInArrow(_look_up(size, percent), "a long, b long")
+
+
+def _resolved(df: DataFrame, node: str, roots: DataFrame, out: str = "comp") -> DataFrame:
+    """``df`` with the root of its column ``node``; a node without links is its own."""
+    r = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
+    return df.join(r, node, "left").withColumn(out, F.coalesce("_root", node)).drop("_root")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 85,
-                    star_rounds: int = 2) -> DataFrame:
+                    star_rounds: int = 1) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (it is its component's smallest id)."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = d.withColumn("mark", F.xxhash64("text"))
@@ -159,32 +230,37 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     linked = members.where("doc_id is not null and n > 0")
     classes = stored(survey.where("sig is not null").select("cls", "n", "sig", "bands").dropDuplicates(["cls"]), "classes")
 
-    every = classes.select("cls", F.explode("bands").alias("key"))
+    every = classes.select("cls", "n", F.explode("bands").alias("key"))
     shared = every.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     met = stored(every.join(shared, "key"), "bands")
     weight = met.groupBy("cls").agg(F.sum("m").alias("weight"))        # how much of its neighbourhood a class shares
-    rows = stored(met.join(weight, "cls").select("key", "cls", "weight"), "bands")
+    rows = stored(met.join(weight, "cls").select("key", "cls", "n", "weight"), "bands")
     reps = linked.groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("cls", "r.doc_id", "r.mark")
     texts = stored(marked.join(reps.join(weight, "cls", "left_semi"), ["doc_id", "mark"]).select("cls", "text")
                    .mapInArrow(_squeeze, "cls long, z binary").dropDuplicates(["cls"]), "texts")
 
-    links = roots = None
-    comp = rows.withColumn("comp", F.col("cls"))
+    links, top = None, rows.select("cls").distinct().withColumn("comp", F.col("cls"))
     for r in range(star_rounds + 1):
-        if r == star_rounds:
-            pairs = _across(comp)
+        comp = rows.withColumn("comp", F.col("cls")) if r == 0 else rows.join(top, "cls")
+        if r == 0 and star_rounds:
+            pairs = _star(comp, -F.col("weight"))
         else:
-            pairs = _star(comp, -F.col("weight") if r == 0 else F.xxhash64("cls", F.lit(r)))
+            live = _open(comp)
+            live = stored(live.join(_common(live, texts, size), "cls").where(100 * F.col("common") >= percent * F.col("n")), "open")
+            if r == star_rounds:
+                break
+            # the fewer shingles of its own, the nearer a class is to its group's origin
+            pairs = _star(live, F.struct(F.col("n") - F.col("common"), F.xxhash64("cls", F.lit(r))))
         found = stored(_links(_close(pairs, classes, percent), texts, size, percent), "links")
         links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        comp = rows.join(roots, F.col("cls") == F.col("node"), "left").select(*rows.columns, F.coalesce("root", "cls").alias("comp"))
+        top = stored(_resolved(top.drop("comp"), "cls", components(links)), "components")
+    joined = components(stored(_across(live, texts, size, percent), "links"))          # of components
 
     # smallest id by class, then by component, then back to the rows
-    own = linked.groupBy("cls").agg(F.min("doc_id").alias("own"))
-    low = own.join(roots, F.col("cls") == F.col("node")).groupBy("root").agg(F.min("own").alias("low"))
-    named = roots.join(low, "root").select(F.col("node").alias("cls"), "low")
-    final = own.join(named, "cls", "left").select("cls", F.coalesce("low", "own").alias("least"))
+    own = linked.groupBy("cls").agg(F.min("doc_id").alias("own")).join(top, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    own = stored(_resolved(own, "comp", joined, "top"), "tops")
+    low = own.groupBy("top").agg(F.min("own").alias("least"))
+    final = own.join(low, "top").select("cls", "least")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("least")), "doc_id"))
     return (members.join(final, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
