@@ -43,7 +43,7 @@ from orbitlens.llm import arrays as A
 from orbitlens.llm.shared import stored
 
 SHARD_BYTES = 8 << 20
-BUCKET_ROWS = 1 << 20           # n-grams that one bucket adds up, about
+BUCKET_ROWS = 1 << 18           # n-grams that one bucket adds up, about
 PIECE = A.SPACE.copy()          # bytes that end a piece
 PIECE[:] = False
 PIECE[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -124,18 +124,20 @@ class Index:
             if int(key.max()) >= (1 << 62) // wide:
                 key = np.unique(key, return_inverse=True)[1]
             key = key * wide + np.concatenate((t[d:], np.zeros(min(d, len(t)), np.int64)))
-        self.suffix = np.argsort(key, kind="stable")
-        self.before = t[self.suffix - 1]                              # of the first suffix: the last symbol, a 0
-        self.order = np.argsort(self.before, kind="stable")           # row i of the index: suffix order[i] with its symbol in front
+        self.suffix = np.argsort(key, kind="stable").astype(np.int32)
+        del key
+        self.before = t[self.suffix - 1].astype(np.int32)             # of the first suffix: the last symbol, a 0
+        self.order = np.argsort(self.before, kind="stable").astype(np.int32)      # row i: suffix order[i] with its symbol in front
 
 
 def extend(index: Index, lo: np.ndarray, other: np.ndarray, count: np.ndarray):
     """Every one-symbol extension of disjoint intervals: (lo, other, count) of the longer n-grams and their parents.
 
     ``lo`` is the intervals' place in ``index``, ``other`` their place in the opposite index."""
-    label = np.full(len(index.order), -1, np.int64)
-    rows = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
-    label[rows] = np.repeat(np.arange(len(lo)), count)
+    label = np.full(len(index.order), -1, np.int32)
+    rows = np.arange(int(count.sum())) + np.repeat(lo - (np.cumsum(count) - count), count)
+    label[rows] = np.repeat(np.arange(len(lo), dtype=np.int32), count)
+    del rows
     c, of = index.before[index.order], label[index.order]
     first = np.flatnonzero(np.concatenate(([True], (c[1:] != c[:-1]) | (of[1:] != of[:-1]))))
     n = np.diff(np.append(first, len(c)))
