@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,13 +38,14 @@ def _small_join(big: DataFrame, small: DataFrame, on, max_rows: int = 1_000_000)
 
 
 def regular_series(df: DataFrame, keys: list[str], *, ts: str = "ts", value: str = "value",
-                   freq=None, block_us: int | None = 7 * 86_400_000_000) -> DataFrame:
+                   freq=None, freq_table: DataFrame | None = None, block_us: int | None = 7 * 86_400_000_000) -> DataFrame:
     """T4 + T1 + T3 at each series' own frequency.
 
     Output: keys, ts, value, freq_s, idx (0-based grid position).  The
-    frequency inference on raw points is tiled by ``block_us``.
+    frequency inference on raw points is tiled by ``block_us``; ``freq_table``
+    (keys, freq_s) replaces it, for series whose model fixes the frequency.
     """
-    fr = infer_frequency(df, keys, ts=ts, requested=freq, block_us=block_us)
+    fr = freq_table.select(*keys, "freq_s") if freq_table is not None else infer_frequency(df, keys, ts=ts, requested=freq, block_us=block_us)
     x = _small_join(df.filter(F.col(value).isNotNull()), fr, keys)
     step = F.col("freq_s") * SEC
     x = x.withColumn("_step", step).withColumn("_b", F.floor(epoch_us(ts) / step).cast("bigint") * step)
@@ -90,72 +89,33 @@ def fourier_features(reg: DataFrame, season, *, idx: str = "idx") -> DataFrame:
     return reg.withColumn(f"sin1{suffix}", F.sin(ang)).withColumn(f"cos1{suffix}", F.cos(ang))
 
 
-def _acf_block_fn(max_lag: int, keys: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        blk_start = int(pdf["_blk"].iloc[0]) * int(pdf["_B"].iloc[0])
-        B = int(pdf["_B"].iloc[0])
-        z = np.zeros(B + max_lag)
-        pos = pdf["idx"].to_numpy(np.int64) - blk_start
-        z[pos] = pdf["_z"].to_numpy(np.float64)
-        home = z[:B]
-        top = min(max_lag, int(pos.max() - pos.min()))       # a lag without any pair has no value
-        sums = np.array([home @ z[k:k + B] for k in range(top + 1)])
-        out = pd.DataFrame({"lag": np.arange(top + 1, dtype=np.int64), "_s": sums})
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out
-    return fn
-
-
-def autocorrelation(reg: DataFrame, keys: list[str], max_lag: int, *, value: str = "value",
-                    idx: str = "idx", block: int = 8192) -> DataFrame:
-    """M2: ACF for lags 0..max_lag of each regular series, as far as the series goes.
-
-    acf_k = sum_i z_i z_(i+k) / sum_i z_i^2, z = value - mean (statsmodels'
-    non-adjusted estimator).  Tiled: the grid is cut into blocks of ``block``
-    positions; each row is also sent to the previous block when it lies in
-    the first ``max_lag`` positions of its own (the halo), each block returns
-    max_lag + 1 partial sums, Spark adds them up.  Shuffled volume is
-    n * (1 + max_lag / block), not n * max_lag.
-    """
-    B = max(block, max_lag)
-    means = reg.groupBy(*keys).agg(F.avg(value).alias("_mean"))
-    z = _small_join(reg.select(*keys, idx, value), means, keys).withColumn("_z", F.col(value) - F.col("_mean"))
-    home = F.floor(F.col(idx) / B).cast("bigint")
-    z = z.withColumn("_home", home)
-    prev = F.when((F.col(idx) - F.col("_home") * B < max_lag) & (F.col("_home") > 0),
-                  F.array(F.col("_home"), F.col("_home") - 1)).otherwise(F.array(F.col("_home")))
-    z = z.withColumn("_blk", F.explode(prev)).withColumn("_B", F.lit(B))
-    schema = ", ".join(["lag bigint", "_s double"] + [f"`{k}` string" for k in keys])
-    n_parts = int(reg.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = z.select(*keys, idx, "_z", "_blk", "_B").repartition(n_parts, *keys, "_blk") \
-             .groupBy(*keys, "_blk").applyInPandas(
-        _acf_block_fn(max_lag, keys), schema)
-    sums = parts.groupBy(*keys, "lag").agg(F.sum("_s").alias("_s"))
-    c0 = sums.filter(F.col("lag") == 0).select(*keys, F.col("_s").alias("_c0"))
-    return _small_join(sums, c0, keys).select(*keys, "lag", (F.col("_s") / F.col("_c0")).alias("acf"))
-
-
-def periodogram(reg: DataFrame, keys: list[str], n_freq: int, *, value: str = "value",
-                idx: str = "idx", first_fraction: float = 1.0) -> DataFrame:
-    """M4 spectrum: |DFT_k| for k = 1..n_freq of each regular series.
-
-    The frequency table has ``n_freq`` rows (a parameter), so it is
-    broadcast; the products are summed per (series, k) with partial
-    aggregation before the shuffle.  ``first_fraction`` keeps the first part
-    of every series (the reference searches the first quarter).
+def autocorrelation(reg: DataFrame, keys: list[str], max_lag: int | None = None, *, value: str = "value",
+                    idx: str = "idx", first_fraction: float = 1.0, block: int | None = None) -> DataFrame:
+    """M2: ACF of each regular series for all its lags 0..n-1 (or up to ``max_lag``).
+
+    acf_k = sum_i z_i z_(i+k) / sum_i z_i^2, z = value - mean (statsmodels' non-adjusted estimator), from the
+    power spectrum of the padded series (``spectrum``: three shuffles of the series, n log n products).  A
+    constant series has none.  ``first_fraction`` keeps the first part of every series (the lag search takes
+    the first quarter); ``block`` is the number of points of one group.
     """
-    n_tab = reg.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_all"))
-    x = _small_join(reg.select(*keys, idx, value), n_tab, keys)
-    x = x.withColumn("_n", F.floor(F.col("_n_all") * first_fraction).cast("bigint")) \
-         .filter(F.col(idx) < F.col("_n"))
-    freqs = reg.sparkSession.range(1, n_freq + 1).select(F.col("id").alias("k"))
-    j = x.crossJoin(F.broadcast(freqs)).filter(F.col("k") <= F.floor(F.col("_n") / 2))
-    ang = F.lit(2 * math.pi) * F.col("k") * F.col(idx) / F.col("_n")
-    agg = j.groupBy(*keys, "k", "_n").agg(F.sum(F.col(value) * F.cos(ang)).alias("_re"),
-                                          F.sum(F.col(value) * F.sin(ang)).alias("_im"))
-    return agg.select(*keys, "k", F.col("_n").alias("n"),
-                      F.sqrt(F.col("_re") ** 2 + F.col("_im") ** 2).alias("magnitude"))
+    from orbitlens.forecast import spectrum as SP
+    blocks = SP.series_blocks(reg, keys, value=value, idx=idx, first_fraction=first_fraction)
+    acf = SP.autocorrelation_of(blocks, keys, block or SP.BLOCK)
+    if max_lag is not None:
+        acf = acf.where(F.col("place") <= max_lag)
+    return acf.select(*keys, F.col("place").alias("lag"), F.col("y").alias("acf"))
+
+
+def periodogram(reg: DataFrame, keys: list[str], n_freq: int | None = None, *, value: str = "value",
+                idx: str = "idx", first_fraction: float = 1.0, block: int | None = None) -> DataFrame:
+    """M4 spectrum: |DFT_k| at all positive frequencies k = 1 .. (n-1)/2 of each regular series (or up to
+    ``n_freq``), n the length after ``first_fraction``; see ``spectrum`` for the layout."""
+    from orbitlens.forecast import spectrum as SP
+    blocks = SP.series_blocks(reg, keys, value=value, idx=idx, first_fraction=first_fraction)
+    spec = SP.spectrum_of(blocks, keys, block or SP.BLOCK)
+    if n_freq is not None:
+        spec = spec.where(F.col("place") <= n_freq)
+    return spec.select(*keys, F.col("place").alias("k"), "n", F.col("y").alias("magnitude"))
 
 
 def future_frame(reg: DataFrame, keys: list[str], horizon, *, ts: str = "ts",

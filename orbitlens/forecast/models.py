@@ -6,7 +6,7 @@
   aggregation before the shuffle); the tiny per-series systems are solved
   with numpy, one row per series.
 * Gradient boosted trees: ``pyspark.ml`` GBTRegressor, one distributed fit
-  over all series, the series as a categorical feature.
+  over all series, the series as an ordered target statistic.
 * Recursive forecast: in blocks of ``min_lag`` steps - no feature of a block
   depends on a value predicted in the same block - one distributed plan per
   block for all series; lineage cut with ``checkpoint()`` between blocks.
@@ -37,17 +37,13 @@ def fit_linear(feat: DataFrame, keys: list[str], features: list[str], *, label:
     g = feat.na.drop("any", subset=[*features, label]).groupBy(*keys).agg(*aggs)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        coefs = []
-        for _, r in pdf.iterrows():
-            A = np.zeros((p, p))
-            for i in range(p):
-                for j in range(i, p):
-                    A[i, j] = A[j, i] = r[f"_g{i}_{j}"]
-            b = np.array([r[f"_b{i}"] for i in range(p)])
-            A = A + ridge * np.eye(p)
-            coefs.append(np.linalg.lstsq(A, b, rcond=None)[0].tolist())
+        g = np.empty((len(pdf), p, p))
+        for i in range(p):
+            for j in range(i, p):
+                g[:, i, j] = g[:, j, i] = pdf[f"_g{i}_{j}"]
+        b = pdf[[f"_b{i}" for i in range(p)]].to_numpy()
         out = pdf[keys + ["n"]].copy()
-        out["coef"] = coefs
+        out["coef"] = [np.linalg.lstsq(a + ridge * np.eye(p), v, rcond=None)[0].tolist() for a, v in zip(g, b)]
         return out
 
     schema = ", ".join([f"`{k}` string" for k in keys] + ["n bigint", "coef array<double>"])
@@ -83,7 +79,8 @@ def conformal_quantiles(residuals: DataFrame, keys: list[str], *, level: int = L
 def apply_intervals(fc: DataFrame, q: DataFrame, keys: list[str], *, step: str = "step",
                     yhat: str = "yhat", level: int = LEVEL) -> DataFrame:
     """yhat -+ q as ``lo_<level>`` / ``hi_<level>``."""
-    x = fc.join(q, on=[*keys, step], how="left")
+    from orbitlens.operators.windows import join_null_safe
+    x = join_null_safe(fc, q, [*keys, step])
     return x.withColumn(f"lo_{level}", F.col(yhat) - F.col("q")) \
             .withColumn(f"hi_{level}", F.col(yhat) + F.col("q")).drop("q")
 
@@ -91,8 +88,8 @@ def apply_intervals(fc: DataFrame, q: DataFrame, keys: list[str], *, step: str =
 # ---------------------------------------------------------------- recursive
 def forecast_recursive(reg: DataFrame, keys: list[str], lags: list[int], horizon: int, predict_fn,
                        *, window_lags=(), window_size: int = 2, season: int | None = None,
-                       checkpoint: bool = True) -> DataFrame:
-    """Forecast ``horizon`` steps for every series.
+                       checkpoint: bool = True, features=None) -> DataFrame:
+    """Forecast ``horizon`` steps for every series (``features(rows)`` replaces the common lag columns).
 
     Steps are produced in blocks of ``min(lags)``: within a block every lag
     reaches back to known or already forecast values, so each block is one
@@ -128,8 +125,8 @@ def forecast_recursive(reg: DataFrame, keys: list[str], lags: list[int], horizon
                          F.lit(None).cast("double").alias("value"), F.col("_f").alias("freq_s"),
                          (F.col("_cur") + F.col("_i")).alias("idx"), F.col("_li").alias("_last_idx"))
         allrows = hist.unionByName(fut)
-        feats = build_features(allrows, keys, lags, window_lags=window_lags, window_size=window_size,
-                               season=season, drop_missing=False)
+        feats = features(allrows) if features else build_features(
+            allrows, keys, lags, window_lags=window_lags, window_size=window_size, season=season, drop_missing=False)
         feats = feats.filter(F.col("value").isNull())
         pred = predict_fn(feats).select(*keys, "ts", "idx", "freq_s", "_last_idx", "yhat")
         pred = pred.withColumn("step", F.col("idx") - F.col("_last_idx"))
@@ -153,49 +150,120 @@ def limit_horizon(fc: DataFrame, keys: list[str], n: int, *, ts: str = "ts") ->
 
 
 # ---------------------------------------------------------------- GBT (M8)
-SERIES_CODE = ("_series_0", "_series_1", "_series_2")
+#: a tree splits series by their level: the mean of what the series showed before the row (ordered, so a row never
+#: sees its own target), and the mean of the whole training part when predicting
+SERIES_CODE = ("_level",)
+LEVEL_BLOCK = 8192
+
 
+def with_series_level(feat: DataFrame, keys: list[str], *, label: str = "value", order: str = "idx") -> DataFrame:
+    """Adds ``_level``: mean of ``label`` over the series' earlier rows (the first row: over all series' rows).
 
-def with_series_code(feat: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds the series key as hashed numbers; a null key part is a value of its own."""
-    parts = [F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in keys]
-    return feat.withColumns({c: F.pmod(F.xxhash64(F.lit(i), *parts), F.lit(100_003)).cast("double")
-                             for i, c in enumerate(SERIES_CODE)})
+    Earlier blocks enter by their sums, so no task holds more of a series than LEVEL_BLOCK positions."""
+    from orbitlens.operators.windows import join_null_safe
+    x = feat.withColumn("_lb", F.floor(F.col(order) / LEVEL_BLOCK).cast("bigint"))
+    sums = x.groupBy(*keys, "_lb").agg(F.sum(label).alias("_s"), F.count(label).alias("_c"))
+    past = Window.partitionBy(*keys).orderBy("_lb").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, "_lb", F.coalesce(F.sum("_s").over(past), F.lit(0.0)).alias("_s0"), F.coalesce(F.sum("_c").over(past), F.lit(0)).alias("_c0"))
+    x = join_null_safe(x, sums, [*keys, "_lb"])
+    own = Window.partitionBy(*keys, "_lb").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.col("_s0") + F.coalesce(F.sum(label).over(own), F.lit(0.0))
+    count = F.col("_c0") + F.count(label).over(own)
+    everywhere = feat.agg(F.avg(label)).first()[0]                       # one number
+    level = F.when(count > 0, total / F.when(count > 0, count)).otherwise(F.lit(everywhere))
+    return x.withColumn("_level", level).drop("_lb", "_s0", "_c0")
 
 
-def fit_gbt(feat: DataFrame, keys: list[str], features: list[str], *, label: str = "value",
-            max_iter: int = 200, max_depth: int = 7, seed: int = 0, step_size: float = 0.1):
-    """Gradient boosted trees over all series at once.  The series key enters as
-    hashed coordinates, so there is no limit on the number of series and no list
-    of them on the driver.  Returns the fitted PipelineModel."""
+def series_levels(feat: DataFrame, keys: list[str], *, label: str = "value") -> DataFrame:
+    """Keys, _level: every series' mean over its training rows."""
+    return feat.groupBy(*keys).agg(F.avg(label).alias("_level"))
+
+
+def _fit(feat: DataFrame, keys: list[str], features: list[str], estimator, label: str, order: str):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
 
-    x = with_series_code(feat, keys)
+    x = with_series_level(feat.na.drop("any", subset=[*features, label]), keys, label=label, order=order)
     va = VectorAssembler(inputCols=[*SERIES_CODE, *features], outputCol="_features", handleInvalid="keep")
+    return Pipeline(stages=[va, estimator]).fit(x)
+
+
+def fit_gbt(feat: DataFrame, keys: list[str], features: list[str], *, label: str = "value", order: str = "idx",
+            max_iter: int = 200, max_depth: int = 7, seed: int = 0, step_size: float = 0.1):
+    """Gradient boosted trees over all series at once.  The series key enters as an ordered target statistic
+    (``with_series_level``), so there is no limit on the number of series, no list of them on the driver, and a
+    tree can split series by their level.  Returns the fitted PipelineModel."""
+    from pyspark.ml.regression import GBTRegressor
+
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="yhat", maxIter=max_iter,
                        maxDepth=max_depth, seed=seed, stepSize=step_size, maxBins=256)
-    return Pipeline(stages=[va, gbt]).fit(x.na.drop("any", subset=[*features, label]))
+    return _fit(feat, keys, features, gbt, label, order)
 
 
 def fit_estimator(feat: DataFrame, keys: list[str], features: list[str], estimator, *,
-                  label: str = "value"):
+                  label: str = "value", order: str = "idx"):
     """Any ``pyspark.ml`` regressor in the model slot (the reference lets
     the caller pass its own model object).  The estimator must read the
     ``_features`` vector and ``label`` and write ``yhat``; the series key enters
     as in ``fit_gbt``."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-
-    x = with_series_code(feat, keys)
-    va = VectorAssembler(inputCols=[*SERIES_CODE, *features], outputCol="_features", handleInvalid="keep")
     est = estimator.copy().setFeaturesCol("_features").setLabelCol(label).setPredictionCol("yhat")
-    return Pipeline(stages=[va, est]).fit(x.na.drop("any", subset=[*features, label]))
+    return _fit(feat, keys, features, est, label, order)
+
+
+def predict_gbt(model, feat: DataFrame, keys: list[str], levels: DataFrame) -> DataFrame:
+    """``levels``: ``series_levels`` of the training rows."""
+    from orbitlens.operators.windows import join_null_safe
+    return model.transform(join_null_safe(feat, levels, keys, "inner")).drop(*SERIES_CODE, "_features")
 
 
-def predict_gbt(model, feat: DataFrame, keys: list[str]) -> DataFrame:
-    return model.transform(with_series_code(feat, keys)).drop(*SERIES_CODE, "_features")
+def lag_slots(reg: DataFrame, plan: DataFrame, keys: list[str], slots: int) -> DataFrame:
+    """``reg`` with columns ``slot1`` .. ``slot<slots>``: the value at the series' first, second, ... own lag (a series
+    with fewer lags repeats its last one).  Rows without all lags are dropped."""
+    from orbitlens.operators.windows import join_null_safe
+    lags = plan.select(*keys, F.posexplode("lags").alias("_slot", "_lag"))
+    back = join_null_safe(reg.select(*keys, "idx", "value"), lags, keys, "inner").select(*keys, (F.col("idx") + F.col("_lag")).alias("idx"), "_slot", "value")
+    seen = back.groupBy(*keys, "idx").agg(F.array_sort(F.collect_list(F.struct("_slot", "value"))).alias("_v"))       # one entry per lag
+    seen = join_null_safe(seen, plan.select(*keys, F.size("lags").alias("_k")), keys, "inner").where(
+        (F.size("_v") == F.col("_k")) & ~F.exists("_v", lambda e: e["value"].isNull()))
+    x = join_null_safe(reg, seen.select(*keys, "idx", F.transform("_v", lambda e: e["value"]).alias("_v")), [*keys, "idx"], "inner")
+    return x.select(*reg.columns, *[F.get("_v", F.least(F.lit(i), F.size("_v") - 1)).alias(f"slot{i + 1}") for i in range(slots)])
+
+
+def fit_gbt_lagged(reg: DataFrame, plan: DataFrame, keys: list[str], path: str, *, exogenous: list[str] = (), weight: str | None = None, **how) -> None:
+    """P7 with one boosted model of all series: every series' own lags in slots; saved with its plan and levels."""
+    from orbitlens.session import checkpoint_dir
+    checkpoint_dir(reg.sparkSession)
+    slots = plan.agg(F.max(F.size("lags"))).first()[0] or 0                 # one number
+    if exogenous:
+        raise ValueError("exogenous inputs need model='linear'")
+    if not slots:
+        raise ValueError("no series is long enough to train")
+    feat = lag_slots(reg, plan, keys, slots).checkpoint()                 # plain columns: many derived ones slow the planner
+    if weight:
+        feat = feat.where(F.col(weight) > 0).withColumn("_again", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(weight).cast("bigint")))).drop("_again")
+    fit_gbt(feat, keys, [f"slot{i + 1}" for i in range(slots)], **how).write().save(f"{path}/model")
+    from orbitlens.operators.windows import join_null_safe
+    join_null_safe(plan.select(*keys, "lags", "min_lag", F.lit(slots).alias("slots")), series_levels(feat, keys), keys, "inner").write.parquet(f"{path}/plan")
+
+
+def forecast_gbt_lagged(reg: DataFrame, path: str, keys: list[str], horizon: int | None = None) -> DataFrame:
+    """Recursive forecast with a model of ``fit_gbt_lagged``; by default every series' own min_lag steps."""
+    from pyspark.ml import PipelineModel
+
+    from orbitlens.operators.windows import join_null_safe
+    spark = reg.sparkSession
+    plan = spark.read.parquet(f"{path}/plan")
+    model = PipelineModel.load(f"{path}/model")
+    slots, most, least = plan.agg(F.max("slots"), F.max("min_lag"), F.min(F.array_min("lags"))).first()
+    need = plan.agg(F.max(F.array_max("lags"))).first()[0]
+
+    def features(rows):
+        return lag_slots(rows, plan, keys, slots)
+
+    fc = forecast_recursive(reg, keys, [int(least), int(need)], int(horizon or most), lambda f: predict_gbt(model, f, keys, plan.select(*keys, "_level")), features=features)
+    if horizon is None:
+        fc = join_null_safe(fc, plan.select(*keys, "min_lag"), keys, "inner").where("step <= min_lag").drop("min_lag")
+    return fc
 
 
 # ---------------------------------------------------------------- registry

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orbitlens.functions.time import epoch_us
@@ -30,31 +30,47 @@ def drop_incomplete(df: DataFrame, subset=None) -> DataFrame:
     return df.na.drop("any", subset=subset)
 
 
-def filter_intervals(df: DataFrame, intervals: DataFrame, *, ts: str = "ts",
-                     start: str = "start", end: str = "end", max_intervals: int = 100_000) -> DataFrame:
-    """rows inside any closed [start, end] range; a row is repeated once per
-    range that contains it (the reference concatenates per-range filters).
+def interval_counts(df: DataFrame, intervals: DataFrame, *, ts: str = "ts", start: str = "start",
+                    end: str = "end", out: str = "n_intervals") -> DataFrame:
+    """Rows inside at least one closed [start, end] range, with the number of ranges that hold them.
 
-    The range list is a configuration table.  Its size is checked (a bounded
-    ``limit().count()``) before it is broadcast; a larger list falls back to
-    a range join bucketed on days, which stays an equi-join.
+    A sweep over the range boundaries, the same plan for ten ranges and for ten million.  Time is cut into
+    slices; a boundary is one row of its slice, and the ranges open at a slice's start are a running sum over
+    the slices (a small table, whatever the ranges' lengths).  Inside a slice a running sum over boundaries and
+    rows in time order gives every row's count, so the work is rows + boundaries, not rows x ranges.  The one
+    scalar job reads the ranges' extent, which also prunes the scan of ``df``.  Ranges that end before they
+    start, or with a NULL end, hold nothing.
     """
-    from orbitlens.operators.joins import is_small
-    iv = intervals.select(F.col(start).alias("_s"), F.col(end).alias("_e"))
-    cond = (F.col(ts) >= F.col("_s")) & (F.col(ts) <= F.col("_e"))
-    if is_small(iv, max_intervals):
-        return df.join(F.broadcast(iv), cond, "inner").drop("_s", "_e")
-    # Bucketed range join: each interval is exploded to the days it covers.
-    day = 86_400_000_000
-    ivd = iv.withColumn("_d", F.explode(F.sequence(F.floor(epoch_us("_s") / day), F.floor(epoch_us("_e") / day))))
-    x = df.withColumn("_d", F.floor(epoch_us(ts) / day))
-    return x.join(ivd, on="_d").filter(cond).drop("_s", "_e", "_d")
-
-
-def check_interval_lists(starts: list, ends: list) -> None:
-    """F5 precondition: start and end lists must have the same length."""
-    if len(starts) != len(ends):
-        raise ValueError("Start date and End date should have the same length")
+    spark = df.sparkSession
+    iv = (intervals.select(epoch_us(start).alias("s"), (epoch_us(end) + 1).alias("e")).where("s < e"))
+    lo, hi = iv.agg(F.min("s"), F.max("e")).first()
+    if lo is None:
+        return df.limit(0).withColumn(out, F.lit(0).cast("bigint"))
+    slices = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(1, -(-(hi - lo) // slices))
+    part = lambda c: F.call_function("div", F.col(c) - F.lit(lo), F.lit(width))
+    bounds = (iv.select(F.explode(F.array(F.struct(F.col("s").alias("t"), F.lit(1).alias("d")), F.struct(F.col("e").alias("t"), F.lit(-1).alias("d")))).alias("b"))
+              .select("b.t", "b.d").groupBy("t").agg(F.sum("d").cast("bigint").alias("d")).withColumn("_slice", part("t")))
+    opened = bounds.groupBy("_slice").agg(F.sum("d").alias("d")).unionByName(
+        spark.range(slices + 1).select(F.col("id").alias("_slice"), F.lit(0).cast("bigint").alias("d")))
+    opened = opened.groupBy("_slice").agg(F.sum("d").alias("d"))             # slices + 1 rows
+    opened = opened.select("_slice", F.coalesce(F.sum("d").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_open"))
+    cols = df.columns
+    rows = (df.withColumn("_t", epoch_us(ts)).where((F.col("_t") >= lo) & (F.col("_t") < hi))
+            .select(F.col("_t"), part("_t").alias("_slice"), F.lit(0).cast("bigint").alias("_d"), F.struct(*cols).alias("_row")))
+    marks = bounds.select(F.col("t").alias("_t"), "_slice", F.col("d").alias("_d"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    w = Window.partitionBy("_slice").orderBy("_t", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    x = rows.unionByName(marks).withColumn("_n", F.sum("_d").over(w)).where("_row is not null").join(opened, "_slice")
+    x = x.withColumn(out, (F.col("_n") + F.col("_open")).cast("bigint")).where(F.col(out) > 0)
+    return x.select(*[F.col("_row")[c].alias(c) for c in cols], out)
+
+
+def filter_intervals(df: DataFrame, intervals: DataFrame, *, ts: str = "ts",
+                     start: str = "start", end: str = "end") -> DataFrame:
+    """rows inside any closed [start, end] range, each repeated once per range that holds it."""
+    cols = df.columns
+    x = interval_counts(df, intervals, ts=ts, start=start, end=end, out="_times")
+    return x.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(*cols)
 
 
 def rename_columns(df: DataFrame, mapping: dict | None = None, *, drop_like: str | None = None) -> DataFrame:

@@ -24,8 +24,8 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
 
 
 def align_series(left: DataFrame, right: DataFrame, keys: list[str], *, ts: str = "ts") -> DataFrame:
-    """Inner equi-join of two frames on (series, ts)."""
-    return left.join(right, on=[*keys, ts], how="inner")
+    """Inner equi-join of two frames on (series, ts); a NULL tag is a value."""
+    return join_null_safe(left, right, [*keys, ts], "inner")
 
 
 def merge_outer(left: DataFrame, right: DataFrame, keys: list[str], *, ts: str = "ts") -> DataFrame:

@@ -246,6 +246,23 @@ def diff(df: DataFrame, keys: list[str], col: str, *, ts: str = "ts", out: str |
     return x.withColumn(out or f"{col}_diff", F.col(col) - F.col(f"_prev_{col}")).drop(f"_prev_{col}")
 
 
+def regular_smoothed_diff(reg: DataFrame, keys: list[str], col: str = "value", *, frac: float = 0.02, idx: str = "idx",
+                          out: str | None = None) -> DataFrame:
+    """W6 on a regular series (0-based ``idx``, no nulls), without a window over a series.
+
+    The step of a rolling mean over k points is ``(x[i] - x[i-k]) / k``: one equi-join on the position; the first k
+    points take the first step there is."""
+    out = out or f"{col}_smoothed_diff"
+    n = reg.groupBy(*keys).agg(F.greatest(F.floor(F.count(F.lit(1)) * F.lit(frac)), F.lit(1)).cast("bigint").alias("_k"))
+    x = join_null_safe(reg, n, keys, "inner")
+    back = x.select(*keys, (F.col(idx) + F.col("_k")).alias(idx), F.col(col).alias("_back"))
+    x = join_null_safe(x, back, [*keys, idx])
+    step = (F.col(col) - F.col("_back")) / F.col("_k")
+    first = x.where(F.col(idx) == F.col("_k")).select(*keys, step.alias("_first"))
+    x = join_null_safe(x, first, keys)
+    return x.withColumn(out, F.coalesce(step, F.col("_first"))).drop("_k", "_back", "_first")
+
+
 def smoothed_diff(df: DataFrame, keys: list[str], col: str, *, frac: float = 0.02,
                   ts: str = "ts", out: str | None = None) -> DataFrame:
     """Row rolling mean over ``int(frac * n)`` rows (n = series length),
@@ -264,7 +281,7 @@ def smoothed_diff(df: DataFrame, keys: list[str], col: str, *, frac: float = 0.0
          .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
     x = x.withColumn("_k", F.greatest(F.floor(F.col("_n") * F.lit(frac)), F.lit(1)).cast("bigint"))
     ref = x.select(*keys, (F.col("_i") + F.col("_k")).alias("_i"), F.col("_S").alias("_S_back"))
-    x = x.join(ref, on=[*keys, "_i"], how="left")
+    x = join_null_safe(x, ref, [*keys, "_i"])
     kk = F.col("_k")
     mean_k = F.when(F.col("_i") == kk, F.col("_S") / kk) \
               .when(F.col("_i") > kk, (F.col("_S") - F.col("_S_back")) / kk)

@@ -167,105 +167,169 @@ def current_marks(spark, marks_path: str, keys: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P7 / P8 / P9
+#: season and lags need this many points: the smoothing takes 2 % of them, the search the first quarter
+MIN_POINTS = 50
+
+
+def lag_search(reg: DataFrame, keys: list[str]) -> DataFrame:
+    """Every series' lags (``seasonality.select_lags``) from all lags and all positive frequencies of
+    its first quarter; five autocorrelation peaks, four spectral rounds."""
+    from orbitlens.forecast import features as FT
+    from orbitlens.forecast import seasonality as SE
+    acf = SE.acf_peak_lags(FT.autocorrelation(reg, keys, first_fraction=0.25), keys, nlags=5).select(*keys, "lag")
+    fft = SE.fft_period_lags(reg, keys).select(*keys, "lag")
+    return SE.select_lags(acf.unionByName(fft), FT.series_sizing(reg, keys), keys)
+
+
+def season_search(reg: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys, season: the first lag found in the autocorrelation of the smoothed difference of the whole series."""
+    from orbitlens.forecast import features as FT
+    from orbitlens.forecast import seasonality as SE
+    from orbitlens.operators.windows import regular_smoothed_diff
+    d = regular_smoothed_diff(reg, keys, "value", out="_d")
+    acf = FT.autocorrelation(d, keys, value="_d")
+    return SE.acf_peak_lags(acf, keys, nlags=6).where("rank = 1").select(*keys, F.col("lag").alias("season"))
+
+
+def exogenous_on_grid(df: DataFrame, grid: DataFrame, keys: list[str], names: list[str], *,
+                      block_us: int | None = 7 * 86_400_000_000) -> DataFrame:
+    """S15 + M14: keys, ts, name, value of the metrics ``names`` with the target's own tags, on the target's grid
+    (``grid``: keys, ts, freq_s).  First value of a step; gaps are filled forward, then backward."""
+    from orbitlens.functions.time import SEC, epoch_us, floor_us, from_epoch_us
+    from orbitlens.operators.resample import fill_gaps
+    tags = [k for k in keys if k != "metric"]
+    freq = grid.groupBy(*keys).agg(F.first("freq_s").alias("freq_s"), F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
+    e = df.where(F.col("metric").isin(list(names)) & F.col("value").isNotNull()).select(F.col("metric").alias("name"), *tags, "ts", "value")
+    e = join_null_safe(e, freq.select(*keys, "freq_s"), tags, "inner") if tags else e.crossJoin(freq.select(*keys, "freq_s").limit(1))
+    step = F.col("freq_s") * SEC
+    e = (e.withColumn("_b", from_epoch_us(F.call_function("div", epoch_us("ts"), step) * step))
+         .groupBy(*keys, "name", F.col("_b").alias("ts")).agg(F.min_by("value", "ts").alias("value")))
+    cells = grid.select(*keys, "ts", F.explode(F.array(*[F.lit(n) for n in names])).alias("name"))
+    return fill_gaps(join_null_safe(cells, e, [*keys, "ts", "name"]), [*keys, "name"], ["value"], ts="ts", order="ffill_bfill", block_us=block_us)
+
+
+def _training_series(df, registry, keys, now, exogenous, history_days):
+    from orbitlens.functions.time import DAY, epoch_us, from_epoch_us
+    from orbitlens.sources.telemetry import _ts_lit
+    df_targets = df.where(~F.col("metric").isin(list(exogenous))) if exogenous else df
+    start = from_epoch_us(epoch_us(_ts_lit(now)) - F.lit(history_days * DAY))
+    src = df_targets.where((F.col("ts") >= start) & (F.col("ts") <= _ts_lit(now)))
+    if registry is None:
+        return src
+    known = registry.select(F.col("target").alias("metric"), *[k for k in keys if k != "metric"]).distinct()
+    return join_null_safe(src, known, keys, "left_anti")             # a NULL tag is a value here
+
+
 def train_job(df: DataFrame, registry: DataFrame | None, keys: list[str], now, *, model_dir: str,
-              n_common_lags: int = 4, max_acf_lag: int = 240, n_freq: int = 256,
-              history_days: int = 360, model: str = "linear") -> DataFrame:
+              exogenous: list[str] = (), intervals: DataFrame | None = None, history_days: int = 360,
+              freq=None, model: str = "linear") -> DataFrame:
     """Train where no model exists, return the new registry rows.
 
-    registry check (left anti) -> first point (S9) -> one pruned read of at
-    most 12 x 30 days (S11 chunks become a single range filter) -> regular
-    series (T4, T1, T3) -> lag discovery (M2-M6) -> lag features (M7) ->
-    model (M9 per-series OLS, or M8 one GBT for all series) -> saved under
-    ``model_dir`` -> registry rows (M16, M15, M20).
-
-    The model is a global structure: it uses the ``n_common_lags`` lags
-    selected most often across series (per-series lag lists, min_lag and
-    max_lag are stored in the registry).
+    registry check (left anti) -> one pruned read of at most 12 x 30 days (S11
+    chunks become a single range filter) -> regular series (T4, T1, T3) ->
+    season from the smoothed difference, lags of every series (M2-M6) ->
+    model per series on its own lags, rolling means, season and exogenous
+    values of the same time (``lagmodel``; with ``model="gbt"`` one boosted
+    model of all series) -> saved under ``model_dir`` -> registry rows (M16,
+    M15, M20) with each series' own min_lag, max_lag and features.
+
+    ``exogenous``: metrics that are inputs, with the target's tags, and no targets themselves.  ``intervals``
+    (start, end): only rows inside train, each as often as intervals hold it (F5).  Series shorter than
+    MIN_POINTS, without lags or with fewer rows than features are not trained.
     """
     from orbitlens.forecast import features as FT
+    from orbitlens.forecast import lagmodel as LM
     from orbitlens.forecast import models as MD
-    from orbitlens.forecast import seasonality as SE
-    from orbitlens.functions.time import DAY, epoch_us, from_epoch_us
+    from orbitlens.operators.filters import interval_counts
+    from orbitlens.session import checkpoint_dir
     from orbitlens.sources.telemetry import _ts_lit
 
-    series = df.select(*keys).distinct()
-    if registry is not None:
-        reg_keys = registry.select(F.col("target").alias("metric"), *[k for k in keys if k != "metric"])
-        series = series.exceptAll(reg_keys.distinct())          # a NULL tag is a value here
-    start = from_epoch_us(epoch_us(_ts_lit(now)) - F.lit(history_days * DAY))
-    src = join_null_safe(df, series, keys, "inner").filter((F.col("ts") >= start) & (F.col("ts") <= _ts_lit(now)))
-    reg = FT.regular_series(src, keys)
-    reg = reg.checkpoint()  # reused by five consumers: cut the lineage once
+    checkpoint_dir(df.sparkSession)
+    exogenous = list(exogenous)
+    src = _training_series(df, registry, keys, now, exogenous, history_days)
+    reg = FT.regular_series(src, keys, freq=freq)
+    long_enough = reg.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= MIN_POINTS).select(*keys)
+    reg = join_null_safe(reg, long_enough, keys, "left_semi").checkpoint()          # read by the searches, the fit and the sizing
     sizing = FT.series_sizing(reg, keys)
-    acf = SE.acf_peak_lags(FT.autocorrelation(reg, keys, max_acf_lag), keys).select(*keys, "lag")
-    fft = SE.fft_period_lags(FT.periodogram(reg, keys, n_freq, first_fraction=0.25), keys).select(*keys, "lag")
-    sel = SE.select_lags(acf.unionByName(fft), sizing, keys)
-    common = (sel.select(F.explode("lags").alias("lag")).groupBy("lag").count()
-              .orderBy(F.col("count").desc(), F.col("lag")).limit(n_common_lags))
-    lags = sorted(int(r["lag"]) for r in common.collect()) or [1]   # n_common_lags scalars
-    feats = FT.build_features(reg, keys, lags)
-    cols = [f"lag{k}" for k in lags]
+    selected = lag_search(reg, keys).checkpoint()
+    season = season_search(reg, keys)
+    plan = LM.model_plan(reg, selected, sizing, keys, season).checkpoint()
     path = f"{model_dir.rstrip('/')}/{model}-{uuid.uuid4().hex}"     # a run never touches earlier models
+    rows = reg
+    if exogenous:
+        wide = (exogenous_on_grid(df, reg, keys, exogenous).groupBy(*keys, "ts").pivot("name", exogenous).agg(F.first("value")))
+        rows = join_null_safe(rows, wide, [*keys, "ts"])
+    if intervals is not None:
+        held = interval_counts(rows.select(*keys, "ts"), intervals, out="_times")
+        rows = join_null_safe(rows, held, [*keys, "ts"]).withColumn("_times", F.coalesce("_times", F.lit(0)))
     if model == "gbt":
-        MD.fit_gbt(feats, keys, cols).write().save(path)
+        MD.fit_gbt_lagged(rows, plan, keys, path, exogenous=exogenous, weight="_times" if intervals is not None else None)
+        done = plan.withColumns({"exogenous": F.array(*[F.lit(c) for c in exogenous]).cast("array<string>"),
+                                 "features": F.transform("lags", lambda v: F.concat(F.lit("lag"), v.cast("string")))})
     else:
-        MD.fit_linear(feats, keys, cols).write.parquet(path)
+        fitted = LM.fit_lagged(rows, plan, keys, exogenous=exogenous, weight="_times" if intervals is not None else None)
+        fitted.write.parquet(path)
+        done = join_null_safe(df.sparkSession.read.schema(fitted.schema).parquet(path).select(*keys, "exogenous", "features", "lags", "window_size", "season"),
+                              plan.select(*keys, "freq_s", "min_lag", "max_lag"), keys, "inner")
     tag_keys = [k for k in keys if k != "metric"]
-    return sel.select(F.col("metric").alias("target"), F.array().cast("array<string>").alias("exogenous"),
-                      *tag_keys, F.to_date(_ts_lit(now)).alias("date"), F.lit(path).alias("path"),
-                      "freq_s", F.lit(min(lags)).cast("bigint").alias("min_lag"),
-                      F.lit(max(lags)).cast("bigint").alias("max_lag"), F.lit(model).alias("model"),
-                      F.array(*[F.lit(c) for c in cols]).alias("features"),
-                      F.col("lags").alias("series_lags"))
+    return done.select(F.col("metric").alias("target"), "exogenous", *tag_keys, F.to_date(_ts_lit(now)).alias("date"), F.lit(path).alias("path"),
+                       "freq_s", "min_lag", "max_lag", "window_size", "season", F.lit(model).alias("model"), "features", F.col("lags").alias("series_lags"))
 
 
 def predict_job(df: DataFrame, registry: DataFrame, marks: DataFrame, keys: list[str], now, *,
                 horizon: int | None = None) -> DataFrame:
-    """Latest model per series -> context window (S14) -> regular series ->
-    recursive forecast (M12) with 99 % bands from in-sample residuals (M11)
-    -> rows after the mark (M18) as ``<metric>_prediction``, ``_lb``, ``_ub``."""
-    tag_keys = [k for k in keys if k != "metric"]
-    latest = registry.groupBy("target", *tag_keys).agg(
-        F.max_by(F.struct("path", "model", "features", "min_lag", "max_lag", "freq_s"), "date").alias("m"))
-    latest = latest.select(F.col("target").alias("metric"), *tag_keys, "m.*")
-    runs = latest.select("path", "model", "features").distinct().collect()   # one row per training run
-    parts = [_predict_run(df, latest.filter(F.col("path") == r["path"]), marks, keys, now, r["path"], r["model"],
-                          list(r["features"]), horizon) for r in sorted(runs, key=lambda r: r["path"])]
-    if not parts:
-        raise ValueError("the registry holds no model")
-    return reduce(DataFrame.unionByName, parts)
+    """Latest model per series -> context window (S14, pruned by the earliest start of all series) -> regular
+    series at the registry's frequency -> recursive forecast with the backtest's 99 % bands (M12, M11), exogenous
+    values of the forecast times -> rows after the mark (M18) as ``<metric>_prediction``, ``_lb``, ``_ub``.
 
-
-def _predict_run(df, latest, marks, keys, now, path, model, cols, horizon):
-    """Forecast of the series whose latest model is that of one training run."""
+    ``horizon`` defaults to every series' own prediction length, min_lag steps (M15, L3)."""
     from orbitlens.forecast import features as FT
+    from orbitlens.forecast import lagmodel as LM
     from orbitlens.forecast import models as MD
+    from orbitlens.functions.time import epoch_us, ntz_of_us
+    from orbitlens.session import checkpoint_dir
     from orbitlens.sources.state import model_context_window
 
-    tag_keys = [k for k in keys if k != "metric"]
-    lags = [int(c[3:]) for c in cols]
-    reg_info = latest.withColumn("length_needed_s", F.col("max_lag") * F.col("freq_s") * 3)
-    ctx = model_context_window(marks, reg_info, keys, now)
-    src = join_null_safe(df, ctx, keys, "inner").filter((F.col("ts") >= F.col("ctx_start")) & (F.col("ts") <= F.col("ctx_end")))
-    reg = FT.regular_series(src.select(*keys, "ts", "value"), keys)
     spark = df.sparkSession
-    if model == "gbt":
-        from pyspark.ml import PipelineModel
-        pm = PipelineModel.load(path)
-        predict = lambda f: MD.predict_gbt(pm, f, keys)
-    else:
-        coefs = spark.read.parquet(path)
-        predict = lambda f: MD.predict_linear(f, coefs, keys, cols)
-    h = horizon or min(lags)
-    fc = MD.forecast_recursive(reg, keys, lags, h, predict)
-    feats = FT.build_features(reg, keys, lags)
-    res = predict(feats).select(*keys, ((F.col("idx") % min(lags)) + 1).alias("step"),
-                                (F.col("value") - F.col("yhat")).alias("residual"))
-    fc = fc.withColumn("step", (F.col("step") - 1) % min(lags) + 1)
-    fc = MD.apply_intervals(fc, MD.conformal_quantiles(res, keys), keys)
-    fc = MD.forecast_after_checkpoint(fc, marks.select(*keys, "ts"), keys)
-    long = fc.select(*keys, "ts", F.col("yhat").alias("prediction"), F.col("lo_99").alias("lb"),
-                     F.col("hi_99").alias("ub"))
+    checkpoint_dir(spark)
+    tag_keys = [k for k in keys if k != "metric"]
+    info = ["path", "model", "min_lag", "max_lag", "window_size", "freq_s"]
+    latest = registry.groupBy("target", *tag_keys).agg(F.max_by(F.struct(*info), F.struct("date", "path")).alias("m"))
+    latest = latest.select(F.col("target").alias("metric"), *tag_keys, "m.*").checkpoint()
+    runs = latest.select("path", "model").distinct().collect()               # one row per training run
+    if not runs:
+        raise ValueError("the registry holds no model")
+    need = latest.withColumn("length_needed_s", (F.col("max_lag") + F.col("window_size") + 2) * F.col("freq_s"))
+    ctx = model_context_window(marks, need, keys, now).checkpoint()
+    low, high = ctx.agg(F.min(epoch_us("ctx_start")), F.max(epoch_us("ctx_end"))).first()
+    if low is None:
+        low = high = 0
+    src = df.where((F.col("ts") >= ntz_of_us(low)) & (F.col("ts") <= ntz_of_us(high)))       # two scalars: the scan is pruned
+    src = join_null_safe(src, ctx, keys, "inner").where((F.col("ts") >= F.col("ctx_start")) & (F.col("ts") <= F.col("ctx_end")))
+    reg = FT.regular_series(src.select(*keys, "ts", "value"), keys, freq_table=latest).checkpoint()
+    parts = []
+    linear = [r["path"] for r in runs if r["model"] != "gbt"]
+    if linear:
+        models = reduce(DataFrame.unionByName, [spark.read.parquet(p).withColumn("path", F.lit(p)) for p in sorted(linear)])
+        models = join_null_safe(models, latest.select(*keys, "path", "min_lag"), [*keys, "path"], "inner").checkpoint()
+        h = horizon or models.agg(F.max("min_lag")).first()[0] or 1          # one scalar
+        names = sorted({n for r in models.select(F.explode("exogenous").alias("n")).distinct().collect() for n in [r["n"]]})
+        extra = None
+        if names:
+            ends = join_null_safe(reg, models.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.max("ts").alias("_last"), F.first("freq_s").alias("freq_s"))
+            grid = ends.withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(int(h)))))
+            grid = grid.select(*keys, F.timestamp_add("SECOND", F.col("_i") * F.col("freq_s"), F.col("_last")).alias("ts"), "freq_s")
+            extra = exogenous_on_grid(df.where(F.col("ts") >= ntz_of_us(low)), grid, keys, names).where("value is not null").checkpoint()
+        fc = LM.forecast_lagged(reg, models.drop("min_lag"), keys, int(h), exogenous=extra)
+        if horizon is None:
+            fc = join_null_safe(fc, models.select(*keys, "min_lag"), keys, "inner").where("step <= min_lag").drop("min_lag")
+        parts.append(fc.select(*keys, "ts", "yhat", "lo", "hi"))
+    for r in sorted((r for r in runs if r["model"] == "gbt"), key=lambda r: r["path"]):
+        own = latest.where(F.col("path") == r["path"])
+        parts.append(MD.forecast_gbt_lagged(join_null_safe(reg, own.select(*keys), keys, "left_semi"), r["path"], keys, horizon)
+                     .select(*keys, "ts", "yhat", F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")))
+    fc = MD.forecast_after_checkpoint(reduce(DataFrame.unionByName, parts), marks.select(*keys, "ts"), keys)
+    long = fc.select(*keys, "ts", F.col("yhat").alias("prediction"), F.col("lo").alias("lb"), F.col("hi").alias("ub"))
     long = long.unpivot([*keys, "ts"], ["prediction", "lb", "ub"], "kind", "value")
     return long.select(F.concat(F.col("metric"), F.lit("_"), F.col("kind")).alias("metric"), *tag_keys,
                        "ts", "value").filter(F.col("value").isNotNull())

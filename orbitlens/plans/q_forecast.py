@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orbitlens.forecast import features as M
 from orbitlens.functions.output import q_sql, round_doubles
+from orbitlens.plans import lagsql as L
 from orbitlens.plans import sqlparts as S
 from orbitlens.plans.catalog import KEYS, register, tele
 from orbitlens.plans.q_series import fill_sql
@@ -75,31 +76,21 @@ def q_series_sizing(spark, sf_dir):
 
 
 @register("autocorrelation", sql=f"""
-WITH {S.TELE}, {REG_SQL},
-z AS (SELECT metric, satellite, idx, value - avg(value) OVER ({PK}) AS z FROM reg),
-k AS (SELECT range AS lag FROM range(0, 49)),
-p AS (SELECT a.metric, a.satellite, k.lag, sum(a.z * b.z) AS s
-      FROM z a CROSS JOIN k JOIN z b ON b.metric = a.metric AND b.satellite = a.satellite AND b.idx = a.idx + k.lag
-      GROUP BY ALL)
-SELECT p.metric, p.satellite, p.lag, {q_sql('p.s / c.s')} AS acf FROM p JOIN p c
-  ON c.metric = p.metric AND c.satellite = p.satellite AND c.lag = 0
+WITH {S.TELE}, {REG_SQL}, {L.acf_sql('acf', 'reg')}
+SELECT metric, satellite, lag, {q_sql('v')} AS acf FROM acf
 """)
 def q_autocorrelation(spark, sf_dir):
-    return round_doubles(M.autocorrelation(reg_of(spark, sf_dir), KEYS, 48, block=512))
+    """M2: all lags of every whole series."""
+    return round_doubles(M.autocorrelation(reg_of(spark, sf_dir), KEYS))
 
 
 @register("periodogram", sql=f"""
-WITH {S.TELE}, {REG_SQL},
-n AS (SELECT metric, satellite, count(*) // 4 AS n FROM reg GROUP BY ALL),
-x AS (SELECT r.metric, r.satellite, r.idx, r.value, n.n FROM reg r JOIN n ON r.metric = n.metric AND r.satellite = n.satellite
-      WHERE r.idx < n.n),
-k AS (SELECT range AS k FROM range(1, 65)),
-a AS (SELECT metric, satellite, k, n, sum(value * cos(2 * pi() * k * idx / n)) AS re, sum(value * sin(2 * pi() * k * idx / n)) AS im
-      FROM x CROSS JOIN k WHERE k <= n // 2 GROUP BY ALL)
-SELECT metric, satellite, k, n, {q_sql('sqrt(re * re + im * im)')} AS magnitude FROM a
+WITH {S.TELE}, {REG_SQL}, {L.QUARTER_SQL}, {L.spectrum_sql('sp', 'x1')}
+SELECT metric, satellite, k, n, {q_sql('y')} AS magnitude FROM sp
 """)
 def q_periodogram(spark, sf_dir):
-    return round_doubles(M.periodogram(reg_of(spark, sf_dir), KEYS, 64, first_fraction=0.25))
+    """M4: all positive frequencies of every series' first quarter."""
+    return round_doubles(M.periodogram(reg_of(spark, sf_dir), KEYS, first_fraction=0.25))
 
 
 @register("fourier_features", sql=f"""

@@ -36,73 +36,118 @@ def q_isolation_forest_pipeline(spark, sf_dir):
 
 # ---------------------------------------------------------------- forecasting
 from orbitlens.forecast import features as FT  # noqa: E402
+from orbitlens.forecast import lagmodel as LM  # noqa: E402
 from orbitlens.forecast import models as MD  # noqa: E402
 from orbitlens.forecast import seasonality as SE  # noqa: E402
 from orbitlens.functions.output import q_sql  # noqa: E402
+from orbitlens.operators.windows import join_null_safe  # noqa: E402
+from orbitlens.plans import lagsql as L  # noqa: E402
 from orbitlens.plans import sqlparts as S  # noqa: E402
 from orbitlens.plans.q_forecast import PK, REG_SQL, reg_of  # noqa: E402
 
 
-def prominence_sql(name: str, peaks: str, curve: str) -> str:
-    """CTEs: ``{name}`` = the rows of ``peaks`` with the column ``{name}_p``, their prominence on ``curve``."""
-    on = f"FROM {peaks} p JOIN {curve} x ON x.metric = p.metric AND x.satellite = p.satellite"
-    return f"""
-{name}_h AS (SELECT p.metric, p.satellite, p.lag, max(x.lag) FILTER (WHERE x.lag < p.lag AND x.v > p.v) AS lo,
-                    min(x.lag) FILTER (WHERE x.lag > p.lag AND x.v > p.v) AS hi {on} GROUP BY ALL),
-{name}_b AS (SELECT h.metric, h.satellite, h.lag, min(x.v) FILTER (WHERE x.lag <= h.lag AND x.lag > coalesce(h.lo, -1)) AS l,
-                    min(x.v) FILTER (WHERE x.lag >= h.lag AND (h.hi IS NULL OR x.lag < h.hi)) AS r
-             FROM {name}_h h JOIN {curve} x ON x.metric = h.metric AND x.satellite = h.satellite GROUP BY ALL),
-{name} AS (SELECT p.*, p.v - greatest(b.l, b.r) AS {name}_p FROM {peaks} p
-           JOIN {name}_b b ON b.metric = p.metric AND b.satellite = p.satellite AND b.lag = p.lag)"""
-
-
-# with 241 values the spacing is two, which neighbouring peaks always keep
-ACF_PEAKS_SQL = f"""
-z AS (SELECT metric, satellite, idx, value - avg(value) OVER ({PK}) AS z FROM reg),
-k AS (SELECT range AS lag FROM range(0, 241)),
-ps AS (SELECT a.metric, a.satellite, k.lag, sum(a.z * b.z) AS s
-       FROM z a CROSS JOIN k JOIN z b ON b.metric = a.metric AND b.satellite = a.satellite AND b.idx = a.idx + k.lag GROUP BY ALL),
-acf AS (SELECT p.metric, p.satellite, p.lag, p.s / c.s AS v, floor(count(*) OVER (PARTITION BY p.metric, p.satellite) * 0.05) AS start
-        FROM ps p JOIN ps c ON c.metric = p.metric AND c.satellite = p.satellite AND c.lag = 0),
-tail AS (SELECT * FROM acf WHERE lag >= start),
-r0 AS (SELECT *, coalesce((v <> lag(v) OVER ({PK} ORDER BY lag))::INT, 1) AS fresh FROM tail),
-r1 AS (SELECT *, sum(fresh) OVER ({PK} ORDER BY lag) AS run FROM r0),
-r2 AS (SELECT metric, satellite, run, min(lag) AS a, max(lag) AS z, min(v) AS v FROM r1 GROUP BY ALL),
-r3 AS (SELECT *, lag(v) OVER ({PK} ORDER BY run) AS before, lead(v) OVER ({PK} ORDER BY run) AS after FROM r2),
-tops AS (SELECT metric, satellite, ((a + z) // 2)::BIGINT AS lag, v FROM r3 WHERE before < v AND after < v),
-{prominence_sql("own", "tops", "tail")},
-good AS (SELECT * FROM own WHERE own_p >= 0.01),
-{prominence_sql("whole", "good", "acf")},
-placed AS (SELECT *, row_number() OVER ({PK} ORDER BY lag) AS place, count(*) OVER ({PK}) AS m FROM whole),
-few AS (SELECT metric, satellite, lag, place AS rank FROM placed WHERE m <= 6),
-many AS (SELECT metric, satellite, lag, row_number() OVER ({PK} ORDER BY whole_p DESC, lag DESC) AS rank
-         FROM placed WHERE m > 6 AND place > 4),
-acf_lags AS (SELECT * FROM few UNION ALL SELECT * FROM many WHERE rank <= 6)"""
-
-
-@register("acf_peaks", sql=f"WITH {S.TELE}, {REG_SQL}, {ACF_PEAKS_SQL} SELECT metric, satellite, lag, rank FROM acf_lags")
+REC = f"WITH RECURSIVE {S.TELE}, {REG_SQL}"
+
+
+def _lag_text(c: str = "lags"):
+    return F.array_join(F.transform(c, lambda v: v.cast("string")), ",")
+
+
+@register("acf_peaks", sql=f"WITH {S.TELE}, {REG_SQL}, {L.QUARTER_SQL}, {L.ACF_SQL} SELECT metric, satellite, lag, rank FROM acf_lags")
 def q_acf_peaks(spark, sf_dir):
-    """M3 + L2: prominent ACF peaks per series (ACF up to 240 lags)."""
-    acf = FT.autocorrelation(reg_of(spark, sf_dir), KEYS, 240)
-    return SE.acf_peak_lags(acf, KEYS, nlags=6)
+    """M3 + L2: the search for lags, five prominent peaks among all lags of every series' first quarter."""
+    acf = FT.autocorrelation(reg_of(spark, sf_dir), KEYS, first_fraction=0.25)
+    return SE.acf_peak_lags(acf, KEYS, nlags=5)
 
 
-@register("fft_periods")
+@register("fft_periods", sql=f"""{REC}, {L.QUARTER_SQL}, {L.FFT_SQL} SELECT metric, satellite, lag, round FROM fft_lags""")
 def q_fft_periods(spark, sf_dir):
-    """M4 + M5: spectral periods from the periodogram of the first quarter."""
-    spec = FT.periodogram(reg_of(spark, sf_dir), KEYS, 256, first_fraction=0.25)
-    return SE.fft_period_lags(spec, KEYS)
+    """M4 + M5: spectral periods of the first quarter, four rounds with the zero-phase filter between them."""
+    return SE.fft_period_lags(_reg_materialized(spark, sf_dir), KEYS)
 
 
-@register("select_lags")
+@register("select_lags", sql=f"""{REC}, {L.QUARTER_SQL}, {L.ACF_SQL}, {L.FFT_SQL}, {L.SIZING_SQL}, {L.SELECT_SQL}
+SELECT metric, satellite, freq_s, window_size, min_lag, max_lag, array_to_string(lags, ',') AS lags FROM chosen""")
 def q_select_lags(spark, sf_dir):
     """M6 + U2: lag set per series from ACF and FFT candidates and the sizing rule."""
-    reg = reg_of(spark, sf_dir)
-    acf = SE.acf_peak_lags(FT.autocorrelation(reg, KEYS, 240), KEYS).select(*KEYS, "lag")
-    fft = SE.fft_period_lags(FT.periodogram(reg, KEYS, 256, first_fraction=0.25), KEYS).select(*KEYS, "lag")
-    sel = SE.select_lags(acf.unionByName(fft), FT.series_sizing(reg, KEYS), KEYS)
-    return sel.select(*KEYS, "freq_s", "window_size", "min_lag", "max_lag",
-                      F.array_join(F.transform("lags", lambda v: v.cast("string")), ",").alias("lags"))
+    sel = P.lag_search(_reg_materialized(spark, sf_dir), KEYS)
+    return sel.select(*KEYS, "freq_s", "window_size", "min_lag", "max_lag", _lag_text().alias("lags"))
+
+
+@register("season", sql=f"""WITH {S.TELE}, {REG_SQL}, {L.SEASON_SQL} SELECT metric, satellite, season FROM season""")
+def q_season(spark, sf_dir):
+    """M1: season of every whole series from the autocorrelation of its smoothed difference."""
+    return P.season_search(_reg_materialized(spark, sf_dir), KEYS)
+
+
+def _three_lags(reg):
+    """Lags 11, 24 and 30 + the satellite's number, a horizon of 6 and 5 backtest windows: a plan whose solution SQL can write out."""
+    own = reg.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("center"), F.min(LM.grid_number()).alias("a0"))
+    lags = F.array(F.lit(11), F.lit(24), 30 + F.substring("satellite", 4, 10).cast("int")).cast("array<long>")
+    return own.select(*KEYS, "n", "a0", "center", lags.alias("lags"), F.array().cast("array<long>").alias("lags_pos"), F.lit(2).cast("long").alias("window_size"),
+                      F.lit(1).cast("long").alias("season"), F.lit(6).cast("long").alias("h"), F.lit(5).cast("long").alias("windows")).where("n > 100")
+
+
+def _three(prefix: str, src: str, group: str, where: str = "true") -> str:
+    """CTE ``{prefix}`` (b0 .. b3): least squares on x1, x2, x3 from centred moments, by determinants."""
+    return f"""
+{prefix}_m AS (SELECT {group}, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, var_pop(x1) AS a, covar_pop(x1, x2) AS b, covar_pop(x1, x3) AS c,
+  var_pop(x2) AS d, covar_pop(x2, x3) AS e, var_pop(x3) AS f, covar_pop(x1, y) AS p, covar_pop(x2, y) AS q, covar_pop(x3, y) AS r FROM {src} WHERE {where} GROUP BY ALL),
+{prefix}_d AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM {prefix}_m),
+{prefix}_c AS (SELECT *, (p * (d * f - e * e) - b * (q * f - e * r) + c * (q * e - d * r)) / det AS b1,
+  (a * (q * f - e * r) - p * (b * f - c * e) + c * (b * r - c * q)) / det AS b2,
+  (a * (d * r - q * e) - b * (b * r - q * c) + p * (b * e - c * d)) / det AS b3 FROM {prefix}_d),
+{prefix} AS MATERIALIZED (SELECT *, my - b1 * m1 - b2 * m2 - b3 * m3 AS b0 FROM {prefix}_c)"""
+
+
+THREE_SQL = f"""
+ct AS (SELECT metric, satellite, count(*) AS n, avg(value) AS center, 30 + substr(satellite, 4)::BIGINT AS far, max(idx) AS li, max(ts) AS lt, max(freq_s) AS fs
+       FROM reg GROUP BY ALL HAVING count(*) > 100),
+cv AS MATERIALIZED (SELECT r.metric, r.satellite, r.idx, r.value - ct.center AS y FROM reg r JOIN ct ON {L.same('ct', 'r')}),
+la AS (SELECT *, lag(y, 11) OVER ({PK} ORDER BY idx) AS x1, lag(y, 24) OVER ({PK} ORDER BY idx) AS x2 FROM cv),
+fx AS MATERIALIZED (SELECT l.*, b.y AS x3, ct.n, (l.idx - (ct.n - 30)) // 6 AS win, (l.idx - (ct.n - 30)) % 6 + 1 AS step
+       FROM la l JOIN ct ON {L.same('ct', 'l')} JOIN cv b ON {L.same('b', 'l')} AND b.idx = l.idx - ct.far),
+{_three('whole', 'fx', 'metric, satellite')},
+upto AS (SELECT f.*, w.w FROM fx f JOIN (SELECT range AS w FROM range(0, 5)) w ON f.idx < f.n - 30 + 6 * w.w),
+{_three('past', 'upto', 'metric, satellite, w')},
+miss AS (SELECT f.metric, f.satellite, f.step, quantile_cont(abs(f.y - (b0 + b1 * x1 + b2 * x2 + b3 * x3)), 0.99) AS q
+         FROM fx f JOIN past p ON {L.same('p', 'f')} AND p.w = f.win WHERE f.idx >= f.n - 30 GROUP BY ALL),
+band AS MATERIALIZED (SELECT metric, satellite, step, max(q) OVER ({PK} ORDER BY step) AS q FROM miss)"""
+
+
+@register("lag_models", sql=f"""WITH {S.TELE}, {REG_SQL}, {THREE_SQL}
+SELECT w.metric, w.satellite, 'lag11,lag24,lag' || ct.far AS features, {q_sql('b0')} AS b0, {q_sql('b1')} AS b1, {q_sql('b2')} AS b2, {q_sql('b3')} AS b3,
+       b.step, {q_sql('b.q')} AS band FROM whole w JOIN ct ON {L.same('ct', 'w')} JOIN band b ON {L.same('b', 'w')}""")
+def q_lag_models(spark, sf_dir):
+    """M9 + M11: one fit of all series, each on its own lags, with rolling-origin bands per step."""
+    reg = _reg_materialized(spark, sf_dir)
+    m = LM.fit_lagged(reg, _three_lags(reg), KEYS)
+    return round_doubles(m.select(*KEYS, F.array_join("features", ",").alias("features"), *[F.col("coef")[i].alias(f"b{i}") for i in range(4)],
+                                  F.posexplode("bands").alias("step", "band")).withColumn("step", (F.col("step") + 1).cast("long")))
+
+
+def _step_sql(i: int) -> str:
+    """Steps of block ``i`` of eleven from what the blocks before it know."""
+    old = "k0" if i == 1 else f"k{i - 1}"
+    return f"""
+k{i} AS MATERIALIZED (SELECT * FROM {old} UNION ALL
+  SELECT w.metric, w.satellite, w.step, any_value(b0) + any_value(b1) * max(p.y) FILTER (p.step = w.step - 11) + any_value(b2) * max(p.y) FILTER (p.step = w.step - 24)
+         + any_value(b3) * max(p.y) FILTER (p.step = w.step - far)
+  FROM (SELECT w.*, ct.far, unnest(range({11 * i - 10}, {min(11 * i, 24) + 1})) AS step FROM whole w JOIN ct ON {L.same('ct', 'w')}) w
+  JOIN {old} p ON {L.same('p', 'w')} GROUP BY w.metric, w.satellite, w.step)"""
+
+
+@register("lag_forecast", sql=f"""WITH {S.TELE}, {REG_SQL}, {THREE_SQL},
+k0 AS MATERIALIZED (SELECT cv.metric, cv.satellite, cv.idx - ct.li AS step, y FROM cv JOIN ct ON {L.same('ct', 'cv')} WHERE cv.idx > ct.li - 40),
+{",".join(_step_sql(i) for i in (1, 2, 3))}
+SELECT k.metric, k.satellite, k.step, make_timestamp(epoch_us(ct.lt) + k.step * ct.fs * 1000000) AS ts, {q_sql('k.y + ct.center')} AS yhat,
+       {q_sql('k.y + ct.center - b.q')} AS lo, {q_sql('k.y + ct.center + b.q')} AS hi
+FROM k3 k JOIN ct ON {L.same('ct', 'k')} JOIN band b ON {L.same('b', 'k')} AND b.step = least(k.step, 6) WHERE k.step > 0""")
+def q_lag_forecast(spark, sf_dir):
+    """24 steps from the models of ``lag_models``, in blocks of the smallest lag, with their bands."""
+    reg = _reg_materialized(spark, sf_dir)
+    models = LM.fit_lagged(reg, _three_lags(reg), KEYS).checkpoint()
+    return round_doubles(LM.forecast_lagged(reg, models, KEYS, 24))
 
 
 @register("linear_trend", sql=f"""
@@ -118,7 +163,7 @@ def _trend_residuals(spark, sf_dir, h=12, windows=5):
     reg = reg_of(spark, sf_dir)
     tr = MD.linear_trend(reg, KEYS)
     n = reg.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n"))
-    x = reg.join(tr, on=KEYS).join(n, on=KEYS).filter(F.col("idx") >= F.col("_n") - h * windows)
+    x = join_null_safe(join_null_safe(reg, tr, KEYS, "inner"), n, KEYS, "inner").filter(F.col("idx") >= F.col("_n") - h * windows)
     return x.select(*KEYS, ((F.col("idx") - (F.col("_n") - h * windows)) % h + 1).alias("step"),
                     (F.col("value") - (F.col("intercept") + F.col("slope") * F.col("idx"))).alias("residual"))
 
@@ -194,7 +239,7 @@ def _linear_fc(spark, sf_dir, horizon=36):
                                lambda f: MD.predict_linear(f, coefs, KEYS, cols))
     res = MD.predict_linear(feats, coefs, KEYS, cols)
     n = res.groupBy(*KEYS).agg(F.max("idx").alias("_mx"))
-    res = res.join(n, on=KEYS).filter(F.col("idx") > F.col("_mx") - 60) \
+    res = join_null_safe(res, n, KEYS, "inner").filter(F.col("idx") > F.col("_mx") - 60) \
              .select(*KEYS, ((F.col("_mx") - F.col("idx")) % 12 + 1).alias("_s"),
                      (F.col("value") - F.col("yhat")).alias("residual"))
     q = MD.conformal_quantiles(res.withColumnRenamed("_s", "step"), KEYS)
@@ -252,12 +297,13 @@ def q_linear_forecast(spark, sf_dir):
 
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
-    """M8: one GBT over all series (series categorical) with the operator's own settings, next 12 steps."""
+    """M8: one GBT over all series (series as an ordered target statistic) with the operator's own settings, next 12 steps."""
     reg = _reg_materialized(spark, sf_dir)
     feats = FT.build_features(reg, KEYS, LAGS)
     cols = [f"lag{k}" for k in LAGS]
     model = MD.fit_gbt(feats, KEYS, cols)
-    fc = MD.forecast_recursive(reg, KEYS, LAGS, 12, lambda f: MD.predict_gbt(model, f, KEYS))
+    levels = MD.series_levels(feats, KEYS).checkpoint()
+    fc = MD.forecast_recursive(reg, KEYS, LAGS, 12, lambda f: MD.predict_gbt(model, f, KEYS, levels))
     return round_doubles(fc.select(*KEYS, "ts", "yhat"))
 
 
@@ -295,18 +341,25 @@ def _train(spark, sf_dir, model="linear", now=NOW):
                        model=model)
 
 
-@register("train_pipeline")
+@register("train_pipeline", sql=f"""WITH RECURSIVE tele AS (SELECT * FROM (SELECT event_type AS metric, 'SAT' || CAST(user_id % 3 AS VARCHAR) AS satellite, ts, value FROM events)
+  WHERE ts <= TIMESTAMP '{NOW}'), {REG_SQL}, {L.QUARTER_SQL}, {L.ACF_SQL}, {L.FFT_SQL}, {L.SIZING_SQL}, {L.SELECT_SQL}, {L.SEASON_SQL}
+SELECT c.metric AS target, c.satellite, freq_s, min_lag, max_lag, window_size, coalesce(season, 1) AS season,
+  array_to_string(list_concat(list_transform(lags, lambda v: 'lag' || v),
+    list_transform(lags_pos, lambda v: 'rolling_mean_lag' || v || '_window_size' || window_size),
+    CASE WHEN coalesce(season, 1) > 1 THEN ['sin1_' || season, 'cos1_' || season] ELSE []::VARCHAR[] END), ',') AS features,
+  array_to_string(lags, ',') AS series_lags
+FROM chosen c LEFT JOIN season s ON {L.same('s', 'c')}
+WHERE n >= 50 AND len(lags) > 0 AND n - list_max(lags) > len(lags) + len(lags_pos) + 4""")
 def q_train_pipeline(spark, sf_dir):
-    """Lag discovery, features, per-series linear models, registry rows."""
+    """Season and lag search, one model per series on its own lags, registry rows."""
     r = _train(spark, sf_dir)
-    return r.select("target", "satellite", "freq_s", "min_lag", "max_lag",
-                    F.array_join("features", ",").alias("features"),
-                    F.array_join(F.transform("series_lags", lambda v: v.cast("string")), ",").alias("series_lags"))
+    return r.select("target", "satellite", "freq_s", "min_lag", "max_lag", "window_size", "season",
+                    F.array_join("features", ",").alias("features"), _lag_text("series_lags").alias("series_lags"))
 
 
 @register("predict_pipeline")
 def q_predict_pipeline(spark, sf_dir):
-    """Models from P7 -> context -> recursive forecast -> rows after the mark."""
+    """Models from P7 -> context -> recursive forecast with backtest bands -> rows after the mark."""
     registry = _train(spark, sf_dir, now=PRED_NOW).checkpoint()
     marks = tele(spark, sf_dir).groupBy(*KEYS).agg(F.max("ts").alias("ts"))
     return round_doubles(P.predict_job(tele(spark, sf_dir), registry, marks, KEYS, PRED_NOW, horizon=24))

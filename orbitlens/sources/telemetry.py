@@ -202,7 +202,7 @@ def to_format(df: DataFrame, file_format: str = "ONE_ROW_PER_VALUE", *, tag_cols
     """Long (identity), wide (R1) or JSON rows; unknown format raises."""
     valid = ["JSON", "ONE_ROW_PER_TIMESTAMP", "ONE_ROW_PER_VALUE"]
     if file_format not in valid:
-        raise ValueError(f"Unknown format {file_format}. Valid formats are {valid}")
+        raise ValueError(f"file_format {file_format!r} is none of {', '.join(valid)}")
     if file_format == "ONE_ROW_PER_VALUE":
         return df
     if file_format == "JSON":
@@ -224,8 +224,9 @@ def read_exogenous(df: DataFrame, groups: DataFrame, windows: DataFrame, *, keys
     + tag keys, start, end.  An empty exogenous list gives no rows."""
     ex = groups.select("target", F.explode("exogenous").alias(METRIC))
     tag_keys = [k for k in keys if k != METRIC]
+    from orbitlens.operators.windows import join_null_safe
     w = windows.join(ex, on="target")
-    return (df.join(w, on=[METRIC, *tag_keys])
+    return (join_null_safe(df, w, [METRIC, *tag_keys], "inner")
             .filter((F.col(ts) >= F.col("start")) & (F.col(ts) <= F.col("end")))
             .select("target", METRIC, *tag_keys, ts, VALUE))
 

@@ -27,32 +27,46 @@ def sine_frame(spark, period=24, n=960, noise=0.05, seed=3):
     return spark.createDataFrame(pdf, "metric string, satellite string, ts timestamp_ntz, value double")
 
 
-def test_peak_expressions(spark):
-    x = [0, 1, 0, 2, 2, 0, 3, 1, 0.5, 0.6, 0]
-    d = spark.createDataFrame([([float(v) for v in x],), ([],), ([1.0, 2.0],), ([1.0, 1.0, 1.0],)], "x array<double>")
-    d = d.withColumn("p", SE.peaks_of(F.col("x")))
-    rows = d.select("p", F.transform("p", lambda i: SE.prominence_at(F.col("x"), i)).alias("h"),
-                    SE.spaced(F.col("x"), F.col("p"), F.lit(4)).alias("s")).collect()
-    assert rows[0].p == [1, 3, 6, 9] and rows[0].s == [1, 6]
-    assert np.allclose(rows[0].h, [1, 2, 3, 0.1])
-    assert all(r.p == [] for r in rows[1:])
-
-
-def test_gbt_takes_many_series(spark):
-    rows = [(f"m{i % 90}", "S", float(i % 7), float(i % 7) * 2 + i % 90) for i in range(1800)]
-    df = spark.createDataFrame(rows, "metric string, satellite string, lag1 double, value double")
-    model = MD.fit_gbt(df, KEYS, ["lag1"], max_iter=2, max_depth=3)
-    assert MD.predict_gbt(model, df, KEYS).where("yhat is not null").count() == 1800
+def test_gbt_splits_many_series_by_level(spark):
+    """5,000 series that differ by their level only: the hold-out error is below that of a per-series mean."""
+    rng = np.random.default_rng(0)
+    n, per = 5000, 12
+    level = rng.normal(0, 50, n)
+    y = level[:, None] + np.where(np.arange(per) % 2 == 0, 3.0, -3.0) + rng.normal(0, 0.5, (n, per))
+    rows = [(f"m{i}", None if i == 7 else "S", t, float(y[i, t - 1]), float(y[i, t])) for i in range(n) for t in range(1, per)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=[*KEYS, "idx", "lag1", "value"]), "metric string, satellite string, idx long, lag1 double, value double")
+    train, held = df.where("idx < 10"), df.where("idx >= 10")
+    model = MD.fit_gbt(train, KEYS, ["lag1"], max_iter=20, max_depth=7, step_size=0.3)
+    levels = MD.series_levels(train, KEYS)
+    got = MD.predict_gbt(model, held, KEYS, levels).agg(F.count("*"), F.avg(F.abs(F.col("yhat") - F.col("value")))).first()
+    mean = np.abs(y[:, 10:] - y[:, 1:10].mean(axis=1)[:, None]).mean()
+    assert got[0] == 2 * n and got[1] < mean, (got, mean)
+
+
+def test_level_never_sees_the_own_row(spark):
+    rows = [("m", s, i, float(v)) for s, x in (("a", [5, 1, 4]), (None, [2, 2, 9])) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "metric string, satellite string, idx long, value double")
+    got = {(r.satellite, r.idx): r._level for r in MD.with_series_level(df, KEYS).collect()}
+    every = 23 / 6
+    assert got == {("a", 0): every, ("a", 1): 5.0, ("a", 2): 3.0, (None, 0): every, (None, 1): 2.0, (None, 2): 2.0}
+
+
+def test_any_regressor_in_the_model_slot(spark):
+    from pyspark.ml.regression import DecisionTreeRegressor
+    rows = [("m", f"S{i % 3}", i // 3, float(i % 5), 2.0 * (i % 5) + i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "metric string, satellite string, idx long, lag1 double, value double")
+    model = MD.fit_estimator(df, KEYS, ["lag1"], DecisionTreeRegressor(maxDepth=5))
+    out = MD.predict_gbt(model, df, KEYS, MD.series_levels(df, KEYS))
+    assert out.where("yhat is not null").count() == 300
 
 
 def test_sine_period_found_by_acf_and_spectrum(spark):
     reg = FT.regular_series(sine_frame(spark), KEYS)
     acf = FT.autocorrelation(reg, KEYS, 120, block=256)
-    peaks = SE.acf_peak_lags(acf, KEYS, borne_col=None).toPandas()
+    peaks = SE.acf_peak_lags(acf, KEYS).toPandas()
     for sat, g in peaks.groupby("satellite"):
         assert any(lag % 24 == 0 for lag in g.lag), (sat, g.lag.tolist())
-    spec = FT.periodogram(reg, KEYS, 128)
-    per = SE.fft_period_lags(spec, KEYS).toPandas()
+    per = SE.fft_period_lags(reg, KEYS, first_fraction=1.0).toPandas()
     for sat, g in per.groupby("satellite"):
         assert g.sort_values("round").lag.iloc[0] == 24, (sat, g)
 
