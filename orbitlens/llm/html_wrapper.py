@@ -15,16 +15,24 @@ Method
    pages and on at least ``share`` of those that have the slot: of the host's
    pages, or of its pages of one layout (equal labels on the top levels).
    All else in a slot varies: content.
-4. A second alignment applies the wrapper: template texts go, and so does what
-   element names, roles and whole class names or ids that can mean nothing else
-   (``NAMES``) declare as menu, header, footer, sidebar, notice, advert, form or
-   comments, and outside an article blocks of two or more links and no other
-   words.  Other class names drop nothing: there the slots decide.  Of an
-   article's header the text that stands right in it, beside the heading, goes
-   only where nothing was counted.  Slots decide inside and outside of ``article`` and
-   ``main`` alike.  Pages of a host with equal texts in equal trees count once:
-   copies of a page must not wipe it out.
-5. Where a host has fewer than ``least_pages`` different pages, nothing tells
+4. Slots whose texts vary are judged by what all the host's pages have in them.
+   The block with most varying text below the body is the host's content; a slot
+   beside it is an advert or a teaser, whatever it is called, if it never holds a
+   paragraph (``PARAGRAPH`` characters) and brings a page at most ``ASIDE`` of
+   what the content does.  Headings, and what stands in ``article`` or ``main``,
+   are not judged so.
+5. A second alignment applies the wrapper: template texts and judged slots go,
+   but a constant text between two varying blocks of one parent is part of the
+   article (a heading that every article has).  What element names, roles and
+   whole class names or ids that can mean nothing else (``NAMES``) declare as
+   menu, header, footer, sidebar, notice, advert, form or comments goes too, as a
+   hint for hosts without a wrapper, and outside an article blocks of two or more
+   links and no other words.  Other class names drop nothing: there the slots
+   decide.  Of an article's header the text that stands right in it, beside the
+   heading, goes only where nothing was counted.  Slots decide inside and outside
+   of ``article`` and ``main`` alike.  Pages of a host with equal texts in equal
+   trees count once: copies of a page must not wipe it out.
+6. Where a host has fewer than ``least_pages`` different pages, nothing tells
    content from template; only there ``article`` and ``main`` are a hint: they
    are read alone if they hold at least half of the page's text.
 
@@ -78,6 +86,8 @@ pagination pager share-buttons sharing-buttons social-share social-links social-
 comment-list commentlist comments-area comment-form respond disqus disqus_thread toolbar skip-link skip-to-content""".split())
 SHARES = 16                    # in which the trees of a host merge
 DEEPEST = 150                  # levels of nesting that are kept apart
+PARAGRAPH = 300                # a slot beside the content that holds a text as long is content as well
+ASIDE = 0.2                    # most that a judged slot brings to a page, in parts of the content's characters
 
 
 class Node:
@@ -378,15 +388,60 @@ def constants(slot: Slot, template: frozenset):
         yield from constants(c, template)
 
 
-def extract(page: str, wrapper=None, template=None, decided: bool = False) -> str:
+def judged(tree, stats: dict, least_pages: int) -> list[int]:
+    """Numbers of the slots beside the content that hold no content; ``stats``: slot -> (pages, varying characters, longest)."""
+    total: dict[int, int] = {}
+
+    def add(t) -> int:
+        total[t[1]] = stats.get(t[1], (0, 0, 0))[1] + sum(add(c) for c in t[2])
+        return total[t[1]]
+
+    everything = add(tree)
+    name = lambda t: t[0].split(".")[0]
+    content = tree
+    while content[2]:
+        best = max(content[2], key=lambda c: total[c[1]])
+        if total[best[1]] < 0.6 * everything or not (name(content) in ("#", "html", "body") or len(content[2]) == 1 or name(best) in ("article", "main")):
+            break
+        content = best
+    pages = stats.get(content[1], (0, 0, 0))[0]
+    out: list[int] = []
+    if not pages or content is tree:
+        return out
+    most = ASIDE * total[content[1]] / pages
+
+    def walk(t):
+        if t is content or name(t) in ("article", "main"):
+            return
+        seen, chars, longest = stats.get(t[1], (0, 0, 0))
+        if seen >= least_pages and longest < PARAGRAPH and chars <= most * seen and not re.fullmatch("h[1-6]", name(t)):
+            out.append(t[1])
+        for c in t[2]:
+            walk(c)
+
+    walk(tree)
+    return out
+
+
+def slotted(slot: Slot, numbers: frozenset):
+    """(node, text) of every text in the slots of ``numbers``."""
+    if slot.number in numbers:
+        yield from zip(slot.homes, slot.texts)
+    for c in slot.children:
+        yield from slotted(c, numbers)
+
+
+def extract(page: str, wrapper=None, template=None, decided: bool = False, aside: frozenset = frozenset()) -> str:
     """Main text of a page: blocks joined by one newline; ``template`` has the constant (slot, digest) pairs of every layout and,
-    as None, of all; ``decided`` where the host's slots were counted on enough pages."""
+    as None, of all; ``decided`` where the host's slots were counted on enough pages; ``aside`` the judged slots."""
     root = parse(page)
     constant: set[tuple[int, str]] = set()
-    if wrapper is not None and template:
+    beside: set[tuple[int, str]] = set()
+    if wrapper is not None and (template or aside):
         tree = slots(root)
         match(tree, wrapper)
         constant = set(constants(tree, template.get(None, frozenset()) | template.get(layout(skeleton(tree)), frozenset())))
+        beside = set(slotted(tree, aside))
 
     def regions(node: Node, out: list[Node]):
         for x in node.items:
@@ -397,7 +452,8 @@ def extract(page: str, wrapper=None, template=None, decided: bool = False) -> st
                     regions(x, out)
         return out
 
-    def read(node: Node, blocks: list[str], marked: bool = False):
+    def read(node: Node, blocks: list[tuple], marked: bool = False, parent: int = 0):
+        """Appends (text, is it constant, its block's parent)."""
         if node.dropped:
             return blocks
         marked = marked or node.tag in ("article", "main")
@@ -408,21 +464,31 @@ def extract(page: str, wrapper=None, template=None, decided: bool = False) -> st
         linked = not (marked or node.plain) and node.links > 1
         for t, child in own:
             if child is not None:
-                read(child, blocks, marked)
-            elif not (linked or header and not decided or (id(node), t) in constant):
-                blocks.append(t)
+                read(child, blocks, marked, id(node))
+            elif not (linked or header and not decided or (id(node), t) in beside):
+                blocks.append((t, (id(node), t) in constant, parent))
         return blocks
 
+    def varying(blocks: list[tuple]) -> list[str]:
+        """Texts without the constant ones, but for those between two varying blocks of one parent."""
+        first: dict[int, int] = {}
+        last: dict[int, int] = {}
+        for i, (_, fixed, parent) in enumerate(blocks):
+            if not fixed:
+                first.setdefault(parent, i)
+                last[parent] = i
+        return [t for i, (t, fixed, parent) in enumerate(blocks) if not fixed or first.get(parent, i) < i < last.get(parent, i)]
+
     def narrowed(blocks: list[str], inner: list[str]):
         """The hint: ``inner`` if it holds at least half of the text of ``blocks``."""
         return inner if inner and 2 * sum(map(len, inner)) >= sum(map(len, blocks)) else blocks
 
-    blocks = read(root, [])
+    blocks = varying(read(root, []))
     if not decided:
         inner = []
         for x in regions(root, []):          # an article inside main is the narrower mark; several are read in page order
-            own = read(x, [], True)
-            inner += narrowed(own, [t for y in regions(x, []) for t in read(y, [], True)]) if x.tag == "main" else own
+            own = varying(read(x, [], True))
+            inner += narrowed(own, [t for y in regions(x, []) for t in varying(read(y, [], True))]) if x.tag == "main" else own
         blocks = narrowed(blocks, inner)
     return "\n".join(blocks)
 
@@ -433,8 +499,8 @@ def host_of(url):
 
 
 def compact(slot: Slot):
-    """What counting needs of a page: (label, text digests, children)."""
-    return (slot.label, [digest(t) for t in slot.texts], [compact(c) for c in slot.children])
+    """What counting needs of a page: (label, digests and lengths of texts, children)."""
+    return (slot.label, [(digest(t), len(t)) for t in slot.texts], [compact(c) for c in slot.children])
 
 
 def restored(tree) -> Slot:
@@ -448,7 +514,7 @@ def bare(tree):
 
 
 def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> DataFrame:
-    """(host, tree, template, decided): the wrapper of every host; ``pages`` has host, page_id and html.
+    """(host, tree, template, decided, aside): the wrapper of every host; ``pages`` has host, page_id and html.
 
     Only trees with text digests move between tasks, never the pages."""
     def shapes(batches):
@@ -514,24 +580,27 @@ def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> D
 
     def count(batches):
         for b in batches:
-            host, form, slot, text = [], [], [], []
+            host, form, slot, text, chars = [], [], [], [], []
             for h, f, shape, tree in zip(*(c.to_pylist() for c in b.columns)):
                 own = restored(pickle.loads(shape))
                 match(own, known(tree))
-                here = {(number, d) for number, d in placed(own)} | {(number, None) for number in matched(own)}
-                for number, d in here | {(-1, None)}:                 # -1: the page itself; no text: it has the slot
+                here = {(number, d, k) for number, (d, k) in placed(own)} | {(number, None, 0) for number in matched(own)}
+                for number, d, k in here | {(-1, None, 0)}:           # -1: the page itself; no text: it has the slot
                     host.append(h)
                     form.append(f)
                     slot.append(number)
                     text.append(d)
+                    chars.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(form, pa.int64()), pa.array(slot, pa.int32()),
-                                              pa.array(text, pa.int64())], names=["host", "form", "slot", "text"])
+                                              pa.array(text, pa.int64()), pa.array(chars, pa.int64())], names=["host", "form", "slot", "text", "chars"])
 
     seen = (shaped.select("host", "form", "copy", "shape").dropDuplicates(["host", "form", "copy"])
             .join(first.withColumnRenamed("tree", "first_tree"), "host").select("host", "form", "shape", "first_tree")
-            .mapInArrow(count, "host string, form long, slot int, text long").groupBy("host", "form", "slot", "text").agg(F.count("*").alias("n")))
+            .mapInArrow(count, "host string, form long, slot int, text long, chars long").groupBy("host", "form", "slot", "text")
+            .agg(F.count("*").alias("n"), F.max("chars").alias("chars")))
     seen = stored(seen, "slots")
-    both = seen.unionAll(seen.groupBy("host", "slot", "text").agg(F.sum("n").alias("n")).select("host", F.lit(None).cast("long"), "slot", "text", "n"))
+    whole = seen.groupBy("host", "slot", "text").agg(F.sum("n").alias("n"), F.max("chars").alias("chars"))
+    both = seen.select("host", "form", "slot", "text", "n").unionAll(whole.select("host", F.lit(None).cast("long"), "slot", "text", "n"))
     total = both.where("text is null").select("host", "form", "slot", F.col("n").alias("pages"))
     texts, t = both.where("text is not null and n >= " + str(int(least_pages))).alias("s"), total.alias("t")
     constant = (texts.join(t, (F.col("s.host") == F.col("t.host")) & (F.col("s.slot") == F.col("t.slot")) & F.col("s.form").eqNullSafe(F.col("t.form")))
@@ -539,7 +608,22 @@ def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> D
                 .groupBy("s.host").agg(F.sort_array(F.collect_list(F.struct("s.form", "s.slot", "s.text"))).alias("template")))
     # at most 1 / share texts can be constant in a place of a layout, so the list is bounded by the sizes of a host's layouts
     decided = total.where("slot = -1 and form is null").select("host", (F.col("pages") >= least_pages).alias("decided"))
-    return first.join(decided, "host").join(constant, "host", "left")
+    # what varies in every slot, over all layouts
+    pages_of = whole.where("text is null").select("host", "slot", F.col("n").alias("pages"))
+    varied = (whole.where("text is not null").join(pages_of, ["host", "slot"]).where((F.col("n") < least_pages) | (F.col("n") < share * F.col("pages")))
+              .groupBy("host", "slot").agg(F.sum(F.col("n") * F.col("chars")).alias("chars"), F.max("chars").alias("longest")))
+    stats = (pages_of.join(varied, ["host", "slot"], "left").groupBy("host")
+             .agg(F.collect_list(F.struct("slot", "pages", F.coalesce("chars", F.lit(0)).alias("chars"), F.coalesce("longest", F.lit(0)).alias("longest"))).alias("stats")))
+
+    def judge(batches):                                      # one row per host, as long as its wrapper
+        for b in batches:
+            out = []
+            for tree, stats in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                out.append(judged(known(tree), {x["slot"]: (x["pages"], x["chars"], x["longest"]) for x in stats if x["slot"] >= 0}, least_pages))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["host", "aside"])
+
+    aside = first.join(stats, "host").select("host", "tree", "stats").mapInArrow(judge, "host string, aside array<int>")
+    return first.join(decided, "host").join(constant, "host", "left").join(aside, "host", "left")
 
 
 def tuples(tree):
@@ -602,12 +686,13 @@ def html_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
         big = zstandard.ZstdDecompressor()
         for b in batches:
             texts = []
-            for z, tree, template, decided in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5))):
+            for z, tree, template, decided, aside in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5, 6))):
                 names = by_layout(tuple((x["form"], x["slot"], x["text"]) for x in template or ()))
-                texts.append(extract(big.decompress(z).decode("utf-8", "surrogatepass"), known(tree) if tree else None, names, bool(decided)))
+                texts.append(extract(big.decompress(z).decode("utf-8", "surrogatepass"), known(tree) if tree else None, names, bool(decided),
+                                     frozenset(aside or ())))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     squeezed = p.mapInArrow(squeeze, "page_id long, url string, z binary, host string")     # pages move compressed
-    return (squeezed.join(w, "host", "left").select("page_id", "url", "z", "tree", "template", "decided")
+    return (squeezed.join(w, "host", "left").select("page_id", "url", "z", "tree", "template", "decided", "aside")
             .mapInArrow(run, "page_id long, url string, text string, n_chars long"))
