@@ -37,6 +37,9 @@ from orbitlens.llm.shared import new_path, stored
 
 NO_ID = -(1 << 63)
 LAST_ID = (1 << 63) - 1
+PART_LINES = 100_000           # captures of one part of the index
+READ_BYTES = 64 << 20          # archive bytes that one task reads back
+STRIPE_BYTES = 1 << 20         # neighbouring records that stay in one task
 CAPTURE = "surt string, page_id long, file string, offset long, length long"
 FOUND = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -173,7 +176,9 @@ def build_index(captures: DataFrame, *, block_lines: int = 500) -> DataFrame:
             yield emit(held)
 
     keyed = captures.select("surt", F.coalesce("page_id", F.lit(NO_ID)).alias("page_id"), "file", "offset", "length")
-    return stored(keyed.repartitionByRange("surt", "page_id").sortWithinPartitions("surt", "page_id", "file", "offset")
+    # a part holds a bounded number of captures, whatever their bytes
+    parts = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // PART_LINES))
+    return stored(keyed.repartitionByRange(parts, "surt", "page_id").sortWithinPartitions("surt", "page_id", "file", "offset")
                   .mapInArrow(cut, "part int, block int, first_surt string, first_id long, n int, body binary"), "index")
 
 
@@ -219,11 +224,16 @@ def look_up(index: DataFrame, queries: DataFrame, *, id_col: str | None = "page_
     page = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) if id_col else F.lit(NO_ID)
     asked = (queries.select(page.alias("page_id"), F.col(url_col).cast("string").alias("url"))
              .mapInArrow(assign, "part int, surt string, low long, high long").distinct())
-    return asked.groupBy("part").cogroup(index.select("part", "block", "first_surt", "first_id", "body").groupBy("part")).applyInArrow(find, CAPTURE)
+    # as many tasks as parts: adaptive execution would merge them by the size of these small rows
+    n = max(1, len(parts))
+    blocks = index.select("part", "block", "first_surt", "first_id", "body").repartition(n, "part")
+    return asked.repartition(n, "part").groupBy("part").cogroup(blocks.groupBy("part")).applyInArrow(find, CAPTURE)
 
 
 def read_records(captures: DataFrame, root: str, *, with_payload: bool = False) -> DataFrame:
-    """Range-read and parse the captures' records, in file order."""
+    """Range-read and parse the captures' records, in file order.
+
+    The captures are stored first: their summed length, not the size of their small rows, gives the number of tasks."""
     schema = FOUND + (", payload binary" if with_payload else "")
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()][:len(names)]
@@ -246,8 +256,11 @@ def read_records(captures: DataFrame, root: str, *, with_payload: bool = False)
         if handle is not None:
             handle.close()
 
-    stripe = F.floor(F.col("offset") / (8 << 20))
-    return (captures.select("file", "offset", "length", stripe.alias("stripe")).repartition("file", "stripe")
+    captures = stored(captures.select("file", "offset", "length"), "found")
+    total = captures.agg(F.sum("length")).first()[0] or 0              # one number
+    tasks = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // READ_BYTES))
+    stripe = F.floor(F.col("offset") / STRIPE_BYTES)
+    return (captures.withColumn("stripe", stripe).repartition(tasks, "file", "stripe")
             .sortWithinPartitions("file", "offset").drop("stripe").mapInArrow(read, schema))
 
 

@@ -57,3 +57,17 @@ def test_blocks_and_look_up_by_url(spark, sf01):
     want = {(r.page_id, r.html) for r in many.collect() if warc.surt(r.url) in keys}
     assert {(r.page_id, bytes(r.payload).decode()) for r in got} == want and len(got) == len(want)
     assert len({r.file for r in captures.collect()}) > 8
+
+
+def test_read_back_is_spread_by_archive_bytes(spark, sf001, monkeypatch):
+    """The number of reading tasks follows the archives' bytes, not the size of the capture rows."""
+    pages = spark.read.parquet(sf001.replace("sf0.001", "sf0.1") + "/pages.parquet")
+    assert pages.count() == 2500
+    monkeypatch.setattr(warc, "READ_BYTES", 1 << 20)
+    root = new_path(spark, "warc")
+    captures = warc.write_archives(pages, root)
+    total = sum(r.length for r in captures.select("length").collect())
+    tasks = warc.read_records(captures, root).rdd.getNumPartitions()
+    assert tasks >= max(2, -(-total // (1 << 20)))
+    index = warc.build_index(captures)
+    assert warc.look_up(index, pages).rdd.getNumPartitions() == index.select("part").distinct().count() > 1
