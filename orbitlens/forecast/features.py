@@ -51,9 +51,8 @@ def regular_series(df: DataFrame, keys: list[str], *, ts: str = "ts", value: str
     x = x.withColumn("_step", step).withColumn("_b", F.floor(epoch_us(ts) / step).cast("bigint") * step)
     firsts = x.groupBy(*keys, "freq_s", "_step", "_b").agg(F.min_by(F.col(value), F.col(ts)).alias(value))
     # freq_s/_step are constant per series: carried as keys of the gap expansion
-    dense = expand_gaps(firsts, [*keys, "freq_s", "_step"], "_step", [value], fill_from_next=(value,))
-    # series start by a window on the partitioning expand_gaps already has
-    dense = dense.withColumn("_t0", F.min("_b").over(Window.partitionBy(*keys, "freq_s", "_step")))
+    dense = expand_gaps(firsts, [*keys, "freq_s", "_step"], "_step", [value], fill_from_next=(value,), block=block_us)
+    dense = _small_join(dense, firsts.groupBy(*keys).agg(F.min("_b").alias("_t0")), keys)
     idx = F.call_function("div", F.col("_b") - F.col("_t0"), F.col("_step"))
     return dense.select(*keys, from_epoch_us("_b").alias(ts), value, "freq_s", idx.alias("idx"))
 

@@ -66,19 +66,21 @@ def resample_first(df: DataFrame, keys: list[str], every="10s", *, ts: str = "ts
 
     First non-null value per bucket, buckets aligned to the epoch and stamped
     with their start, every bucket between the series' first and last row
-    (rows without a value count).
+    (rows without a value count).  Filling and the search for the next bucket
+    run in blocks of ``block_buckets`` buckets, so a hot series spreads.
     """
     from orbitlens.operators.stats import expand_gaps
     step = duration_us(every)
+    block = step * block_buckets
     firsts = (df.withColumn("_b", _bucket_col(ts, step))
               .groupBy(*keys, "_b")
               .agg(F.min_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(ts))).alias(value)))
     if fill:
-        firsts = fill_gaps(firsts, keys, [value], ts="_b")
+        firsts = fill_gaps(firsts.withColumn("_bt", from_epoch_us("_b")), keys, [value], ts="_bt", block_us=block).drop("_bt")
     # Every present bucket now has a value (or its series has none), so on the
     # dense grid an empty bucket takes the next present bucket's: one lead().
     dense = expand_gaps(firsts, keys, step, [value], fill_from_next=(value,) if fill else (),
-                        max_buckets_per_series=max_buckets_per_series)
+                        max_buckets_per_series=max_buckets_per_series, block=block)
     return dense.select(*keys, from_epoch_us("_b").alias(ts), value)
 
 

@@ -87,7 +87,8 @@ def drop_open_bucket(df: DataFrame, keys: list[str], *, ts: str = "bucket_end")
 
 
 def expand_gaps(agg: DataFrame, keys: list[str], step, cols, *, b: str = "_b",
-                zero_cols=(), fill_from_next=(), max_buckets_per_series: int | None = None) -> DataFrame:
+                zero_cols=(), fill_from_next=(), max_buckets_per_series: int | None = None,
+                block: int | None = None) -> DataFrame:
     """T2 on an aggregated table: add the empty buckets between present ones.
 
     Each present bucket emits itself plus the empty buckets up to the next
@@ -99,20 +100,23 @@ def expand_gaps(agg: DataFrame, keys: list[str], step, cols, *, b: str = "_b",
 
     ``max_buckets_per_series`` guards against a dense grid exploding for a
     sparse series (first and last point years apart at a 10 s step): the
-    series span is computed in the same window and the job fails with a
-    clear message instead of generating the rows.
+    series span is computed and the job fails with a clear message instead
+    of generating the rows.  ``block`` (µs) finds the next bucket inside time
+    blocks (``windows.next_row``): no task holds a whole series.
     """
     step_c = F.col(step) if isinstance(step, str) else F.lit(step).cast("bigint")
     wn = Window.partitionBy(*keys).orderBy(b)
-    x = agg.withColumn("_next", F.lead(b).over(wn))
+    if block:
+        from orbitlens.operators.windows import next_row
+        x = next_row(agg, keys, list(dict.fromkeys([b, *fill_from_next])), order=b, block=block, prefix="_nv_").withColumnRenamed(f"_nv_{b}", "_next")
+    else:
+        x = agg.withColumn("_next", F.lead(b).over(wn)).withColumns({f"_nv_{c}": F.lead(c).over(wn) for c in fill_from_next})
     if max_buckets_per_series is not None:
-        whole = wn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        span = (F.max(b).over(whole) - F.min(b).over(whole)) / step_c + 1
-        x = x.withColumn("_next", F.when(span > F.lit(max_buckets_per_series), F.raise_error(
+        from orbitlens.operators.windows import join_null_safe
+        span = agg.groupBy(*keys).agg((F.max(b) - F.min(b)).alias("_span"))
+        x = join_null_safe(x, span, keys).withColumn("_next", F.when(F.col("_span") / step_c + 1 > F.lit(max_buckets_per_series), F.raise_error(
             F.lit(f"time grid exceeds {max_buckets_per_series} buckets for a series; "
                   "use a coarser step or split the time range"))).otherwise(F.col("_next")))
-    for c in fill_from_next:
-        x = x.withColumn(f"_nv_{c}", F.lead(c).over(wn))
     last = F.coalesce(F.col("_next") - step_c, F.col(b))
     x = x.withColumn("_g", F.explode(F.sequence(F.col(b), last, step_c)))
     present = F.col("_g") == F.col(b)

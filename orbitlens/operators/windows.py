@@ -239,6 +239,21 @@ def previous_row(df: DataFrame, keys: list[str], cols: list[str], *, ts: str = "
     return x.drop("_pblk", "_pfirst", "_pcarry", *[f"_lag_{c}" for c in cols])
 
 
+def next_row(df: DataFrame, keys: list[str], cols: list[str], *, order: str, block: int, prefix: str = "next_") -> DataFrame:
+    """Value(s) of the next row of the series in blocks of ``block`` units of the integer column ``order``.
+
+    ``lead`` runs inside (series, block); the last row of a block takes the first row of the next non-empty
+    block from a one-row-per-block table, so no task holds a whole series."""
+    x = df.withColumn("_nblk", F.floor(F.col(order) / F.lit(block)).cast("bigint"))
+    w = Window.partitionBy(*keys, "_nblk").orderBy(order)
+    x = x.withColumns({f"_lead_{c}": F.lead(c).over(w) for c in cols}).withColumn("_nlast", F.lead(order).over(w).isNull())
+    first = x.groupBy(*keys, "_nblk").agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order)).alias("_nfirst"))
+    carry = first.select(*keys, "_nblk", F.lead("_nfirst").over(Window.partitionBy(*keys).orderBy("_nblk")).alias("_ncarry"))
+    x = join_null_safe(x, carry, [*keys, "_nblk"])
+    x = x.withColumns({f"{prefix}{c}": F.when(F.col("_nlast"), F.col(f"_ncarry.{c}")).otherwise(F.col(f"_lead_{c}")) for c in cols})
+    return x.drop("_nblk", "_nlast", "_ncarry", *[f"_lead_{c}" for c in cols])
+
+
 def diff(df: DataFrame, keys: list[str], col: str, *, ts: str = "ts", out: str | None = None,
          block_us: int | None = None) -> DataFrame:
     """Step to the previous row (tiled with ``block_us``)."""

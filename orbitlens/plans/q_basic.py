@@ -52,7 +52,7 @@ def q_read_metrics_sampled(spark, sf_dir):
 # ------------------------------------------------------------------ S6 / L1
 @register("read_metrics_limit", sql=f"""
 WITH {S.TELE},
-r AS (SELECT *, row_number() OVER (PARTITION BY metric, satellite ORDER BY ts) AS rn FROM tele
+r AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY ts, satellite, value) AS rn FROM tele
       WHERE ts >= TIMESTAMP '2024-01-10 00:00:00')
 SELECT metric, satellite, ts, {V} AS value FROM r WHERE rn <= 5
 """)
@@ -83,7 +83,7 @@ def q_first_timestamp(spark, sf_dir):
 # ------------------------------------------------------------------ S10
 @register("list_tag_values", sql=f"""
 WITH {S.TELE},
-s AS (SELECT DISTINCT metric, satellite FROM tele WHERE satellite <> 'SAT0'),
+s AS (SELECT DISTINCT metric, satellite FROM tele),
 a AS (SELECT metric, list_sort(list(satellite)) AS v, count(DISTINCT satellite) AS n, min(satellite) AS one
       FROM s GROUP BY metric)
 SELECT metric, array_to_string(v, ',') AS tag_values,
@@ -91,8 +91,7 @@ SELECT metric, array_to_string(v, ',') AS tag_values,
 FROM a
 """)
 def q_list_tag_values(spark, sf_dir):
-    t = tele(spark, sf_dir).filter(F.col("satellite") != "SAT0")
-    r = list_tag_values(t, "satellite", ["satellite"], by=["metric"])
+    r = list_tag_values(tele(spark, sf_dir), "satellite", ["satellite"], by=["metric"])
     fixed = F.array_join(F.transform(F.map_entries("fixed_tags"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return r.select("metric", F.array_join("values", ",").alias("tag_values"), fixed.alias("fixed_tags"))
 
@@ -199,11 +198,9 @@ def q_to_epoch_ms(spark, sf_dir):
 @register("scale_metric", sql=f"""
 WITH {S.TELE}
 SELECT metric || '_processed_div2' AS metric, satellite, ts, {q_sql('value / 2.0')} AS value FROM tele
-WHERE metric = 'click'
 """)
 def q_scale_metric(spark, sf_dir):
-    t = tele(spark, sf_dir).filter(F.col("metric") == "click")
-    return round_doubles(scale_metric(t, 2))
+    return round_doubles(scale_metric(tele(spark, sf_dir), 2))
 
 
 @register("after_checkpoint", sql=f"""
@@ -375,13 +372,12 @@ __all__ = ["q"]
 WITH {S.TELE}
 SELECT CAST(to_json(struct_pack(metric := metric, satellite := satellite,
                                 ts := strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), value := value)) AS VARCHAR) AS json
-FROM tele WHERE metric = 'click'
+FROM tele
 """)
 def q_to_format_json(spark, sf_dir):
     """The JSON form of a read (one JSON object per point)."""
     from orbitlens.sources.telemetry import to_format
-    t = tele(spark, sf_dir).filter(F.col("metric") == "click")
-    t = t.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    t = tele(spark, sf_dir).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return to_format(t, "JSON")
 
 

@@ -20,7 +20,7 @@ def stats_ctes(step_us: int = HOUR, src: str = "tele", name: str = "stats", KEYS
     """CTEs computing bucket statistics (label = right edge, empty buckets kept)."""
     return f"""
 {name}_b AS (SELECT {KEYS}, ts, value, (epoch_us(ts) // {step_us}) * {step_us} AS b
-            FROM {src} WHERE value IS NOT NULL),
+            FROM {src}),
 {name}_d AS (SELECT *, abs(value - lag(value) OVER (PARTITION BY {KEYS}, b ORDER BY ts, value)) AS d FROM {name}_b),
 {name}_a AS (SELECT {KEYS}, b, avg(value) AS mean, count(value) AS cnt, median(value) AS median,
             stddev_samp(value) AS std,

@@ -61,12 +61,15 @@ def write_metrics(long: DataFrame, path: str, *, ts: str = "ts", mode: str = "ap
                   max_records_per_file: int = VALUES_PER_SLICE, batch_id: str | None = None) -> None:
     """Append long rows to a parquet table partitioned by metric and day.
 
+    Rows meet by (metric, day) first, so a day of a metric is a few files, not one per task; adaptive
+    execution splits a day that is too large for one task and merges small ones (rebalance).
+
     With ``batch_id`` the rows go to that batch's own ``batch_id=`` folder and
     replace what an earlier try of the batch left there (ST7); one table takes
     either all its writes with a batch id or none."""
     if batch_id is not None:
         path, mode = f"{path.rstrip('/')}/batch_id={batch_id}", "overwrite"
-    (long.withColumn("date", F.to_date(ts))
+    (long.withColumn("date", F.to_date(ts)).hint("rebalance", "metric", "date")
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("metric", "date").parquet(path))
 

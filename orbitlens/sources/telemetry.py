@@ -99,7 +99,7 @@ def read_metrics(df: DataFrame, metrics, start, end=None, *, tags: dict | None =
     * S4 ``start`` always, ``end`` only if truthy, both inclusive
     * S5 ``resample`` > 0: first value per ``resample``-second bucket aligned to
       the epoch, stamped with the bucket start
-    * S6 ``limit``: first ``limit`` points of each series
+    * S6 ``limit``: first ``limit`` points of each metric (points of one time in the order of their tags)
     """
     if isinstance(metrics, str):
         metrics = [metrics]
@@ -113,7 +113,7 @@ def read_metrics(df: DataFrame, metrics, start, end=None, *, tags: dict | None =
     if resample:
         out = sample_first(out, keys, resample, ts=ts, value=value)
     if limit is not None:
-        out = limit_per_series(out, keys, limit, ts=ts)
+        out = limit_per_series(out, [METRIC], limit, ts=ts, ties=[k for k in keys if k != METRIC] + [value])
     return out
 
 
@@ -136,14 +136,14 @@ def sample_first(df: DataFrame, keys: list[str], every, *, ts: str = TS,
 
 
 def limit_per_series(df: DataFrame, keys: list[str], n: int, *, ts: str = TS,
-                     descending: bool = False) -> DataFrame:
-    """First ``n`` points of every series by time.
+                     descending: bool = False, ties: list[str] = ()) -> DataFrame:
+    """First ``n`` points of every group of ``keys`` by time, then ``ties``.
 
     ``row_number() <= n`` is planned with a ``WindowGroupLimit`` before the
     shuffle, so a hot series ships at most ``n`` rows per input partition.
     """
     order = F.col(ts).desc() if descending else F.col(ts).asc()
-    w = Window.partitionBy(*keys).orderBy(order)
+    w = Window.partitionBy(*keys).orderBy(order, *ties)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 

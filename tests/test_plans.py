@@ -39,3 +39,26 @@ def test_tiled_rolling_partitions_by_block(spark):
 def test_statistics_pipeline_scans_once(spark):
     p = plan(E.queries()["bucket_stats_hourly"](spark, SF_SMALL))
     assert p.count("FileScan parquet") == 1
+
+
+def _partitioned_by_series_alone(df, keys):
+    """Window specifications of the optimized plan whose partition keys are just the series keys."""
+    import re
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    found = []
+    for line in plan.split("\n"):
+        m = re.search(r"Window \[.*?\], \[([^\]]*)\], \[", line)
+        if m and sorted(re.sub(r"#\d+L?", "", m[1]).split(", ")) == sorted(keys):
+            found.append(line.strip()[:200])
+    return found
+
+
+def test_grids_are_not_windowed_by_series_alone(spark):
+    """Resampling and the regular series partition raw and grid rows by time block as well; only one-row-per-block tables are by series."""
+    from orbitlens.forecast.features import regular_series
+    from orbitlens.operators.resample import resample_first
+    from orbitlens.plans.catalog import KEYS, tele
+    t = tele(spark, "/root/testdata/sf0.001")
+    for df in (resample_first(t, KEYS, "10s"), regular_series(t, KEYS)):
+        for line in _partitioned_by_series_alone(df, KEYS):
+            assert "blk" in line, line
