@@ -53,6 +53,18 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: an idle worker process otherwise keeps its largest chunk."""
+    import ctypes
+    import sys
+
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.Table]:
     """Re-cut a stream of batches into tables of at most ``limit`` text bytes."""
     held, size = [], 0
@@ -73,6 +85,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
             at = end
     if held:
         yield pa.Table.from_batches(held)
+    held = None
+    release()
 
 
 def words(raw: np.ndarray, off: np.ndarray, hashed: bool = True, space: np.ndarray = SPACE):

@@ -39,11 +39,12 @@ from pyspark.sql import functions as F
 
 from orbitlens.llm import arrays as A
 from orbitlens.llm.components import components
-from orbitlens.llm.shared import stored
+from orbitlens.llm.shared import bucket_number, stored
 
 LEVELS = (1, 2, 4, 8)
 VERIFY_COST = 20               # a verification in units of one prefix row
 SKETCH_BITS, SKETCH_GROUPS = 18, 32
+BUCKET_BYTES = 16 << 20        # input bytes per bucket of prefix tokens
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, size: int):
@@ -287,8 +288,7 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
 def jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75,
                  star_rounds: int = 2, buckets: int | None = None) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links, itself included)."""
-    spark = docs.sparkSession
-    buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or bucket_number(docs, text_col, BUCKET_BYTES)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = d.withColumn("mark", F.xxhash64("text"))                  # tells apart texts of one id
     survey = stored(marked.mapInArrow(_survey(size), "doc_id long, n long, cls long, mark long, slot int, body binary"), "survey")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orbitlens.session import checkpoint_dir
 
@@ -28,3 +29,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def input_bytes(docs: DataFrame, text_col: str) -> int:
+    """Bytes of the files behind ``docs`` as the planner knows them (no job); where it knows nothing, the summed texts."""
+    known = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known if known < 1 << 50 else docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+
+
+def bucket_number(docs: DataFrame, text_col: str, bucket_bytes: int) -> int:
+    """Hash buckets for work on ``docs``: one per ``bucket_bytes`` of input, and no fewer than shuffle partitions."""
+    least = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-input_bytes(docs, text_col) // bucket_bytes))

@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbitlens.llm import arrays as A
+from orbitlens.llm.shared import bucket_number
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, intervals array<struct<start:int,end:int>>"
 MESSAGE = "part int, kind int, body binary, hashes binary"
 WINDOWS, REMOVED = 0, 1
+BUCKET_BYTES = 16 << 20        # input bytes per bucket of windows and per part of the id space
 
 
 def _removal_rows(doc, tag, pos, parts: int):
@@ -195,11 +197,10 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Returns one row per input row: ``doc_id``, ``n_words``, ``n_removed``,
     ``kept_sha256`` (of the kept words joined by one space) and ``intervals``
-    (removed word ranges, end exclusive).  ``buckets`` defaults to the number
-    of shuffle partitions and only sizes the work.
+    (removed word ranges, end exclusive).  ``buckets`` follows the input's
+    bytes by default and only sizes the work.
     """
-    spark = docs.sparkSession
-    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = buckets or bucket_number(docs, text_col, BUCKET_BYTES)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sent = d.mapInArrow(_hash_windows(window, n), MESSAGE)
     removed = sent.groupBy("part").applyInArrow(_settle(n), MESSAGE).select("part", "body")
