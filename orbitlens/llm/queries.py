@@ -188,3 +188,18 @@ QUALIFY rank <= 2000
 def op11(spark, sf_dir):
     from orbitlens.llm.phrase_mining import phrase_mining
     return phrase_mining(table(spark, sf_dir, "documents"))
+
+
+SQL["op9_jaccard_join"] = JACCARD_SQL.format(size=5, percent=75, more="")
+
+SQL["op5_substring_dedup"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+w AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i, len(w) AS n FROM d),
+k AS (SELECT doc_id, i, n, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) AS key FROM w),
+f AS (SELECT key, min(doc_id) AS least FROM k WHERE i <= n - 12 GROUP BY key),
+g AS (SELECT k.doc_id, k.i FROM k JOIN f USING (key) WHERE k.i <= k.n - 12 AND f.least < k.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g),
+left_over AS (SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS kept, count(*) AS m FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY w.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(m, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (doc_id)
+"""
