@@ -2,7 +2,7 @@
 
 Method: the categories are predicted one after another.  Each link is a
 logistic regression on the presence of hashed words and word beginnings; every
-later link also gets the logits of the categories before it.  Those come from
+later link also gets the probabilities of the categories before it.  Those come from
 out-of-fold predictions while training, so a link learns from earlier outputs
 as noisy as it will meet, and from the full models when scoring.
 
@@ -60,7 +60,7 @@ def parts(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Link:
-    """One logistic regression: chosen parts, weights, weights of earlier logits, intercept."""
+    """One logistic regression: chosen parts, weights, weights of earlier probabilities, intercept."""
 
     def __init__(self, rows: list[np.ndarray], y: np.ndarray, earlier: np.ndarray, features: int, weight: np.ndarray):
         self.slot = np.full(1 << BITS, -1, np.int32)
@@ -111,6 +111,10 @@ def distinct(part, doc):
     return key % (1 << BITS), key // (1 << BITS)
 
 
+def probability(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
 def train(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, features: int = 2000, folds: int = 5) -> list[Link]:
     """The chain: ``rows`` are distinct parts by document, ``y`` one column per category in chain order."""
     n, chain = len(rows), []
@@ -127,7 +131,7 @@ def train(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, features: i
                 sub = ~inside[doc]
                 out[o] = link.logit(flat[sub], doc[sub] // folds, earlier[o])
         chain.append(Link(rows, y[:, k], earlier, features, weight))
-        earlier = np.column_stack([earlier, np.clip(out, -10, 10)])
+        earlier = np.column_stack([earlier, probability(out)])
     return chain
 
 
@@ -142,9 +146,8 @@ def score(chain: list[Link], raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     part, doc = distinct(part[keep], doc[keep])
     earlier, out = np.zeros((n, 0)), []
     for link in chain:
-        s = link.logit(part, doc, earlier)
-        out.append(1 / (1 + np.exp(-np.clip(s, -30, 30))))
-        earlier = np.column_stack([earlier, np.clip(s, -10, 10)])
+        out.append(probability(link.logit(part, doc, earlier)))
+        earlier = np.column_stack([earlier, out[-1]])
     return np.column_stack(out)
 
 

@@ -69,3 +69,57 @@ def test_edges(spark):
         assert len(rows) == 5 and all(0 <= r[p] <= 1 for r in rows)
         assert [r.held_out for r in rows if r.doc_id is None] == [False]
         assert f(df.limit(0), labels).count() == 0 and f(df, labels.limit(0)).count() == 5
+
+
+def plain_probability(link, parts, earlier):
+    """A link's output for one document, word part by word part."""
+    if not link.ready:
+        return min(max(link.share, 1e-4), 1 - 1e-4)
+    s = link.b + sum(v * e for v, e in zip(link.v, earlier)) + sum(link.w[link.slot[p]] for p in set(parts) if link.slot[p] >= 0)
+    return 1 / (1 + np.exp(-s))
+
+
+def test_chain_equals_a_plain_one():
+    """Three categories: each link is the one fitted on out-of-fold probabilities of those before it, and scores run down the chain."""
+    from orbitlens.llm import toxicity as T
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(words, rng.integers(5, 30))) + (" bad" * int(i % 3 == 0)) + (" worse" * int(i % 5 == 0)) for i in range(200)] + ["", "w1"]
+    y = np.array([["bad" in t, "worse" in t, "bad" in t and "worse" in t] for t in texts], float)
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    part, doc = T.distinct(*T.parts(raw, off))
+    rows = [part[doc == i].astype(np.int64) for i in range(len(texts))]
+    weight = np.ones(len(texts))
+    chain = T.train(rows, y, weight, features=50)
+    earlier = np.zeros((len(texts), 0))
+    for k in range(3):
+        want = T.Link(rows, y[:, k], earlier, 50, weight)
+        assert np.allclose(want.w, chain[k].w) and np.allclose(want.v, chain[k].v) and np.isclose(want.b, chain[k].b)
+        out = np.zeros(len(texts))
+        for f in range(5):
+            i = [j for j in range(len(texts)) if j % 5 != f]
+            link = T.Link([rows[j] for j in i], y[i, k], earlier[i], 50, weight[i])
+            for j in range(f, len(texts), 5):
+                out[j] = plain_probability(link, rows[j].tolist(), earlier[j])
+        earlier = np.column_stack([earlier, out])
+    got = T.score(chain, raw, off)
+    for i, r in enumerate(rows):
+        before = []
+        for k in range(3):
+            before.append(plain_probability(chain[k], r.tolist(), before))
+        assert np.allclose(got[i], before)
+    assert ((got[:, 2] >= 0.5) == (y[:, 2] == 1)).mean() > 0.95
+
+
+def test_trained_models_score_odd_texts(spark):
+    """Labels of both values: a trained model meets nulls, empty and very long texts."""
+    rows = [(i, ("nice words of a day\nmore lines here\n" if i % 2 else "awful xx zz junk\nxx\n") * (i % 4 + 1), 1) for i in range(120)]
+    rows += [(1000, None, 1), (1001, "", 1), (None, "awful xx", 1), (1002, "xx " * 60_000, 1), (1002, "xx " * 60_000, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(120)], "doc_id long, quality int, toxic int")
+    for f, p in ((lambda d, s: quality_crf(d, s), "score"), (lambda d, s: toxicity_chain(d, s, ["quality", "toxic"]), "p_toxic")):
+        out = f(df, labels).collect()
+        assert len(out) == len(rows) and all(0 <= r[p] <= 1 for r in out)
+        by = {r.doc_id: r[p] for r in out}
+        assert abs(by[0] - by[1]) > 0.3 and len({r[p] for r in out if r.doc_id == 1002}) == 1
