@@ -610,8 +610,11 @@ def wrappers(pages: DataFrame, *, share: float = 0.5, least_pages: int = 3) -> D
     decided = total.where("slot = -1 and form is null").select("host", (F.col("pages") >= least_pages).alias("decided"))
     # what varies in every slot, over all layouts
     pages_of = whole.where("text is null").select("host", "slot", F.col("n").alias("pages"))
-    varied = (whole.where("text is not null").join(pages_of, ["host", "slot"]).where((F.col("n") < least_pages) | (F.col("n") < share * F.col("pages")))
-              .groupBy("host", "slot").agg(F.sum(F.col("n") * F.col("chars")).alias("chars"), F.max("chars").alias("longest")))
+    # texts of equal frequency are added up before they meet their slot's pages: a slot may hold any number of texts
+    alike = (whole.where("text is not null").groupBy("host", "slot", "n")
+             .agg(F.sum(F.col("n") * F.col("chars")).alias("chars"), F.max("chars").alias("longest")))
+    varied = (alike.join(pages_of, ["host", "slot"]).where((F.col("n") < least_pages) | (F.col("n") < share * F.col("pages")))
+              .groupBy("host", "slot").agg(F.sum("chars").alias("chars"), F.max("longest").alias("longest")))
     stats = (pages_of.join(varied, ["host", "slot"], "left").groupBy("host")
              .agg(F.collect_list(F.struct("slot", "pages", F.coalesce("chars", F.lit(0)).alias("chars"), F.coalesce("longest", F.lit(0)).alias("longest"))).alias("stats")))
 
@@ -671,7 +674,7 @@ def html_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     """One row per input row: page_id, url, text, n_chars."""
     p = (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                       F.col(html_col).cast("string").alias("html")).withColumn("host", host_of("url")))
-    w = wrappers(p.select("host", "page_id", "html"), share=share, least_pages=least_pages)
+    w = stored(wrappers(p.select("host", "page_id", "html"), share=share, least_pages=least_pages), "wrapper")     # its size is known when it is joined
 
     def squeeze(batches):
         import zstandard
