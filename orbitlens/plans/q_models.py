@@ -209,16 +209,6 @@ def q_model_registry_lookup(spark, sf_dir):
     return r.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
-@register("horizon_lengths", sql=f"""
-WITH {REGISTRY_SQL}
-SELECT target, satellite, CAST(date AS TIMESTAMP) AS date, min_lag * freq_s AS prediction_length_s, max_lag * freq_s AS length_needed_s FROM reg0
-""")
-def q_horizon_lengths(spark, sf_dir):
-    h = FT.horizon_lengths(derived_registry(spark, sf_dir))
-    return h.select("target", "satellite", F.col("date").cast("timestamp_ntz").alias("date"),
-                    "prediction_length_s", "length_needed_s")
-
-
 LAGS = [12, 24]
 
 
@@ -341,15 +331,20 @@ def _train(spark, sf_dir, model="linear", now=NOW):
                        model=model)
 
 
-@register("train_pipeline", sql=f"""WITH RECURSIVE tele AS (SELECT * FROM (SELECT event_type AS metric, 'SAT' || CAST(user_id % 3 AS VARCHAR) AS satellite, ts, value FROM events)
-  WHERE ts <= TIMESTAMP '{NOW}'), {REG_SQL}, {L.QUARTER_SQL}, {L.ACF_SQL}, {L.FFT_SQL}, {L.SIZING_SQL}, {L.SELECT_SQL}, {L.SEASON_SQL}
+#: the registry that a training run writes
+TRAINED_SQL = f"""WITH RECURSIVE tele AS (SELECT * FROM (SELECT event_type AS metric, 'SAT' || CAST(user_id % 3 AS VARCHAR) AS satellite, ts, value FROM events)
+  WHERE ts <= TIMESTAMP '{NOW}'), {REG_SQL}, {L.QUARTER_SQL}, {L.ACF_SQL}, {L.FFT_SQL}, {L.SIZING_SQL}, {L.SELECT_SQL}, {L.SEASON_SQL}"""
+TRAINED_FROM = f"""FROM chosen c LEFT JOIN season s ON {L.same('s', 'c')}
+WHERE n >= 50 AND len(lags) > 0 AND n - list_max(lags) > len(lags) + len(lags_pos) + 4"""
+
+
+@register("train_pipeline", sql=TRAINED_SQL + """
 SELECT c.metric AS target, c.satellite, freq_s, min_lag, max_lag, window_size, coalesce(season, 1) AS season,
   array_to_string(list_concat(list_transform(lags, lambda v: 'lag' || v),
     list_transform(lags_pos, lambda v: 'rolling_mean_lag' || v || '_window_size' || window_size),
     CASE WHEN coalesce(season, 1) > 1 THEN ['sin1_' || season, 'cos1_' || season] ELSE []::VARCHAR[] END), ',') AS features,
   array_to_string(lags, ',') AS series_lags
-FROM chosen c LEFT JOIN season s ON {L.same('s', 'c')}
-WHERE n >= 50 AND len(lags) > 0 AND n - list_max(lags) > len(lags) + len(lags_pos) + 4""")
+""" + TRAINED_FROM)
 def q_train_pipeline(spark, sf_dir):
     """Season and lag search, one model per series on its own lags, registry rows."""
     r = _train(spark, sf_dir)
@@ -357,6 +352,14 @@ def q_train_pipeline(spark, sf_dir):
                     F.array_join("features", ",").alias("features"), _lag_text("series_lags").alias("series_lags"))
 
 
+@register("horizon_lengths", sql=TRAINED_SQL + """
+SELECT c.metric AS target, c.satellite, min_lag * freq_s AS prediction_length_s, max_lag * freq_s AS length_needed_s
+""" + TRAINED_FROM)
+def q_horizon_lengths(spark, sf_dir):
+    """M15 on the registry that a training run wrote."""
+    return FT.horizon_lengths(_train(spark, sf_dir)).select("target", "satellite", "prediction_length_s", "length_needed_s")
+
+
 @register("predict_pipeline")
 def q_predict_pipeline(spark, sf_dir):
     """Models from P7 -> context -> recursive forecast with backtest bands -> rows after the mark."""

@@ -320,8 +320,11 @@ REPORT_NOW = "2024-01-29 00:00:00"
 @register("daily_bounds_report", sql=f"""
 WITH {BANDS_SQL},
 w AS (SELECT * FROM bands WHERE bucket_end >= TIMESTAMP '{REPORT_NOW}' - INTERVAL 1 DAY AND bucket_end <= TIMESTAMP '{REPORT_NOW}'),
-f AS (SELECT metric, satellite, bucket_end, {fill_sql('y', 'bucket_end')} AS y, {fill_sql('yhat', 'bucket_end')} AS yhat,
-             {fill_sql('lb', 'bucket_end')} AS lb, {fill_sql('ub', 'bucket_end')} AS ub FROM w)
+b AS (SELECT metric, satellite, (epoch_us(bucket_end) // 10000000) * 10000000 AS b, {", ".join(f"arg_min({c}, bucket_end) FILTER ({c} IS NOT NULL) AS {c}" for c in ("y", "yhat", "lb", "ub"))}
+      FROM w GROUP BY metric, satellite, b),
+g AS (SELECT metric, satellite, unnest(range(lo, hi + 1, 10000000)) AS b FROM (SELECT metric, satellite, min(b) AS lo, max(b) AS hi FROM b GROUP BY ALL)),
+j AS (SELECT g.metric, g.satellite, g.b, y, yhat, lb, ub FROM g LEFT JOIN b ON b.metric = g.metric AND b.satellite = g.satellite AND b.b = g.b),
+f AS (SELECT metric, satellite, b, {fill_sql('y', 'b')} AS y, {fill_sql('yhat', 'b')} AS yhat, {fill_sql('lb', 'b')} AS lb, {fill_sql('ub', 'b')} AS ub FROM j)
 SELECT metric, satellite, count(CASE WHEN y < lb OR y > ub THEN y END) AS anomaly_count,
   {q_sql('avg(abs(y - yhat) / ((abs(y) + abs(yhat)) / 2)) * 100')} AS smape,
   {q_sql('sqrt(avg(pow(y - yhat, 2)))')} AS rmse
