@@ -117,6 +117,44 @@ def bounds_monitor(df: DataFrame, bounds: DataFrame, keys: list[str], *, every:
     return bounds_anomaly(vals, bounds, keys, ts="ts", value="value", lb=lb, ub=ub)
 
 
+def bounds_monitor_run(df: DataFrame, bounds: DataFrame, marks: DataFrame, keys: list[str], now, *, every: str = "10s",
+                       pipeline: str = "bounds_monitor", lb: str = "lb", ub: str = "ub") -> tuple[DataFrame, DataFrame]:
+    """P6 + K9: (rows, new marks) of one incremental run with two outputs and one mark each (Q7).
+
+    Values are read once, since the older of a series' two marks (a missing one counts as now - 24 h), and sampled;
+    the samples are checkpointed and feed both outputs: ``<metric>_resample`` after the mark of "resample", and the
+    scores against ``bounds`` as ``<metric>_bounds_score`` after the mark of "bounds"."""
+    from orbitlens.functions.time import DAY, epoch_us, from_epoch_us
+    from orbitlens.session import checkpoint_dir
+    from orbitlens.sources.telemetry import _ts_lit
+    checkpoint_dir(df.sparkSession)
+    day = from_epoch_us(epoch_us(_ts_lit(now)) - F.lit(DAY))
+    own = marks.where((F.col("pipeline") == pipeline) & F.col("output").isin("resample", "bounds"))
+    older = own.groupBy(*keys).agg(F.min("ts").alias("_t"), F.countDistinct("output").alias("_n"))
+    older = older.select(F.lit(pipeline).alias("pipeline"), F.lit("both").alias("output"), *keys,
+                         F.when(F.col("_n") == 2, F.col("_t")).otherwise(F.least("_t", day)).alias("ts"))
+    src = read_since(df, older, keys, now, pipeline=pipeline, output="both", align=every)
+    samples = sample_first(src, keys, every).checkpoint()
+    new = _after_marks(samples, marks, keys, pipeline=pipeline, output="resample", ts="ts")
+    scores = _after_marks(bounds_anomaly(samples, bounds, keys, ts="ts", value="value", lb=lb, ub=ub), marks, keys,
+                          pipeline=pipeline, output="bounds", ts="ts").where("bounds_score is not null")
+    tags = [k for k in keys if k != "metric"]
+    rows = (new.select(F.concat("metric", F.lit("_resample")).alias("metric"), *tags, "ts", "value")
+            .unionByName(scores.select(F.concat("metric", F.lit("_bounds_score")).alias("metric"), *tags, "ts", F.col("bounds_score").alias("value"))))
+    return rows, (high_water_marks(new, keys, pipeline=pipeline, output="resample")
+                  .unionByName(high_water_marks(scores, keys, pipeline=pipeline, output="bounds")))
+
+
+def one_class_svm_job(df: DataFrame, marks: DataFrame, keys: list[str], now, *, lookback: str = "6D", nu: float = 0.1,
+                      pipeline: str = "one_class_svm", output: str = "ocsvm") -> DataFrame:
+    """Read with lookback -> D4 -> rows after the mark, named ``<metric>_ocsvm_score``."""
+    from orbitlens.operators.ocsvm import one_class_svm_anomaly
+    src = read_since(df, marks, keys, now, pipeline=pipeline, output=output, lookback=lookback)
+    d4 = _after_marks(one_class_svm_anomaly(src, keys, ["value"], nu=nu), marks, keys, pipeline=pipeline, output=output, ts="ts")
+    return d4.where("ocsvm_score is not null").select(
+        F.concat("metric", F.lit("_ocsvm_score")).alias("metric"), *[k for k in keys if k != "metric"], "ts", F.col("ocsvm_score").alias("value"))
+
+
 def retention(df: DataFrame, now, days: int = 7, *, ts: str = "ts") -> DataFrame:
     """Keep records younger than ``days`` (re-aimed run-log purge)."""
     from orbitlens.sources.telemetry import retention as _r

@@ -87,6 +87,40 @@ def q_bounds_monitor(spark, sf_dir):
     return round_doubles(r)
 
 
+def _two_marks(spark, sf_dir):
+    """Marks of the two outputs: five and four days before each series' last point; SAT0 has none."""
+    a = derived_marks(spark, sf_dir, "bounds_monitor", "resample")
+    b = derived_marks(spark, sf_dir, "bounds_monitor", "bounds").withColumn("ts", F.timestamp_add("DAY", F.lit(1), F.col("ts")))
+    return a.unionByName(b)
+
+
+@register("bounds_monitor_run", sql=f"""
+WITH {S.TELE},
+smp AS (SELECT metric, satellite, make_timestamp((epoch_us(ts) // {10 * MIN}) * {10 * MIN}) AS ts, arg_min(value, ts) AS value
+        FROM tele WHERE value IS NOT NULL GROUP BY metric, satellite, (epoch_us(ts) // {10 * MIN})),
+{_p6_ctes},
+bd AS (SELECT metric, satellite, ts, -4.0 * (rr0_std + 1e-8) - rr0_mean + m0_mean - 0.01 AS lb, 4.0 * (rr0_std + 1e-8) + rr0_mean + m0_mean + 0.01 AS ub FROM ma_r0),
+mk AS (SELECT metric, satellite, max(ts) - INTERVAL 5 DAY AS m1, max(ts) - INTERVAL 4 DAY AS m2 FROM tele WHERE satellite <> 'SAT0' GROUP BY ALL),
+src AS (SELECT t.*, mk.m1, mk.m2 FROM tele t LEFT JOIN mk ON mk.metric = t.metric AND mk.satellite = t.satellite
+        WHERE t.value IS NOT NULL AND t.ts >= coalesce(m1, make_timestamp((epoch_us(TIMESTAMP '{NOW}') - {DAY}) // {10 * MIN} * {10 * MIN}))),
+sm AS (SELECT metric, satellite, make_timestamp((epoch_us(ts) // {10 * MIN}) * {10 * MIN}) AS ts, arg_min(value, ts) AS value, any_value(m1) AS m1, any_value(m2) AS m2
+       FROM src GROUP BY metric, satellite, (epoch_us(ts) // {10 * MIN})),
+sc AS (SELECT s.*, greatest(lb - value, value - ub) AS score FROM sm s JOIN bd ON bd.metric = s.metric AND bd.satellite = s.satellite AND bd.ts = s.ts)
+SELECT metric || '_resample' AS metric, satellite, ts, {V} AS value FROM sm WHERE m1 IS NULL OR ts > m1
+UNION ALL SELECT metric || '_bounds_score', satellite, ts, {q_sql('score')} FROM sc WHERE score IS NOT NULL AND (m2 IS NULL OR ts > m2)
+""")
+def q_bounds_monitor_run(spark, sf_dir):
+    """P6 as a job: samples and scores after their own marks."""
+    rows, _ = P.bounds_monitor_run(tele(spark, sf_dir), _bounds_of_samples(spark, sf_dir), _two_marks(spark, sf_dir), KEYS, NOW, every="10T")
+    return round_doubles(rows)
+
+
+@register("one_class_svm_job")
+def q_one_class_svm_job(spark, sf_dir):
+    """P4 as a job: read with lookback -> one-class detector -> rows after the mark."""
+    return round_doubles(P.one_class_svm_job(tele(spark, sf_dir), derived_marks(spark, sf_dir, "one_class_svm", "ocsvm"), KEYS, NOW))
+
+
 @register("retention", sql=f"""
 WITH {S.TELE} SELECT metric, satellite, ts, {V} AS value FROM tele WHERE ts >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY
 """)

@@ -84,3 +84,24 @@ def test_rows_and_marks_of_one_run_survive_a_crash_between_them(spark, tmp_path)
     write("2")                                                 # another run wrote the same rows
     assert spark.read.parquet(out).count() == 2 * rows.count()
     assert dedup_latest(spark.read.parquet(out), ["metric", "satellite"]).count() == rows.count()
+
+
+def test_bounds_monitor_runs_chain_through_two_marks(spark):
+    """Two runs joined by their marks write what one run writes; the two outputs keep marks of their own (the bounds lag behind)."""
+    from orbitlens.plans import pipelines as P
+    from orbitlens.sources.telemetry import events_telemetry, sample_first
+    df = events_telemetry(spark, "/root/testdata/sf0.001")
+    keys, now = ["metric", "satellite"], "2024-01-31 00:00:00"
+    bounds = sample_first(df, keys, "10T").select(*keys, "ts", F.lit(20.0).alias("lb"), F.lit(60.0).alias("ub"))
+    start = df.select(*keys).distinct().withColumn("ts", F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+    marks = start.select(F.lit("bounds_monitor").alias("pipeline"), F.explode(F.array(F.lit("resample"), F.lit("bounds"))).alias("output"), *keys, "ts")
+    cut, known = "2024-01-20 00:00:00", "2024-01-17 00:00:00"
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    a, more = P.bounds_monitor_run(df.where(F.col("ts") <= F.lit(cut).cast("timestamp_ntz")), bounds.where(F.col("ts") <= F.lit(known).cast("timestamp_ntz")),
+                                   marks, keys, cut, every="10T")
+    first = rows(a)
+    after = marks.unionByName(more).groupBy("pipeline", "output", *keys).agg(F.max("ts").alias("ts")).checkpoint()
+    assert after.groupBy(*keys).agg(F.countDistinct("ts").alias("n")).where("n = 2").count() > 5
+    b, _ = P.bounds_monitor_run(df, bounds, after, keys, now, every="10T")
+    whole, _ = P.bounds_monitor_run(df, bounds, marks, keys, now, every="10T")
+    assert sorted(first + rows(b)) == rows(whole) and len(first) > 100
