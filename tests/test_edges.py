@@ -225,3 +225,27 @@ def test_epoch_conversion_is_zone_free(spark):
             assert all(x.back == x.ts for x in r), tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("tile", [None, 5 * 3600 * 1_000_000])
+def test_rolling_frame_keeps_odd_values_apart(spark, tile):
+    """Large, flat, missing, equal-time and infinite values: each counts in its own frames and in no other."""
+    rng = np.random.default_rng(5)
+    secs = sorted(int(x) for x in rng.integers(0, 2 * 24 * 360, 500) * 10)
+    vals = np.round(rng.normal(5, 2, len(secs)), 2)
+    vals[40:60] = 1e15
+    vals[200:260] = 0.1
+    vals[300] = np.inf
+    missing = {310, 311, 312, 313, 420}
+    rows = [("m", "S", T0 + dt.timedelta(seconds=s), None if i in missing else float(v)) for i, (s, v) in enumerate(zip(secs, vals))]
+    stats = ("mean", "std", "sum", "count", "min", "max")
+    got = rolling_stats(frame(spark, rows), KEYS, "value", "1H", min_periods=2, stats=stats, tile_us=tile).toPandas()
+    assert len(got) == len(rows)
+    for t, *seen in got[["ts"] + [f"value_{s}" for s in stats]].itertuples(index=False):
+        own = [r[3] for r in rows if t - dt.timedelta(hours=1) < r[2] <= t and r[3] is not None]
+        if len(own) < 2:
+            assert all(pd.isna(v) for v in seen)
+        else:
+            with np.errstate(invalid="ignore"):
+                want = [np.mean(own), 0.0 if min(own) == max(own) else np.std(own, ddof=1), np.sum(own), len(own), min(own), max(own)]
+            assert np.allclose(seen, want, rtol=1e-9, atol=1e-9, equal_nan=True), (t, seen, want)

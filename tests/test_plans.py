@@ -62,3 +62,13 @@ def test_grids_are_not_windowed_by_series_alone(spark):
     for df in (resample_first(t, KEYS, "10s"), regular_series(t, KEYS)):
         for line in _partitioned_by_series_alone(df, KEYS):
             assert "blk" in line, line
+
+
+def test_rolling_frames_only_grow(spark):
+    """No rolling statistic slides a frame over its rows: a point's cost does not depend on how many a window holds."""
+    t = events_telemetry(spark, SF_SMALL)
+    for tile in (None, 2 * 86_400_000_000):
+        for shift in (0, 1):
+            p = plan(rolling_stats(t, ["metric", "satellite"], "value", "1D", shift=shift, tile_us=tile))
+            frames = re.findall(r"specifiedwindowframe\((Range|Row)Frame, ([^,]+)", p)
+            assert frames and not [f for f in frames if f[0] == "Range" and not f[1].startswith("unboundedpreceding")], frames
