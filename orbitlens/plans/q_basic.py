@@ -52,13 +52,13 @@ def q_read_metrics_sampled(spark, sf_dir):
 # ------------------------------------------------------------------ S6 / L1
 @register("read_metrics_limit", sql=f"""
 WITH {S.TELE},
-r AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY ts, satellite, value) AS rn FROM tele
+r AS (SELECT *, row_number() OVER (PARTITION BY metric, satellite ORDER BY ts, value) AS rn FROM tele
       WHERE ts >= TIMESTAMP '2024-01-10 00:00:00')
 SELECT metric, satellite, ts, {V} AS value FROM r WHERE rn <= 5
 """)
 def q_read_metrics_limit(spark, sf_dir):
     r = read_metrics(tele(spark, sf_dir), ["click", "view", "purchase", "signup", "error"],
-                     "2024-01-10 00:00:00", limit=5)
+                     "2024-01-10 00:00:00", limit=5, limit_by=KEYS)
     return round_doubles(r)
 
 

@@ -90,7 +90,7 @@ def _ts_lit(x):
 
 
 def read_metrics(df: DataFrame, metrics, start, end=None, *, tags: dict | None = None,
-                 resample=0, limit: int | None = None, ts: str = TS,
+                 resample=0, limit: int | None = None, limit_by: list[str] | None = None, ts: str = TS,
                  value: str = VALUE) -> DataFrame:
     """The reference's query request as one DataFrame plan.
 
@@ -99,7 +99,8 @@ def read_metrics(df: DataFrame, metrics, start, end=None, *, tags: dict | None =
     * S4 ``start`` always, ``end`` only if truthy, both inclusive
     * S5 ``resample`` > 0: first value per ``resample``-second bucket aligned to
       the epoch, stamped with the bucket start
-    * S6 ``limit``: first ``limit`` points of each metric (points of one time in the order of their tags)
+    * S6 ``limit``: first ``limit`` points of each metric (points of one time in the order of their tags); with
+      ``limit_by`` of every group of these columns, as one request per metric and tag value returns them
     """
     if isinstance(metrics, str):
         metrics = [metrics]
@@ -113,7 +114,8 @@ def read_metrics(df: DataFrame, metrics, start, end=None, *, tags: dict | None =
     if resample:
         out = sample_first(out, keys, resample, ts=ts, value=value)
     if limit is not None:
-        out = limit_per_series(out, [METRIC], limit, ts=ts, ties=[k for k in keys if k != METRIC] + [value])
+        by = limit_by or [METRIC]
+        out = limit_per_series(out, by, limit, ts=ts, ties=[k for k in keys if k not in by] + [value])
     return out
 
 

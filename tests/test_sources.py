@@ -54,3 +54,16 @@ def test_everything(tele):
 
 def test_empty(tele):
     assert read_metrics(tele, ["nope"], 1625151600000).count() == 0
+
+
+def test_limit_of_every_series(tele):
+    """One request per metric and host: each series shows its own first points, whatever other series hold."""
+    r = read_metrics(tele, ["metric1", "metric2"], 1625151600000, limit=3, limit_by=["metric", "host"]).toPandas()
+    assert r.groupby(["metric", "host"]).size().to_dict() == {(m, h): 3 for m in ("metric1", "metric2") for h in ("server1", "server2")}
+    assert len(read_metrics(tele, ["metric1"], 1625151600000, limit=3).toPandas()) == 3
+
+
+def test_limit_query_reads_every_series(spark):
+    import __spark_entry__ as E
+    r = E.queries()["read_metrics_limit"](spark, "/root/testdata/sf0.001").toPandas()
+    assert r.groupby(["metric", "satellite"]).size().to_dict() == {(m, f"SAT{i}"): 5 for m in ("click", "view", "purchase", "signup", "error") for i in range(3)}
