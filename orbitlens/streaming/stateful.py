@@ -28,18 +28,45 @@ from orbitlens.streaming.telemetry import EVENT_TIME
 DELAY_US = {"second": SEC, "minute": MIN, "hour": HOUR, "day": DAY}
 
 
-def _frame_stats(t, x, lo, hi, min_periods):
-    """mean / sample std of finite x over rows with lo < t <= hi."""
-    a = np.searchsorted(t, lo, side="right")
-    b = np.searchsorted(t, hi, side="right")
-    seg = x[a:b]
-    seg = seg[np.isfinite(seg)]
-    n = len(seg)
-    if n < min_periods or n == 0:
-        return np.nan, np.nan
-    mean = seg.mean()
-    std = seg.std(ddof=1) if n >= 2 else np.nan
-    return mean, std
+def _frame_stats(t, x, rows, W, min_periods):
+    """mean / sample std of the finite ``x`` in the frame of the row before each of ``rows``: rows before it in the order
+    of ``t`` that lie after ``t[row - 1] - W``.  A frame is cut at the edge of a stretch of W, as ``operators.windows``
+    does: the part of its last row's stretch and the end of the stretch before, both built up by running sums."""
+    n = len(t)
+    before = rows - 1
+    first = np.searchsorted(t, t[np.maximum(before, 0)] - W, side="right")       # frame: first .. before
+    ok = np.isfinite(x)
+    stretch = np.floor_divide(t, W)
+    starts = np.flatnonzero(np.r_[True, stretch[1:] != stretch[:-1]])
+    which = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, n]))
+    head, tail = _running(x, ok, starts, False), _running(x, ok, starts, True)
+    at = np.maximum(before, 0)
+    cut = starts[which[at]] > first                                              # the frame begins in an earlier stretch
+    n1, m1, q1 = (a[at] for a in head)
+    n2, m2, q2 = (np.where(cut, a[np.minimum(first, n - 1)], 0.0) for a in tail)
+    count = n1 + n2                                                              # a stretch is W long: its head is always in the frame
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = m1 + (m2 - m1) * n2 / count
+        std = np.sqrt((q1 + q2 + (m1 - m2) ** 2 * n1 * n2 / count) / (count - 1))
+    seen = (before >= 0) & (count >= max(min_periods, 1))
+    return np.where(seen, mean, np.nan), np.where(seen & (count >= 2), std, np.nan)
+
+
+def _running(x, ok, starts, backward):
+    """Count, mean and sum of squared deviations of the finite values so far, from each stretch's edge on."""
+    count, mean, square = np.zeros(len(x)), np.zeros(len(x)), np.zeros(len(x))
+    for a, b in zip(starts, np.r_[starts[1:], len(x)]):
+        seg, fin = (x[a:b][::-1], ok[a:b][::-1]) if backward else (x[a:b], ok[a:b])
+        k = np.cumsum(fin)
+        centre = seg[fin][0] if fin.any() else 0.0
+        d = np.where(fin, seg, centre) - centre
+        dm = np.cumsum(d) / np.maximum(k, 1)
+        # Welford's increments: a sum of terms that are never negative
+        was = np.r_[0.0, dm[:-1]]
+        q = np.cumsum(np.where(fin, (d - was) * (d - dm), 0.0))
+        out = slice(a, b)
+        count[out], mean[out], square[out] = (v[::-1] if backward else v for v in (k, centre + dm, q))
+    return count, mean, square
 
 
 def stateful_moving_average(stream: DataFrame, keys: list[str], *, window="30D", min_periods: int = 48,
@@ -77,29 +104,22 @@ def stateful_moving_average(stream: DataFrame, keys: list[str], *, window="30D",
         r = np.concatenate([np.asarray(st_r, dtype=np.float64), np.full(len(nt), np.nan)])
         order = np.argsort(t, kind="stable")               # a new point comes after known ones of its time
         t, v, r = t[order], v[order], r[order]
-        rows = []
-        for i in np.nonzero(order >= len(st_t))[0]:
-            if i == 0:
-                m = mr = sr = np.nan
-            else:
-                tp = t[i - 1]
-                m, _ = _frame_stats(t[:i], v[:i], tp - W, tp, min_periods)
-            r[i] = abs(v[i] - m) if np.isfinite(m) else np.nan
-            if i > 0:
-                tp = t[i - 1]
-                mr, sr = _frame_stats(t[:i], r[:i], tp - W, tp, min_periods)
-            score = ((r[i] - mr - delta) / (sr + 1e-8)) / sigma
-            up = sigma * (sr + 1e-8) + mr + m + delta
-            lo = -sigma * (sr + 1e-8) - mr + m - delta
-            anomaly = v[i] if (np.isfinite(score) and score > 1) else np.nan
-            rows.append((*key, int(t[i]), score, anomaly, up, lo))
+        # a mean needs values only, a residual its own row's mean: all means, then all residual frames
+        rows = np.flatnonzero(order >= len(st_t))
+        m, _ = _frame_stats(t, v, rows, W, min_periods)
+        r[rows] = np.abs(v[rows] - m)
+        mr, sr = _frame_stats(t, r, rows, W, min_periods)
+        score = ((r[rows] - mr - delta) / (sr + 1e-8)) / sigma
+        up = sigma * (sr + 1e-8) + mr + m + delta
+        lo = -sigma * (sr + 1e-8) - mr + m - delta
+        anomaly = np.where(np.isfinite(score) & (score > 1), v[rows], np.nan)
         if len(t):
             keep = t > t[-1] - W - delay
             state.update((t[keep].tolist(), v[keep].tolist(), r[keep].tolist()))
             state.setTimeoutTimestamp(int(t[-1] // 1000) + (W + delay) // 1000)
-        if rows:
-            yield pd.DataFrame(rows, columns=[*keys, "_t", f"{p}_ma_anomaly_score", f"{p}_ma_anomaly",
-                                              f"{p}_ma_upper_bound", f"{p}_ma_lower_bound"])
+        if len(rows):
+            yield pd.DataFrame({**{k: [one] * len(rows) for k, one in zip(keys, key)}, "_t": t[rows], f"{p}_ma_anomaly_score": score,
+                                f"{p}_ma_anomaly": anomaly, f"{p}_ma_upper_bound": up, f"{p}_ma_lower_bound": lo})
 
     res = x.groupBy(*keys).applyInPandasWithState(fn, out_schema, state_schema, "append",
                                                   GroupStateTimeout.EventTimeTimeout)

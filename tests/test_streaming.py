@@ -88,3 +88,28 @@ def test_idempotent_replay(spark):
     out = spark.read.parquet(f"{d}/out")
     assert out.count() == df.count()
     assert ST.dedup_latest(out, KEYS).count() == df.count()
+
+
+def test_stateful_frames_equal_a_plain_loop():
+    """The frames of all new points at once, late ones among known ones, against one point after the other."""
+    import time
+
+    import numpy as np
+
+    from orbitlens.streaming.stateful import _frame_stats
+    rng = np.random.default_rng(4)
+    t = np.sort(rng.integers(-300, 5000, 700))
+    x = np.round(rng.normal(3, 1, 700), 2)
+    x[100:130], x[rng.integers(0, 700, 60)], x[300] = 0.1, np.nan, np.inf
+    rows = np.flatnonzero(rng.random(700) < 0.7)
+    mean, std = _frame_stats(t, x, rows, 97, 3)
+    for i, m, s in zip(rows, mean, std):
+        seg = x[:i][t[:i] > t[i - 1] - 97] if i else x[:0]
+        seg = seg[np.isfinite(seg)]
+        want = (seg.mean(), seg.std(ddof=1)) if len(seg) >= 3 else (np.nan, np.nan)
+        assert np.allclose((m, s), want, rtol=1e-10, atol=1e-12, equal_nan=True)
+    # a window of 400,000 points costs no more a point than one of ten
+    many = np.arange(400_000)
+    began = time.time()
+    mean, _ = _frame_stats(many, np.ones(400_000), many, 300_000, 5)
+    assert np.nanmax(mean) == 1.0 and time.time() - began < 20
