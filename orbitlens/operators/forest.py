@@ -16,7 +16,8 @@ keyed by (series, block): a long series is scored by many tasks, each with
 its home rows plus a bounded halo.  ``next_ts`` across block edges comes
 from a one-row-per-block summary.  Each block is scored by numpy inside
 ``applyInPandas``; a path is followed only for the scored point, for all
-trees at once (no tree is materialised).  The seed of each row's forest is
+trees at once (no tree is materialised), and a subsample is drawn without
+touching the rest of its window.  The seed of each row's forest is
 derived from (series, ts), so results are repeatable.
 """
 
@@ -63,9 +64,8 @@ def _node_draws(seed: int, trees: np.ndarray, nodes: np.ndarray, d: int):
     with np.errstate(over="ignore"):
         base = np.uint64(seed) * np.uint64(0xD1B54A32D192ED03)
         h = _mix64(base ^ (trees.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ nodes.astype(np.uint64))
-        h2 = _mix64(h)
+        q = (_mix64(h) % np.uint64(d)).astype(np.int64) if d > 1 else np.zeros(len(h), dtype=np.int64)
     u = (h >> np.uint64(11)).astype(np.float64) * (1.0 / 9007199254740992.0)
-    q = (h2 % np.uint64(max(d, 1))).astype(np.int64)
     return u, q
 
 
@@ -87,15 +87,17 @@ class Forest:
             # the subsample is the whole window (order does not change a tree)
             self.S = np.broadcast_to(window, (n_trees, n, d))
         else:
-            rng = np.random.default_rng(seed)
-            idx = np.argsort(rng.random((n_trees, n)), axis=1)[:, :self.psi]   # subsample w/o replacement
-            self.S = window[idx]                                               # [trees, psi, d]
+            self.S = window[_subsamples(np.random.default_rng(seed), n, n_trees, self.psi)]   # [trees, psi, d]
         self.c_psi = avg_path_length(np.array([self.psi]))[0]
+        # one feature: a node's samples are a stretch of the sorted ones
+        self.V = np.sort(self.S[:1, :, 0] if n <= max_samples else self.S[:, :, 0], axis=1) if d == 1 else None
 
     def score(self, x: np.ndarray) -> float:
         """2^(-E[h(x)]/c(psi)) - 0.5 (the negated decision function)."""
         if self.psi <= 1:
             return 0.0  # a single-sample forest: every path has length c(1) = 0
+        if self.V is not None:
+            return self._score_sorted(float(x[0]))
         T = self.n_trees
         trees = np.arange(T)
         alive = np.ones((T, self.psi), dtype=bool)
@@ -123,6 +125,56 @@ class Forest:
         return float(2.0 ** (-h.mean() / self.c_psi) - 0.5)
 
 
+    def _score_sorted(self, x: float) -> float:
+        """``score`` for one feature: a node is a stretch ``a .. b`` of the tree's sorted samples."""
+        T = self.n_trees
+        trees = np.arange(T)
+        row = trees if len(self.V) == T else np.zeros(T, dtype=np.int64)
+        a, b = np.zeros(T, dtype=np.int64), np.full(T, self.psi, dtype=np.int64)
+        node = np.zeros(T, dtype=np.int64)
+        depth = np.zeros(T)
+        active = np.ones(T, dtype=bool)
+        for _ in range(self.limit):
+            active &= b - a > 1
+            if not active.any():
+                break
+            u, _q = _node_draws(self.seed, trees, node, 1)
+            lo, hi = self.V[row, a], self.V[row, b - 1]
+            with np.errstate(invalid="ignore"):
+                p = lo + u * (hi - lo)
+            go_left = x < p
+            split = active & (hi > lo)
+            below = np.searchsorted(self.V[0], p) if len(self.V) == 1 else np.count_nonzero(self.V < p[:, None], axis=1)
+            a = np.where(split & ~go_left, np.maximum(below, a), a)
+            b = np.where(split & go_left, np.minimum(below, b), b)
+            node = np.where(split, 2 * node + np.where(go_left, 1, 2), node)
+            depth += split
+            active &= split
+        h = depth + avg_path_length(b - a)
+        return float(2.0 ** (-h.mean() / self.c_psi) - 0.5)
+
+
+def _subsamples(rng, n: int, n_trees: int, psi: int) -> np.ndarray:
+    """``psi`` of ``n`` positions for every tree, without replacement, in any order.
+
+    Of a long window positions are drawn one by one and drawn again where a tree has them already, so the work depends
+    on ``psi`` and not on ``n``; of a short one (up to 4 ``psi``) those with the smallest of ``n`` random numbers."""
+    if n <= 4 * psi:
+        return np.argpartition(rng.random((n_trees, n)), psi - 1, axis=1)[:, :psi]
+    kind = np.int32 if n < 2**31 else np.int64
+    idx = np.sort(rng.integers(0, n, (n_trees, psi), dtype=kind), axis=1)
+    todo = np.arange(n_trees)
+    while len(todo):
+        some = idx[todo]
+        again = np.zeros(some.shape, dtype=bool)
+        again[:, 1:] = some[:, 1:] == some[:, :-1]
+        some[again] = rng.integers(0, n, int(again.sum()), dtype=kind)
+        some.sort(axis=1)
+        idx[todo] = some
+        todo = todo[again.any(axis=1)]
+    return idx
+
+
 def isolation_score(window: np.ndarray, x: np.ndarray, rng_or_seed, n_trees: int = 100,
                     max_samples: int = 256) -> float:
     """Score one point ``x`` ([d]) against a forest trained on ``window`` ([n, d])."""

@@ -113,3 +113,30 @@ def test_forest_is_a_fixed_function_once_seeded():
     assert f.score(x) == f.score(x)                                  # same trees for every call
     assert f.score(np.array([6.0, 6.0])) > f.score(x)                # outlier isolated sooner
     assert Forest(f.S[:, :, :].reshape(-1, 2)[:300], seed=11).score(x) == Forest(f.S[:, :, :].reshape(-1, 2)[:300], seed=11).score(x)
+
+
+def test_forest_subsamples_and_sorted_paths():
+    """A long window: subsamples without replacement, evenly spread, at a cost that does not follow the window; one
+    feature's paths over sorted samples are those of the general way."""
+    import time
+
+    from orbitlens.operators.forest import Forest, _subsamples
+    rng = np.random.default_rng(8)
+    for n in (257, 1024, 1025, 3000, 200_000):
+        idx = _subsamples(np.random.default_rng(1), n, 100, 256)
+        assert idx.shape == (100, 256) and idx.min() >= 0 and idx.max() < n
+        assert all(len(set(r)) == 256 for r in idx.tolist())
+        assert abs(idx.mean() / (n - 1) - 0.5) < 0.02
+    for n in (2, 5, 200, 256, 257, 900, 5000):
+        w = np.round(rng.normal(0, 1, (n, 1)), 2)
+        for x in (-9.0, 0.0, float(w[0, 0]), 0.3, 40.0):
+            f = Forest(w, 77)
+            fast = f.score(np.array([x]))
+            f.V = None                                                         # the general way
+            assert fast == f.score(np.array([x]))
+    same = Forest(np.ones((500, 1)), 3)
+    assert same.score(np.array([1.0])) == same.score(np.array([5.0]))
+    w = rng.normal(0, 1, (1_000_000, 1))
+    began = time.time()
+    scores = [Forest(w, i).score(np.array([x])) for i in range(20) for x in (0.0, 8.0)]
+    assert time.time() - began < 10 and min(scores[1::2]) > max(scores[::2])
