@@ -294,13 +294,23 @@ def forecast_lagged(hist: DataFrame, models: DataFrame, keys: list[str], horizon
     at = F.size("lags") + F.size("lags_pos")
     angle = F.lit(2 * math.pi) * (F.pmod(F.col("a"), F.col("season")) / F.col("season"))
     base = F.element_at("coef", 1) + F.when(F.col("season") > 1, F.element_at("coef", at + 2) * F.sin(angle) + F.element_at("coef", at + 3) * F.cos(angle)).otherwise(0.0)
-    known, out, done = h.select(*keys, "a", "v"), None, 0
+    # what the history answers, for all steps in one pass over it; only answers that lie ahead wait for their block
+    steps = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")
+    run = h.select(*keys, "a", "v").withColumn("c_sum", F.sum("v").over(Window.partitionBy(*keys).orderBy("a")))    # the context only
+    asked = terms.select("*", steps).withColumn("a", F.col("last") + F.col("step") - F.col("off"))
+    answers = join_null_safe(asked, run, [*keys, "a"]).checkpoint() if least and horizon > 0 else None
+    whole = h.groupBy(*keys).agg(F.coalesce(F.sum("v"), F.lit(0.0)).alias("whole")).checkpoint()
+    ahead, out, done = None, None, 0
     while least and done < horizon:
         b = min(int(least), horizon - done)
-        run = known.withColumn("c_sum", F.sum("v").over(Window.partitionBy(*keys).orderBy("a")))    # the context only
         steps = F.explode(F.sequence(F.lit(done + 1), F.lit(done + b))).alias("step")
-        asked = terms.select("*", steps).withColumn("a", F.col("last") + F.col("step") - F.col("off"))
-        found = join_null_safe(asked, run, [*keys, "a"])
+        found = answers.where(F.col("step").between(done + 1, done + b))
+        if ahead is not None:                                        # at most ``horizon`` rows of a series
+            new = join_null_safe(ahead, whole, keys, "inner").select(
+                *keys, "a", F.col("v").alias("new_v"),
+                (F.col("whole") + F.coalesce(F.sum("v").over(Window.partitionBy(*keys).orderBy("a")), F.lit(0.0))).alias("new_sum"))
+            found = join_null_safe(found, new, [*keys, "a"])
+            found = found.withColumns({"v": F.coalesce("v", "new_v"), "c_sum": F.coalesce("c_sum", "new_sum")})
         part = F.col("c") * F.when(F.col("sum"), F.coalesce("c_sum", F.lit(0.0))).otherwise(F.col("v"))
         found = found.groupBy(*keys, "step").agg(F.when(F.count(part) == F.count(F.lit(1)), F.sum(part)).alias("y"))
         fixed = m.select("*", steps).withColumn("a", F.col("last") + F.col("step")).withColumn("base", base)
@@ -314,7 +324,7 @@ def forecast_lagged(hist: DataFrame, models: DataFrame, keys: list[str], horizon
             fixed = join_null_safe(fixed, add, [*keys, "step"]).withColumn("base", F.col("base") + F.coalesce("add", F.lit(0.0)))
         now = fixed.select(*keys, "a", F.col("step").cast("long").alias("step"), (F.col("base") + F.col("y")).alias("v"), "center", "freq_s", "bands").checkpoint()
         out = now if out is None else out.unionByName(now)
-        known = known.unionByName(now.select(*keys, "a", "v"))
+        ahead = now.select(*keys, "a", "v") if ahead is None else ahead.unionByName(now.select(*keys, "a", "v"))
         done += b
     if out is None:
         out = m.select(*keys, F.col("last").alias("a"), F.lit(0).cast("long").alias("step"), F.lit(0.0).alias("v"), "center", "freq_s", "bands").limit(0)

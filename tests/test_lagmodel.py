@@ -154,3 +154,20 @@ def test_two_hundred_series_with_forty_lags_in_one_fit(spark):
     for r in rows[::29]:
         z = design(series[(r.metric, r.satellite)], plans[(r.metric, r.satellite)])
         assert np.allclose(r.coef, np.linalg.lstsq(z[:, :-1], z[:, -1], rcond=None)[0], atol=1e-6)
+
+
+def test_forecast_passes_over_the_history_once(spark, monkeypatch):
+    """Many blocks (smallest lag 2, 12 steps): the context's running sums meet the asked positions once, not once a block."""
+    y = np.random.default_rng(2).normal(0, 1, 300)
+    plans = {("m", "S"): dict(lags=[2, 7], pos=[3], w=2, season=1, h=3, windows=2, n=300, center=0.0)}
+    reg = regular(spark, {("m", "S"): y})
+    models = LM.fit_lagged(reg, plan_of(spark, plans), KEYS).checkpoint()
+    joined, join = [], LM.join_null_safe
+
+    def seen(x, small, *how):
+        joined.append("c_sum" in small.columns)
+        return join(x, small, *how)
+
+    monkeypatch.setattr(LM, "join_null_safe", seen)
+    assert LM.forecast_lagged(reg, models, KEYS, 12).count() == 12
+    assert sum(joined) == 1
