@@ -48,7 +48,7 @@ def _frame_stats(t, x, rows, W, min_periods):
     with np.errstate(divide="ignore", invalid="ignore"):
         mean = m1 + (m2 - m1) * n2 / count
         std = np.sqrt((q1 + q2 + (m1 - m2) ** 2 * n1 * n2 / count) / (count - 1))
-    seen = (before >= 0) & (count >= max(min_periods, 1))
+    seen = (before >= 0) & (first <= before) & (count >= max(min_periods, 1))     # without a time: the smallest number, no frame
     return np.where(seen, mean, np.nan), np.where(seen & (count >= 2), std, np.nan)
 
 

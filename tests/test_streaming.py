@@ -108,6 +108,9 @@ def test_stateful_frames_equal_a_plain_loop():
         seg = seg[np.isfinite(seg)]
         want = (seg.mean(), seg.std(ddof=1)) if len(seg) >= 3 else (np.nan, np.nan)
         assert np.allclose((m, s), want, rtol=1e-10, atol=1e-12, equal_nan=True)
+    # rows without a time come first, as the smallest number, and open no frame
+    mean, _ = _frame_stats(np.array([-2**63] * 4 + [10, 11]), np.arange(6.0), np.arange(6), 97, 1)
+    assert np.isnan(mean[:5]).all() and mean[5] == 4.0
     # a window of 400,000 points costs no more a point than one of ten
     many = np.arange(400_000)
     began = time.time()
