@@ -31,19 +31,22 @@ def moving_average_anomaly(df: DataFrame, keys: list[str], cols, *, window="30D"
                            min_periods: int = 48, sigma: float = 4.0, delta: float = 0.01,
                            return_aggregated: bool = False, return_bounds: bool = True,
                            ts: str = "ts", tile_us: int | None = None,
-                           method: str = "frame") -> DataFrame:
+                           method: str = "frame", carry=()) -> DataFrame:
     """``ma(df, window, min_periods, sigma, delta, ...)`` per series.
 
     Output: keys, ts, then extension-major columns ``<col><ext>`` for every
-    input column (score, anomaly, [upper, lower], [aggregated]).
+    input column (score, anomaly, [upper, lower], [aggregated]), then the
+    columns ``carry`` of the input row, unchanged (with one value column).
     """
     if isinstance(cols, str):
         cols = [cols]
     if len(cols) > 1:
+        if carry:
+            raise ValueError("carry needs one value column")
         return _ma_many(df, keys, cols, window=window, min_periods=min_periods, sigma=sigma, delta=delta,
                         return_aggregated=return_aggregated, return_bounds=return_bounds, ts=ts,
                         tile_us=tile_us, method=method)
-    x = with_epoch(df.select(*keys, ts, *cols), ts)
+    x = with_epoch(df.select(*keys, ts, *cols, *carry), ts)
     for c in cols:
         x = rolling_stats(x, keys, c, window, min_periods=min_periods, shift=1,
                           stats=("mean",), ts=ts, prefix=f"_m_{c}", tile_us=tile_us, method=method)
@@ -70,7 +73,7 @@ def moving_average_anomaly(df: DataFrame, keys: list[str], cols, *, window="30D"
     if return_aggregated:
         exts += ["_ma_aggregated"]
     sel = [outs[c][e].alias(f"{c}{e}") for e in exts for c in cols]
-    return x.select(*keys, ts, *sel)
+    return x.select(*keys, ts, *sel, *carry)
 
 
 def _ma_many(df, keys, cols, *, ts, return_aggregated, return_bounds, **kw):

@@ -79,7 +79,7 @@ def q_stream_lookback_detector(spark, sf_dir):
     from orbitlens.operators.detect import history_needed_us, moving_average_anomaly
     base = ST.scratch_path(spark, "stream-lookback")
     fn = ST.lookback_detector(
-        lambda d: moving_average_anomaly(d, KEYS, ["value"], window="1D", min_periods=5),
+        lambda d: moving_average_anomaly(d, KEYS, ["value"], window="1D", min_periods=5, carry=["_new"]),
         keys=KEYS, history_path=f"{base}/history", out_path=f"{base}/out", lookback_us=history_needed_us("1D"))
     q = (events_stream(spark, sf_dir).writeStream.foreachBatch(fn)
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
@@ -134,7 +134,7 @@ def q_stream_lookback_detector_ticks(spark, sf_dir):
     from orbitlens.operators.detect import history_needed_us, moving_average_anomaly
     base = ST.scratch_path(spark, "stream-lookback-ticks")
     fn = ST.lookback_detector(
-        lambda d: moving_average_anomaly(d, KEYS, ["value"], window="1D", min_periods=5),
+        lambda d: moving_average_anomaly(d, KEYS, ["value"], window="1D", min_periods=5, carry=["_new"]),
         keys=KEYS, history_path=f"{base}/history", out_path=f"{base}/out", lookback_us=history_needed_us("1D"))
 
     def tick(t):

@@ -2,6 +2,7 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -79,6 +80,25 @@ def test_lookback_detector_stream_equals_batch(spark):
     assert _rows(got, cols) == _rows(exp, cols)
 
 
+@pytest.mark.parametrize("carry", [["_new"], []])
+def test_lookback_detector_gives_one_row_per_row(spark, carry):
+    """Four copies of every row, also of one without a time: four results each, not sixteen."""
+    d = tempfile.mkdtemp(prefix="orbitlens-lb4-")
+    t = spark.createDataFrame([("m", "S", f"2024-01-01 00:{i:02d}:00", float(i % 7)) for i in range(40)] + [("m", "S2", None, 1.0)],
+                              "metric string, satellite string, ts string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    t = t.crossJoin(spark.range(4)).drop("id")
+    det = lambda x: moving_average_anomaly(x, KEYS, ["value"], window="1D", min_periods=3, carry=[c for c in carry if c in x.columns])
+    fn = ST.lookback_detector(det, keys=KEYS, history_path=f"{d}/hist", out_path=f"{d}/out", lookback_us=3 * DAY)
+    fn(t, 0)
+    got = spark.read.parquet(f"{d}/out/batch_id=0")
+    cols = KEYS + ["ts", "value_ma_anomaly_score", "value_ma_upper_bound"]
+    assert got.count() == 164
+    assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, det(t).select(*cols).collect()))
+    if carry:                                            # a later row at a known time: only itself
+        fn(t.where("ts = TIMESTAMP_NTZ '2024-01-01 00:39:00'").limit(1), 1)
+        assert spark.read.parquet(f"{d}/out/batch_id=1").count() == 1
+
+
 def test_idempotent_replay(spark):
     d = tempfile.mkdtemp(prefix="orbitlens-idem-")
     w = ST.idempotent_batch_writer(f"{d}/out")
