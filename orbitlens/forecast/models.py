@@ -183,7 +183,10 @@ def _fit(feat: DataFrame, keys: list[str], features: list[str], estimator, label
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
 
-    x = with_series_level(feat.na.drop("any", subset=[*features, label]), keys, label=label, order=order)
+    from orbitlens.session import checkpoint_dir
+    checkpoint_dir(feat.sparkSession)
+    # an estimator passes over its rows several times before it keeps them in its own form
+    x = with_series_level(feat.na.drop("any", subset=[*features, label]), keys, label=label, order=order).checkpoint()
     va = VectorAssembler(inputCols=[*SERIES_CODE, *features], outputCol="_features", handleInvalid="keep")
     return Pipeline(stages=[va, estimator]).fit(x)
 

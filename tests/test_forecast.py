@@ -43,6 +43,22 @@ def test_gbt_splits_many_series_by_level(spark):
     assert got[0] == 2 * n and got[1] < mean, (got, mean)
 
 
+def test_rows_are_derived_once_for_a_fit(spark):
+    """The estimator gets stored rows: its passes do not run the windows and joins of the features again."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+    plans = []
+
+    class Seen(DecisionTreeRegressor):
+        def _fit(self, dataset):
+            plans.append(dataset._jdf.queryExecution().optimizedPlan().toString())
+            return super()._fit(dataset)
+
+    rows = [("m", f"S{i % 3}", i // 3, float(i % 5), 2.0 * (i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "metric string, satellite string, idx long, lag1 double, value double")
+    MD.fit_estimator(df, KEYS, ["lag1"], Seen(maxDepth=2))
+    assert len(plans) == 1 and "Window" not in plans[0] and "Join" not in plans[0], plans
+
+
 def test_level_never_sees_the_own_row(spark):
     rows = [("m", s, i, float(v)) for s, x in (("a", [5, 1, 4]), (None, [2, 2, 9])) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "metric string, satellite string, idx long, value double")
