@@ -6,7 +6,8 @@
   aggregation before the shuffle); the tiny per-series systems are solved
   with numpy, one row per series.
 * Gradient boosted trees: ``pyspark.ml`` GBTRegressor, one distributed fit
-  over all series, the series as an ordered target statistic.
+  over all series, the series as an ordered target statistic; many rows are
+  added up by the bins of their features before the trees.
 * Recursive forecast: in blocks of ``min_lag`` steps - no feature of a block
   depends on a value predicted in the same block - one distributed plan per
   block for all series; lineage cut with ``checkpoint()`` between blocks.
@@ -179,28 +180,103 @@ def series_levels(feat: DataFrame, keys: list[str], *, label: str = "value") ->
     return feat.groupBy(*keys).agg(F.avg(label).alias("_level"))
 
 
-def _fit(feat: DataFrame, keys: list[str], features: list[str], estimator, label: str, order: str):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-
+def _training_rows(feat: DataFrame, keys: list[str], features: list[str], label: str, order: str) -> DataFrame:
     from orbitlens.session import checkpoint_dir
     checkpoint_dir(feat.sparkSession)
     # an estimator passes over its rows several times before it keeps them in its own form
-    x = with_series_level(feat.na.drop("any", subset=[*features, label]), keys, label=label, order=order).checkpoint()
+    return with_series_level(feat.na.drop("any", subset=[*features, label]), keys, label=label, order=order).checkpoint()
+
+
+def _fit_rows(x: DataFrame, features: list[str], estimator):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
     va = VectorAssembler(inputCols=[*SERIES_CODE, *features], outputCol="_features", handleInvalid="keep")
     return Pipeline(stages=[va, estimator]).fit(x)
 
 
+def bin_edges(x: DataFrame, features: list[str], bins: int, seed: int, rows: int) -> list[list[float]]:
+    """The thresholds a tree may use, one list per feature, as GBTRegressor finds them: from ``bins`` ** 2 of the
+    ``rows`` (all, if they are no more) at most ``bins - 1`` cuts halfway between values, so that bins hold about
+    equally many rows.  Only the places of the cuts come from the drawn rows."""
+    drawn = max(bins * bins, 10_000) / rows
+    values = (x if drawn >= 1 else x.sample(drawn, seed)).select(F.explode(F.array(
+        *[F.struct(F.lit(i).alias("feature"), F.col(c).cast("double").alias("v")) for i, c in enumerate(features)])).alias("e"))
+
+    def cuts(pdf: pd.DataFrame) -> pd.DataFrame:
+        v, n = np.unique(pdf["v"].dropna().to_numpy(), return_counts=True)
+        half = (v[:-1] + v[1:]) / 2
+        if len(half) >= bins:
+            seen, stride, target, keep = np.cumsum(n).astype(float), n.sum() / bins, n.sum() / bins, []
+            for i in range(len(half)):
+                if abs(seen[i] - target) < abs(seen[i + 1] - target):
+                    keep.append(i)
+                    target += stride
+            half = half[keep]
+        return pd.DataFrame({"feature": [int(pdf["feature"].iloc[0])], "cuts": [half.tolist()]})
+
+    found = values.select("e.*").groupBy("feature").applyInPandas(cuts, "feature int, cuts array<double>").collect()
+    cut = {r.feature: r.cuts for r in found}
+    return [cut[i] for i in range(len(features))]
+
+
+def binned_cells(x: DataFrame, features: list[str], label: str, bins: int, seed: int, rows: int):
+    """The rows of ``x`` added up by the bins of their features: a Bucketizer (``_code_<feature>``) and one row per
+    combination of bins with its number of rows ``_weight`` and the mean of ``label``.
+
+    A tree asks for the bin of a feature only, and its sums of counts and targets over any set of whole combinations
+    are the same from these rows as from ``x``.  There are no more than ``bins ** len(features)`` of them."""
+    from pyspark.ml.feature import Bucketizer
+    inf = float("inf")
+    # a tree's left side is value <= cut, a bucket's is value < split
+    splits = [[-inf, *[float(np.nextafter(c, inf)) for c in cut], inf] if cut else [-inf, 0.0, inf]
+              for cut in bin_edges(x, features, bins, seed, rows)]
+    codes = [f"_code_{c}" for c in features]
+    buckets = Bucketizer(inputCols=list(features), outputCols=codes, splitsArray=splits, handleInvalid="keep")
+    # as plain numbers: a bucket's own column says that it is a category, and a tree would not keep its order
+    x = buckets.transform(x).withColumns({c: F.col(c).cast("int") for c in codes})
+    cells = x.groupBy(*codes).agg(F.avg(label).alias(label), F.count(F.lit(1)).cast("double").alias("_weight"))
+    return buckets, cells
+
+
+def _fit_cells(x: DataFrame, features: list[str], gbt, rows: int):
+    """The same model from the rows added up by bins; None if that leaves more than half as many."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+
+    buckets, cells = binned_cells(x, [*SERIES_CODE, *features], gbt.getLabelCol(), gbt.getMaxBins(), gbt.getSeed(), rows)
+    cells = cells.checkpoint()
+    n = cells.count()
+    if 2 * n > rows:
+        return None
+    va = VectorAssembler(inputCols=buckets.getOutputCols(), outputCol="_features", handleInvalid="keep")
+    # up to maxBins ** 2 rows the fit looks at all of them for its thresholds: every bin is one
+    gbt = gbt.copy().setWeightCol("_weight").setMaxBins(max(gbt.getMaxBins(), min(int(np.ceil(np.sqrt(n))), 46_340)))
+    spread = cells.repartition(x.sparkSession.sparkContext.defaultParallelism)
+    return PipelineModel([buckets, va, gbt.fit(va.transform(spread))])
+
+
+def _fit(feat: DataFrame, keys: list[str], features: list[str], estimator, label: str, order: str):
+    return _fit_rows(_training_rows(feat, keys, features, label, order), features, estimator)
+
+
 def fit_gbt(feat: DataFrame, keys: list[str], features: list[str], *, label: str = "value", order: str = "idx",
             max_iter: int = 200, max_depth: int = 7, seed: int = 0, step_size: float = 0.1):
     """Gradient boosted trees over all series at once.  The series key enters as an ordered target statistic
     (``with_series_level``), so there is no limit on the number of series, no list of them on the driver, and a
-    tree can split series by their level.  Returns the fitted PipelineModel."""
+    tree can split series by their level.  Returns the fitted PipelineModel.
+
+    More rows than the thresholds are drawn from are added up by the bins of their features first (``binned_cells``),
+    where that leaves at most half: all trees then pass over combinations of bins, whose number is bounded, not over
+    rows."""
     from pyspark.ml.regression import GBTRegressor
 
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="yhat", maxIter=max_iter,
                        maxDepth=max_depth, seed=seed, stepSize=step_size, maxBins=256)
-    return _fit(feat, keys, features, gbt, label, order)
+    x = _training_rows(feat, keys, features, label, order)
+    rows = x.count()
+    fitted = _fit_cells(x, features, gbt, rows) if rows > gbt.getMaxBins() ** 2 else None
+    return fitted or _fit_rows(x, features, gbt)
 
 
 def fit_estimator(feat: DataFrame, keys: list[str], features: list[str], estimator, *,
@@ -216,7 +292,8 @@ def fit_estimator(feat: DataFrame, keys: list[str], features: list[str], estimat
 def predict_gbt(model, feat: DataFrame, keys: list[str], levels: DataFrame) -> DataFrame:
     """``levels``: ``series_levels`` of the training rows."""
     from orbitlens.operators.windows import join_null_safe
-    return model.transform(join_null_safe(feat, levels, keys, "inner")).drop(*SERIES_CODE, "_features")
+    out = model.transform(join_null_safe(feat, levels, keys, "inner"))
+    return out.drop(*SERIES_CODE, "_features", *[c for c in out.columns if c.startswith("_code_")])
 
 
 def lag_slots(reg: DataFrame, plan: DataFrame, keys: list[str], slots: int) -> DataFrame:

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from orbitlens.forecast import features as FT
@@ -59,6 +60,54 @@ def test_rows_are_derived_once_for_a_fit(spark):
     assert len(plans) == 1 and "Window" not in plans[0] and "Join" not in plans[0], plans
 
 
+def _stepwise(spark, n, seed=5):
+    """Rows whose features repeat: a few steps of the lags, three levels."""
+    rng = np.random.default_rng(seed)
+    a, b, i = rng.integers(0, 12, n), rng.integers(0, 5, n), np.arange(n)
+    y = 10.0 * a - 3.0 * b * b + 10.0 * (i % 3) + rng.normal(0, 1, n)
+    pdf = pd.DataFrame({"metric": "m", "satellite": [f"S{k}" for k in i % 3], "idx": i // 3, "lag1": a / 2 + 0.25, "lag2": b - 4.0, "value": y})
+    return spark.createDataFrame(pdf, "metric string, satellite string, idx long, lag1 double, lag2 double, value double")
+
+
+def test_boosted_trees_are_the_same_from_rows_added_up_by_bins(spark):
+    from pyspark.ml.regression import GBTRegressor
+    df = _stepwise(spark, 9000)
+    x = MD.with_series_level(df, KEYS).checkpoint()
+    gbt = GBTRegressor(featuresCol="_features", labelCol="value", predictionCol="yhat", maxIter=5, maxDepth=4, seed=0, stepSize=0.3, maxBins=64)
+    rows, cells = MD._fit_rows(x.select("_level", "lag1", "lag2", "value"), ["lag1", "lag2"], gbt), MD._fit_cells(x, ["lag1", "lag2"], gbt, 9000)
+    out = [m.transform(x).orderBy("metric", "satellite", "idx").toPandas().yhat.to_numpy() for m in (rows, cells)]
+    assert len(out[0]) == 9000 and np.std(out[0]) > 10
+    assert np.abs(out[0] - out[1]).max() < 1e-9
+    _, held = MD.binned_cells(x, ["_level", "lag1", "lag2"], "value", 64, 0, 9000)
+    assert held.agg(F.sum("_weight"), F.count("*")).first()[0] == 9000
+    assert held.agg(F.sum(F.col("_weight") * F.col("value"))).first()[0] == pytest.approx(x.agg(F.sum("value")).first()[0])
+    # a value nobody has shown yet and a missing one go where the thresholds of the rows send them
+    new = x.limit(4).withColumn("lag1", F.when(F.col("idx") == 0, F.lit(None)).otherwise(F.lit(3.61))).withColumn("lag2", F.lit(-99.0))
+    a, b = [sorted(r.yhat for r in m.transform(new).collect()) for m in (rows, cells)]
+    assert a == pytest.approx(b)
+
+
+def test_trees_pass_over_bins_where_rows_repeat(spark, monkeypatch, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import GBTRegressor
+    whole, seen = GBTRegressor._fit, []
+
+    def fit(self, dataset):
+        seen.append(dataset.count())
+        return whole(self, dataset)
+
+    monkeypatch.setattr(GBTRegressor, "_fit", fit)
+    df = _stepwise(spark, 70_000 * 3).where("lag1 < 2 and lag2 < 2 or idx < 50000")
+    model = MD.fit_gbt(df, KEYS, ["lag1", "lag2"], max_iter=2, max_depth=3)
+    assert len(seen) == 1 and seen[0] < df.count() / 2, seen
+    model.write().save(str(tmp_path / "model"))
+    levels = MD.series_levels(df, KEYS)
+    few = df.where("idx < 20")
+    a, b = [MD.predict_gbt(m, few, KEYS, levels) for m in (model, PipelineModel.load(str(tmp_path / "model")))]
+    assert a.columns == [*df.columns, "yhat"] and a.count() == few.count()
+    assert sorted(a.select("yhat").collect()) == sorted(b.select("yhat").collect())
+
+
 def test_level_never_sees_the_own_row(spark):
     rows = [("m", s, i, float(v)) for s, x in (("a", [5, 1, 4]), (None, [2, 2, 9])) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "metric string, satellite string, idx long, value double")
