@@ -103,7 +103,7 @@ def q_stream_bounds_join(spark, sf_dir):
     bands.write.parquet(f"{base}/bounds")
     bstream = spark.readStream.schema(spark.read.parquet(f"{base}/bounds").schema).parquet(f"{base}/bounds")
     j = ST.bounds_join_stream(events_stream(spark, sf_dir), bstream, KEYS, watermark="2 hours")
-    ST.run_available_now(j, f"{base}/out", f"{base}/ckpt")
+    ST.run_available_now(j, f"{base}/out", f"{base}/ckpt", conf=ST.STATE_ON_DISK)
     return spark.read.parquet(f"{base}/out").withColumn("bounds_score", F.round(F.col("bounds_score") + 1e-9, 4))
 
 

@@ -136,3 +136,34 @@ def test_stateful_frames_equal_a_plain_loop():
     began = time.time()
     mean, _ = _frame_stats(many, np.ones(400_000), many, 300_000, 5)
     assert np.nanmax(mean) == 1.0 and time.time() - began < 20
+
+
+def test_bounds_join_keeps_its_state_on_disk(spark, tmp_path, monkeypatch):
+    """Rows of one time meet in pairs, null series and null values included, and the state is not in the heap."""
+    import datetime as dt
+    import json
+    import random
+    import shutil
+
+    from orbitlens.plans import q_streaming as QS
+    rng, t0 = random.Random(4), dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(minutes=rng.randrange(3000)), None if i % 50 == 0 else rng.randrange(9),
+             rng.choice(["a", "b", None]), None if i % 40 == 0 else round(rng.uniform(0, 50), 2)) for i in range(600)]
+    rows += rows[:30]                                            # rows that come twice
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    df.coalesce(1).write.parquet(str(tmp_path / "made"))
+    (tmp_path / "sf").mkdir()
+    shutil.copy(next((tmp_path / "made").glob("part-*.parquet")), tmp_path / "sf" / "events.parquet")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ST, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = sorted(map(str, QS.q_stream_bounds_join(spark, str(tmp_path / "sf")).collect()))
+    t = events_telemetry(spark, str(tmp_path / "sf"))
+    b = spark.read.parquet(str(tmp_path / "stream-bounds" / "bounds"))
+    on = [t[k].eqNullSafe(b[k]) for k in KEYS] + [t.ts == b.ts]
+    score = F.round(F.greatest(b.lb - t.value, t.value - b.ub) + 1e-9, 4)
+    want = sorted(map(str, t.join(b, on).select(t.metric, t.satellite, t.ts, score.alias("bounds_score")).collect()))
+    assert len(got) > 600 and "metric=None" in "".join(got) and got == want
+    kept = json.loads((tmp_path / "stream-bounds" / "ckpt" / "offsets" / "0").read_text().splitlines()[1])["conf"]
+    assert kept[key].endswith("RocksDBStateStoreProvider")
+    assert spark.conf.get(key) == before
